@@ -1 +1,89 @@
-"""Registered queries."""
+"""JSON parsing, record-path explode, struct flattening, positional widening and drop-last
+(N1-N4, P9, J3, S5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from reportwide.operators import flatten as FL
+from reportwide.operators.paging import paginate
+from reportwide.plans.registry import register, table
+
+
+@register("json_field",
+          "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def q_json_field(spark: SparkSession, sf_dir: str):
+    ev = table(spark, sf_dir, "events").select("event_id", "props")
+    return FL.parse_json(ev, "props", "k int").select("event_id", F.col("doc.k").alias("k"))
+
+
+BROKEN = ("CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1) "
+          "ELSE props END")
+
+
+@register("bad_pages",
+          f"SELECT event_id, CASE WHEN json_valid({BROKEN}) THEN CAST(json_extract({BROKEN}, "
+          f"'$.k') AS INTEGER) END AS k, NOT json_valid({BROKEN}) AS is_corrupt FROM events")
+def q_bad_pages(spark: SparkSession, sf_dir: str):
+    # Some pages arrive truncated; they are flagged for quarantine, not silently lost.
+    ev = table(spark, sf_dir, "events").select("event_id", F.expr(BROKEN).alias("props"))
+    parsed = FL.parse_json(ev, "props", "k int", corrupt="is_corrupt")
+    return parsed.select("event_id", F.col("doc.k").alias("k"), "is_corrupt")
+
+
+PAGE_SIZE = 100
+RECORD_SCHEMA = ("page bigint, data array<struct<conv: struct<id: bigint, turn: bigint>, "
+                 "role: string, text: string, meta: struct<n_chars: bigint>>>")
+
+
+def conversation_pages(spark: SparkSession, sf_dir: str):
+    """Conversations landed as JSON pages {page, data: [record, ...]} of at most 100 records."""
+    conv = table(spark, sf_dir, "conversations")
+    paged = paginate(conv, [F.col("conv_id"), F.col("turn")], PAGE_SIZE)
+    rec = F.struct(F.struct(F.col("conv_id").alias("id"), F.col("turn").alias("turn")).alias("conv"),
+                   "role", "text",
+                   F.struct(F.length("text").cast("bigint").alias("n_chars")).alias("meta"))
+    # One group per page: bounded by the page size, not by the data.
+    pages = paged.groupBy("page").agg(F.collect_list(rec).alias("data"))
+    return pages.select(F.to_json(F.struct("page", "data")).alias("body"))
+
+
+@register("flatten_pages",
+          "SELECT conv_id AS conv_id, turn AS conv_turn, role, text, "
+          "CAST(length(text) AS BIGINT) AS meta_n_chars FROM conversations")
+def q_flatten_pages(spark: SparkSession, sf_dir: str):
+    pages = FL.parse_json(conversation_pages(spark, sf_dir), "body", RECORD_SCHEMA)
+    records = FL.explode_path(pages.select("doc.*"), ["data"])
+    return FL.flatten_struct(records, sep="_")
+
+
+def _max_turns(spark: SparkSession, sf_dir: str) -> int:
+    row = table(spark, sf_dir, "conversations").agg(F.max("turn").alias("m")).first()
+    return int(row["m"]) + 1 if row and row["m"] is not None else 0
+
+
+@register("positional_widen",
+          "SELECT conv_id, " + ", ".join(
+              f"max(CASE WHEN turn = {i} THEN role END) AS \"{i}_role\", "
+              f"max(CASE WHEN turn = {i} THEN CAST(length(text) AS BIGINT) END) AS \"{i}_n_chars\""
+              for i in range(8)) + " FROM conversations GROUP BY conv_id")
+def q_positional_widen(spark: SparkSession, sf_dir: str):
+    conv = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "role", F.length("text").cast("bigint").alias("n_chars"))
+    return FL.widen_rows(conv, ["conv_id"], "turn", ["role", "n_chars"],
+                         _max_turns(spark, sf_dir), sep="_")
+
+
+LINE_COLS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
+
+
+@register("drop_last",
+          f"SELECT {LINE_COLS} FROM (SELECT {LINE_COLS}, row_number() OVER (PARTITION BY "
+          "l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) "
+          "AS rn FROM lineitem) WHERE rn > 1")
+def q_drop_last(spark: SparkSession, sf_dir: str):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return FL.drop_last_rows(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey",
+                                                  "l_quantity"])
