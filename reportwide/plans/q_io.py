@@ -1 +1,98 @@
-"""Registered queries."""
+"""Source and sink round trips."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reportwide.plans.q_wide import events_wide
+from reportwide.plans.registry import register, table
+from reportwide.plans.reports import EVENTS_REPORTS, _report_cte, build_report, wide_sql
+from reportwide.session import work_path
+from reportwide.sources import readers as R
+from reportwide.sources import sinks as S
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+_OC = ", ".join(ORDER_COLS)
+
+
+@register("scan_by_suffix", " UNION ALL ".join(
+    f"SELECT '{fmt}' AS fmt, {_OC} FROM orders" for fmt in ("csv", "json", "parquet")))
+def q_scan_by_suffix(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "scan_by_suffix")
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLS)
+    orders.write.option("header", True).csv(f"{base}/orders.csv")
+    orders.write.json(f"{base}/orders.json")
+    orders.write.option("compression", "gzip").parquet(f"{base}/orders.parquet.gzip")
+    parts = []
+    for name in ("orders.csv", "orders.json", "orders.parquet.gzip"):
+        path = f"{base}/{name}"
+        df = R.read_by_suffix(spark, path)
+        parts.append(df.select(F.lit(R.format_for(path)).alias("fmt"),
+                               F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"),
+                               F.col("o_orderstatus").cast("string"),
+                               F.col("o_totalprice").cast("double")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_KEYS_SQL = " UNION ALL ".join(
+    f"SELECT '{r.name}' AS table_name, user_id, day FROM {r.name}" for r in EVENTS_REPORTS.reports)
+_CTES = "WITH " + ",\n".join(_report_cte(EVENTS_REPORTS, r) for r in EVENTS_REPORTS.reports)
+
+
+@register("scan_recursive", f"{_CTES} {_KEYS_SQL}")
+def q_scan_recursive(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "scan_recursive")
+    src = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    for r in EVENTS_REPORTS.reports:
+        S.write_parquet(build_report(src, EVENTS_REPORTS, r), f"{base}/team/{r.name}_data.parquet.gzip")
+    # A file the marker does not match is skipped.
+    table(spark, sf_dir, "region").write.option("header", True).csv(f"{base}/team/notes.csv")
+    found = R.discover(spark, base, ".parquet.gzip", make_df=True)
+    parts = []
+    for path, df in found.items():
+        name = path.rstrip("/").rsplit("/", 1)[-1].replace("_data.parquet.gzip", "")
+        parts.append(df.select(F.lit(name).alias("table_name"), "user_id", "day"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("sink_roundtrip", f"SELECT * FROM ({wide_sql(EVENTS_REPORTS)}) UNION ALL "
+                            f"SELECT * FROM ({wide_sql(EVENTS_REPORTS)})")
+def q_sink_roundtrip(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "sink_roundtrip")
+    wide = events_wide(spark, sf_dir)
+    S.write_parquet(wide, f"{base}/gzip.parquet.gzip", compression="gzip",
+                    sort_within=["user_id", "day"])
+    S.write_parquet(wide, f"{base}/default.parquet.gzip", compression=None)
+    a = R.read_table(spark, f"{base}/gzip.parquet.gzip")
+    b = R.read_table(spark, f"{base}/default.parquet.gzip")
+    return a.unionByName(b)
+
+
+@register("sink_append", f"SELECT {_OC} FROM orders")
+def q_sink_append(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "sink_append")
+    orders = table(spark, sf_dir, "orders").select(*ORDER_COLS)
+    wrote = [S.append_table(orders.filter(F.col("o_orderstatus") == s), f"{base}/orders_table")
+             for s in ("F", "O", "P", "X")]
+    if wrote != [True, True, True, False]:
+        raise RuntimeError(f"unexpected writes {wrote}")
+    return spark.read.parquet(f"{base}/orders_table")
+
+
+@register("sink_partitioned",
+          "SELECT o_orderkey, o_totalprice, 'order' AS rtype, o_orderstatus AS report, "
+          "CAST(date_trunc('month', o_orderdate) AS DATE) AS window_start FROM orders")
+def q_sink_partitioned(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "sink_partitioned")
+    orders = table(spark, sf_dir, "orders")
+    landed = orders.select("o_orderkey", "o_totalprice", F.lit("order").alias("rtype"),
+                           F.col("o_orderstatus").alias("report"),
+                           F.to_date(F.date_trunc("month", "o_orderdate")).alias("window_start"))
+    S.write_landing(landed, f"{base}/landing")
+    # Re-landing one report replaces its partitions instead of doubling them.
+    S.write_landing(landed.filter(F.col("report") == "F"), f"{base}/landing")
+    return spark.read.parquet(f"{base}/landing").select(
+        "o_orderkey", "o_totalprice", "rtype", "report", F.col("window_start").cast("date"))
