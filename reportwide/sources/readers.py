@@ -85,16 +85,19 @@ def discover(spark: SparkSession, root: str, marker: str = ".parquet.gzip",
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType | str,
                multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
-    """S4 + S5: landed JSON pages with a fixed schema. Returns (pages, quarantine): pages
-    that do not parse are kept, with their file and raw text, in the quarantine frame."""
-    if isinstance(schema, str):
-        full = f"{schema}, _corrupt_record string"
-    else:
-        full = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
-    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .option("multiLine", multi_line).json(path)
-          .withColumn("_file", F.col("_metadata.file_path")))
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "_file")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_file", "_corrupt_record")
+    """S4 + S5: landed JSON pages with a fixed schema. Returns (pages, quarantine).
+
+    Pages are read as text (one page per line, or one per file with ``multi_line``) and
+    parsed with ``from_json``; a page that does not parse goes to the quarantine frame with
+    its file name and raw text instead of being lost.
+    """
+    from reportwide.operators.flatten import parse_json
+
+    reader = spark.read.option("wholetext", True) if multi_line else spark.read
+    raw = reader.text(path).select(F.col("value").alias("_raw"),
+                                   F.col("_metadata.file_path").alias("_file"))
+    raw = raw.filter(F.length(F.trim("_raw")) > 0)
+    parsed = parse_json(raw, "_raw", schema, out="_doc", corrupt="_bad")
+    good = parsed.filter(~F.col("_bad")).select("_doc.*")
+    bad = parsed.filter(F.col("_bad")).select("_file", F.col("_raw").alias("_corrupt_record"))
     return good, bad
