@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportwide.operators.wide import col
+from reportwide.session import checkpoint_dir
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -109,7 +110,8 @@ def _pct_name(p: float) -> str:
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None,
              probs: Sequence[float] = (0.25, 0.5, 0.75), method: str = "exact",
-             digits: int | None = None, accuracy: int = 10_000) -> DataFrame:
+             digits: int | None = None, accuracy: int = 10_000,
+             materialize: bool | None = None) -> DataFrame:
     """count, mean, sample std, min, percentiles, max per numeric column, one row each.
 
     ``method='exact'`` gives linearly interpolated percentiles equal to a full sort;
@@ -128,26 +130,48 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
                  F.max(v).alias(f"__hi{i}")]
         if method == "approx":
             aggs.append(F.percentile_approx(v, list(probs), accuracy).alias(f"__q{i}"))
-    row = df.agg(*aggs)
-    items = []
-    for i, c in enumerate(cols):
-        fields = [F.lit(i).alias("position"), F.lit(c).alias("column_name"),
-                  F.col(f"__n{i}").alias("count"), F.col(f"__a{i}").alias("mean"),
-                  F.col(f"__s{i}").alias("std"), F.col(f"__lo{i}").alias("min"),
-                  F.col(f"__hi{i}").alias("max")]
-        if method == "approx":
-            fields += [F.col(f"__q{i}")[j].alias(_pct_name(p)) for j, p in enumerate(probs)]
-        items.append(F.struct(*fields))
-    out = row.select(F.inline(F.array(*items)))
-    if method == "exact":
-        q = exact_quantiles(long_values(df, cols), probs, columns=cols)
-        wide_q = q.groupBy("column_name").pivot("p_name", [_pct_name(p) for p in probs]).agg(
-            F.first("value"))
-        out = out.join(F.broadcast(wide_q), "column_name", "left")
-    elif method != "approx":
-        raise ValueError(f"unknown method {method!r}")
     names = ["column_name", "count", "mean", "std", "min"] + [_pct_name(p) for p in probs] + ["max"]
-    out = out.orderBy("position").select(*names)
+    if method == "approx":
+        row = df.agg(*aggs)
+        items = []
+        for i, c in enumerate(cols):
+            items.append(F.struct(
+                F.lit(i).alias("position"), F.lit(c).alias("column_name"),
+                F.col(f"__n{i}").alias("count"), F.col(f"__a{i}").alias("mean"),
+                F.col(f"__s{i}").alias("std"), F.col(f"__lo{i}").alias("min"),
+                *[F.col(f"__q{i}")[j].alias(_pct_name(p)) for j, p in enumerate(probs)],
+                F.col(f"__hi{i}").alias("max")))
+        out = row.select(F.inline(F.array(*items))).orderBy("position").select(*names)
+    elif method == "exact":
+        # The moments and each column's count and range come from one aggregate over the
+        # long table; they start the exact quantile search. A derived input (joins,
+        # aggregates) is unpivoted and written to the checkpoint folder once, so the
+        # quantile rounds re-read that instead of recomputing the plan.
+        long = long_values(df, cols)
+        if materialize is None:
+            plan = df._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+            materialize = "Join" in plan or "Aggregate" in plan
+        if materialize:
+            checkpoint_dir(df.sparkSession)
+            long = long.checkpoint(eager=True)
+        got = {r["column_name"]: r for r in long.groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("v").alias("a"), F.stddev_samp("v").alias("s"),
+            F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+        stats = [(c, got[c]["n"], got[c]["lo"], got[c]["hi"]) for c in cols if c in got]
+        q = {(x["column_name"], x["p_name"]): x["value"] for x in
+             exact_quantiles(long, probs, stats=stats).collect()}
+        data = []
+        for c in cols:
+            g = got.get(c)
+            data.append((c, g["n"] if g else 0, g["a"] if g else None, g["s"] if g else None,
+                         g["lo"] if g else None, *[q.get((c, _pct_name(p))) for p in probs],
+                         g["hi"] if g else None))
+        schema = ", ".join(["column_name string", "count bigint", "mean double", "std double",
+                            "min double"] + [f"{_pct_name(p)} double" for p in probs]
+                           + ["max double"])
+        out = df.sparkSession.createDataFrame(data, schema)
+    else:
+        raise ValueError(f"unknown method {method!r}")
     if digits is not None:
         out = out.select(*[F.round(c, digits).alias(c) if c not in ("column_name", "count") else c
                            for c in names])
@@ -162,30 +186,34 @@ def _t(x: float) -> float:
 
 
 def exact_quantiles(values: DataFrame, probs: Sequence[float],
-                    columns: Sequence[str] | None = None, bins: int = 4096,
-                    final_rows: int = 200_000, max_rounds: int = 64) -> DataFrame:
+                    stats: Sequence[tuple[str, int, float, float]] | None = None,
+                    bins: int = 4096, final_rows: int = 200_000, max_rounds: int = 64,
+                    shrink: float = 0.25) -> DataFrame:
     """Exact linear-interpolated quantiles per column from a long (column_name, v) table.
 
     Returns (column_name, p, p_name, value). Interpolation: with n values sorted ascending
     and r = p * (n - 1), value = x[floor(r)] + (r - floor(r)) * (x[floor(r) + 1] - x[floor(r)]).
     """
     spark: SparkSession = values.sparkSession
-    stats = values.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    if stats is None:
+        stats = [(r["column_name"], r["n"], r["lo"], r["hi"]) for r in values.groupBy("column_name")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                      F.max("v").alias("hi")).collect()]
+    stats = [s for s in stats if s[1]]
+    current_rows = sum(s[1] for s in stats)
     # targets: (column, 0-based rank) -> state
     state: dict[tuple[str, int], dict] = {}
     want: list[tuple[str, float, int, int, float]] = []
-    for r in stats:
-        n = r["n"]
+    for name, n, lo, hi in stats:
         for p in probs:
             pos = p * (n - 1)
             k = int(math.floor(pos))
             k2 = min(k + 1, n - 1)
-            want.append((r["column_name"], p, k, k2, pos - k))
+            want.append((name, p, k, k2, pos - k))
             for kk in (k, k2):
-                state.setdefault((r["column_name"], kk), {
-                    "lo": r["lo"], "hi": r["hi"], "below": 0, "count": n, "value": None,
-                    "log": max(abs(r["lo"]), abs(r["hi"])) >= 1e6, "fresh": True})
+                state.setdefault((name, kk), {
+                    "lo": lo, "hi": hi, "below": 0, "count": n, "value": None,
+                    "log": max(abs(lo), abs(hi)) >= 1e6})
     for s in state.values():
         if s["lo"] == s["hi"]:
             s["value"] = s["lo"]
@@ -208,6 +236,18 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float],
         bdf = spark.createDataFrame(
             band_rows, "band int, bc string, blo double, bhi double, blog boolean, "
                        "btlo double, bwidth double")
+        open_bands = {(c, s["lo"], s["hi"]): s["count"]
+                      for (c, _k), s in state.items() if s["value"] is None}
+        in_bands = sum(open_bands.values())
+        if in_bands < shrink * current_rows:
+            # Later rounds only look inside the open bands: keep those values once, written
+            # to the checkpoint folder, instead of scanning the whole table again.
+            keep = spark.createDataFrame([(c, float(lo), float(hi)) for c, lo, hi in open_bands],
+                                         "kc string, klo double, khi double")
+            values = values.join(F.broadcast(keep), (F.col("column_name") == F.col("kc"))
+                                 & (F.col("v") >= F.col("klo")) & (F.col("v") <= F.col("khi")),
+                                 "left_semi").checkpoint(eager=True)
+            current_rows = in_bands
         # One pass over the values for all open bands; the band table is bounded by the
         # number of wanted ranks, so broadcasting it is safe.
         j = values.join(F.broadcast(bdf), (F.col("column_name") == F.col("bc"))

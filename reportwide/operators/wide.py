@@ -64,18 +64,25 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
-              null_safe: bool = False) -> DataFrame:
+              null_safe: bool = False, unique_right: bool = False) -> DataFrame:
     """Left outer equi-join adding only the right table's new columns.
 
     Right-only keys are dropped; a key repeated on the right repeats the left row, as the
     row-label join it mirrors does. ``null_safe`` matches null keys to null keys
     (``<=>``), which still plans as a hash or sort-merge join.
+
+    ``unique_right`` states that the right table has one row per key. The right side is then
+    grouped by the keys (the exchange the join needs anyway, with map-side combining), which
+    tells Catalyst the side is unique: a join none of whose columns are read later is removed
+    from the plan.
     """
     check_keys(left, keys)
     check_keys(right, keys)
     add = new_columns(right.columns, left.columns, keys)
     check_case_clash(list(left.columns) + add)
     r = right.select(*[col(k) for k in keys], *[col(c) for c in add])
+    if unique_right:
+        r = r.groupBy(*[col(k) for k in keys]).agg(*[F.any_value(col(c)).alias(c) for c in add])
     if not null_safe:
         return left.join(r, on=list(keys), how="left")
     renamed = {k: f"__rk_{i}" for i, k in enumerate(keys)}
@@ -85,10 +92,11 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Sequence[str],
-              null_safe: bool = False) -> DataFrame:
+              null_safe: bool = False, unique_right: bool = False) -> DataFrame:
     """Fold ``join_left`` over the tables; the first table is the anchor."""
     frames = list(tables.values()) if isinstance(tables, Mapping) else list(tables)
     if not frames:
         raise ValueError("wide_join needs at least one table")
     check_case_clash(frames[0].columns)
-    return reduce(lambda acc, t: join_left(acc, t, keys, null_safe), frames[1:], frames[0])
+    return reduce(lambda acc, t: join_left(acc, t, keys, null_safe, unique_right),
+                  frames[1:], frames[0])

@@ -30,10 +30,32 @@ def write_if_rows(df: DataFrame, path: str, mode: str = "append",
     return True
 
 
-def append_table(df: DataFrame, path: str, compression: str | None = None) -> bool:
-    """Append to the table at ``path``, creating it when absent; empty input writes
-    nothing. For a catalogue table use ``df.write.mode('append').saveAsTable(name)``."""
-    return write_if_rows(df, path, mode="append", compression=compression)
+def append_table(df: DataFrame, path: str | None = None, compression: str | None = None,
+                 table_name: str | None = None) -> bool:
+    """Append to the table at ``path`` (or the catalogue table ``table_name``), creating
+    it when absent; empty input writes nothing."""
+    if table_name is None:
+        if path is None:
+            raise ValueError("give a path or a table name")
+        return write_if_rows(df, path, mode="append", compression=compression)
+    if df.isEmpty():
+        return False
+    w = df.write.mode("append").format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table_name)
+    return True
+
+
+def write_bucketed(df: DataFrame, table_name: str, keys: Sequence[str], buckets: int,
+                   path: str | None = None, mode: str = "overwrite") -> str:
+    """Save a report table bucketed and sorted by its keys. Joining tables bucketed the same
+    way on the keys needs no exchange: the wide join reads them already co-partitioned."""
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table_name)
+    return table_name
 
 
 def write_landing(df: DataFrame, root: str, partition_by: Sequence[str] = ("rtype", "report",

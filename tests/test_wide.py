@@ -54,3 +54,34 @@ def test_wide_join_keeps_anchor_rows_and_plans_one_exchange_per_table(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_unique_right_lets_catalyst_drop_unused_joins(spark):
+    anchor = spark.range(50).selectExpr("id AS k", "id AS a")
+    reps = [spark.range(50).selectExpr("id AS k", f"id * {i} AS c{i}") for i in range(1, 6)]
+    wide = wide_join([anchor] + reps, ["k"], unique_right=True)
+    plan = wide.select("k", "a", "c3")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    plain = wide_join([anchor] + reps, ["k"]).select("k", "a", "c3")
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("Join") == 5
+    assert sorted(map(tuple, wide.select("k", "c3").collect())) == [(i, 3 * i) for i in range(50)]
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_dir):
+    from reportwide.sources.sinks import write_bucketed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for i in range(3):
+            df = spark.range(200).selectExpr("id AS k", f"id + {i} AS c{i}")
+            write_bucketed(df, f"bkt_{i}", ["k"], 4, path=f"{tmp_dir}/bkt_{i}")
+        tables = [spark.table(f"bkt_{i}") for i in range(3)]
+        wide = wide_join(tables, ["k"])
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert wide.count() == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for i in range(3):
+            spark.sql(f"DROP TABLE IF EXISTS bkt_{i}")
