@@ -44,8 +44,10 @@ def conversation_pages(spark: SparkSession, sf_dir: str):
     rec = F.struct(F.struct(F.col("conv_id").alias("id"), F.col("turn").alias("turn")).alias("conv"),
                    "role", "text",
                    F.struct(F.length("text").cast("bigint").alias("n_chars")).alias("meta"))
-    # One group per page: bounded by the page size, not by the data.
-    pages = paged.groupBy("page").agg(F.collect_list(rec).alias("data"))
+    # One group per page: bounded by the page size, not by the data. Records keep their order.
+    keyed = F.struct(F.col("row_in_page").alias("pos"), rec.alias("rec"))
+    pages = paged.groupBy("page").agg(
+        F.transform(F.array_sort(F.collect_list(keyed)), lambda x: x["rec"]).alias("data"))
     return pages.select(F.to_json(F.struct("page", "data")).alias("body"))
 
 

@@ -29,7 +29,8 @@ def q_scan_by_suffix(spark: SparkSession, sf_dir: str):
     parts = []
     for name in ("orders.csv", "orders.json", "orders.parquet.gzip"):
         path = f"{base}/{name}"
-        df = R.read_by_suffix(spark, path)
+        # Spark writes JSON Lines, one record per line.
+        df = R.read_by_suffix(spark, path, multi_line=not path.endswith(".json"))
         parts.append(df.select(F.lit(R.format_for(path)).alias("fmt"),
                                F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"),
                                F.col("o_orderstatus").cast("string"),

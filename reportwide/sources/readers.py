@@ -28,9 +28,10 @@ def format_for(path: str) -> str:
 
 
 def read_by_suffix(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                   multi_line: bool = False) -> DataFrame:
+                   multi_line: bool = True) -> DataFrame:
     """Read with the format the path names. CSV has a header row and inferred types;
-    JSON files hold one document (or an array of records) each."""
+    a JSON file holds one document (an array of records or one record); pass
+    ``multi_line=False`` for JSON Lines such as Spark's own JSON output."""
     fmt = format_for(path)
     reader = spark.read
     if schema is not None:

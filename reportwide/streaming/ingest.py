@@ -30,8 +30,11 @@ def land_pages(df: DataFrame, path: str, order: Sequence[str], page_size: int =
     group of at most ``page_size`` records.
     """
     paged = paginate(df, [F.col(c) for c in order], page_size)
-    rec = F.struct(*[F.col(c) for c in df.columns])
-    pages = paged.groupBy("page").agg(F.collect_list(rec).alias("data"))
+    rec = F.struct(F.col("row_in_page").alias("__pos"),
+                   F.struct(*[F.col(c) for c in df.columns]).alias("__rec"))
+    # Records keep their order inside the page.
+    pages = paged.groupBy("page").agg(
+        F.transform(F.array_sort(F.collect_list(rec)), lambda x: x["__rec"]).alias("data"))
     body = pages.select(F.to_json(F.struct("page", "data"), JSON_OPTS).alias("value"))
     if copies > 1:
         body = body.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("__copy")

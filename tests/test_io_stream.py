@@ -23,7 +23,7 @@ def test_read_by_suffix_csv_and_json_array(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "t.json"), "w") as f:
         f.write('[{"a": 1, "b": "x"}, {"a": 2, "b": "y"}]')
     c = R.read_by_suffix(spark, os.path.join(tmp_dir, "t.csv"))
-    j = R.read_by_suffix(spark, os.path.join(tmp_dir, "t.json"), multi_line=True)
+    j = R.read_by_suffix(spark, os.path.join(tmp_dir, "t.json"))
     assert sorted(tuple(r) for r in c.collect()) == [(1, "x"), (2, "y")]
     assert sorted((r["a"], r["b"]) for r in j.collect()) == [(1, "x"), (2, "y")]
 
