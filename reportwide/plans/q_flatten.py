@@ -89,3 +89,56 @@ def q_drop_last(spark: SparkSession, sf_dir: str):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     return FL.drop_last_rows(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey",
                                                   "l_quantity"])
+
+
+SCHEDULE_SCHEMA = ("page bigint, dates array<struct<date: string, games: array<struct<id: bigint, "
+                   "status: string, price: double>>>>")
+
+
+def order_schedule_pages(spark: SparkSession, sf_dir: str):
+    """Orders landed as schedule-like pages {page, dates: [{date, games: [...]}]}: pages of 100
+    orders by (date, key), games grouped per date inside the page."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("d"), "o_orderstatus", "o_totalprice")
+    paged = paginate(orders, [F.col("d"), F.col("o_orderkey")], PAGE_SIZE)
+    game = F.struct(F.col("row_in_page").alias("pos"), F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price")).alias("g"))
+    # Both groupings are per page (at most 100 rows), never per date over the whole table.
+    per_date = paged.groupBy("page", "d").agg(
+        F.transform(F.array_sort(F.collect_list(game)), lambda x: x["g"]).alias("games"))
+    day = F.struct(F.col("d").alias("pos"), F.struct(F.date_format("d", "yyyy-MM-dd").alias("date"),
+                                                       "games").alias("x"))
+    pages = per_date.groupBy("page").agg(
+        F.transform(F.array_sort(F.collect_list(day)), lambda x: x["x"]).alias("dates"))
+    return pages.select(F.to_json(F.struct("page", "dates")).alias("body"))
+
+
+@register("explode_path",
+          "SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice AS price FROM orders")
+def q_explode_path(spark: SparkSession, sf_dir: str):
+    # N1 over a two-level record path dates[].games[]; parent fields are not carried down.
+    docs = FL.parse_json(order_schedule_pages(spark, sf_dir), "body", SCHEDULE_SCHEMA)
+    return FL.explode_path(docs.select("doc.*"), ["dates", "games"])
+
+
+NESTED_SCHEMA = ("order struct<key: bigint, cust: struct<key: bigint, nation: int>>, "
+                 "price double, status string")
+
+
+@register("flatten_struct",
+          "SELECT o.o_orderkey AS order_key, o.o_custkey AS order_cust_key, "
+          "c.c_nationkey AS order_cust_nation, o.o_totalprice AS price, o.o_orderstatus AS status "
+          "FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey")
+def q_flatten_struct(spark: SparkSession, sf_dir: str):
+    # Nested records (as a JSON source would deliver them) flattened to a_b_c columns.
+    orders = table(spark, sf_dir, "orders")
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    rec = orders.join(cust, "o_custkey", "left").select(F.to_json(F.struct(
+        F.struct(F.col("o_orderkey").alias("key"),
+                 F.struct(F.col("o_custkey").alias("key"),
+                          F.col("c_nationkey").alias("nation")).alias("cust")).alias("order"),
+        F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))).alias("body"))
+    parsed = FL.parse_json(rec, "body", NESTED_SCHEMA).select("doc.*")
+    return FL.flatten_struct(parsed, sep="_")

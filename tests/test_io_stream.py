@@ -78,3 +78,14 @@ def test_stream_restart_and_dedup(spark, tmp_dir):
                  dedup_keys=["id"], event_time="ts", delay="1 day")
     out = spark.read.parquet(f"{tmp_dir}/out2")
     assert out.count() == 250 and out.select("id").distinct().count() == 250
+
+
+def test_append_to_catalog_table(spark, tmp_dir):
+    df = spark.range(10).selectExpr("id", "id * 2 AS v")
+    assert S.append_table(df, path=f"{tmp_dir}/cat_t", table_name="rw_append_t")
+    assert S.append_table(df, table_name="rw_append_t")
+    assert not S.append_table(df.filter("id < 0"), table_name="rw_append_t")
+    try:
+        assert spark.table("rw_append_t").count() == 20
+    finally:
+        spark.sql("DROP TABLE IF EXISTS rw_append_t")
