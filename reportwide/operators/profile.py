@@ -258,24 +258,29 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float],
         b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1)).cast("int")
         rows = (j.groupBy("band", b.alias("b"))
                 .agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("mn"), F.max("v").alias("mx")))
-        by_band: dict[int, list] = {}
-        for r in rows.collect():  # at most len(bands) * bins small rows
-            by_band.setdefault(r["band"], []).append(r)
-        for (c, k), s in active.items():
-            bid = bands[(c, s["lo"], s["hi"], s["log"])]
-            cum = s["below"]
-            for r in sorted(by_band.get(bid, []), key=lambda r: r["b"]):
-                if cum + r["cnt"] > k:
-                    shrunk = r["cnt"] < s["count"] or r["mn"] > s["lo"] or r["mx"] < s["hi"]
-                    s.update(lo=r["mn"], hi=r["mx"], below=cum, count=r["cnt"])
-                    if r["mn"] == r["mx"]:
-                        s["value"] = r["mn"]
-                    if not shrunk:
-                        s["log"] = False
-                    break
-                cum += r["cnt"]
-            else:
+        # Running counts per band (a band has at most ``bins`` buckets), then the bucket that
+        # holds each wanted rank; only one row per wanted rank reaches the driver.
+        w = Window.partitionBy("band").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("cum_end", F.sum("cnt").over(w))
+        tlist = list(active.items())
+        tdf = spark.createDataFrame(
+            [(i, bands[(c, st["lo"], st["hi"], st["log"])], int(k - st["below"]))
+             for i, ((c, k), st) in enumerate(tlist)], "tid int, tband int, local_rank long")
+        hit = rows.join(F.broadcast(tdf), (F.col("band") == F.col("tband"))
+                        & (F.col("cum_end") - F.col("cnt") <= F.col("local_rank"))
+                        & (F.col("local_rank") < F.col("cum_end")))
+        found = {r["tid"]: r for r in hit.select("tid", "cnt", "mn", "mx", "cum_end").collect()}
+        for i, ((c, k), st) in enumerate(tlist):
+            r = found.get(i)
+            if r is None:
                 raise RuntimeError(f"rank {k} of {c} not found")
+            shrunk = r["cnt"] < st["count"] or r["mn"] > st["lo"] or r["mx"] < st["hi"]
+            st.update(lo=r["mn"], hi=r["mx"], below=st["below"] + r["cum_end"] - r["cnt"],
+                      count=r["cnt"])
+            if r["mn"] == r["mx"]:
+                st["value"] = r["mn"]
+            if not shrunk:
+                st["log"] = False
 
     pending = {key: s for key, s in state.items() if s["value"] is None}
     if pending:
