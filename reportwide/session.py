@@ -12,10 +12,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. AQE re-plans joins from runtime sizes (broadcast only when the
-# shuffled side is measured small), coalesces small partitions and splits skewed ones.
+# Settings every job relies on. AQE re-plans joins from runtime sizes, coalesces small
+# partitions and splits skewed ones. Joins are broadcast only when AQE has measured the
+# shuffled build side below the adaptive threshold, never on a planner estimate; explicit
+# broadcast hints are kept for tables whose size is bounded by construction.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
