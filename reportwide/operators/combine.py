@@ -84,29 +84,41 @@ def _file_paths(spark: SparkSession, path: str, glob: str | None) -> list[str]:
         return []
 
 
+def _merge_read(spark: SparkSession, files: Sequence[str]) -> DataFrame | None:
+    """One scan over the files with schema merging, or None when their schemas conflict."""
+    try:
+        df = spark.read.option("mergeSchema", "true").parquet(*files)
+        df.schema  # noqa: B018 - forces schema resolution
+        return df
+    except Exception:  # noqa: BLE001 - CANNOT_MERGE_SCHEMAS and friends
+        return None
+
+
+def _mergeable_groups(spark: SparkSession, files: Sequence[str]) -> list[DataFrame]:
+    """Split the (sorted) file list into runs that merge, halving only where a run conflicts.
+
+    Chunks landed over time change schema in a few places, so this needs a few footer-merging
+    scans (each run by Spark in parallel) instead of one driver-side footer read per file.
+    """
+    df = _merge_read(spark, files)
+    if df is not None:
+        return [df]
+    if len(files) == 1:
+        raise ValueError(f"cannot read {files[0]}")
+    mid = len(files) // 2
+    return _mergeable_groups(spark, files[:mid]) + _mergeable_groups(spark, files[mid:])
+
+
 def read_chunks(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame | None:
     """Read every parquet chunk below ``path`` as one table, tolerating schema drift.
 
-    Fast path: one scan with schema merging. When the chunks disagree on a type, read them
-    in groups of equal schema (footers only) and union the groups by name.
+    Runs of chunks whose schemas merge are read with one scan each and the runs are unioned
+    by name onto the widened target schema (``union_by_name``).
     """
     files = _file_paths(spark, path, glob)
     if not files:
         return None
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    try:
-        df = reader.option("mergeSchema", "true").parquet(path)
-        df.schema  # noqa: B018 - forces schema resolution
-        if not any(isinstance(f.dataType, T.NullType) for f in df.schema.fields):
-            return df
-    except Exception:  # noqa: BLE001 - CANNOT_MERGE_SCHEMAS and friends
-        pass
-    groups: dict[str, list[str]] = {}
-    for p in files:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
-    return union_by_name([spark.read.parquet(*ps) for ps in groups.values()])
+    return union_by_name(_mergeable_groups(spark, files))
 
 
 def compact(spark: SparkSession, src: str, dst: str, n_files: int | None = None,

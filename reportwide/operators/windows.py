@@ -37,8 +37,11 @@ def assign_windows(rows: DataFrame, ts: str, windows: DataFrame, start: str = "w
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
     first = F.date_trunc(unit, w_start)
     last = F.date_trunc(unit, w_end - F.expr("INTERVAL 1 MICROSECOND"))
+    # A window that ends before it starts covers no bucket (and meets no row).
+    buckets = F.when(first <= last, F.sequence(first, last, step)).otherwise(
+        F.array().cast("array<timestamp_ntz>"))
     wx = (windows.withColumn("__ws", w_start).withColumn("__we", w_end)
-          .withColumn("__b", F.explode(F.sequence(first, last, step))))
+          .withColumn("__b", F.explode(buckets)))
     rx = rows.withColumn("__b", F.date_trunc(unit, col(ts).cast("timestamp_ntz")))
     j = rx.join(wx, "__b")
     t = col(ts).cast("timestamp_ntz")

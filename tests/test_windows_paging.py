@@ -13,7 +13,8 @@ def test_assign_windows_overlap_and_gaps(spark):
         "id int, t timestamp_ntz")
     wins = [(0, dt.date(2024, 1, 1), dt.date(2024, 1, 10)),
             (1, dt.date(2024, 1, 10), dt.date(2024, 2, 3)),   # overlaps window 0 on Jan 10
-            (2, dt.date(2024, 2, 20), dt.date(2024, 3, 31))]  # leaves a gap before it
+            (2, dt.date(2024, 2, 20), dt.date(2024, 3, 31)),  # leaves a gap before it
+            (3, dt.date(2024, 3, 5), dt.date(2024, 3, 1))]    # ends before it starts
     w = spark.createDataFrame(wins, "w int, win_start date, win_end date")
     got = sorted((r["id"], r["w"]) for r in assign_windows(rows, "t", w).collect())
     exp = []
