@@ -97,3 +97,20 @@ def q_sink_partitioned(spark: SparkSession, sf_dir: str):
     S.write_landing(landed.filter(F.col("report") == "F"), f"{base}/landing")
     return spark.read.parquet(f"{base}/landing").select(
         "o_orderkey", "o_totalprice", "rtype", "report", F.col("window_start").cast("date"))
+
+
+@register("wide_from_files", wide_sql(EVENTS_REPORTS))
+def q_wide_from_files(spark: SparkSession, sf_dir: str):
+    # The report-folder flow: raw report tables land as <name>_data.parquet.gzip files (keys
+    # still numeric, duplicates not removed), then discover, clean, join wide and save.
+    from reportwide.plans.wide_table import wide_from_folder
+    base = work_path(spark, "wide_from_files")
+    src = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    for r in EVENTS_REPORTS.reports:
+        raw = src.filter(F.expr(r.where)) if r.where else src
+        raw = raw.groupBy(*[F.expr(e).alias(k) for k, e in EVENTS_REPORTS.keys]).agg(
+            *[F.expr(e).alias(a) for a, e in r.aggs])
+        S.write_parquet(raw, f"{base}/team/{r.name}_data.parquet.gzip")
+    order = [r.name for r in EVENTS_REPORTS.reports]
+    return wide_from_folder(spark, f"{base}/team", EVENTS_REPORTS.key_names, order=order,
+                            key_as_string=EVENTS_REPORTS.key_as_string, out=f"{base}/wide")
