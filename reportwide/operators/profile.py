@@ -104,6 +104,15 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def _is_derived(df: DataFrame) -> bool:
+    """True when the plan joins or aggregates, i.e. recomputing it costs more than a scan."""
+    jdf = getattr(df, "_jdf", None)
+    if jdf is None:
+        return True
+    plan = jdf.queryExecution().optimizedPlan().toString()
+    return "Join" in plan or "Aggregate" in plan
+
+
 def _pct_name(p: float) -> str:
     return "p" + (f"{p * 100:.10g}").replace(".", "_")
 
@@ -149,8 +158,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
         # quantile rounds re-read that instead of recomputing the plan.
         long = long_values(df, cols)
         if materialize is None:
-            plan = df._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
-            materialize = "Join" in plan or "Aggregate" in plan
+            materialize = _is_derived(df)
         if materialize:
             checkpoint_dir(df.sparkSession)
             long = long.checkpoint(eager=True)

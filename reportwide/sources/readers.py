@@ -1,7 +1,8 @@
 """Scans: parquet tables, format by path, recursive discovery, landed JSON pages.
 
-File listing goes through the Hadoop FileSystem of the path, so the same code lists a local
-folder, HDFS or an object store; only file names travel to the driver, never rows.
+File listing uses Spark's own file index (the ``binaryFile`` source with only its path
+column), so the same code lists a local folder, HDFS or an object store; only file names
+travel to the driver, never rows or file contents.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -47,20 +49,17 @@ def read_by_suffix(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 def list_files(spark: SparkSession, root: str, contains: str | None = None) -> list[str]:
-    """All file paths below root (recursive) whose text contains ``contains``."""
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem listing
-    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
+    """All file paths below root (recursive, hidden and marker files skipped) whose text
+    contains ``contains``. Spark's own file index lists the tree (in parallel for large
+    trees); only the path column is read, never file contents."""
+    try:
+        paths = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(root).select("path"))
+        if contains is not None:
+            paths = paths.filter(F.col("path").contains(contains))
+        return sorted(r["path"] for r in paths.collect())
+    except AnalysisException:  # root does not exist
         return []
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        s = it.next().getPath().toString()
-        if contains is None or contains in s:
-            out.append(s)
-    return sorted(out)
 
 
 def discover(spark: SparkSession, root: str, marker: str = ".parquet.gzip",
