@@ -118,7 +118,31 @@ def read_chunks(spark: SparkSession, path: str, glob: str | None = None) -> Data
     files = _file_paths(spark, path, glob)
     if not files:
         return None
-    return union_by_name(_mergeable_groups(spark, files))
+    return union_by_name(_null_typed_as_void(_mergeable_groups(spark, files)))
+
+
+def _null_typed_as_void(frames: list[DataFrame]) -> list[DataFrame]:
+    """A column written with a null type reads back as int. Where such an int column meets a
+    non-numeric type in another group, check (one aggregate per group) whether it holds any
+    value; if not, it becomes an untyped null column that takes the other groups' type."""
+    kinds: dict[str, set[type]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            kinds.setdefault(f.name, set()).add(type(f.dataType))
+    suspect = {c for c, ts in kinds.items()
+               if T.IntegerType in ts and any(t not in _RANK and t is not T.NullType for t in ts)}
+    if not suspect:
+        return frames
+    out = []
+    for df in frames:
+        cols = [f.name for f in df.schema.fields
+                if f.name in suspect and isinstance(f.dataType, T.IntegerType)]
+        if cols:
+            counts = df.agg(*[F.count(col(c)).alias(c) for c in cols]).first()
+            empty = [c for c in cols if counts[c] == 0]
+            df = df.withColumns({c: F.lit(None).cast(T.NullType()) for c in empty})
+        out.append(df)
+    return out
 
 
 def compact(spark: SparkSession, src: str, dst: str, n_files: int | None = None,

@@ -90,3 +90,14 @@ def test_render_json_roundtrip(spark):
     assert FL.render_json(df).select("json").first()[0] == '{"k":1,"s":"a"}'
     assert FL.parse_json(FL.render_json(df), "json", "k int, s string").select(
         F.col("doc.s")).first()[0] == "a"
+
+
+def test_null_typed_chunk_meets_array_chunk(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "arr")
+    os.makedirs(src)
+    pq.write_table(pa.table({"k": [1], "v": pa.array([None], pa.null())}), f"{src}/a.parquet")
+    pq.write_table(pa.table({"k": [2], "v": pa.array([[1, 2]], pa.list_(pa.int64()))}),
+                   f"{src}/b.parquet")
+    df = read_chunks(spark, src)
+    assert dict(df.dtypes) == {"k": "bigint", "v": "array<bigint>"}
+    assert sorted((r["k"], r["v"]) for r in df.collect()) == [(1, None), (2, [1, 2])]
