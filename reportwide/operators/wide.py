@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reportwide.session import checkpoint_dir
+
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -91,12 +93,81 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, "left").drop(*renamed.values())
 
 
+# Sort-merge joins chained in one stage each hold a sorter (with at least one memory page)
+# per right table inside every task; past roughly a dozen joins the pages alone exceed a
+# task's share of execution memory. The chain is therefore cut every JOINS_PER_STAGE joins
+# by checkpointing the running table to the shared checkpoint folder. The checkpoint keeps
+# the hash partitioning on the keys, so the next joins need no extra shuffle, and it also
+# bounds the lineage a lost executor has to recompute.
+JOINS_PER_STAGE = 8
+
+
 def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Sequence[str],
-              null_safe: bool = False, unique_right: bool = False) -> DataFrame:
-    """Fold ``join_left`` over the tables; the first table is the anchor."""
+              null_safe: bool = False, unique_right: bool = False, strategy: str = "chain",
+              joins_per_stage: int = JOINS_PER_STAGE) -> DataFrame:
+    """Wide table of the report tables on the keys; the first table is the anchor.
+
+    ``strategy="chain"`` folds ``join_left`` over the tables (exact left-join semantics,
+    duplicate right keys repeat rows). ``strategy="merge"`` is for keyed report tables (at
+    most one row per key in every table): all tables are unioned and grouped once by the
+    keys, one shuffle and one aggregate however many tables there are; a repeated key stops
+    the job with an error instead of giving a different answer.
+    """
     frames = list(tables.values()) if isinstance(tables, Mapping) else list(tables)
     if not frames:
         raise ValueError("wide_join needs at least one table")
     check_case_clash(frames[0].columns)
-    return reduce(lambda acc, t: join_left(acc, t, keys, null_safe, unique_right),
-                  frames[1:], frames[0])
+    if strategy == "merge":
+        return wide_merge(frames, keys, null_safe=null_safe)
+    if strategy != "chain":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    acc = frames[0]
+    for i, t in enumerate(frames[1:]):
+        if i and joins_per_stage and i % joins_per_stage == 0:
+            checkpoint_dir(acc.sparkSession)
+            acc = acc.checkpoint(eager=True)
+        acc = join_left(acc, t, keys, null_safe, unique_right)
+    return acc
+
+
+def wide_merge(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Wide join of tables that are unique on the keys as one union + group-by.
+
+    Every table contributes its new columns (the anchor all of its columns) and nulls for the
+    rest; grouping by the keys puts each key's pieces side by side. Only keys present in the
+    anchor are kept (left-join semantics). Per-table row counts are checked in the same
+    aggregate: a table holding a key twice raises an error at run time.
+    """
+    for f in frames:
+        check_keys(f, keys)
+    anchor = frames[0]
+    plan: list[list[str]] = [[c for c in anchor.columns if c not in keys]]
+    have = set(anchor.columns)
+    for t in frames[1:]:
+        add = new_columns(t.columns, list(have), keys)
+        plan.append(add)
+        have |= set(add)
+    out_cols = [c for cols in plan for c in cols]
+    check_case_clash(list(keys) + out_cols)
+    types = {}
+    for f, cols in zip(frames, plan):
+        for c in cols:
+            types[c] = f.schema[c].dataType
+    parts = []
+    for i, (f, cols) in enumerate(zip(frames, plan)):
+        mine = set(cols)
+        part = f.select(*[col(k) for k in keys], F.lit(i).alias("__t"),
+                        *[(col(c) if c in mine else F.lit(None).cast(types[c])).alias(c)
+                          for c in out_cols])
+        if i and not null_safe:
+            # plain equality never matches a null key
+            part = part.filter(reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys]))
+        parts.append(part)
+    u = reduce(DataFrame.unionByName, parts)
+    aggs = [F.count_if(F.col("__t") == i).alias(f"__n{i}") for i in range(len(frames))]
+    aggs += [F.first(col(c), ignorenulls=True).alias(c) for c in out_cols]
+    g = u.groupBy(*[col(k) for k in keys]).agg(*aggs).filter(F.col("__n0") > 0)
+    too_many = reduce(lambda a, b: a | b, [F.col(f"__n{i}") > 1 for i in range(len(frames))])
+    check = F.when(too_many, F.raise_error(F.lit(
+        "wide_merge: a table holds a key more than once; use strategy='chain'")))
+    return g.filter(check.isNull()).select(*[col(k) for k in keys], *[col(c) for c in out_cols])

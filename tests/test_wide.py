@@ -85,3 +85,34 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_dir):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         for i in range(3):
             spark.sql(f"DROP TABLE IF EXISTS bkt_{i}")
+
+
+def test_merge_strategy_equals_chain_on_keyed_tables(spark):
+    anchor = spark.createDataFrame([(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (None, "n", 0.0)],
+                                   "k int, s string, x double")
+    r1 = spark.createDataFrame([(1, 10, "p"), (3, 30, "q"), (9, 90, "z"), (None, 5, "n")],
+                               "k int, y int, s string")
+    r2 = spark.createDataFrame([(2, [1, 2]), (3, None)], "k int, arr array<int>")
+    chain = wide_join([anchor, r1, r2], ["k"])
+    merge = wide_join([anchor, r1, r2], ["k"], strategy="merge")
+    assert chain.columns == merge.columns == ["k", "s", "x", "y", "arr"]
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, chain.collect())) == sorted(map(key, merge.collect()))
+
+
+def test_merge_strategy_refuses_repeated_keys(spark):
+    anchor = spark.createDataFrame([(1, 1)], "k int, a int")
+    dup = spark.createDataFrame([(1, 7), (1, 8)], "k int, b int")
+    with pytest.raises(Exception, match="more than once"):
+        wide_join([anchor, dup], ["k"], strategy="merge").collect()
+
+
+def test_long_chain_is_cut_into_stages(spark):
+    anchor = spark.range(300).selectExpr("id AS k")
+    reps = [spark.range(300).selectExpr("id AS k", f"id * {i} AS c{i}").groupBy("k").agg(
+        {f"c{i}": "max"}).withColumnRenamed(f"max(c{i})", f"c{i}") for i in range(18)]
+    wide = wide_join([anchor] + reps, ["k"], joins_per_stage=8)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") <= 8
+    assert wide.count() == 300
+    assert wide.filter("c17 = k * 17").count() == 300
