@@ -7,7 +7,8 @@ from pyspark.sql import SparkSession
 
 from reportwide.operators.paging import head
 from reportwide.plans.registry import register, table
-from reportwide.plans.reports import EVENTS_REPORTS, LINEITEM_REPORTS, build_wide, wide_sql
+from reportwide.plans.reports import (EVENTS_REPORTS, LINEITEM_REPORTS, LINEITEM_REPORTS_21,
+                                      build_wide, wide_sql)
 
 
 def events_wide(spark: SparkSession, sf_dir: str):
@@ -30,3 +31,9 @@ def q_wide_join_hidim(spark: SparkSession, sf_dir: str):
 def q_wide_head(spark: SparkSession, sf_dir: str):
     # O3: the first ten rows in key order (a top-k report; the limit is the feature).
     return head(events_wide(spark, sf_dir), ["user_id", "day"], 10)
+
+
+@register("wide_join_21", wide_sql(LINEITEM_REPORTS_21))
+def q_wide_join_21(spark: SparkSession, sf_dir: str):
+    # 21 report tables joined wide, as in the reference's main notebook.
+    return build_wide(table(spark, sf_dir, "lineitem"), LINEITEM_REPORTS_21)

@@ -160,3 +160,17 @@ def wide_columns(rs: ReportSet, reports: Sequence[Report] | None = None) -> list
             out.append((a, types[a]))
             have.add(a)
     return out
+
+
+# The line numbers present in the lineitem table.
+LINE_NUMBERS = (1, 2, 3, 4, 5, 6, 7)
+
+# Twenty-one report tables, the width of the reference's wide table: the 14 above plus one
+# report per line number (20 left joins, so the chain is cut by a checkpoint).
+LINEITEM_REPORTS_21 = ReportSet(
+    source="lineitem",
+    keys=LINEITEM_REPORTS.keys,
+    parity_dedup=False,
+    reports=LINEITEM_REPORTS.reports
+    + tuple(_line_report(f"r_n{n}", f"l_linenumber = {n}", f"n{n}") for n in LINE_NUMBERS),
+)
