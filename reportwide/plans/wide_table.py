@@ -29,14 +29,21 @@ def load_reports(spark: SparkSession, root: str, marker: str = ".parquet.gzip")
 
 
 def wide_from_folder(spark: SparkSession, root: str, keys: Sequence[str],
-                     order: Sequence[str] | None = None, key_as_string: Sequence[str] = (),
-                     parity: bool = True, marker: str = ".parquet.gzip",
-                     out: str | None = None) -> DataFrame:
-    """Wide table of all reports below ``root``, joined in ``order`` (the first is the anchor;
-    by default reports are taken in name order). With ``out`` the table is written there
-    (Spark's default codec) and the written table is returned."""
+                     order: Sequence[str] | None = None, anchor: str | None = None,
+                     key_as_string: Sequence[str] = (), parity: bool = True,
+                     marker: str = ".parquet.gzip", out: str | None = None) -> DataFrame:
+    """Wide table of all reports below ``root``, joined in ``order`` (the first is the anchor).
+
+    Without ``order`` the reports are taken in name order, with ``anchor`` moved to the
+    front. With ``out`` the table is written there (Spark's default codec) and the written
+    table is returned."""
     reports = load_reports(spark, root, marker)
-    names = list(order) if order is not None else sorted(reports)
+    if order is not None:
+        names = list(order)
+    else:
+        names = sorted(reports)
+        if anchor is not None:
+            names = [anchor] + [n for n in names if n != anchor]
     missing = [n for n in names if n not in reports]
     if missing:
         raise ValueError(f"reports not found below {root}: {missing}")
