@@ -129,18 +129,15 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
     cols = list(columns) if columns is not None else numeric_columns(df)
     if not cols:
         raise ValueError("describe needs at least one numeric column")
-    vals = {c: F.when(F.isnan(col(c).cast("double")), F.lit(None))
-            .otherwise(col(c).cast("double")) for c in cols}
-    aggs = []
-    for i, c in enumerate(cols):
-        v = vals[c]
-        aggs += [F.count(v).alias(f"__n{i}"), F.avg(v).alias(f"__a{i}"),
-                 F.stddev_samp(v).alias(f"__s{i}"), F.min(v).alias(f"__lo{i}"),
-                 F.max(v).alias(f"__hi{i}")]
-        if method == "approx":
-            aggs.append(F.percentile_approx(v, list(probs), accuracy).alias(f"__q{i}"))
     names = ["column_name", "count", "mean", "std", "min"] + [_pct_name(p) for p in probs] + ["max"]
     if method == "approx":
+        aggs = []
+        for i, c in enumerate(cols):
+            v = F.when(F.isnan(col(c).cast("double")), F.lit(None)).otherwise(col(c).cast("double"))
+            aggs += [F.count(v).alias(f"__n{i}"), F.avg(v).alias(f"__a{i}"),
+                     F.stddev_samp(v).alias(f"__s{i}"), F.min(v).alias(f"__lo{i}"),
+                     F.max(v).alias(f"__hi{i}"),
+                     F.percentile_approx(v, list(probs), accuracy).alias(f"__q{i}")]
         row = df.agg(*aggs)
         items = []
         for i, c in enumerate(cols):
