@@ -76,7 +76,8 @@ def candidate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
             continue
         df = tables[name]
         stat = (df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-                .agg(F.sum("__n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct")))
+                .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"),
+                     F.count(F.lit(1)).alias("n_distinct")))
         parts.append(stat.select(F.lit(name).alias("table_name"),
                                  F.lit(",".join(keys)).alias("keys"),
                                  F.col("n_rows").cast("bigint").alias("n_rows"), "n_distinct",
