@@ -102,13 +102,55 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
 JOINS_PER_STAGE = 8
 
 
+# A key is hot when it holds at least this share of the anchor's rows; at most 1 / share keys
+# can be hot, which bounds the broadcast table of hot keys.
+HOT_SHARE = 0.05
+SALT_BUCKETS = 32
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Key tuples holding at least ``share`` of the rows (null keys included): a partial
+    aggregate per key, then a filter against the row count; at most 1 / share rows."""
+    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__c"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.filter(F.col("__c") >= F.lit(share) * total).select(*[col(k) for k in keys])
+
+
+def _flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    renamed = {k: f"__hk_{i}" for i, k in enumerate(keys)}
+    h = hot.select(*[col(k).alias(renamed[k]) for k in keys], F.lit(True).alias("__hot"))
+    cond = reduce(lambda a, b: a & b, [df[_q(k)].eqNullSafe(h[renamed[k]]) for k in keys])
+    return df.join(F.broadcast(h), cond, "left").drop(*renamed.values())
+
+
+def salt_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame, buckets: int) -> DataFrame:
+    """Spread the rows of hot keys over ``buckets`` salt values (a hash of the whole row, so a
+    re-run task assigns the same salt); other rows get salt 0."""
+    cols = [col(c) for c in df.columns]
+    f = _flag_hot(df, keys, hot)
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*cols), F.lit(buckets))).otherwise(F.lit(0))
+    return f.withColumn("__salt", salt.cast("int")).drop("__hot")
+
+
+def replicate_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, buckets: int) -> DataFrame:
+    """Copy the rows of hot keys to every salt value so each salted piece finds its match."""
+    f = _flag_hot(df, keys, hot)
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(
+        F.array(F.lit(0)))
+    return f.withColumn("__salt", F.explode(salts)).drop("__hot")
+
+
 def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Sequence[str],
               null_safe: bool = False, unique_right: bool = False, strategy: str = "chain",
-              joins_per_stage: int = JOINS_PER_STAGE) -> DataFrame:
+              joins_per_stage: int = JOINS_PER_STAGE, hot_share: float | None = HOT_SHARE,
+              salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Wide table of the report tables on the keys; the first table is the anchor.
 
     ``strategy="chain"`` folds ``join_left`` over the tables (exact left-join semantics,
-    duplicate right keys repeat rows). ``strategy="merge"`` is for keyed report tables (at
+    duplicate right keys repeat rows). Anchor keys holding at least ``hot_share`` of its rows
+    are salted: their rows are spread over ``salt_buckets`` partitions and the matching right
+    rows are copied to each, so no single task carries a hot key through the whole chain
+    (``hot_share=None`` turns this off; without a hot key the plan is the plain chain). ``strategy="merge"`` is for keyed report tables (at
     most one row per key in every table): all tables are unioned and grouped once by the
     keys, one shuffle and one aggregate however many tables there are; a repeated key stops
     the job with an error instead of giving a different answer.
@@ -121,13 +163,26 @@ def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Seque
         return wide_merge(frames, keys, null_safe=null_safe)
     if strategy != "chain":
         raise ValueError(f"unknown strategy {strategy!r}")
-    acc = frames[0]
+    acc, join_keys = frames[0], list(keys)
+    hot = None
+    if hot_share is not None and len(frames) > 1:
+        check_keys(acc, keys)
+        # One small job finds the hot keys (at most 1 / hot_share of them). Salting costs a
+        # shuffle on (keys, salt) per table, so it is planned only when a hot key exists.
+        found = hot_keys(acc, keys, hot_share).limit(int(1 / hot_share) + 1).collect()
+        if found:
+            hot = acc.sparkSession.createDataFrame(found, acc.select(*[col(k) for k in keys]).schema)
+            acc = salt_rows(acc, keys, hot, salt_buckets)
+            join_keys = list(keys) + ["__salt"]
     for i, t in enumerate(frames[1:]):
         if i and joins_per_stage and i % joins_per_stage == 0:
             checkpoint_dir(acc.sparkSession)
             acc = acc.checkpoint(eager=True)
-        acc = join_left(acc, t, keys, null_safe, unique_right)
-    return acc
+        if hot is not None:
+            check_keys(t, keys)
+            t = replicate_hot(t, keys, hot, salt_buckets)
+        acc = join_left(acc, t, join_keys, null_safe, unique_right)
+    return acc.drop("__salt") if hot is not None else acc
 
 
 def wide_merge(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: bool = False) -> DataFrame:

@@ -64,12 +64,18 @@ def test_assign_windows_hot_bucket(spark, hot):
     assert assign_windows(rows, "t", w).count() == N
 
 
-def test_wide_join_hot_key(hot):
+def test_wide_join_hot_key_is_salted(hot):
     anchor = hot.select("id", "k")
     right = hot.groupBy("k").agg(F.count("*").alias("n"))
-    out = wide_join([anchor, right], ["k"])
+    right2 = hot.groupBy("k").agg(F.max("id").alias("m"))
+    out = wide_join([anchor, right, right2], ["k"])
     assert out.count() == N
-    assert out.filter("k = 0").select("n").distinct().first()[0] == N // 3
+    assert out.filter("k = 0").select("n", "m").distinct().collect() == [(N // 3, N - 3)]
+    plan = _plan(out)
+    assert "__salt" in plan  # the hot key 0 is spread over salt buckets
+    plain = wide_join([anchor, right, right2], ["k"], hot_share=None)
+    key = lambda r: (r["id"], r["k"], r["n"], r["m"])
+    assert sorted(map(key, out.collect())) == sorted(map(key, plain.collect()))
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))

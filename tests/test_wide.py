@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from reportwide.operators.wide import join_left, new_columns, wide_join
@@ -59,11 +61,17 @@ def test_wide_join_keeps_anchor_rows_and_plans_one_exchange_per_table(spark):
 def test_unique_right_lets_catalyst_drop_unused_joins(spark):
     anchor = spark.range(50).selectExpr("id AS k", "id AS a")
     reps = [spark.range(50).selectExpr("id AS k", f"id * {i} AS c{i}") for i in range(1, 6)]
-    wide = wide_join([anchor] + reps, ["k"], unique_right=True)
+    wide = wide_join([anchor] + reps, ["k"], unique_right=True, hot_share=None)
     plan = wide.select("k", "a", "c3")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
-    plain = wide_join([anchor] + reps, ["k"]).select("k", "a", "c3")
+    plain = wide_join([anchor] + reps, ["k"], hot_share=None).select("k", "a", "c3")
     assert plain._jdf.queryExecution().optimizedPlan().toString().count("Join") == 5
+    # with a hot key salted, the unused report joins are still removed
+    hot = anchor.union(spark.range(100).selectExpr("7 AS k", "id AS a"))
+    salted = wide_join([hot] + reps, ["k"], unique_right=True).select("k", "a", "c3")
+    splan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"__salt#\d+ = __salt#", splan)) == 1
+    assert salted.filter("k = 7").count() == 101 and salted.filter("c3 = 21").count() == 101
     assert sorted(map(tuple, wide.select("k", "c3").collect())) == [(i, 3 * i) for i in range(50)]
 
 
@@ -76,10 +84,13 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_dir):
             df = spark.range(200).selectExpr("id AS k", f"id + {i} AS c{i}")
             write_bucketed(df, f"bkt_{i}", ["k"], 4, path=f"{tmp_dir}/bkt_{i}")
         tables = [spark.table(f"bkt_{i}") for i in range(3)]
-        wide = wide_join(tables, ["k"])
+        wide = wide_join(tables, ["k"], hot_share=None)
         plan = wide._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan
         assert wide.count() == 200
+        # without a hot key the default (hot-key check on) plans the same exchange-free chain
+        checked = wide_join(tables, ["k"])
+        assert "Exchange" not in checked._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
