@@ -112,7 +112,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
     """Key tuples holding at least ``share`` of the rows (null keys included): a partial
     aggregate per key, then a filter against the row count; at most 1 / share rows."""
     counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__c"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    # The total comes from the same per-key counts, so Spark computes the shuffle once and
+    # reuses it for the scalar subquery.
+    total = counts.agg(F.sum("__c")).scalar()
     return counts.filter(F.col("__c") >= F.lit(share) * total).select(*[col(k) for k in keys])
 
 
