@@ -49,7 +49,9 @@ def build_report(src: DataFrame, rs: ReportSet, rep: Report) -> DataFrame:
 
 def build_wide(src: DataFrame, rs: ReportSet, reports: Sequence[Report] | None = None) -> DataFrame:
     reps = list(reports or rs.reports)
-    return wide_join([build_report(src, rs, r) for r in reps], rs.key_names)
+    # Every report is an aggregate grouped by the join keys, so the anchor holds one row per
+    # key and no key can be hot: the hot-key check is skipped.
+    return wide_join([build_report(src, rs, r) for r in reps], rs.key_names, hot_share=None)
 
 
 # ---- DuckDB oracle text for the same definitions -------------------------------------------
