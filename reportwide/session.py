@@ -52,6 +52,22 @@ def get_spark(master: str | None = None, app: str = "reportwide",
     return spark
 
 
+# Settings that can change on a running session (the rest need a new SparkContext).
+RUNTIME_CONF = ("spark.sql.session.timeZone", "spark.sql.autoBroadcastJoinThreshold",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                "spark.sql.adaptive.coalescePartitions.enabled",
+                "spark.sql.adaptive.skewJoin.enabled",
+                "spark.sql.adaptive.localShuffleReader.enabled")
+
+
+def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    """Apply the engine's join and time-zone settings to a session created elsewhere."""
+    for k in RUNTIME_CONF:
+        spark.conf.set(k, DEFAULT_CONF[k])
+    checkpoint_dir(spark)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set one only when the session has none (tests)."""
     sc = spark.sparkContext
