@@ -116,7 +116,7 @@ def date_windows(df: DataFrame, start: Colish, unit: str, value: int,
     if value < 1:
         raise ValueError("increment value must be positive")
     s = F.to_date(_c(start))
-    n = F.lit(iterations) if isinstance(iterations, int) else _c(iterations)
+    n = (F.lit(iterations) if isinstance(iterations, int) else _c(iterations)).cast("int")
     out = df.withColumn(index, F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(0)) - 1)))
     out = out.filter(n > 0)
     i = F.col(index)
