@@ -159,6 +159,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
         if materialize:
             checkpoint_dir(df.sparkSession)
             long = long.checkpoint(eager=True)
+        # one small row per column reaches the driver
         got = {r["column_name"]: r for r in long.groupBy("column_name").agg(
             F.count(F.lit(1)).alias("n"), F.avg("v").alias("a"), F.stddev_samp("v").alias("s"),
             F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
@@ -298,6 +299,7 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float],
         inband = values.join(F.broadcast(bdf), (values.column_name == bdf.column_name)
                              & (values.v >= bdf.lo) & (values.v <= bdf.hi)).select("tid", "k", "below", "v")
         w = Window.partitionBy("tid").orderBy("v")
+        # one row per still-open rank reaches the driver
         picked = (inband.withColumn("__rn", F.row_number().over(w))
                   .filter(F.col("below") + F.col("__rn") - 1 == F.col("k"))
                   .select("tid", "v").collect())
