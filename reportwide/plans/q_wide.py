@@ -37,3 +37,13 @@ def q_wide_head(spark: SparkSession, sf_dir: str):
 def q_wide_join_21(spark: SparkSession, sf_dir: str):
     # 21 report tables joined wide, as in the reference's main notebook.
     return build_wide(table(spark, sf_dir, "lineitem"), LINEITEM_REPORTS_21)
+
+
+@register("wide_join_merge", wide_sql(LINEITEM_REPORTS))
+def q_wide_join_merge(spark: SparkSession, sf_dir: str):
+    # The same 14 keyed report tables as wide_join_hidim, merged by one union + group-by.
+    from reportwide.operators.wide import wide_join
+    from reportwide.plans.reports import build_report
+    src = table(spark, sf_dir, "lineitem")
+    reports = [build_report(src, LINEITEM_REPORTS, r) for r in LINEITEM_REPORTS.reports]
+    return wide_join(reports, LINEITEM_REPORTS.key_names, strategy="merge")
