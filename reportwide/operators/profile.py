@@ -36,10 +36,12 @@ def _missing(f: T.StructField):
     return e
 
 
-def _fields(df: DataFrame, columns: Sequence[str] | None) -> list[T.StructField]:
-    if columns is None:
-        return list(df.schema.fields)
-    return [df.schema[c] for c in columns]
+def _fields(df: DataFrame, columns: Sequence[str] | None,
+            exclude: Sequence[str] = ()) -> list[T.StructField]:
+    """Profiled fields. ``exclude`` names row-key columns: a keyed table's index is not one
+    of its columns, so it is left out of counts, positions and the column total."""
+    fields = list(df.schema.fields) if columns is None else [df.schema[c] for c in columns]
+    return [f for f in fields if f.name not in set(exclude)]
 
 
 def null_count(df: DataFrame, column: str) -> DataFrame:
@@ -55,18 +57,20 @@ def _profile_row(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def null_counts(df: DataFrame, columns: Sequence[str] | None = None,
+                exclude: Sequence[str] = ()) -> DataFrame:
     """Null count of every column, one row per column (A2)."""
-    fields = _fields(df, columns)
+    fields = _fields(df, columns, exclude)
     row = _profile_row(df, fields)
     items = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
                       F.col(f"__m{i}").alias("null_count")) for i, f in enumerate(fields)]
     return row.select(F.inline(F.array(*items)))
 
 
-def all_null_columns(df: DataFrame, threshold: int | None = None) -> DataFrame:
+def all_null_columns(df: DataFrame, threshold: int | None = None,
+                     exclude: Sequence[str] = ()) -> DataFrame:
     """Columns whose null count equals the threshold, by default the row count (A3)."""
-    fields = _fields(df, None)
+    fields = _fields(df, None, exclude)
     row = _profile_row(df, fields)
     items = [F.struct(F.lit(f.name).alias("column_name"), F.col(f"__m{i}").alias("null_count"),
                       F.col("__rows").alias("n_rows")) for i, f in enumerate(fields)]
@@ -75,15 +79,16 @@ def all_null_columns(df: DataFrame, threshold: int | None = None) -> DataFrame:
             .filter(F.col("null_count") == want).select("column_name", "null_count"))
 
 
-def shape(df: DataFrame) -> DataFrame:
-    """Row and column count as one row (A4)."""
+def shape(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """Row and column count as one row (A4); key columns in ``exclude`` are not counted."""
+    n_cols = len(_fields(df, None, exclude))
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_cols"))
+        "n_rows", F.lit(n_cols).cast("bigint").alias("n_cols"))
 
 
-def schema_profile(df: DataFrame) -> DataFrame:
+def schema_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Position, name, non-null count and type of every column (A5)."""
-    fields = _fields(df, None)
+    fields = _fields(df, None, exclude)
     row = _profile_row(df, fields)
     items = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
                       (F.col("__rows") - F.col(f"__m{i}")).alias("non_null_count"),
@@ -120,13 +125,14 @@ def _pct_name(p: float) -> str:
 def describe(df: DataFrame, columns: Sequence[str] | None = None,
              probs: Sequence[float] = (0.25, 0.5, 0.75), method: str = "exact",
              digits: int | None = None, accuracy: int = 10_000,
-             materialize: bool | None = None) -> DataFrame:
+             materialize: bool | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, percentiles, max per numeric column, one row each.
 
     ``method='exact'`` gives linearly interpolated percentiles equal to a full sort;
     ``method='approx'`` uses ``percentile_approx`` with the given accuracy.
     """
-    cols = list(columns) if columns is not None else numeric_columns(df)
+    cols = [c for c in (list(columns) if columns is not None else numeric_columns(df))
+            if c not in set(exclude)]
     if not cols:
         raise ValueError("describe needs at least one numeric column")
     names = ["column_name", "count", "mean", "std", "min"] + [_pct_name(p) for p in probs] + ["max"]

@@ -12,12 +12,15 @@ from reportwide.plans.reports import (EVENTS_REPORTS, _event_report, build_wide,
                                       wide_sql)
 
 WIDE = wide_sql(EVENTS_REPORTS)
-COLS = wide_columns(EVENTS_REPORTS)
+# The keys are the wide table's row index, so profiles leave them out (as a keyed table's
+# index is not one of its columns).
+KEYS = EVENTS_REPORTS.key_names
+COLS = [(c, t) for c, t in wide_columns(EVENTS_REPORTS) if c not in KEYS]
 
 # A report whose type is listed but absent from the data: its columns are all null after the
 # left joins, which is what the all-null check finds.
 WITH_ABSENT = EVENTS_REPORTS.reports + (_event_report("refund"),)
-COLS_ABSENT = wide_columns(EVENTS_REPORTS, WITH_ABSENT)
+COLS_ABSENT = [(c, t) for c, t in wide_columns(EVENTS_REPORTS, WITH_ABSENT) if c not in KEYS]
 WIDE_ABSENT = wide_sql(EVENTS_REPORTS, WITH_ABSENT)
 
 
@@ -37,7 +40,7 @@ def q_null_count_one(spark: SparkSession, sf_dir: str):
      f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if t == 'double' else ''}) "
      "AS null_count FROM w" for i, (c, t) in enumerate(COLS)]))
 def q_null_counts(spark: SparkSession, sf_dir: str):
-    return P.null_counts(events_wide(spark, sf_dir))
+    return P.null_counts(events_wide(spark, sf_dir), exclude=KEYS)
 
 
 @register("all_null_columns", f"WITH w AS ({WIDE_ABSENT}) SELECT * FROM (" + _union(
@@ -47,7 +50,7 @@ def q_null_counts(spark: SparkSession, sf_dir: str):
 def q_all_null_columns(spark: SparkSession, sf_dir: str):
     src = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
     wide = build_wide(src, EVENTS_REPORTS, WITH_ABSENT)
-    return P.all_null_columns(wide).select("column_name", "null_count")
+    return P.all_null_columns(wide, exclude=KEYS).select("column_name", "null_count")
 
 
 # The oracle above carries n_rows only to filter; drop it from the compared output.
@@ -63,14 +66,14 @@ _OR["all_null_columns"] = (f"WITH w AS ({WIDE_ABSENT}) SELECT column_name, null_
 @register("shape", f"WITH w AS ({WIDE}) SELECT count(*) AS n_rows, "
                    f"CAST({len(COLS)} AS BIGINT) AS n_cols FROM w")
 def q_shape(spark: SparkSession, sf_dir: str):
-    return P.shape(events_wide(spark, sf_dir))
+    return P.shape(events_wide(spark, sf_dir), exclude=KEYS)
 
 
 @register("schema_profile", f"WITH w AS ({WIDE}) " + _union(
     [f"SELECT {i} AS position, '{c}' AS column_name, count({c}) AS non_null_count, "
      f"'{t}' AS dtype FROM w" for i, (c, t) in enumerate(COLS)]))
 def q_schema_profile(spark: SparkSession, sf_dir: str):
-    return P.schema_profile(events_wide(spark, sf_dir))
+    return P.schema_profile(events_wide(spark, sf_dir), exclude=KEYS)
 
 
 def _describe_sql(src: str, cols: list[str]) -> str:
@@ -90,7 +93,7 @@ NUMERIC_WIDE = [c for c, t in COLS if t in ("bigint", "double")]
 
 @register("describe_long", f"WITH w AS ({WIDE}) " + _describe_sql("w", NUMERIC_WIDE))
 def q_describe_long(spark: SparkSession, sf_dir: str):
-    return P.describe(events_wide(spark, sf_dir), digits=6)
+    return P.describe(events_wide(spark, sf_dir), digits=6, exclude=KEYS)
 
 
 LINE_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",

@@ -69,3 +69,24 @@ def test_folder_flow_matches_pandas(spark, tmp_dir):
     got_rows = sorted((tuple(norm(v) for v in r) for r in got.collect()), key=repr)
     exp_rows = sorted((tuple(norm(v) for v in r) for r in exp.itertuples(index=False)), key=repr)
     assert got_rows == exp_rows
+
+
+def test_profiles_leave_out_the_index_like_pandas(spark, tmp_dir):
+    from reportwide.operators import profile as P
+    reports = _reports()
+    root = os.path.join(tmp_dir, "team2")
+    os.makedirs(root)
+    for name, df in reports.items():
+        df.to_parquet(os.path.join(root, f"{name}_data.parquet.gzip"), index=False)
+    got = wide_from_folder(spark, root, KEYS, anchor="summary", key_as_string=["gameId"])
+    exp = _expected(reports, ["summary", "faceoffpercentages", "shottype"]).set_index(KEYS)
+    assert tuple(P.shape(got, exclude=KEYS).first()) == exp.shape
+    nulls = {r["column_name"]: r["null_count"] for r in P.null_counts(got, exclude=KEYS).collect()}
+    assert nulls == exp.isnull().sum().to_dict()
+    d = {r["column_name"]: r for r in P.describe(got, exclude=KEYS).collect()}
+    pd_desc = exp.describe()
+    assert sorted(d) == sorted(pd_desc.columns)
+    for c in pd_desc.columns:
+        for ours, theirs in (("count", "count"), ("mean", "mean"), ("p50", "50%"), ("max", "max")):
+            a, b = d[c][ours], pd_desc[c][theirs]
+            assert (a is None and math.isnan(b)) or math.isclose(a, b, rel_tol=1e-9), (c, ours)
