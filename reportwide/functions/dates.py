@@ -89,7 +89,7 @@ def window_predicate(column: str, start, end, equals: dict | None = None) -> Col
 
 def predicate_text(start: Colish, end: Colish, field: str, extra: str | None = None) -> Column:
     """the filter text for one window, e.g. d<="2000-10-31 23:59:59" and d>="2000-10-01"."""
-    parts = [F.lit(f'{field}<="'), format_end_of_day(start if end is None else end),
+    parts = [F.lit(f'{field}<="'), format_end_of_day(end),
              F.lit(f'" and {field}>="'), format_day(start), F.lit('"')]
     if extra:
         parts.append(F.lit(f" and {extra}"))

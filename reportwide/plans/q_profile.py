@@ -43,26 +43,16 @@ def q_null_counts(spark: SparkSession, sf_dir: str):
     return P.null_counts(events_wide(spark, sf_dir), exclude=KEYS)
 
 
-@register("all_null_columns", f"WITH w AS ({WIDE_ABSENT}) SELECT * FROM (" + _union(
-    [f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
-     "count(*) AS n_rows FROM w" for c, _ in COLS_ABSENT])
-    + ") WHERE null_count = n_rows")
+@register("all_null_columns", f"WITH w AS ({WIDE_ABSENT}) SELECT column_name, null_count FROM ("
+          + _union([f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS "
+                    "null_count, count(*) AS n_rows FROM w" for c, _ in COLS_ABSENT])
+          + ") WHERE null_count = n_rows")
 def q_all_null_columns(spark: SparkSession, sf_dir: str):
     src = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
     wide = build_wide(src, EVENTS_REPORTS, WITH_ABSENT)
     return P.all_null_columns(wide, exclude=KEYS).select("column_name", "null_count")
 
 
-# The oracle above carries n_rows only to filter; drop it from the compared output.
-from reportwide.plans.registry import ORACLES as _OR  # noqa: E402
-
-_OR["all_null_columns"] = (f"WITH w AS ({WIDE_ABSENT}) SELECT column_name, null_count FROM ("
-                           + _union([f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} "
-                                     "IS NULL) AS null_count, count(*) AS n_rows FROM w"
-                                     for c, _ in COLS_ABSENT])
-                           + ") WHERE null_count = n_rows")
-
-
 @register("shape", f"WITH w AS ({WIDE}) SELECT count(*) AS n_rows, "
                    f"CAST({len(COLS)} AS BIGINT) AS n_cols FROM w")
 def q_shape(spark: SparkSession, sf_dir: str):
