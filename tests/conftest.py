@@ -25,9 +25,3 @@ def spark():
 def tmp_dir():
     return tempfile.mkdtemp(prefix="reportwide-test-")
 
-
-def rows(df, order=None):
-    """Collected rows as sorted tuples."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0)
-                                           for x in t)) if order is None else out
