@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 
 from reportwide.operators.paging import paginate
 
+ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
+                    "RocksDBStateStoreProvider")
+
 # Full microsecond precision for timestamps in landed JSON.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_OPTS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT}
@@ -64,6 +67,11 @@ def ingest_pages(spark: SparkSession, src: str, record: T.StructType, sink: str,
     (``dropDuplicatesWithinWatermark``); without it, state keeps every key seen.
     Returns the number of micro-batches run.
     """
+    if dedup_keys and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        # De-duplication state lives off the JVM heap in RocksDB, so millions of keys inside
+        # the watermark do not pressure executor memory. (A checkpoint keeps the provider it
+        # was started with.)
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     stream = page_stream(spark, src, record)
     if dedup_keys:
         if event_time:
