@@ -31,7 +31,8 @@ def load_reports(spark: SparkSession, root: str, marker: str = ".parquet.gzip")
 def wide_from_folder(spark: SparkSession, root: str, keys: Sequence[str],
                      order: Sequence[str] | None = None, anchor: str | None = None,
                      key_as_string: Sequence[str] = (), parity: bool = True,
-                     marker: str = ".parquet.gzip", out: str | None = None) -> DataFrame:
+                     marker: str = ".parquet.gzip", out: str | None = None,
+                     mode: str = "errorifexists") -> DataFrame:
     """Wide table of all reports below ``root``, joined in ``order`` (the first is the anchor).
 
     Without ``order`` the reports are taken in name order, with ``anchor`` moved to the
@@ -52,5 +53,33 @@ def wide_from_folder(spark: SparkSession, root: str, keys: Sequence[str],
     wide = wide_join(cleaned, keys)
     if out is None:
         return wide
-    write_parquet(wide, out, compression=None)
+    write_parquet(wide, out, compression=None, mode=mode)
     return spark.read.parquet(out)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m reportwide.plans.wide_table ROOT OUT --keys gameId teamId [--anchor summary]
+    [--string-keys gameId]: join every report below ROOT wide, write OUT, print its profile."""
+    import argparse
+
+    from reportwide.operators import profile as P
+    from reportwide.session import get_spark
+
+    ap = argparse.ArgumentParser()
+    ap.add_argument("root")
+    ap.add_argument("out")
+    ap.add_argument("--keys", nargs="+", required=True)
+    ap.add_argument("--anchor")
+    ap.add_argument("--string-keys", nargs="*", default=[])
+    ap.add_argument("--strict", action="store_true", help="de-duplicate on all columns")
+    a = ap.parse_args(argv)
+    spark = get_spark()
+    wide = wide_from_folder(spark, a.root, a.keys, anchor=a.anchor, key_as_string=a.string_keys,
+                            parity=not a.strict, out=a.out)
+    P.shape(wide, exclude=a.keys).show()
+    P.all_null_columns(wide, exclude=a.keys).show(truncate=False)
+    P.null_counts(wide, exclude=a.keys).show(1000, truncate=False)
+
+
+if __name__ == "__main__":
+    main()
