@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,31 +52,45 @@ def null_count(df: DataFrame, column: str) -> DataFrame:
         F.lit(column).alias("column_name"), "null_count")
 
 
-def _profile_row(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.count_if(_missing(f)).alias(f"__m{i}") for i, f in enumerate(fields)]
-    return df.agg(*aggs)
+# Spark compiles one aggregate with hundreds of expressions into code too large to run fast
+# (and turns off the vectorised parquet reader past spark.sql.codegen.maxFields columns).
+# A table read straight from columnar files is therefore profiled in batches of this many
+# columns: each batch scans only its own columns, so every column is still read once.
+# Derived inputs (joins, aggregates) are profiled in one pass, so their plan runs once.
+PROFILE_BATCH = 50
+
+
+def _missing_long(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    """(position, column_name, dtype, n_rows, null_count) for the fields, one row each."""
+    if len(fields) > PROFILE_BATCH and not _is_derived(df):
+        batches = [list(range(b, min(b + PROFILE_BATCH, len(fields))))
+                   for b in range(0, len(fields), PROFILE_BATCH)]
+    else:
+        batches = [list(range(len(fields)))]
+    parts = []
+    for idx in batches:
+        row = df.agg(F.count(F.lit(1)).alias("__rows"),
+                     *[F.count_if(_missing(fields[i])).alias(f"__m{i}") for i in idx])
+        items = [F.struct(F.lit(i).alias("position"), F.lit(fields[i].name).alias("column_name"),
+                          F.lit(fields[i].dataType.simpleString()).alias("dtype"),
+                          F.col("__rows").alias("n_rows"), F.col(f"__m{i}").alias("null_count"))
+                 for i in idx]
+        parts.append(row.select(F.inline(F.array(*items))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None,
                 exclude: Sequence[str] = ()) -> DataFrame:
     """Null count of every column, one row per column (A2)."""
-    fields = _fields(df, columns, exclude)
-    row = _profile_row(df, fields)
-    items = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                      F.col(f"__m{i}").alias("null_count")) for i, f in enumerate(fields)]
-    return row.select(F.inline(F.array(*items)))
+    return _missing_long(df, _fields(df, columns, exclude)).select(
+        "position", "column_name", "null_count")
 
 
 def all_null_columns(df: DataFrame, threshold: int | None = None,
                      exclude: Sequence[str] = ()) -> DataFrame:
     """Columns whose null count equals the threshold, by default the row count (A3)."""
-    fields = _fields(df, None, exclude)
-    row = _profile_row(df, fields)
-    items = [F.struct(F.lit(f.name).alias("column_name"), F.col(f"__m{i}").alias("null_count"),
-                      F.col("__rows").alias("n_rows")) for i, f in enumerate(fields)]
     want = F.lit(threshold) if threshold is not None else F.col("n_rows")
-    return (row.select(F.inline(F.array(*items)))
+    return (_missing_long(df, _fields(df, None, exclude))
             .filter(F.col("null_count") == want).select("column_name", "null_count"))
 
 
@@ -88,13 +103,9 @@ def shape(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
 def schema_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Position, name, non-null count and type of every column (A5)."""
-    fields = _fields(df, None, exclude)
-    row = _profile_row(df, fields)
-    items = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                      (F.col("__rows") - F.col(f"__m{i}")).alias("non_null_count"),
-                      F.lit(f.dataType.simpleString()).alias("dtype"))
-             for i, f in enumerate(fields)]
-    return row.select(F.inline(F.array(*items)))
+    return _missing_long(df, _fields(df, None, exclude)).select(
+        "position", "column_name", (F.col("n_rows") - F.col("null_count")).alias("non_null_count"),
+        "dtype")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -76,3 +76,17 @@ def test_describe_approx_is_close(spark):
     df = spark.range(10000).selectExpr("CAST(id AS DOUBLE) AS v")
     r = P.describe(df, method="approx").first()
     assert abs(r["p50"] - 4999.5) < 20
+
+
+def test_batched_profile_equals_one_pass(spark, tmp_dir, monkeypatch):
+    df = spark.range(200).selectExpr(
+        *[f"CASE WHEN id % {j + 2} = 0 THEN NULL ELSE id * {j} END AS c{j}" for j in range(12)],
+        "CASE WHEN id % 5 = 0 THEN double('NaN') ELSE 1.0 END AS x")
+    df.write.parquet(f"{tmp_dir}/wide")
+    src = spark.read.parquet(f"{tmp_dir}/wide")
+    one = sorted(map(tuple, P.schema_profile(src).collect()))
+    monkeypatch.setattr(P, "PROFILE_BATCH", 5)
+    batched = sorted(map(tuple, P.schema_profile(src).collect()))
+    assert one == batched
+    assert P.schema_profile(src)._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 3
+    assert sorted(map(tuple, P.null_counts(src).collect()))[-1] == (12, "x", 40)
