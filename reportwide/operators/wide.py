@@ -7,7 +7,9 @@ first), so on overlapping names the earlier table wins.
 Plan shape: each report table is hash-partitioned on the keys once; the chain of joins keeps
 that partitioning, so N tables cost N exchanges and no intermediate result is re-shuffled.
 AQE turns a join into a broadcast join only when the measured shuffle output of a side is
-below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits skewed left partitions.
+below ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Long chains are cut by checkpoints
+(bounded sorters per task) and hot anchor keys are salted across the whole chain, since AQE
+can split a skewed partition only in the first join.
 """
 
 from __future__ import annotations
