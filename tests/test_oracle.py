@@ -36,3 +36,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["user_id", "day"]
+
+
+@pytest.mark.parametrize("partitions", ["1", "64"])
+def test_results_do_not_depend_on_partition_count(spark, con, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for name in ("page", "sort_ci", "drop_last", "window_assign", "wide_join"):
+            r = compare(spark, con, name, SF01, QUERIES[name], ORACLES[name])
+            assert r["status"] == "ok", (partitions, r)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
