@@ -169,6 +169,8 @@ def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Seque
         raise ValueError(f"unknown strategy {strategy!r}")
     acc, join_keys = frames[0], list(keys)
     hot = None
+    if hot_share is not None and not 0 < hot_share <= 1:
+        raise ValueError("hot_share must be in (0, 1]")
     if hot_share is not None and len(frames) > 1:
         check_keys(acc, keys)
         # One small job finds the hot keys (at most 1 / hot_share of them). Salting costs a
