@@ -52,7 +52,7 @@ def _seeds(w: W.Words, window: int) -> tuple[np.ndarray, np.ndarray]:
 def _emit_seeds(window: int):
     def run(batches):
         for b in batches:
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+            keys = b.column("__key").to_numpy(zero_copy_only=False)
             for lo, _hi, buf, offs in W.slices(b.column("text")):
                 w = W.tokenize(buf, offs, W.SPACE)
                 m, ok = _seeds(w, window)
@@ -60,7 +60,7 @@ def _emit_seeds(window: int):
                 new = np.ones(len(m), np.bool_)
                 new[1:] = (m[1:] != m[:-1]) | (d[1:] != d[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(m[new].view(np.int64)), pa.array(ids[lo + d[new]].astype(np.int64))], ["h", "doc_id"])
+                    [pa.array(m[new].view(np.int64)), pa.array(keys[lo + d[new]])], ["h", "key"])
     return run
 
 
@@ -133,33 +133,42 @@ def _cut(window: int):
     return run
 
 
-def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that stand in at least two documents, with the smallest of them."""
-    return (rows.groupBy(*keys).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+def _repeated(rows: DataFrame, keys: list[str], of: str) -> DataFrame:
+    """Keys with at least two different values of ``of``, with the smallest of them."""
+    return (rows.groupBy(*keys).agg(F.min(of).alias("lo"), F.max(of).alias("hi"))
             .filter("lo < hi").drop("hi"))
 
 
-def _folded(docs: DataFrame) -> DataFrame:
-    """doc_id, text of one row per text (the smallest doc_id), and rows whose text stands earlier."""
-    ids = docs.filter("doc_id is not null and text is not null").select(
-        "doc_id", F.sha2("text", 256).alias("digest"))
-    first = ids.groupBy("digest").agg(F.min("doc_id").alias("lo"))
-    return ids.join(first, "digest").filter("lo < doc_id").select("doc_id", "digest").distinct()
-
-
-def _first_marks(texts: DataFrame, window: int) -> DataFrame:
-    """(doc_id, marks): repeated half windows of each document."""
-    seeds = materialize(texts.mapInArrow(_emit_seeds(window), "h long, doc_id long"), "seeds")
-    again = seeds.join(_repeated(seeds, ["h"]).select("h"), "h", "left_semi")
-    marks = materialize(again.groupBy("doc_id").agg(F.collect_set("h").alias("marks")), "marks")
-    drop_tables(texts.sparkSession, seeds)
-    release(texts.sparkSession)
-    return marks
+def _marked_texts(docs: DataFrame, window: int) -> DataFrame:
+    """``docs`` (doc_id, text, __rest) with the repeated half windows of each text, written once.
 
-
-def _level(texts: DataFrame, marks: DataFrame, length: int, marked: int) -> DataFrame:
-    return (texts.join(marks, "doc_id")
-            .mapInArrow(_emit_windows(length, marked), "h long, t int, doc_id long"))
+    Adds ``marks`` (null: none) and ``copy``: the text also stands in a row with a smaller doc_id.
+    A half window counts as repeated if texts that differ hold it; texts are told apart by 48 bits
+    of their hash here (two that share them at worst lose what only they share), and by their MD5
+    where copies are found.
+    """
+    spark = docs.sparkSession
+    docs = docs.withColumn("__key", F.shiftrightunsigned(F.xxhash64("text"), 16)).withColumn(
+        "__md5", F.unhex(F.md5(F.col("text").cast("binary"))))
+    live = docs.filter("doc_id is not null and text is not null")
+    seeds = materialize(live.select("__key", "text").mapInArrow(_emit_seeds(window), "h long, key long"), "seeds")
+    again = seeds.join(_repeated(seeds, ["h"], "key").select("h"), "h", "left_semi")
+    marks = materialize(again.groupBy(F.col("key").alias("__key")).agg(F.collect_set("h").alias("marks")), "marks")
+    drop_tables(spark, seeds)
+    del again, seeds
+    release(spark)
+    info = live.groupBy("__md5", "__key").agg(F.min("doc_id").alias("__lo")).join(marks, "__key", "left").drop("__key")
+    out = (docs.drop("__key").join(info, "__md5", "left")
+           .withColumn("copy", F.coalesce(F.col("__lo") < F.col("doc_id"), F.lit(False))).drop("__md5", "__lo"))
+    out = materialize(out, "texts")
+    drop_tables(spark, marks)
+    release(spark)
+    return out
+
+
+def _windows(texts: DataFrame, length: int, marked: int) -> DataFrame:
+    return materialize(texts.select("doc_id", "text", "marks").mapInArrow(
+        _emit_windows(length, marked), "h long, t int, doc_id long"), f"windows{length}")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -168,40 +177,40 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A word goes if a window of ``window`` words that covers it also starts in a document with a
     smaller doc_id. Input columns called n_words or n_removed are replaced.
     """
-    docs = docs.drop("n_words", "n_removed")
-    names = docs.columns
-    copies = materialize(_folded(docs), "copies").select("doc_id", F.col("digest").alias("__digest"))
-    packed = keep_rest(docs, ["doc_id", "text"]).withColumn("__digest", F.sha2("text", 256))
-    packed = (packed.join(copies.withColumn("copy", F.lit(True)), ["doc_id", "__digest"], "left")
-              .withColumn("copy", F.coalesce("copy", F.lit(False))).drop("__digest"))
-    texts = packed.filter("doc_id is not null and text is not null and not copy").select("doc_id", "text")
-    marks = _first_marks(texts, window)
-    found = materialize(_level(texts, marks, window, 0), "windows")
-    earlier = _repeated(found, ["h", "t"])
-    bad = (found.join(earlier, ["h", "t"]).filter("lo < doc_id")
-           .groupBy("doc_id").agg(F.collect_set("h").alias("bad")))
-    cut = packed.join(bad, "doc_id", "left")
+    spark, docs = docs.sparkSession, docs.drop("n_words", "n_removed")
+    texts = _marked_texts(keep_rest(docs, ["doc_id", "text"]), window)
+    found = _windows(texts.filter("doc_id is not null and not copy and marks is not null"), window, 0)
+    earlier = _repeated(found, ["h", "t"], "doc_id")
+    bad = materialize(found.join(earlier, ["h", "t"]).filter("lo < doc_id")
+                      .groupBy("doc_id").agg(F.collect_set("h").alias("bad")), "bad")
+    drop_tables(spark, found)
+    del earlier, found
+    release(spark)
+    cut = texts.drop("marks").join(bad, "doc_id", "left")
     rest = cut.schema["__rest"].dataType.simpleString()
     kind = docs.schema["doc_id"].dataType.simpleString()
     done = cut.select("doc_id", "text", "__rest", "copy", "bad").mapInArrow(
         _cut(window), f"doc_id {kind}, text string, __rest {rest}, n_words long, n_removed long")
-    return done.select(*[F.col(f"`{c}`") if c in ("doc_id", "text") else F.col(f"__rest.`{c}`") for c in names],
+    return done.select(*[F.col(f"`{c}`") if c in ("doc_id", "text") else F.col(f"__rest.`{c}`") for c in docs.columns],
                        "n_words", "n_removed")
 
 
 def repeat_levels(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, level, n_windows): distinct windows of each length that stand in several documents.
 
-    Lengths double from ``window``; the loop ends when no candidates survive.
+    Lengths double from ``window``; the loop ends when no candidates survive. Copies of a text
+    count as its first document.
     """
-    texts = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
-    marks, length, marked, out = _first_marks(texts, window), window, 0, None
+    texts = (_marked_texts(keep_rest(docs, ["doc_id", "text"]), window)
+             .filter("doc_id is not null and not copy").select("doc_id", "text", "marks"))
+    length, marked, out = window, 0, None
     while True:
-        found = materialize(_level(texts, marks, length, marked).distinct(), f"level{length}")
-        kept = found.join(_repeated(found, ["h", "t"]), ["h", "t"])
+        found = _windows(texts.filter("marks is not null"), length, marked)
+        kept = found.distinct().join(_repeated(found, ["h", "t"], "doc_id"), ["h", "t"])
         marks = materialize(kept.groupBy("doc_id").agg(F.collect_set("h").alias("marks")), "marks")
         level = marks.select("doc_id", F.lit(length).alias("level"), F.size("marks").cast("long").alias("n_windows"))
         out = level if out is None else out.union(level)
         if marks.isEmpty():
             return out
+        texts = texts.drop("marks").join(marks, "doc_id")
         length, marked = 2 * length, length
