@@ -17,7 +17,7 @@ BROADCAST_ROWS = 200_000
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table once to the shared work folder and read it back: the lineage ends there."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
