@@ -37,9 +37,8 @@ STEPS = 12
 # Fixed value: consistency of the scatter of the central 75 % of a 5-variate normal,
 # 0.75 / P(chi2 with 7 df <= 0.75 quantile of chi2 with 5 df).
 CONSISTENCY = 1.41
-# Squared distance beyond which a text is rejected: far outside the 0.9999 quantile of chi2 with
-# 5 df (25.7), since shares of clean texts have longer tails than a normal.
-CUTOFF = 60.0
+# Squared distance beyond which a text is rejected: the 0.99999 quantile of chi2 with 5 df.
+CUTOFF = 30.86
 # Least standard deviation of each statistic, about what one odd line or word does to a clean text.
 LEAST_SD = (0.12, 1.0, 0.05, 0.20, 0.12)
 SCALE = 1024
