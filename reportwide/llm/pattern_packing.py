@@ -41,11 +41,21 @@ CACHED_WORDS = 1_000_000
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long, __part int, __seq long"
 
 
+SLICE_BYTES = 2 << 20
+
+_ALNUM = np.zeros(256, np.bool_)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_STOP = np.zeros(256, np.bool_)
+_STOP[list(b".,;:!?")] = True
+
+
 class WordTokens:
-    """Token ids of white-space separated words, remembered by word.
+    """Token ids of the parts of words, remembered by part.
 
-    For tokenizers that drop white space and never join across it, as the one named here: the
-    ids of a text are then those of its words. Special tokens stay what the library makes of them.
+    For tokenizers that drop white space, fold case and split between a letter or digit and a
+    punctuation mark, as the one named here: a text's ids are then those of its parts, which are
+    cut at white space and before .,;:!? after an ASCII letter or digit, with A-Z in lower case.
+    Special tokens stay what the library makes of them (a slice that may hold one keeps its case).
     """
 
     def __init__(self, path: str):
@@ -75,16 +85,21 @@ class WordTokens:
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in order, number of ids of each row)."""
-        w = W.tokenize(buf, offs, W.SPACE)
+        raw = buf.tobytes()
+        w = W.tokenize(buf, offs, W.SPACE, lower=b"<|" not in raw)
         if not w.n:
             return np.empty(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
+        cuts = np.flatnonzero(_STOP[buf[1:]] & _ALNUM[buf[:-1]]) + 1
+        cuts = cuts[~np.isin(cuts, w.starts)]  # a document may end before the mark
+        starts = np.sort(np.concatenate([w.starts, cuts]))
+        w = W.Words(w.buf, starts, np.sort(np.concatenate([w.ends, cuts])), np.searchsorted(starts, offs))
         h, first, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, h)
         new = np.ones(len(h), np.bool_)
         inner = place < len(self.known)
         new[inner] = self.known[place[inner]] != h[inner]
         if new.any():
-            raw = buf.tobytes()
+            raw = w.buf.tobytes()
             if len(self.known) + new.sum() > CACHED_WORDS:
                 self._clear()
                 new[:] = True
@@ -103,7 +118,7 @@ def _cut(path: str, capacity: int):
         from pyspark import TaskContext
         part, seq, tokens = TaskContext.get().partitionId(), 0, WordTokens(path)
         for b in batches:
-            for lo, hi, buf, offs in W.slices(b.column("text")):
+            for lo, _hi, buf, offs in W.slices(b.column("text"), SLICE_BYTES):
                 ids, n = tokens.encode(buf, offs)
                 ends = np.cumsum(n)
                 rows, out = [], []
