@@ -140,7 +140,7 @@ def cluster(table: np.ndarray, size: int, classes: int = CLASSES, sweeps: int =
             c = np.arange(classes)
             d = g[c, c]
             gain += _f(d + o[c] + i[c] + self_) - _f(d) - (_f(d + o[c]) - _f(d)) - (_f(d + i[c]) - _f(d))
-            left, right = g.sum(1)[:classes], g.sum(0)[:classes]
+            left, right = (g.sum(1) + i)[:classes], (g.sum(0) + o)[:classes]
             n_out, n_in = o.sum() + self_, i.sum() + self_
             gain -= _f(left + n_out) - _f(left) + _f(right + n_in) - _f(right)
             best = int(np.argmax(gain))
