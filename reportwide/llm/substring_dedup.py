@@ -3,7 +3,7 @@
 The first level looks at half windows (7 words for windows of 13): of the half windows inside
 each window the one with the smallest hash stands for it, so equal windows pick equal half
 windows and about a quarter of all positions is shuffled. Half windows seen in one document
-alone end there. Only windows over a repeated half window go to the next level, where a 96-bit
+alone end there. Only windows over a repeated half window go to the next level, where an 80-bit
 hash of all words decides; ``repeat_levels`` goes on doubling until no candidates survive.
 
 Documents with equal texts are folded before the first level: a copy repeats every window of
@@ -89,7 +89,7 @@ def _emit_windows(length: int, marked: int):
                 if not len(at):
                     continue
                 h = W.ngrams(w.hashes(1), length)[at].view(np.int64)
-                t = (W.ngrams(w.hashes(0), length)[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                t = (W.ngrams(w.hashes(0), length)[at] & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h), pa.array(t), pa.array(ids[lo + w.doc[at]].astype(np.int64))], ["h", "t", "doc_id"])
     return run
@@ -143,12 +143,12 @@ def _marked_texts(docs: DataFrame, window: int) -> DataFrame:
     """``docs`` (doc_id, text, __rest) with the repeated half windows of each text, written once.
 
     Adds ``marks`` (null: none) and ``copy``: the text also stands in a row with a smaller doc_id.
-    A half window counts as repeated if texts that differ hold it; texts are told apart by 48 bits
+    A half window counts as repeated if texts that differ hold it; texts are told apart by 40 bits
     of their hash here (two that share them at worst lose what only they share), and by their MD5
     where copies are found.
     """
     spark = docs.sparkSession
-    docs = docs.withColumn("__key", F.shiftrightunsigned(F.xxhash64("text"), 16)).withColumn(
+    docs = docs.withColumn("__key", F.shiftrightunsigned(F.xxhash64("text"), 24)).withColumn(
         "__md5", F.unhex(F.md5(F.col("text").cast("binary"))))
     live = docs.filter("doc_id is not null and text is not null")
     seeds = materialize(live.select("__key", "text").mapInArrow(_emit_seeds(window), "h long, key long"), "seeds")
@@ -168,7 +168,7 @@ def _marked_texts(docs: DataFrame, window: int) -> DataFrame:
 
 def _windows(texts: DataFrame, length: int, marked: int) -> DataFrame:
     return materialize(texts.select("doc_id", "text", "marks").mapInArrow(
-        _emit_windows(length, marked), "h long, t int, doc_id long"), f"windows{length}")
+        _emit_windows(length, marked), "h long, t short, doc_id long"), f"windows{length}")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
