@@ -21,6 +21,7 @@ packed one by one; an empty table gives no rows; extra columns are left out.
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections import defaultdict
 
@@ -37,12 +38,12 @@ END = 0
 SWEEPS = 30
 # Words a task keeps token ids for; beyond that the memory starts anew.
 CACHED_WORDS = 1_000_000
+# Words tokenized in one call.
+LEARN = 4096
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long, __part int, __seq long"
 
 
-SLICE_BYTES = 2 << 20
-
 _ALNUM = np.zeros(256, np.bool_)
 _ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _STOP = np.zeros(256, np.bool_)
@@ -59,6 +60,8 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
+        # One thread: Spark runs a task on every core, and each thread's allocations stay with the worker.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self._clear()
@@ -73,10 +76,13 @@ class WordTokens:
     def _learn(self, h: np.ndarray, texts: list[str]) -> None:
         if len(self.known) + len(h) > CACHED_WORDS and len(self.known):
             self._clear()
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = len(self.lengths) + np.arange(len(ids))
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(n.sum()))])
+        n, parts = np.empty(len(texts), np.int64), [self.ids]
+        for a in range(0, len(texts), LEARN):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts[a:a + LEARN], add_special_tokens=False)]
+            n[a:a + len(ids)] = list(map(len, ids))
+            parts.append(np.array([i for x in ids for i in x], np.uint32))
+        at = len(self.lengths) + np.arange(len(texts))
+        self.ids = np.concatenate(parts)
         self.lengths = np.concatenate([self.lengths, n])
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(n)])
         known, at = np.concatenate([self.known, h]), np.concatenate([self.at, at])
@@ -118,7 +124,7 @@ def _cut(path: str, capacity: int):
         from pyspark import TaskContext
         part, seq, tokens = TaskContext.get().partitionId(), 0, WordTokens(path)
         for b in batches:
-            for lo, _hi, buf, offs in W.slices(b.column("text"), SLICE_BYTES):
+            for lo, _hi, buf, offs in W.slices(b.column("text")):
                 ids, n = tokens.encode(buf, offs)
                 ends = np.cumsum(n)
                 rows, out = [], []
