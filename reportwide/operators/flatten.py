@@ -81,8 +81,13 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
 def widen_array(df: DataFrame, array_col: str, fields: Sequence[str], max_len: int,
                 sep: str = ".", drop: bool = True) -> DataFrame:
     """Array of structs -> columns <i><sep><field> for i < max_len; missing positions are
-    null (N3). The new columns are computed in the same projection as the row (J3)."""
-    new = [F.get(col(array_col), i)[f].alias(f"{i}{sep}{f}") for i in range(max_len) for f in fields]
+    null (N3). The new columns are computed in the same projection as the row (J3). An array
+    longer than ``max_len`` is an error: no element is dropped silently."""
+    if max_len < 1:
+        raise ValueError("max_len must be positive")
+    arr = F.when(F.size(col(array_col)) > max_len, F.raise_error(F.lit(
+        f"widen_array: {array_col} holds more than {max_len} elements"))).otherwise(col(array_col))
+    new = [F.get(arr, i)[f].alias(f"{i}{sep}{f}") for i in range(max_len) for f in fields]
     res = df.select("*", *new)
     return res.drop(array_col) if drop else res  # P3
 
@@ -91,7 +96,11 @@ def widen_rows(df: DataFrame, parent: Sequence[str], position: str, fields: Sequ
                max_len: int, sep: str = ".") -> DataFrame:
     """Flat form of N3: child rows (parent, position, fields) -> one row per parent with
     columns <i><sep><field>. A pivot over a fixed position list, planned as a hash aggregate
-    with partial aggregation."""
+    with partial aggregation. A position outside 0 to max_len - 1 is an error: no child is
+    dropped silently."""
+    outside = (col(position) < 0) | (col(position) >= max_len)
+    df = df.withColumn(position, F.when(outside, F.raise_error(F.lit(
+        f"widen_rows: {position} outside 0 to {max_len - 1}"))).otherwise(col(position)))
     g = df.groupBy(*[col(p) for p in parent]).pivot(position, list(range(max_len)))
     res = g.agg(*[F.first(col(f), ignorenulls=True).alias(f) for f in fields])
     if len(fields) == 1:
@@ -122,8 +131,13 @@ def drop_last_rows(df: DataFrame, parent: Sequence[str], order: Sequence[str]) -
     counted = (df.groupBy(*[col(p) for p in parent], rec.alias("__rec"))
                .agg(F.count(F.lit(1)).alias("__n")))
     last = counted.groupBy(*[col(p) for p in parent]).agg(F.max("__rec").alias("__last"))
-    j = counted.join(last, list(parent))
-    keep = F.when(F.col("__rec") == F.col("__last"), F.col("__n") - 1).otherwise(F.col("__n"))
+    # A null parent is a parent like any other.
+    last = last.select(*[col(p).alias(f"__p{i}") for i, p in enumerate(parent)], "__last")
+    same = F.lit(True)
+    for i, p in enumerate(parent):
+        same = same & col(p).eqNullSafe(F.col(f"__p{i}"))
+    j = counted.join(last, same)
+    keep = F.when(F.col("__rec").eqNullSafe(F.col("__last")), F.col("__n") - 1).otherwise(F.col("__n"))
     j = j.withColumn("__k", keep).filter(F.col("__k") > 0)
     j = j.withColumn("__rep", F.explode(F.sequence(F.lit(1), F.col("__k").cast("int"))))
     return j.select(*[col(p) for p in parent],
