@@ -10,8 +10,6 @@ survives and no session setting is needed to override a key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,11 +26,13 @@ def _c(x: Colish) -> Column:
 
 
 def url_base(url: Colish) -> Column:
-    """scheme://host/path: fragment and query removed, scheme lower-cased."""
+    """scheme://host/path: fragment, query and path parameters removed, scheme lower-cased."""
     head = F.regexp_extract(_c(url), r"^([^?#]*)", 1)
     scheme = F.regexp_extract(head, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     rest = F.when(scheme == "", head).otherwise(F.substring(head, F.length(scheme) + 2, 1 << 30))
     rest = F.when(rest.startswith("//"), F.substring(rest, 3, 1 << 30)).otherwise(rest)
+    # Path parameters: from the first ';' of the last path segment on.
+    rest = F.regexp_replace(rest, r"^([^/]*/.*?);[^/]*$", "$1")
     return F.concat(F.lower(scheme), F.lit("://"), rest)
 
 
@@ -42,8 +42,8 @@ def url_query(url: Colish) -> Column:
 
 
 def _decode(s: Column) -> Column:
-    # '+' is a space; percent escapes decode as UTF-8; a malformed escape keeps the raw text.
-    return F.coalesce(F.try_url_decode(s), F.regexp_replace(s, r"\+", " "))
+    # '+' is a space; percent escapes decode as UTF-8; a '%' that starts no escape stays as it is.
+    return F.url_decode(F.regexp_replace(s, r"%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def url_pairs(url: Colish) -> Column:
@@ -120,8 +120,3 @@ def replace_param(url: Colish, key: str, value: Colish) -> Column:
 def absolute_link(link: Colish, base: str, suffix: str = "") -> Column:
     """Base + relative link + suffix."""
     return F.concat(F.lit(base), _c(link), F.lit(suffix))
-
-
-def param_rows(url: Colish) -> Sequence[Column]:
-    """Columns for a one-row-per-parameter view: pos, key, value."""
-    return [F.posexplode(url_pairs(url))]
