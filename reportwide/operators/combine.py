@@ -22,6 +22,17 @@ _RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4, T.Float
          T.DoubleType: 6}
 
 
+# Decimal digits of the whole-number types.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _decimal(t: T.DataType) -> T.DecimalType | None:
+    """The decimal type that holds every value of a decimal or whole-number type."""
+    if isinstance(t, T.DecimalType):
+        return t
+    return T.DecimalType(_DIGITS[type(t)], 0) if type(t) in _DIGITS else None
+
+
 def widen(a: T.DataType, b: T.DataType) -> T.DataType:
     """The narrowest type both a and b convert to without loss of kind."""
     if a == b:
@@ -32,10 +43,21 @@ def widen(a: T.DataType, b: T.DataType) -> T.DataType:
         return a
     ra, rb = _RANK.get(type(a)), _RANK.get(type(b))
     if ra and rb:
-        return a if ra >= rb else b
-    if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
-        if (ra or isinstance(a, T.DecimalType)) and (rb or isinstance(b, T.DecimalType)):
+        # A float holds 24 bits: whole numbers of 32 or 64 bits beside one need a double.
+        if {T.FloatType} & {type(a), type(b)} and min(ra, rb) in (3, 4):
             return T.DoubleType()
+        return a if ra >= rb else b
+    if (_decimal(a) or ra) and (_decimal(b) or rb):
+        da, db = _decimal(a), _decimal(b)
+        if da and db:
+            scale = max(da.scale, db.scale)
+            whole = max(da.precision - da.scale, db.precision - db.scale)
+            if whole + scale > 38:
+                raise ValueError(f"{a.simpleString()} and {b.simpleString()} have no common decimal type")
+            return T.DecimalType(whole + scale, scale)
+        return T.DoubleType()
+    if {type(a), type(b)} == {T.TimestampType, T.TimestampNTZType}:
+        return T.TimestampType()
     if {type(a), type(b)} == {T.DateType, T.TimestampType}:
         return T.TimestampType()
     if {type(a), type(b)} == {T.DateType, T.TimestampNTZType}:
