@@ -143,12 +143,17 @@ def date_windows(df: DataFrame, start: Colish, unit: str, value: int,
     return out.withColumn("predicate", predicate_text("win_start", "win_end", field, extra))
 
 
-def month_windows_until(df: DataFrame, start: Colish, now: Colish, max_windows: int = 180,
+def month_windows_until(df: DataFrame, start: Colish, now: Colish, max_windows: int | None = None,
                         index: str = "i") -> DataFrame:
     """Month windows [d, d + 1 month - 1 day] from start; the first window always, then
-    one more per month while its start is not after ``now``; at most ``max_windows``."""
+    one more per month while its start is not after ``now``; all of them unless ``max_windows`` limits them."""
     s = F.to_date(_c(start))
-    out = df.withColumn(index, F.explode(F.sequence(F.lit(0), F.lit(max_windows - 1))))
+    end = F.to_date(_c(now).cast("timestamp_ntz"))
+    months = (F.year(end) - F.year(s)) * 12 + F.month(end) - F.month(s)
+    last = F.greatest(F.coalesce(months, F.lit(0)), F.lit(0))
+    if max_windows is not None:
+        last = F.least(last, F.lit(max_windows - 1))
+    out = df.withColumn(index, F.explode(F.sequence(F.lit(0), last)))
     i = F.col(index)
     m0 = F.trunc(s, "month")
     mi = F.add_months(m0, i)
