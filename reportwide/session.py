@@ -69,13 +69,16 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only when the session has none (tests)."""
+    """The shared checkpoint folder. A local master without one gets a temporary folder; a
+    cluster must name it, as its executors share no local folder."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="reportwide-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
