@@ -60,11 +60,12 @@ def page_stream(spark: SparkSession, path: str, record: T.StructType,
 
 def ingest_pages(spark: SparkSession, src: str, record: T.StructType, sink: str,
                  checkpoint: str, dedup_keys: Sequence[str] | None = None,
-                 event_time: str | None = None, delay: str = "1 day") -> int:
+                 event_time: str | None = None, delay: str | None = None) -> int:
     """T1 (and T2 with ``dedup_keys``): append every newly landed record to ``sink`` once.
 
-    With ``event_time`` the de-duplication state is bounded by a watermark
-    (``dropDuplicatesWithinWatermark``); without it, state keeps every key seen.
+    With ``event_time`` and a ``delay`` the de-duplication state is bounded by a watermark
+    (``dropDuplicatesWithinWatermark``), and rows later than that are not taken; without a delay
+    (back-fills of any age) state keeps every key seen and no row is lost.
     Returns the number of micro-batches run.
     """
     if dedup_keys and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
@@ -74,7 +75,7 @@ def ingest_pages(spark: SparkSession, src: str, record: T.StructType, sink: str,
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     stream = page_stream(spark, src, record)
     if dedup_keys:
-        if event_time:
+        if event_time and delay:
             # Watermarks need a session-zone timestamp; a local (NTZ) time is read as UTC.
             stream = (stream.withColumn("__et", F.col(event_time).cast("timestamp"))
                       .withWatermark("__et", delay)
