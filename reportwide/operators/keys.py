@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportwide.operators.wide import col
@@ -28,6 +28,13 @@ def column_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def schema_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, position, dtype) from the schemas alone; no table is read."""
+    rows = [(name, f.name, i, f.dataType.simpleString())
+            for name, df in tables.items() for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, position int, dtype string")
+
+
 def common_columns(catalog: DataFrame, a: str, b: str) -> DataFrame:
     """Columns present in both tables (U3), with each side's non-null count."""
     left = catalog.filter(F.col("table_name") == a).select(

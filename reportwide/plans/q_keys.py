@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from reportwide.operators.combine import compact
 from reportwide.operators.keys import (candidate_keys, column_catalog, column_overlap,
-                                       common_columns, running_keys)
+                                       common_columns, running_keys, schema_catalog)
 from reportwide.plans.registry import register, table
 from reportwide.plans.reports import EVENTS_REPORTS, _report_cte, build_report
 from reportwide.session import work_path
@@ -86,7 +86,8 @@ _CATALOG_SQL = "\nUNION ALL\n".join(
           "b.non_null AS non_null_b FROM cat a JOIN cat b USING (column_name) "
           "WHERE a.table_name = 'r_summary' AND b.table_name = 'r_error'")
 def q_common_columns(spark: SparkSession, sf_dir: str):
-    cat = column_catalog(_catalog_tables(spark, sf_dir))
+    tables = _catalog_tables(spark, sf_dir)
+    cat = column_catalog({t: tables[t] for t in ("r_summary", "r_error")})
     return common_columns(cat, "r_summary", "r_error")
 
 
@@ -96,7 +97,7 @@ def q_common_columns(spark: SparkSession, sf_dir: str):
           "shared FROM cat a JOIN cat b USING (column_name) WHERE a.table_name < b.table_name "
           "GROUP BY 1, 2")
 def q_column_overlap(spark: SparkSession, sf_dir: str):
-    return column_overlap(column_catalog(_catalog_tables(spark, sf_dir)))
+    return column_overlap(schema_catalog(spark, _catalog_tables(spark, sf_dir)))
 
 
 def _candidate_sql() -> str:
