@@ -57,9 +57,10 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     while not jump.filter("up is not null").isEmpty() and (1 << (len(jumps) - 1)) <= size:
         above = jump.select(F.col("node").alias("up"), F.col("up").alias("up2"),
                             F.col("score").alias("more"), F.col("depth").alias("steps"))
-        jump = materialize(jump.join(above, "up", "left").select(
+        jump = materialize(jump.filter("up is not null").join(above, "up").select(
             "node", F.col("up2").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth")), f"jump{len(jumps)}")
+            (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth"))
+            .union(jump.filter("up is null").select("node", "up", "score", "depth")), f"jump{len(jumps)}")
         jumps.append(jump)
     # A jump that is still open after more steps than there are messages is on a cycle.
     total = jump.filter("up is null").select("node", "score", "depth")
