@@ -16,6 +16,7 @@ by the bucket count and by ``final_rows``, never by the table.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
@@ -208,6 +209,13 @@ def _t(x: float) -> float:
     return math.copysign(math.log1p(abs(x)), x)
 
 
+def _between(a: float, b: float, frac: float) -> float:
+    """Linear interpolation from a to b; an infinite lower neighbour stays infinite."""
+    if not frac or a == b or (math.isinf(a) and not math.isinf(b)):
+        return a
+    return a + frac * (b - a)
+
+
 def exact_quantiles(values: DataFrame, probs: Sequence[float],
                     stats: Sequence[tuple[str, int, float, float]] | None = None,
                     bins: int = 4096, final_rows: int = 200_000, max_rounds: int = 64,
@@ -251,7 +259,9 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float],
             bands.setdefault((c, s["lo"], s["hi"], s["log"]), len(bands))
         band_rows = []
         for (c, lo, hi, log_mode), bid in bands.items():
-            tlo, thi = (_t(lo), _t(hi)) if log_mode else (lo, hi)
+            # Buckets span finite values; infinities fall in the first and last bucket.
+            flo, fhi = max(lo, -sys.float_info.max), min(hi, sys.float_info.max)
+            tlo, thi = (_t(flo), _t(fhi)) if log_mode else (flo, fhi)
             width = (thi / 2 - tlo / 2) * 2
             if not (width > 0) or math.isinf(width):
                 width = 0.0
@@ -327,7 +337,7 @@ def exact_quantiles(values: DataFrame, probs: Sequence[float],
     out = []
     for c, p, k, k2, frac in want:
         a, b = state[(c, k)]["value"], state[(c, k2)]["value"]
-        out.append((c, float(p), _pct_name(p), float(a + frac * (b - a)) if frac else float(a)))
+        out.append((c, float(p), _pct_name(p), _between(float(a), float(b), frac)))
     schema = "column_name string, p double, p_name string, value double"
     if not out:
         return spark.createDataFrame([], schema)
