@@ -12,6 +12,7 @@ from reportwide.operators.keys import (candidate_keys, column_catalog, column_ov
 from reportwide.plans.registry import register, table
 from reportwide.plans.reports import EVENTS_REPORTS, _report_cte, build_report
 from reportwide.session import work_path
+from reportwide.sources.sinks import write_landing
 
 # ---- U1, U2, S10: orders landed as three drifting chunks, then compacted -------------------
 
@@ -40,6 +41,25 @@ def q_union_drift(spark: SparkSession, sf_dir: str):
     return spark.read.parquet(f"{base}/compact")
 
 
+@register("compact_landing",
+          "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(round(o_totalprice) AS DOUBLE) "
+          "ELSE o_totalprice END AS o_totalprice, 'order' AS rtype, o_orderstatus AS report, "
+          "CAST(date_trunc('month', o_orderdate) AS DATE) AS window_start FROM orders")
+def q_compact_landing(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "compact_landing")
+    landed = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.lit("order").alias("rtype"), F.col("o_orderstatus").alias("report"),
+        F.to_date(F.date_trunc("month", "o_orderdate")).alias("window_start"))
+    # Report F carries whole prices as bigint; type, report and window stand in folder names only.
+    whole = F.col("report").eqNullSafe("F")
+    write_landing(landed.filter(whole).withColumn("o_totalprice", F.round("o_totalprice").cast("bigint")),
+                  f"{base}/landing")
+    write_landing(landed.filter(~whole), f"{base}/landing")
+    if not compact(spark, f"{base}/landing", f"{base}/compact", n_files=4):
+        raise RuntimeError("no chunk rows")
+    return spark.read.parquet(f"{base}/compact")
+
+
 # ---- U3-U5 over the events report tables, documents and labels -----------------------------
 
 def _catalog_tables(spark: SparkSession, sf_dir: str) -> dict:

@@ -68,7 +68,8 @@ def discover(spark: SparkSession, root: str, marker: str = ".parquet.gzip",
 
     Spark writes a table as a folder of part files, so a marker in a folder name selects the
     whole folder. With ``make_df`` each table (folder or single file) is read on its own and a
-    dict {table path: DataFrame} is returned; otherwise the list of paths.
+    dict {table path: DataFrame} is returned; otherwise the list of paths. ``name=value``
+    folders between ``root`` and a file become columns.
     """
     files = list_files(spark, root, marker)
     if not make_df:
@@ -79,7 +80,7 @@ def discover(spark: SparkSession, root: str, marker: str = ".parquet.gzip",
         # the table is the path up to the end of the first component holding the marker
         end = f.find("/", i)
         tables.setdefault(f if end < 0 else f[:end], []).append(f)
-    return {t: spark.read.parquet(*[p for p in fs if not p.rsplit("/", 1)[-1].startswith(("_", "."))])
+    return {t: spark.read.option("basePath", root).parquet(*[p for p in fs if not p.rsplit("/", 1)[-1].startswith(("_", "."))])
             for t, fs in tables.items()}
 
 
