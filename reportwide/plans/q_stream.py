@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportwide.plans.registry import register, table
@@ -41,3 +42,33 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str):
         ingest_pages(spark, f"{base}/landing", EVENT_RECORD, f"{base}/table", f"{base}/ckpt",
                      dedup_keys=["event_id"], event_time="ts", delay="30 days")
     return spark.read.parquet(f"{base}/table")
+
+
+@register("stream_bad_pages",
+          "SELECT event_id, FALSE AS bad FROM events UNION ALL SELECT NULL, TRUE FROM "
+          "(SELECT row_number() OVER () AS i FROM events) WHERE i % 100 = 1")
+def q_stream_bad_pages(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "stream_bad_pages")
+    land_pages(_events(spark, sf_dir), f"{base}/landing", ["ts", "event_id"], page_size=100)
+    # Every page also lands cut in half: none of these parses, and each must be kept aside.
+    spark.read.text(f"{base}/landing").select(F.expr("left(value, length(value) div 2)").alias("value")) \
+        .write.text(f"{base}/cut")
+    ingest_pages(spark, f"{base}/{{landing,cut}}", EVENT_RECORD, f"{base}/table", f"{base}/ckpt",
+                 quarantine=f"{base}/bad")
+    good = spark.read.parquet(f"{base}/table").select("event_id", F.lit(False).alias("bad"))
+    return good.unionByName(spark.read.parquet(f"{base}/bad").select(
+        F.lit(None).cast("long").alias("event_id"), F.lit(True).alias("bad")))
+
+
+@register("stream_backfill", f"SELECT {', '.join(EVENT_COLS)} FROM events")
+def q_stream_backfill(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "stream_backfill")
+    events = _events(spark, sf_dir)
+    month = F.date_trunc("month", "ts")
+    last = events.agg(F.max(month)).first()[0]
+    # The newest month lands first, all older months (and rows without a time) in a later pull.
+    for part in (events.filter(month == F.lit(last)), events.filter(~month.eqNullSafe(F.lit(last)))):
+        land_pages(part, f"{base}/landing", ["ts", "event_id"], page_size=100)
+        ingest_pages(spark, f"{base}/landing", EVENT_RECORD, f"{base}/table", f"{base}/ckpt",
+                     dedup_keys=["event_id"])
+    return spark.read.parquet(f"{base}/table")

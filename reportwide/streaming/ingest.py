@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from reportwide.operators.paging import paginate
 
@@ -52,20 +53,42 @@ def page_schema(record: T.StructType) -> T.StructType:
 
 def page_stream(spark: SparkSession, path: str, record: T.StructType,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(page_schema(record)).options(**JSON_OPTS)
+    """The records of every page that parses; a field of another type than asked for is null."""
+    return _parsed_pages(spark, path, record, max_files_per_trigger).select(F.inline("doc.data"))
+
+
+def bad_page_stream(spark: SparkSession, path: str, record: T.StructType,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """(file, value): the raw text of every page that does not parse, has no record list, or
+    holds a field that ``page_stream`` had to make null."""
+    pages = _parsed_pages(spark, path, record, max_files_per_trigger)
+    return pages.filter("bad").select("file", "value")
+
+
+def _parsed_pages(spark: SparkSession, path: str, record: T.StructType,
+                  max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path).select(F.inline("data"))
+    full = T.StructType(page_schema(record).fields + [T.StructField("__corrupt", T.StringType())])
+    doc = F.from_json("value", full, {**JSON_OPTS, "columnNameOfCorruptRecord": "__corrupt"})
+    bad = F.col("doc.__corrupt").isNotNull() | F.col("doc.data").isNull()
+    return (reader.text(path).filter(F.length(F.trim("value")) > 0)
+            .select("value", F.col("_metadata.file_path").alias("file"), doc.alias("doc"))
+            .withColumn("bad", bad))
 
 
 def ingest_pages(spark: SparkSession, src: str, record: T.StructType, sink: str,
                  checkpoint: str, dedup_keys: Sequence[str] | None = None,
-                 event_time: str | None = None, delay: str | None = None) -> int:
+                 event_time: str | None = None, delay: str | None = None,
+                 quarantine: str | None = None) -> int:
     """T1 (and T2 with ``dedup_keys``): append every newly landed record to ``sink`` once.
 
     With ``event_time`` and a ``delay`` the de-duplication state is bounded by a watermark
     (``dropDuplicatesWithinWatermark``), and rows later than that are not taken; without a delay
-    (back-fills of any age) state keeps every key seen and no row is lost.
+    (back-fills of any age) state keeps every key seen and no row is lost. Pages that do not
+    parse in full are appended to ``quarantine`` (``sink`` with ``_quarantine`` added if not given), by a
+    second query with a checkpoint of its own.
     Returns the number of micro-batches run.
     """
     if dedup_keys and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
@@ -82,10 +105,18 @@ def ingest_pages(spark: SparkSession, src: str, record: T.StructType, sink: str,
                       .dropDuplicatesWithinWatermark(list(dedup_keys)).drop("__et"))
         else:
             stream = stream.dropDuplicates(list(dedup_keys))
-    q = (stream.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    sink, checkpoint = sink.rstrip("/"), checkpoint.rstrip("/")
+    q = _append(stream, sink, checkpoint)
+    bad = _append(bad_page_stream(spark, src, record), quarantine or f"{sink}_quarantine",
+                  f"{checkpoint}_quarantine")
+    for running in (q, bad):
+        running.awaitTermination()
+        if running.exception() is not None:
+            raise running.exception()
     return len(q.recentProgress)
+
+
+def _append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    return (stream.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True).start())
