@@ -1,6 +1,7 @@
 """Inputs on which rows, values or digits were once lost without a word."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -9,8 +10,11 @@ from pyspark.sql import types as T
 
 from reportwide.functions.dates import month_windows_until
 from reportwide.operators import flatten
-from reportwide.operators.combine import union_by_name, widen
+from reportwide.operators.combine import _file_paths, _mergeable_groups, compact, union_by_name, widen
 from reportwide.operators.keys import column_overlap, schema_catalog
+from reportwide.operators.profile import exact_quantiles
+from reportwide.sources.readers import discover
+from reportwide.sources.sinks import write_landing
 from reportwide.streaming.ingest import ingest_pages
 
 
@@ -69,3 +73,47 @@ def test_overlap_reads_no_table(spark, tmp_dir):
     out = column_overlap(schema_catalog(spark, tables))
     assert [tuple(r) for r in out.collect()] == [("a", "b", 1, "id")]
     assert "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partition_folders_become_columns(spark, tmp_dir):
+    rows = [(1, "team", "a", "2024-01-01"), (2, "team", "b", "2024-02-01")]
+    df = spark.createDataFrame(rows, "v int, rtype string, report string, window_start string")
+    write_landing(df, f"{tmp_dir}/x.parquet.gzip")
+    found, = discover(spark, tmp_dir, make_df=True).values()
+    assert compact(spark, f"{tmp_dir}/x.parquet.gzip", f"{tmp_dir}/out")
+    for got in (found, spark.read.parquet(f"{tmp_dir}/out")):
+        assert sorted(tuple(map(str, r)) for r in got.select(df.columns).collect()) == [
+            tuple(map(str, r)) for r in rows]
+
+
+def test_alternating_schemas_take_one_scan_each(spark, tmp_dir):
+    for i in range(8):
+        spark.range(i, i + 1).selectExpr(f"cast(id as {('bigint', 'double')[i % 2]}) v").coalesce(1) \
+            .write.parquet(f"{tmp_dir}/c/{i}")
+    assert len(_mergeable_groups(spark, f"{tmp_dir}/c", _file_paths(spark, f"{tmp_dir}/c", None))) == 2
+    assert compact(spark, f"{tmp_dir}/c", f"{tmp_dir}/out")
+    assert sorted(r["v"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == list(map(float, range(8)))
+
+
+def test_bad_pages_are_kept_aside(spark, tmp_dir):
+    record = T.StructType.fromDDL("id long")
+    pages = ['{"page": 1, "data": [{"id": 1}]}', '{"page": 2, "data": [{"id"', '{"page": 3}', "[]x"]
+    os.mkdir(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/p.json", "w") as f:
+        f.write("\n".join(pages) + "\n\n")
+    for _ in range(2):
+        ingest_pages(spark, f"{tmp_dir}/in", record, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    assert [r["id"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()] == [1]
+    bad = spark.read.parquet(f"{tmp_dir}/out_quarantine").collect()
+    assert sorted(r["value"] for r in bad) == sorted(pages[1:])
+
+
+@pytest.mark.parametrize("odd", [[float("inf")], [float("-inf")], [float("inf"), float("-inf")] * 40])
+def test_quantiles_beside_infinities(spark, odd):
+    values = sorted([float(i * i % 997) for i in range(3000)] + odd)
+    df = spark.createDataFrame([("c", v) for v in values], "column_name string, v double")
+    got = {r["p"]: r["value"] for r in exact_quantiles(df, [0.0, 0.25, 0.5, 1.0], final_rows=100, max_rounds=8).collect()}
+    for p, v in got.items():
+        at = p * (len(values) - 1)
+        a, b = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+        assert v == (a if a == b or at == int(at) else a + (at - int(at)) * (b - a))
