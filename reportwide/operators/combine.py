@@ -4,7 +4,8 @@ Chunks landed page by page do not agree on types: a column may be bigint in one
 double in another, null-typed where every value was missing, or absent. Parquet schema
 merging refuses bigint/double, so chunks are read per schema group and unioned by name onto
 one target schema computed up front: numeric types widen, a type only seen as null takes the
-other chunks' type, other conflicts fall back to string.
+other chunks' type, structs, arrays and maps merge part by part, other conflicts between plain
+types fall back to string. A nested type beside a plain one is an error that names the column.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,9 +64,43 @@ def widen(a: T.DataType, b: T.DataType) -> T.DataType:
         return T.TimestampType()
     if {type(a), type(b)} == {T.DateType, T.TimestampNTZType}:
         return T.TimestampNTZType()
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return _merged_struct(a, b)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widen(a.elementType, b.elementType))
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return T.MapType(widen(a.keyType, b.keyType), widen(a.valueType, b.valueType))
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    if isinstance(a, nested) or isinstance(b, nested):
+        raise ValueError(f"{a.simpleString()} and {b.simpleString()} have no common type")
     return T.StringType()
 
 
+def _merged_struct(a: T.StructType, b: T.StructType) -> T.StructType:
+    """All fields of both structs by name, in order of first sight."""
+    types = {f.name: f.dataType for f in a.fields}
+    for f in b.fields:
+        types[f.name] = widen(types[f.name], f.dataType) if f.name in types else f.dataType
+    check_case_clash(list(types))
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+def convert(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A column of type ``have`` as its widened type: struct fields are matched by name, those
+    that ``have`` lacks are null; a null struct, array or map stays null."""
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        mine = {f.name: f.dataType for f in have.fields}
+        parts = [(convert(c.getField(f.name), mine[f.name], f.dataType) if f.name in mine
+                  else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(c, lambda x: convert(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        keys = F.transform_keys(c, lambda k, _: convert(k, have.keyType, want.keyType))
+        return F.transform_values(keys, lambda _, v: convert(v, have.valueType, want.valueType))
+    return c.cast(want)
+
+
 def target_schema(frames: Sequence[DataFrame]) -> list[tuple[str, T.DataType]]:
     order: list[str] = []
     types: dict[str, T.DataType] = {}
@@ -75,7 +110,10 @@ def target_schema(frames: Sequence[DataFrame]) -> list[tuple[str, T.DataType]]:
                 order.append(f.name)
                 types[f.name] = f.dataType
             else:
-                types[f.name] = widen(types[f.name], f.dataType)
+                try:
+                    types[f.name] = widen(types[f.name], f.dataType)
+                except ValueError as e:
+                    raise ValueError(f"column {f.name!r}: {e}") from e
     check_case_clash(order)
     return [(c, types[c]) for c in order]
 
@@ -88,9 +126,10 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     target = target_schema(frames)
     aligned = []
     for df in frames:
-        have = set(df.columns)
+        have = {f.name: f.dataType for f in df.schema.fields}
         aligned.append(df.select(*[
-            (col(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in target]))
+            (convert(col(c), have[c], t) if c in have else F.lit(None).cast(t)).alias(c)
+            for c, t in target]))
     out = aligned[0]
     for df in aligned[1:]:
         out = out.unionByName(df)

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from reportwide.operators.combine import compact
+from reportwide.operators.flatten import flatten_struct
 from reportwide.operators.keys import (candidate_keys, column_catalog, column_overlap,
                                        common_columns, running_keys, schema_catalog)
 from reportwide.plans.registry import register, table
@@ -24,23 +25,42 @@ ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate"
           "WHERE o_orderstatus = 'F' UNION ALL "
           "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(trunc(o_totalprice) AS DOUBLE) AS "
           "o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'O' "
-          f"UNION ALL SELECT {ORDER_COLS}, o_orderpriority FROM orders WHERE o_orderstatus = 'P'")
+          f"UNION ALL SELECT {ORDER_COLS}, o_orderpriority FROM orders WHERE o_orderstatus IS DISTINCT "
+          "FROM 'F' AND o_orderstatus IS DISTINCT FROM 'O'")
 def q_union_drift(spark: SparkSession, sf_dir: str):
     orders = table(spark, sf_dir, "orders")
     base = work_path(spark, "union_drift")
-    # Chunk F lacks a column; chunk O carries the price as bigint (truncated), chunk P is whole.
+    # Chunk F lacks a column; chunk O carries the price as bigint (truncated), the rest is whole.
     (orders.filter(F.col("o_orderstatus") == "F").drop("o_orderpriority")
      .write.option("compression", "gzip").parquet(f"{base}/chunks/F"))
     (orders.filter(F.col("o_orderstatus") == "O")
      .withColumn("o_totalprice", F.col("o_totalprice").cast("bigint"))
      .write.option("compression", "gzip").parquet(f"{base}/chunks/O"))
-    (orders.filter(F.col("o_orderstatus") == "P")
-     .write.option("compression", "gzip").parquet(f"{base}/chunks/P"))
+    (orders.filter(~F.col("o_orderstatus").eqNullSafe("F") & ~F.col("o_orderstatus").eqNullSafe("O"))
+     .write.option("compression", "gzip").parquet(f"{base}/chunks/rest"))
     if not compact(spark, f"{base}/chunks", f"{base}/compact", n_files=4):
         raise RuntimeError("no chunk rows")
     return spark.read.parquet(f"{base}/compact")
 
 
+@register("union_nested",
+          "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(trunc(o_totalprice) AS DOUBLE) ELSE "
+          "o_totalprice END AS doc_price, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS doc_cust, "
+          "CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS doc_status FROM orders")
+def q_union_nested(spark: SparkSession, sf_dir: str):
+    base = work_path(spark, "union_nested")
+    orders = table(spark, sf_dir, "orders")
+    whole = F.struct(F.col("o_totalprice").cast("bigint").alias("price"), F.col("o_custkey").alias("cust"))
+    exact = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    # Four chunks, alternately with one struct and the other.
+    for i in range(4):
+        (orders.filter(F.col("o_orderkey") % 4 == i).select("o_orderkey", (exact if i % 2 else whole).alias("doc"))
+         .write.parquet(f"{base}/chunks/{i}"))
+    if not compact(spark, f"{base}/chunks", f"{base}/compact", n_files=4):
+        raise RuntimeError("no chunk rows")
+    return flatten_struct(spark.read.parquet(f"{base}/compact"), sep="_")
+
+
 @register("compact_landing",
           "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(round(o_totalprice) AS DOUBLE) "
           "ELSE o_totalprice END AS o_totalprice, 'order' AS rtype, o_orderstatus AS report, "
