@@ -130,7 +130,7 @@ def date_windows(df: DataFrame, start: Colish, unit: str, value: int,
         run_min = F.array_min(F.transform(
             F.sequence(F.lit(0), i), lambda j: F.dayofmonth(F.last_day(F.add_months(m0, j * value)))))
         ws = F.make_date(F.year(mi), F.month(mi), F.least(F.dayofmonth(s), run_min))
-        we = F.last_day(ws)
+        we = last_day_of_month(ws)
     else:
         m0 = F.trunc(s, "month")
         mi = F.add_months(m0, i * value * 12)
@@ -138,7 +138,7 @@ def date_windows(df: DataFrame, start: Colish, unit: str, value: int,
             F.sequence(F.lit(0), i),
             lambda j: F.dayofmonth(F.last_day(F.add_months(m0, j * value * 12)))))
         ws = F.make_date(F.year(mi), F.month(mi), F.least(F.dayofmonth(s), run_min))
-        we = F.make_date(F.year(ws) + value, F.lit(12), F.lit(31))
+        we = last_day_of_year(add_interval(ws, "years", value))
     out = out.withColumn("win_start", ws).withColumn("win_end", we)
     return out.withColumn("predicate", predicate_text("win_start", "win_end", field, extra))
 

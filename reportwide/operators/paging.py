@@ -64,9 +64,11 @@ def head(df: DataFrame, keys: Sequence[str] | Sequence[Column], n: int = 10) ->
     return df.orderBy(*order).limit(n)
 
 
-def page(df: DataFrame, order: Sequence[Column], start: int, limit: int) -> DataFrame:
-    """One offset/limit page."""
-    if start + limit <= TOP_K_LIMIT:
+def page(df: DataFrame, order: Sequence[Column], start: int, limit: int,
+         top_k_limit: int = TOP_K_LIMIT) -> DataFrame:
+    """One offset/limit page (O4). Up to ``top_k_limit`` rows deep it is a top-k; deeper pages
+    number the rows in parallel. Both give the same rows."""
+    if start + limit <= top_k_limit:
         return df.orderBy(*order).offset(start).limit(limit)
     rn = global_row_number(df, order, "__rn")
     return rn.filter((F.col("__rn") > start) & (F.col("__rn") <= start + limit)).drop("__rn")

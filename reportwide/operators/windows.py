@@ -2,9 +2,10 @@
 
 ``assign_windows`` is a range join written as an equi-join: each window is expanded into the
 calendar buckets (months by default) it touches, rows join on their own bucket, and the exact
-range test runs after the join. Spark then picks a hash join on the bucket; AQE broadcasts
-the window side only when its measured size is small, and splits a hot bucket on the row
-side. A row can meet zero, one or two windows when windows leave gaps or overlap.
+range test runs after the join. The expanded windows are computed once and counted: up to
+``BROADCAST_WINDOWS`` rows they are broadcast and the row side is not shuffled; beyond that both
+sides are shuffled on the bucket and AQE splits a hot bucket on the row side. A row can meet
+zero, one or two windows when windows leave gaps or overlap.
 
 ``request_plan`` builds report x window x page rows with ``explode`` over a literal report
 list and over page offsets, which keeps every step row-local (no join at all).
@@ -20,16 +21,21 @@ from pyspark.sql import functions as F
 
 from reportwide.functions.dates import days_inclusive, format_day, page_starts
 from reportwide.operators.wide import col
+from reportwide.session import checkpoint_dir
 
 BUCKETS = {"day": "day", "week": "week", "month": "month", "year": "year"}
 
+# Most (window, bucket) rows that are broadcast.
+BROADCAST_WINDOWS = 10_000
+
 
 def assign_windows(rows: DataFrame, ts: str, windows: DataFrame, start: str = "win_start",
                    end: str = "win_end", end_inclusive_day: bool = True,
-                   bucket: str = "month") -> DataFrame:
+                   bucket: str = "month", broadcast_rows: int = BROADCAST_WINDOWS) -> DataFrame:
     """Pair each row with every window that contains its time.
 
-    With ``end_inclusive_day`` the window covers [start, end + 1 day), i.e. whole days.
+    With ``end_inclusive_day`` the window covers [start, end + 1 day), i.e. whole days. Windows
+    of at most ``broadcast_rows`` rows, one for each bucket they touch, are broadcast.
     """
     unit = BUCKETS[bucket]
     w_start = F.col(start).cast("timestamp_ntz")
@@ -42,7 +48,11 @@ def assign_windows(rows: DataFrame, ts: str, windows: DataFrame, start: str = "w
         F.array().cast("array<timestamp_ntz>"))
     wx = (windows.withColumn("__ws", w_start).withColumn("__we", w_end)
           .withColumn("__b", F.explode(buckets)))
-    rx = rows.withColumn("__b", F.date_trunc(unit, col(ts).cast("timestamp_ntz")))
+    checkpoint_dir(windows.sparkSession)
+    wx = wx.checkpoint(eager=True)
+    if wx.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        wx = F.broadcast(wx)
+    rx =rows.withColumn("__b", F.date_trunc(unit, col(ts).cast("timestamp_ntz")))
     j = rx.join(wx, "__b")
     t = col(ts).cast("timestamp_ntz")
     return j.filter((t >= F.col("__ws")) & (t < F.col("__we"))).drop("__b", "__ws", "__we")

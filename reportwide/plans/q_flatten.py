@@ -91,6 +91,55 @@ def q_drop_last(spark: SparkSession, sf_dir: str):
                                                   "l_quantity"])
 
 
+PARENT = "CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_orderkey END"
+
+
+@register("drop_last_nullparent",
+          f"SELECT parent, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (SELECT {PARENT} AS "
+          f"parent, {LINE_COLS}, row_number() OVER (PARTITION BY {PARENT} ORDER BY l_linenumber DESC, "
+          "l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS rn FROM lineitem) WHERE rn > 1")
+def q_drop_last_nullparent(spark: SparkSession, sf_dir: str):
+    # Rows without a parent are the children of one null parent, here a third of all rows.
+    li = table(spark, sf_dir, "lineitem").select(
+        F.expr(PARENT).alias("parent"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return FL.drop_last_rows(li, ["parent"], ["l_linenumber", "l_partkey", "l_suppkey",
+                                              "l_quantity"])
+
+
+DOC_SIZE = 5
+_DOC_SQL = (f"SELECT o_orderkey, o_totalprice, (rn - 1) // {DOC_SIZE} AS page, (rn - 1) % {DOC_SIZE} AS "
+            "pos FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)")
+
+
+def order_documents(spark: SparkSession, sf_dir: str):
+    """Orders nested in documents {page, games: [{id, price}]} of at most five."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    paged = paginate(orders, [F.col("o_orderdate"), F.col("o_orderkey")], DOC_SIZE)
+    game = F.struct("row_in_page", F.struct(F.col("o_orderkey").alias("id"),
+                                            F.col("o_totalprice").alias("price")).alias("g"))
+    return paged.groupBy("page").agg(
+        F.transform(F.array_sort(F.collect_list(game)), lambda x: x["g"]).alias("games"))
+
+
+@register("widen_document",
+          "SELECT page, " + ", ".join(
+              f"max(CASE WHEN pos = {i} THEN o_orderkey END) AS \"{i}_id\", "
+              f"max(CASE WHEN pos = {i} THEN o_totalprice END) AS \"{i}_price\""
+              for i in range(DOC_SIZE)) + f" FROM ({_DOC_SQL}) GROUP BY page")
+def q_widen_document(spark: SparkSession, sf_dir: str):
+    # J3, N3 on an array inside a document.
+    return FL.widen_array(order_documents(spark, sf_dir), "games", ["id", "price"], DOC_SIZE, sep="_")
+
+
+@register("drop_last_document",
+          "SELECT page, o_orderkey AS id, o_totalprice AS price FROM (SELECT *, count(*) OVER "
+          f"(PARTITION BY page) AS n FROM ({_DOC_SQL})) WHERE pos < n - 1")
+def q_drop_last_document(spark: SparkSession, sf_dir: str):
+    # P9 on an array inside a document.
+    docs = order_documents(spark, sf_dir).withColumn("games", FL.drop_last_element("games"))
+    return FL.explode_path(docs, ["games"], keep=["page"])
+
+
 SCHEDULE_SCHEMA = ("page bigint, dates array<struct<date: string, games: array<struct<id: bigint, "
                    "status: string, price: double>>>>")
 

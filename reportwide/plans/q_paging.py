@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from reportwide.functions.dates import window_predicate
 from reportwide.operators import paging as PG
-from reportwide.operators.clean import dedup_ignoring_keys, dedup_strict
+from reportwide.operators.clean import dedup_ignoring_keys, dedup_strict, replace_with_null
+from reportwide.operators.wide import drop_columns
 from reportwide.plans.registry import register, table
 
 DOC_COLS = "doc_id, text, lang, source, n_chars"
@@ -29,6 +30,15 @@ def q_dedup_strict(spark: SparkSession, sf_dir: str):
     return dedup_strict(docs.unionByName(docs))
 
 
+@register("marker_columns",
+          "SELECT o_orderkey, o_custkey, NULLIF(o_orderstatus, 'P') AS o_orderstatus, o_orderdate, "
+          "o_orderpriority FROM orders")
+def q_marker_columns(spark: SparkSession, sf_dir: str):
+    # A marker value becomes null; a column, and a name that is not there, go.
+    orders = replace_with_null(table(spark, sf_dir, "orders"), ["o_orderstatus"], "P")
+    return drop_columns(orders, ["o_totalprice", "no_such_column"])
+
+
 # Fixed parameters of the window filter: inclusive day range and the status code kept.
 FILTER_START, FILTER_END, FILTER_STATUS = dt.date(1996, 1, 1), dt.date(1996, 12, 31), "F"
 
@@ -85,6 +95,16 @@ def q_page_one(spark: SparkSession, sf_dir: str):
     return PG.page(orders, [F.col("o_orderdate"), F.col("o_orderkey")], start=200, limit=100)
 
 
+@register("page_deep",
+          "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey "
+          "LIMIT 100 OFFSET 1000")
+def q_page_deep(spark: SparkSession, sf_dir: str):
+    # A page behind the depth that the top-k serves.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return PG.page(orders, [F.col("o_orderdate"), F.col("o_orderkey")], start=1000, limit=100,
+                   top_k_limit=500)
+
+
 @register("page_sizes",
           f"SELECT page, count(*) AS n_rows, arg_min(o_orderkey, row_in_page) AS first_id, "
           f"count(*) < {PAGE_SIZE} AS is_last FROM (SELECT o_orderkey, ({ORDER_RN} - 1) // "

@@ -4,11 +4,13 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from reportwide.operators.paging import head
+from reportwide.operators.wide import wide_join
 from reportwide.plans.registry import register, table
 from reportwide.plans.reports import (EVENTS_REPORTS, LINEITEM_REPORTS, LINEITEM_REPORTS_21,
-                                      build_wide, wide_sql)
+                                      build_report, build_wide, wide_sql)
 
 
 def events_wide(spark: SparkSession, sf_dir: str):
@@ -39,11 +41,34 @@ def q_wide_join_21(spark: SparkSession, sf_dir: str):
     return build_wide(table(spark, sf_dir, "lineitem"), LINEITEM_REPORTS_21)
 
 
-@register("wide_join_merge", wide_sql(LINEITEM_REPORTS))
+@register("wide_join_hot",
+          "SELECT l.l_linenumber, l.l_orderkey, l.l_quantity, q.max_qty, p.max_price FROM lineitem l "
+          "LEFT JOIN (SELECT l_linenumber, max(l_quantity) AS max_qty FROM lineitem GROUP BY 1) q "
+          "USING (l_linenumber) LEFT JOIN (SELECT l_linenumber, max(l_extendedprice) AS max_price "
+          "FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) p USING (l_linenumber)")
+def q_wide_join_hot(spark: SparkSession, sf_dir: str):
+    # Few keys hold all rows of the anchor: their rows are salted through the whole chain.
+    li = table(spark, sf_dir, "lineitem")
+    qty = li.groupBy("l_linenumber").agg(F.max("l_quantity").alias("max_qty"))
+    price = (li.filter(F.col("l_returnflag") == "R").groupBy("l_linenumber")
+             .agg(F.max("l_extendedprice").alias("max_price")))
+    return wide_join([li.select("l_linenumber", "l_orderkey", "l_quantity"), qty, price], ["l_linenumber"])
+
+
+@register("wide_join_unique",
+          "SELECT o_orderkey, o_custkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+def q_wide_join_unique(spark: SparkSession, sf_dir: str):
+    # Keyed right tables: the join whose columns are not read is not in the plan.
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    cust = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    spent = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spent"))
+    wide = wide_join([orders, cust, spent], ["o_custkey"], unique_right=True)
+    return wide.select("o_orderkey", "o_custkey", "c_name")
+
+
+@register("wide_join_merge",wide_sql(LINEITEM_REPORTS))
 def q_wide_join_merge(spark: SparkSession, sf_dir: str):
     # The same 14 keyed report tables as wide_join_hidim, merged by one union + group-by.
-    from reportwide.operators.wide import wide_join
-    from reportwide.plans.reports import build_report
     src = table(spark, sf_dir, "lineitem")
     reports = [build_report(src, LINEITEM_REPORTS, r) for r in LINEITEM_REPORTS.reports]
     return wide_join(reports, LINEITEM_REPORTS.key_names, strategy="merge")

@@ -107,6 +107,25 @@ def q_windows_until(spark: SparkSession, sf_dir: str):
         "o_custkey", "i", "win_start", "win_end")
 
 
+# D1-D6 on a date that arrives as text.
+@register("date_columns",
+          "SELECT o_orderkey, d AS day, last_day(d) AS month_end, make_date(year(d), 12, 31) AS year_end, "
+          "CAST(d + INTERVAL 45 DAY AS DATE) AS plus_days, CAST(d + INTERVAL 13 MONTH AS DATE) AS plus_months, "
+          "CAST(d + INTERVAL 3 YEAR AS DATE) AS plus_years, strftime(d, '%Y_%m_%d') AS stamp, "
+          "strftime(d, '%Y-%m-%d') || ' 23:59:59' AS day_end, "
+          "CAST(datediff('day', d, make_date(year(d), 12, 31)) + 1 AS INTEGER) AS days_left "
+          "FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)")
+def q_date_columns(spark: SparkSession, sf_dir: str):
+    text = table(spark, sf_dir, "orders").select("o_orderkey", D.format_day("o_orderdate").alias("text"))
+    return text.select("o_orderkey", D.parse_date("text").alias("day")).select(
+        "o_orderkey", "day", D.last_day_of_month("day").alias("month_end"),
+        D.last_day_of_year("day").alias("year_end"), D.add_interval("day", "days", 45).alias("plus_days"),
+        D.add_interval("day", "months", 13).alias("plus_months"),
+        D.add_interval("day", "years", 3).alias("plus_years"), D.format_stamp("day").alias("stamp"),
+        D.format_end_of_day("day").alias("day_end"),
+        D.days_inclusive("day", D.last_day_of_year("day")).alias("days_left"))
+
+
 MONTHS_SQL = ("SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start "
               "FROM orders")
 
