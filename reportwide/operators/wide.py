@@ -104,20 +104,26 @@ def join_left(left: DataFrame, right: DataFrame, keys: Sequence[str],
 JOINS_PER_STAGE = 8
 
 
-# A key is hot when it holds at least this share of the anchor's rows; at most 1 / share keys
-# can be hot, which bounds the broadcast table of hot keys.
+# A key is hot when it holds at least HOT_SHARE of the anchor's rows, or HOT_ROWS rows of the
+# anchor or of a right table. At most 1 / HOT_SHARE + rows / HOT_ROWS keys are hot, which bounds
+# the broadcast table of hot keys (some 200,000 keys for 10^12 rows).
 HOT_SHARE = 0.05
+HOT_ROWS = 5_000_000
 SALT_BUCKETS = 32
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Key tuples holding at least ``share`` of the rows (null keys included): a partial
-    aggregate per key, then a filter against the row count; at most 1 / share rows."""
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = HOT_SHARE,
+             rows: int = HOT_ROWS) -> DataFrame:
+    """Key tuples holding at least ``rows`` rows or ``share`` of them (null keys included): a
+    partial aggregate per key, then a filter."""
     counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__c"))
-    # The total comes from the same per-key counts, so Spark computes the shuffle once and
-    # reuses it for the scalar subquery.
-    total = counts.agg(F.sum("__c")).scalar()
-    return counts.filter(F.col("__c") >= F.lit(share) * total).select(*[col(k) for k in keys])
+    hot = F.col("__c") >= F.lit(rows)
+    if share is not None:
+        # The total comes from the same per-key counts, so Spark computes the shuffle once and
+        # reuses it for the scalar subquery.
+        total = counts.agg(F.sum("__c")).scalar()
+        hot = hot | (F.col("__c") >= F.lit(share) * total)
+    return counts.filter(hot).select(*[col(k) for k in keys])
 
 
 def _flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
@@ -127,34 +133,53 @@ def _flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     return df.join(F.broadcast(h), cond, "left").drop(*renamed.values())
 
 
-def salt_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame, buckets: int) -> DataFrame:
+def salt_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame, buckets: int,
+              name: str = "__salt") -> DataFrame:
     """Spread the rows of hot keys over ``buckets`` salt values (a hash of the whole row, so a
     re-run task assigns the same salt); other rows get salt 0."""
     cols = [col(c) for c in df.columns]
     f = _flag_hot(df, keys, hot)
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*cols), F.lit(buckets))).otherwise(F.lit(0))
-    return f.withColumn("__salt", salt.cast("int")).drop("__hot")
+    return f.withColumn(name, salt.cast("int")).drop("__hot")
+
+
+def _all_salts(buckets: int) -> Column:
+    return F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(
+        F.array(F.lit(0))))
 
 
 def replicate_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame, buckets: int) -> DataFrame:
     """Copy the rows of hot keys to every salt value so each salted piece finds its match."""
-    f = _flag_hot(df, keys, hot)
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(
-        F.array(F.lit(0)))
-    return f.withColumn("__salt", F.explode(salts)).drop("__hot")
+    return _flag_hot(df, keys, hot).withColumn("__salt", _all_salts(buckets)).drop("__hot")
+
+
+def join_right_hot(left: DataFrame, right: DataFrame, on: Sequence[str], keys: Sequence[str],
+                   hot: DataFrame, buckets: int, null_safe: bool = False) -> DataFrame:
+    """``join_left`` with a right table in which some keys are hot.
+
+    The right rows of a hot key are spread over the salts and the left rows of that key are
+    copied to each. A hot key stands in the right table, so every such left row has a match; its
+    copies that meet none belong to a salt without right rows and go.
+    """
+    copies = _flag_hot(left, keys, hot).withColumn("__rsalt", _all_salts(buckets))
+    spread = salt_rows(right, keys, hot, buckets, "__rsalt").withColumn("__met", F.lit(True))
+    j = join_left(copies, spread, [*on, "__rsalt"], null_safe)
+    return j.filter(F.col("__hot").isNull() | F.col("__met")).drop("__hot", "__met", "__rsalt")
 
 
 def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Sequence[str],
               null_safe: bool = False, unique_right: bool = False, strategy: str = "chain",
               joins_per_stage: int = JOINS_PER_STAGE, hot_share: float | None = HOT_SHARE,
-              salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+              salt_buckets: int = SALT_BUCKETS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Wide table of the report tables on the keys; the first table is the anchor.
 
     ``strategy="chain"`` folds ``join_left`` over the tables (exact left-join semantics,
-    duplicate right keys repeat rows). Anchor keys holding at least ``hot_share`` of its rows
-    are salted: their rows are spread over ``salt_buckets`` partitions and the matching right
-    rows are copied to each, so no single task carries a hot key through the whole chain
-    (``hot_share=None`` turns this off; without a hot key the plan is the plain chain). ``strategy="merge"`` is for keyed report tables (at
+    duplicate right keys repeat rows). Anchor keys holding ``hot_rows`` rows or ``hot_share`` of
+    them are salted: their rows are spread over ``salt_buckets`` partitions and the matching right
+    rows are copied to each, so no single task carries a hot key through the whole chain. Keys
+    with ``hot_rows`` rows of a right table are spread in that table's join (``join_right_hot``).
+    ``hot_share=None`` turns both off, ``unique_right`` the second; without a hot key the plan is
+    the plain chain. ``strategy="merge"`` is for keyed report tables (at
     most one row per key in every table): all tables are unioned and grouped once by the
     keys, one shuffle and one aggregate however many tables there are; a repeated key stops
     the job with an error instead of giving a different answer.
@@ -171,23 +196,34 @@ def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Seque
     hot = None
     if hot_share is not None and not 0 < hot_share <= 1:
         raise ValueError("hot_share must be in (0, 1]")
+    checkpoint_dir(acc.sparkSession)
     if hot_share is not None and len(frames) > 1:
         check_keys(acc, keys)
-        # One small job finds the hot keys (at most 1 / hot_share of them). Salting costs a
-        # shuffle on (keys, salt) per table, so it is planned only when a hot key exists.
-        found = hot_keys(acc, keys, hot_share).limit(int(1 / hot_share) + 1).collect()
-        if found:
-            hot = acc.sparkSession.createDataFrame(found, acc.select(*[col(k) for k in keys]).schema)
+        # A job over the keys finds the hot ones. Salting costs a shuffle on (keys, salt) per
+        # table, so it is planned only when a hot key exists.
+        found = hot_keys(acc, keys, hot_share, hot_rows).checkpoint()
+        if not found.isEmpty():
+            hot = found
             acc = salt_rows(acc, keys, hot, salt_buckets)
             join_keys = list(keys) + ["__salt"]
     for i, t in enumerate(frames[1:]):
         if i and joins_per_stage and i % joins_per_stage == 0:
-            checkpoint_dir(acc.sparkSession)
             acc = acc.checkpoint(eager=True)
+        right_hot = None
+        if hot_share is not None and not unique_right:
+            check_keys(t, keys)
+            found = hot_keys(t, keys, None, hot_rows)
+            if not null_safe:  # a null key meets no row
+                found = found.dropna()
+            found = found.checkpoint()
+            right_hot = None if found.isEmpty() else found
         if hot is not None:
             check_keys(t, keys)
             t = replicate_hot(t, keys, hot, salt_buckets)
-        acc = join_left(acc, t, join_keys, null_safe, unique_right)
+        if right_hot is not None:
+            acc = join_right_hot(acc, t, join_keys, keys, right_hot, salt_buckets, null_safe)
+        else:
+            acc = join_left(acc, t, join_keys, null_safe, unique_right)
     return acc.drop("__salt") if hot is not None else acc
 
 

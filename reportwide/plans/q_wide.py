@@ -55,6 +55,17 @@ def q_wide_join_hot(spark: SparkSession, sf_dir: str):
     return wide_join([li.select("l_linenumber", "l_orderkey", "l_quantity"), qty, price], ["l_linenumber"])
 
 
+@register("wide_join_right_hot",
+          "SELECT s.l_linenumber, s.n_lines, l.l_orderkey, l.l_quantity FROM (SELECT l_linenumber, "
+          "count(*) AS n_lines FROM lineitem GROUP BY 1) s LEFT JOIN lineitem l USING (l_linenumber)")
+def q_wide_join_right_hot(spark: SparkSession, sf_dir: str):
+    # A right table with many rows of one key: they are spread, the anchor's row is copied.
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n_lines"))
+    return wide_join([lines, li.select("l_linenumber", "l_orderkey", "l_quantity")], ["l_linenumber"],
+                     hot_rows=500)
+
+
 @register("wide_join_unique",
           "SELECT o_orderkey, o_custkey, c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def q_wide_join_unique(spark: SparkSession, sf_dir: str):
