@@ -52,7 +52,7 @@ def q_union_nested(spark: SparkSession, sf_dir: str):
     orders = table(spark, sf_dir, "orders")
     whole = F.struct(F.col("o_totalprice").cast("bigint").alias("price"), F.col("o_custkey").alias("cust"))
     exact = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
-    # Four chunks, alternately with one struct and the other.
+    # Four chunks that together hold every row, alternately with one struct and the other.
     for i in range(4):
         (orders.filter(F.col("o_orderkey") % 4 == i).select("o_orderkey", (exact if i % 2 else whole).alias("doc"))
          .write.parquet(f"{base}/chunks/{i}"))
