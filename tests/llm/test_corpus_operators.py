@@ -204,6 +204,49 @@ def test_license_prefilter_drops_no_detection(sf):
                 assert keywords & set(m[0].decode().split()) and any(g in b" " + joined + b" " for g in license_scan.GATE)
 
 
+def spellings(pattern, rng, n):
+    """Random texts that a pattern matches."""
+    from re import _parser
+
+    def one(parsed):
+        out = ""
+        for op, arg in parsed:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "IN":
+                kind, v = arg[rng.integers(len(arg))]
+                out += chr(v) if str(kind) == "LITERAL" else "a"
+            elif op == "BRANCH":
+                out += one(arg[1][rng.integers(len(arg[1]))])
+            elif op == "SUBPATTERN":
+                out += one(arg[3])
+            elif op == "MAX_REPEAT":
+                out += "".join(one(arg[2]) for _ in range(rng.integers(arg[0], min(int(arg[1]), 12) + 1)))
+            else:
+                assert op == "ASSERT_NOT"
+        return out
+    return {one(_parser.parse(pattern)) for _ in range(n)}
+
+
+@pytest.mark.parametrize("text,label", [
+    ("distributed under the GPL version 2", "gpl"), ("released under the GNU GPL v3", "gpl"), ("MPL-2.0", "mpl"),
+    ("BSD-3-Clause", "bsd"), ("Apache-2.0", "apache")])
+def test_license_found_without_other_license_words(text, label):
+    assert license_scan.scan_text(f"some words {text} and more".encode())[5] == label
+
+
+def test_license_rules_find_texts_made_from_their_pattern():
+    """A text made from a rule's pattern has a detection that covers the rule's match."""
+    rng = np.random.default_rng(3)
+    for _p, _s, label, keywords, regex in license_scan.rules():
+        for text in spellings(regex.pattern.decode(), rng, 20):
+            joined = b" ".join(text.encode().translate(license_scan.ALNUM_TABLE).split())
+            m = regex.search(joined)
+            if m and keywords & set(joined.decode().split()):
+                assert any(a <= m.start() and m.end() <= z for a, z, *_ in license_scan.scan_text(text.encode())[7]), (label, text)
+
+
 # --- 4: chat trees
 
 def test_tree_paths_ranked_and_formatted(spark):
