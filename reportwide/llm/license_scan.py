@@ -28,50 +28,50 @@ from reportwide.llm.words import ALNUM_TABLE
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"),
         ("cc by", "cc-by"), ("mit license", "mit"))
 
-# (label, keyword that any detection holds, names as regexes, SPDX identifier as words, versions)
+# (label, keywords: every spelling of every name and identifier holds one, names as regexes, SPDX identifier as words, versions)
 FAMILIES = (
     ("gpl", ("gpl", "gnu"), (r"gnu general public licen[cs]e", r"gnu gpl", r"gpl"), r"gpl", r"[123]( 0)?"),
-    ("lgpl", ("lgpl", "lesser", "library"), (r"gnu (lesser|library) general public licen[cs]e", r"gnu lgpl", r"lgpl"), r"lgpl", r"[23]( [01])?"),
+    ("lgpl", ("lgpl", "gnu"), (r"gnu (lesser|library) general public licen[cs]e", r"gnu lgpl", r"lgpl"), r"lgpl", r"[23]( [01])?"),
     ("agpl", ("agpl", "affero"), (r"gnu affero general public licen[cs]e", r"affero gpl", r"agpl"), r"agpl", r"[13]( 0)?"),
-    ("gfdl", ("gfdl", "documentation"), (r"gnu free documentation licen[cs]e", r"gfdl"), r"gfdl", r"1 [123]"),
+    ("gfdl", ("gfdl", "gnu"), (r"gnu free documentation licen[cs]e", r"gfdl"), r"gfdl", r"1 [123]"),
     ("apache", ("apache",), (r"apache software licen[cs]e", r"apache licen[cs]e", r"apache"), r"apache", r"[12]( [01])?"),
     ("mit", ("mit",), (r"mit licen[cs]e", r"mit x11 licen[cs]e", r"mit"), r"mit", r"0"),
     ("bsd", ("bsd",), (r"(new |modified |simplified )?bsd licen[cs]e", r"bsd", r"(two|three|four|[0234]) clause bsd( licen[cs]e)?"), r"bsd", r"[0234] clause"),
-    ("isc", ("isc",), (r"isc licen[cs]e", r"internet systems consortium licen[cs]e"), r"isc", r"1"),
+    ("isc", ("isc", "consortium"), (r"isc licen[cs]e", r"internet systems consortium licen[cs]e"), r"isc", r"1"),
     ("mpl", ("mpl", "mozilla"), (r"mozilla public licen[cs]e", r"mpl"), r"mpl", r"[12] [01]"),
     ("epl", ("epl", "eclipse"), (r"eclipse public licen[cs]e", r"epl"), r"epl", r"[12] 0"),
     ("edl", ("edl", "eclipse"), (r"eclipse distribution licen[cs]e", r"edl"), r"edl", r"1 0"),
-    ("cddl", ("cddl", "development"), (r"common development and distribution licen[cs]e", r"cddl"), r"cddl", r"1 [01]"),
-    ("cpl", ("cpl", "common"), (r"common public licen[cs]e", r"cpl"), r"cpl", r"1 0"),
-    ("eupl", ("eupl", "union"), (r"european union public licen[cs]e", r"eupl"), r"eupl", r"1 [012]"),
+    ("cddl", ("cddl", "license", "licence"), (r"common development and distribution licen[cs]e", r"cddl"), r"cddl", r"1 [01]"),
+    ("cpl", ("cpl", "license", "licence"), (r"common public licen[cs]e", r"cpl"), r"cpl", r"1 0"),
+    ("eupl", ("eupl", "license", "licence"), (r"european union public licen[cs]e", r"eupl"), r"eupl", r"1 [012]"),
     ("artistic", ("artistic",), (r"(perl )?artistic licen[cs]e", r"clarified artistic licen[cs]e"), r"artistic", r"[12] 0"),
     ("zlib", ("zlib", "libpng"), (r"zlib licen[cs]e", r"zlib libpng licen[cs]e"), r"zlib", r"1"),
     ("boost", ("boost", "bsl"), (r"boost software licen[cs]e", r"bsl"), r"bsl", r"1 0"),
-    ("unlicense", ("unlicense",), (r"the unlicen[cs]e", r"unlicen[cs]e"), r"unlicense", r"1"),
-    ("wtfpl", ("wtfpl", "want"), (r"do what the f\w+ you want to public licen[cs]e", r"wtfpl"), r"wtfpl", r"[12]( 0)?"),
+    ("unlicense", ("unlicense", "unlicence"), (r"the unlicen[cs]e", r"unlicen[cs]e"), r"unlicense", r"1"),
+    ("wtfpl", ("wtfpl", "license", "licence"), (r"do what the f\w+ you want to public licen[cs]e", r"wtfpl"), r"wtfpl", r"[12]( 0)?"),
     ("cc0", ("cc0", "zero"), (r"creative commons zero", r"cc0"), r"cc0", r"1 0"),
     ("cc-by", ("cc", "creative"), (r"creative commons attribution( \d 0)?( international)?( licen[cs]e)?", r"cc by"), r"cc by", r"[1234] [05]"),
-    ("cc-by-sa", ("cc", "sharealike", "share"), (r"creative commons attribution share ?alike( licen[cs]e)?", r"cc by sa"), r"cc by sa", r"[1234] [05]"),
-    ("cc-by-nc", ("cc", "noncommercial", "non"), (r"creative commons attribution non ?commercial( licen[cs]e)?", r"cc by nc"), r"cc by nc", r"[1234] [05]"),
-    ("cc-by-nd", ("cc", "noderivatives", "no"), (r"creative commons attribution no ?deriv(ative)?s( licen[cs]e)?", r"cc by nd"), r"cc by nd", r"[1234] [05]"),
-    ("cc-by-nc-sa", ("cc", "noncommercial"), (r"creative commons attribution non ?commercial share ?alike", r"cc by nc sa"), r"cc by nc sa", r"[1234] [05]"),
-    ("cc-by-nc-nd", ("cc", "noncommercial"), (r"creative commons attribution non ?commercial no ?deriv(ative)?s", r"cc by nc nd"), r"cc by nc nd", r"[1234] [05]"),
-    ("ofl", ("ofl", "sil"), (r"sil open font licen[cs]e", r"open font licen[cs]e", r"ofl"), r"ofl", r"1 [01]"),
-    ("odbl", ("odbl", "database"), (r"open database licen[cs]e", r"odbl"), r"odbl", r"1 0"),
-    ("odc-by", ("odc", "open"), (r"open data commons attribution licen[cs]e", r"odc by"), r"odc by", r"1 0"),
-    ("pddl", ("pddl", "domain"), (r"public domain dedication and licen[cs]e", r"pddl"), r"pddl", r"1 0"),
+    ("cc-by-sa", ("cc", "creative"), (r"creative commons attribution share ?alike( licen[cs]e)?", r"cc by sa"), r"cc by sa", r"[1234] [05]"),
+    ("cc-by-nc", ("cc", "creative"), (r"creative commons attribution non ?commercial( licen[cs]e)?", r"cc by nc"), r"cc by nc", r"[1234] [05]"),
+    ("cc-by-nd", ("cc", "creative"), (r"creative commons attribution no ?deriv(ative)?s( licen[cs]e)?", r"cc by nd"), r"cc by nd", r"[1234] [05]"),
+    ("cc-by-nc-sa", ("cc", "creative"), (r"creative commons attribution non ?commercial share ?alike", r"cc by nc sa"), r"cc by nc sa", r"[1234] [05]"),
+    ("cc-by-nc-nd", ("cc", "creative"), (r"creative commons attribution non ?commercial no ?deriv(ative)?s", r"cc by nc nd"), r"cc by nc nd", r"[1234] [05]"),
+    ("ofl", ("ofl", "font"), (r"sil open font licen[cs]e", r"open font licen[cs]e", r"ofl"), r"ofl", r"1 [01]"),
+    ("odbl", ("odbl", "license", "licence"), (r"open database licen[cs]e", r"odbl"), r"odbl", r"1 0"),
+    ("odc-by", ("odc", "commons"), (r"open data commons attribution licen[cs]e", r"odc by"), r"odc by", r"1 0"),
+    ("pddl", ("pddl", "dedication"), (r"public domain dedication and licen[cs]e", r"pddl"), r"pddl", r"1 0"),
     ("psf", ("psf", "python"), (r"python software foundation licen[cs]e", r"psf licen[cs]e"), r"psf", r"2( 0)?"),
     ("ruby", ("ruby",), (r"ruby licen[cs]e",), r"ruby", r"1"),
     ("php", ("php",), (r"php licen[cs]e",), r"php", r"3 0[01]?"),
     ("openssl", ("openssl", "ssleay"), (r"openssl licen[cs]e", r"ssleay licen[cs]e"), r"openssl", r"1"),
     ("postgresql", ("postgresql",), (r"postgresql licen[cs]e",), r"postgresql", r"1"),
     ("afl", ("afl", "academic"), (r"academic free licen[cs]e", r"afl"), r"afl", r"[123] [012]"),
-    ("osl", ("osl", "open"), (r"open software licen[cs]e", r"osl"), r"osl", r"[123] [01]"),
+    ("osl", ("osl", "license", "licence"), (r"open software licen[cs]e", r"osl"), r"osl", r"[123] [01]"),
     ("ms-pl", ("microsoft", "ms"), (r"microsoft public licen[cs]e", r"ms pl"), r"ms pl", r"1"),
     ("ms-rl", ("microsoft", "ms"), (r"microsoft reciprocal licen[cs]e", r"ms rl"), r"ms rl", r"1"),
-    ("upl", ("upl", "universal"), (r"universal permissive licen[cs]e", r"upl"), r"upl", r"1 0"),
-    ("bsl-business", ("business", "busl"), (r"business source licen[cs]e", r"busl"), r"busl", r"1 [01]"),
-    ("sspl", ("sspl", "server"), (r"server side public licen[cs]e", r"sspl"), r"sspl", r"1( 0)?"),
+    ("upl", ("upl", "permissive"), (r"universal permissive licen[cs]e", r"upl"), r"upl", r"1 0"),
+    ("bsl-business", ("busl", "license", "licence"), (r"business source licen[cs]e", r"busl"), r"busl", r"1 [01]"),
+    ("sspl", ("sspl", "license", "licence"), (r"server side public licen[cs]e", r"sspl"), r"sspl", r"1( 0)?"),
 )
 
 # (name, priority, score, pattern with the family's name, identifier and version in place)

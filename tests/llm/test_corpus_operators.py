@@ -247,6 +247,23 @@ def test_license_rules_find_texts_made_from_their_pattern():
                 assert any(a <= m.start() and m.end() <= z for a, z, *_ in license_scan.scan_text(text.encode())[7]), (label, text)
 
 
+@pytest.mark.parametrize("text,label", [
+    ("Internet Systems Consortium license", "isc"), ("the unlicence", "unlicense"), ("Open Font License", "ofl"),
+    ("Creative Commons Attribution NoDerivs", "cc-by-nd"),
+    ("Creative Commons Attribution Non-Commercial Share Alike", "cc-by-nc-sa"),
+    ("Creative Commons Attribution Non-Commercial No Derivs", "cc-by-nc-nd")])
+def test_license_spelled_out_names(text, label):
+    assert license_scan.scan_text(text.encode())[5] == label
+
+
+def test_license_keywords_are_in_every_spelling():
+    rng = np.random.default_rng(4)
+    for label, keywords, names, spdx, _version in license_scan.FAMILIES:
+        for pattern in [*names, spdx]:
+            for text in spellings(pattern, rng, 300):
+                assert set(keywords) & set(text.split()), (label, text)
+
+
 # --- 4: chat trees
 
 def test_tree_paths_ranked_and_formatted(spark):
