@@ -255,8 +255,8 @@ def _dealt(df: DataFrame, key: str, size: str, block: int = BLOCK) -> DataFrame:
             .drop("other", size).repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi"))
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, n_links for every row of ``docs``."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, th, node) of ``docs``, and (node, comp, class_id, n_links) of every set."""
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     rows = materialize(texts.mapInArrow(
@@ -293,16 +293,30 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
             .select("node", F.coalesce("comp", "node").alias("comp"), "first_id",
                     (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links")))
     classes = info.groupBy("comp").agg(F.min("first_id").alias("class_id"))
-    info = materialize(info.join(classes, "comp").select("node", "class_id", "n_links"), "classes")
+    info = materialize(info.join(classes, "comp").select("node", "comp", "class_id", "n_links"), "classes")
+    return rows.select("doc_id", "th", "node"), info
+
+
+def jaccard_classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, n_links for every row of ``docs``."""
+    rows, info = _classes(docs)
     return rows.select("doc_id", "node").join(info, "node", "left").select(
         "doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their class's smallest; of rows that share it, one."""
-    kept = jaccard_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = materialize(kept.groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")), "kept")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return (rows.filter("__n = 1").union(rows.filter("__n > 1").dropDuplicates(["doc_id"]))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """One row of ``docs`` for each class, of the smallest doc_id (null last); rows without words all stay."""
+    rows, info = _classes(docs)
+    texts = rows.filter("node is not null").groupBy("doc_id", "th", "node").agg(F.count(F.lit(1)).alias("n"))
+    kept = (texts.join(info.select("node", "comp"), "node").groupBy("comp")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "n")).alias("k")))
+    kept = materialize(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.th").alias("__key"),
+                                   F.col("k.n").alias("__n")), "kept")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = (docs.filter(has_words).withColumn("__th", F.xxhash64("text"))
+             .join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("__key"))))
+    # Rows of one doc_id and text are copies: one of them stays.
+    one = found.filter("__n = 1").union(found.filter("__n > 1").dropDuplicates(["doc_id", "__th"]))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return one.select(*columns).union(docs.filter(~has_words).select(*columns))

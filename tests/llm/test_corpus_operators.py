@@ -504,6 +504,20 @@ def test_one_of_each_keeps_whole_rows(docs):
     assert kept == want
 
 
+def test_one_of_each_under_null_and_equal_ids(spark):
+    """One row of each class, whatever ids its rows have."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    rows = [(None, a), (None, b), (None, c), (None, c), (1, d), (1, e), (2, d), (3, "a " + a), (4, b), (4, "x " + b),
+            (None, None), (None, ""), (None, " "), (5, None), (5, None), (6, "\n\t"), (6, "one"), (7, "one"), (None, "one")]
+    out = jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(None, c), (1, d), (1, e), (3, "a " + a), (None, None), (None, ""), (None, " "), (5, None), (5, None),
+            (6, "\n\t"), (6, "one")]
+    got = Counter(tuple(r) for r in out.collect())
+    of_b = {k: n for k, n in got.items() if (k[1] or "").endswith(b)}  # either text of doc 4, once
+    assert sum(of_b.values()) == 1 and {i for i, _ in of_b} == {4}
+    assert {k: n for k, n in got.items() if k not in of_b} == Counter(want)
+
+
 def test_pruning_bound_is_the_posterior_mass():
     need = jaccard_join.needed(0.8, 1e-9)
     x = np.linspace(0, 1, 200_001)
