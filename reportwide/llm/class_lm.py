@@ -1,16 +1,20 @@
 """LM scoring with Brown classes: P(word | word before) = P(class | class before) P(word | class).
 
-The ``CLUSTERED`` most frequent training words are put into ``CLASSES`` classes by exchange
-clustering: word by word, each moves to the class that raises the likelihood of the training
-bigrams most, until none moves. All other words have the class of their last two bytes (hashed
-to ``ENDINGS`` classes), and the end of a text is a class of its own. Class transitions are
+Every training word is put into a class by exchange clustering: each moves to the class that
+raises the likelihood of the training bigrams most. The number of classes grows with the cube
+root of the vocabulary. The ``SEEDS`` most frequent words are exchanged first, on their own; then
+all words in rounds: a round is two joins of the bigram table with the classes and an aggregate to
+each word's counts of neighbouring classes, from which all words of the round find their best
+class at once. A round that lowers the likelihood is taken back, and then half as many words move
+together; the rounds end when one gains less than ``TOLERANCE`` a token. Words never seen in
+training have the class most frequent among training words of their last two bytes (hashed to
+``ENDINGS`` groups), and the end of a text is a class of its own. Class transitions are
 interpolated with class frequencies (Witten-Bell), emissions have 0.5 added for every word of a
 class and one unknown word.
 
-Counts cover all training texts. The driver gets the bigram table of the clustered words and
-classes, bounded by the parameters. Counts of the ``SHARED`` most frequent words are broadcast, a
-bounded table; every other word meets its count in a shuffled join, once for each document that
-holds it, so no word that is frequent enough to skew the join is in it.
+Counts cover all training texts. The driver gets the table of class transitions. Counts and
+classes of the ``SHARED`` most frequent words are broadcast, a bounded table; every other word
+meets them in a shuffled join, so no word that is frequent enough to skew the join is in it.
 
 Words are told apart by 64-bit hashes.
 
@@ -27,17 +31,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportwide.llm import words as W
-from reportwide.llm.tables import checked_broadcast, materialize
+from reportwide.llm.tables import checked_broadcast, drop_tables, materialize, release
 
-CLUSTERED = 512
-CLASSES = 40
+SEEDS = 512
+CLASSES = 40  # at least
 ENDINGS = 64
 SHARED = 1 << 18
-SWEEPS = 10
+SWEEPS = 10  # over the seeds
+TOLERANCE = 0.005  # nats
 DELTA = 0.5
 END_HASH = np.uint64(1)
-ALL = CLASSES + ENDINGS + 1
-END_CLASS = ALL - 1
+ENTRIES = 2_000_000
 
 
 def held_out() -> Column:
@@ -45,19 +49,19 @@ def held_out() -> Column:
 
 
 def _tokens(buf, offs):
-    """Hash, class by ending and row of every token, the end of each row included."""
+    """Hash, ending and row of every token, the end of each row included."""
     w = W.tokenize(buf, offs, W.SPACE, lower=True)
     h = w.hashes()
     h[h == END_HASH] = np.uint64(2)
     last, second = w.buf[w.ends - 1].astype(np.uint64), w.buf[np.maximum(w.ends - 2, w.starts)].astype(np.uint64)
-    ending = CLASSES + (W.mix(last << np.uint64(8) | second) % np.uint64(ENDINGS)).astype(np.int32)
+    ending = (W.mix(last << np.uint64(8) | second) % np.uint64(ENDINGS)).astype(np.int32)
     rows = len(offs) - 1
     at = w.first[1:] + np.arange(rows)  # places of the ends among all tokens
     total = w.n + rows
     is_end = np.zeros(total, np.bool_)
     is_end[at] = True
     tokens, kind, row = np.empty(total, np.uint64), np.empty(total, np.int32), np.empty(total, np.int64)
-    tokens[at], kind[at], row[at] = END_HASH, END_CLASS, np.arange(rows)
+    tokens[at], kind[at], row[at] = END_HASH, ENDINGS, np.arange(rows)
     tokens[~is_end], kind[~is_end], row[~is_end] = h, ending, w.doc
     return tokens, kind, row, at
 
@@ -93,21 +97,24 @@ class Lookup:
         return np.where(self.sorted[i] == h, self.order[i], -1)
 
 
-def _bigrams(batches, clustered: Lookup, size: int):
-    """Counts of neighbouring units: clustered words, else classes; one sparse table for a task."""
-    units = size + ENDINGS + 1
-    table = np.zeros(units * units, np.int64)
+def _bigrams(batches):
+    """Counts of neighbouring words, summed within a batch; a text starts after an end."""
     for b in batches:
+        a, z = [], []
         for _lo, _hi, buf, offs in W.slices(b.column("text")):
-            tokens, kind, _row, at = _tokens(buf, offs)
-            word = clustered.find(tokens)
-            unit = np.where(word >= 0, word, kind - CLASSES + size)
-            before = np.empty(len(unit), np.int64)
-            before[1:] = unit[:-1]
-            before[0] = units - 1  # a text starts after an end
-            table += np.bincount(before * units + unit, minlength=units * units)
-    full = np.flatnonzero(table)
-    yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(table[full])], ["code", "n"])
+            tokens = _tokens(buf, offs)[0]
+            a.append(np.concatenate([[END_HASH], tokens[:-1]]))
+            z.append(tokens)
+        if a:
+            a, z = np.concatenate(a), np.concatenate(z)
+            order = np.lexsort((z, a))
+            a, z = a[order], z[order]
+            new = np.ones(len(a), np.bool_)
+            new[1:] = (a[1:] != a[:-1]) | (z[1:] != z[:-1])
+            first = np.flatnonzero(new)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a[first].view(np.int64)), pa.array(z[first].view(np.int64)),
+                 pa.array(np.diff(np.append(first, len(a))).astype(np.int64))], ["a", "b", "n"])
 
 
 def _f(x: np.ndarray) -> np.ndarray:
@@ -161,13 +168,166 @@ def cluster(table: np.ndarray, size: int, classes: int = CLASSES, sweeps: int =
     return of[:size]
 
 
+def best_classes(g: np.ndarray, classes: int, of: np.ndarray, self_: np.ndarray, o: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """Best class of each word, all else left as it is: the gains of ``cluster``, by non-zero counts.
+
+    ``o`` and ``i`` are each word's counts of the classes after and before it, without itself.
+    """
+    m, total = o.shape
+    w = np.arange(m)
+    gain = np.zeros((m, total))
+    for table, counts, other in ((g.T, o, i), (g, i, o)):
+        row, d = np.nonzero(counts)
+        n = counts[row, d]
+        x = table[d].astype(np.float64)  # entries x classes, without the word
+        own = np.flatnonzero(d == of[row])
+        x[own] -= other[row[own]]
+        x[np.arange(len(d)), of[row]] -= n
+        x[own, of[row[own]]] -= self_[row[own]]
+        if len(d):
+            x = _f(x + n[:, None]) - _f(x)
+            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            gain[row[first]] += np.add.reduceat(x, first, axis=0)
+    n_out, n_in = o.sum(1) + self_, i.sum(1) + self_
+    d = np.tile(np.diag(g), (m, 1)).astype(np.float64)
+    d[w, of] -= o[w, of] + i[w, of] + self_
+    gain += _f(d + o + i + self_[:, None]) + _f(d) - _f(d + o) - _f(d + i)
+    for sums, n in ((g.sum(1), n_out), (g.sum(0), n_in)):
+        left = np.tile(sums, (m, 1)).astype(np.float64)
+        left[w, of] -= n
+        gain -= _f(left + n[:, None]) - _f(left)
+    best = np.argmax(gain[:, :classes], axis=1)
+    return np.where((of < classes) & (gain[w, best] <= gain[w, of] + 1e-9), of, best)
+
+
+def likelihood(g: np.ndarray) -> float:
+    """Log likelihood of the bigrams but for the words' own counts, which no exchange changes."""
+    return float(_f(g).sum() - _f(g.sum(1)).sum() - _f(g.sum(0)).sum())
+
+
+_OUT, _IN, _SELF, _OWN = range(4)
+
+
+def _neighbours(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(h, x): of every word its own class and its counts of the classes after and before it."""
+    sides = []
+    for side, word, other in ((_OUT, "a", "b"), (_IN, "b", "a")):
+        near = pairs.filter("a <> b").join(checked_broadcast(classes.select(F.col("h").alias(other), "cls")), other)
+        sides.append(materialize(near.groupBy(F.col(word).alias("h"), F.col("cls").alias("d")).agg(
+            F.sum("n").alias("n")).select("h", F.lit(side).alias("side"), "d", "n"), "side"))
+        release(pairs.sparkSession)
+    rows = (sides[0].union(sides[1])
+            .union(pairs.filter("a = b").select(F.col("a").alias("h"), F.lit(_SELF).alias("side"), F.lit(0).alias("d"), "n"))
+            .union(classes.select("h", F.lit(_OWN).alias("side"), F.col("cls").alias("d"), F.lit(1).cast("long").alias("n"))))
+    out = materialize(rows.groupBy("h").agg(F.collect_list(F.struct("side", "d", "n")).alias("x")), "neighbours")
+    drop_tables(pairs.sparkSession, *sides)
+    release(pairs.sparkSession)
+    return out
+
+
+def _blocks(batches, total: int):
+    """(hashes, classes, self counts, counts after, counts before) of a bounded number of words."""
+    for b in batches:
+        x, h = b.column("x"), b.column("h").to_numpy()
+        offs = x.offsets.to_numpy()
+        side, d, n = (f.to_numpy() for f in x.values.flatten())
+        step = max(1, ENTRIES // total // total)
+        for lo in range(0, len(h), step):
+            hi = min(lo + step, len(h))
+            own = slice(offs[lo], offs[hi])
+            row = np.repeat(np.arange(hi - lo), np.diff(offs[lo:hi + 1]))
+            s, e, c = side[own], d[own], n[own]
+            o, i = np.zeros((hi - lo, total)), np.zeros((hi - lo, total))
+            of, self_ = np.zeros(hi - lo, np.int64), np.zeros(hi - lo)
+            for t, k in ((o, _OUT), (i, _IN)):
+                t[row[s == k], e[s == k]] = c[s == k]
+            self_[row[s == _SELF]] = c[s == _SELF]
+            of[row[s == _OWN]] = e[s == _OWN]
+            yield h[lo:hi], of, self_, o, i
+
+
+def _transition_counts(near: DataFrame, total: int) -> np.ndarray:
+    def run(batches):
+        g = np.zeros((total, total))
+        for _h, of, self_, o, _i in _blocks(batches, total):
+            np.add.at(g, of, o)
+            np.add.at(g, (of, of), self_)
+        code = np.flatnonzero(g)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(g.ravel()[code].astype(np.int64))], ["code", "n"])
+    rows = near.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    g = np.zeros(total * total)
+    g[rows.column("code").to_numpy()] = rows.column("n").to_numpy()
+    return g.reshape(total, total)
+
+
+def _moved(near: DataFrame, g: np.ndarray, classes: int, parts: int, turn: int) -> DataFrame:
+    """(h, cls) after every word of one of ``parts`` parts, and every word without a class, has moved."""
+    shared = near.sparkSession.sparkContext.broadcast(g)
+
+    def run(batches):
+        g = shared.value
+        for h, of, self_, o, i in _blocks(batches, len(g)):
+            go = (of != classes) & ((W.mix(h.view(np.uint64)) % np.uint64(parts) == turn % parts) | (of > classes))
+            if go.any():
+                of[go] = best_classes(g, classes, of[go], self_[go], o[go], i[go])
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(of.astype(np.int32))], ["h", "cls"])
+    return materialize(near.mapInArrow(run, "h long, cls int"), "classes")
+
+
+def _seeded(counts: DataFrame, pairs: DataFrame, classes: int) -> DataFrame:
+    """(h, cls) of all words: the most frequent ones clustered on their own, the end, others without a class."""
+    spark = counts.sparkSession
+    end = int(END_HASH)
+    top = [r["h"] for r in counts.filter(F.col("h") != end).orderBy(F.desc("n"), "h").limit(SEEDS).collect()]
+    size = len(top)
+    ids = [(h, k) for k, h in enumerate(top)] + [(end, size)]
+    known = lambda x: F.broadcast(spark.createDataFrame(ids, f"{x} long, i{x} int"))
+    unit = lambda x: F.coalesce(f"i{x}", F.lit(size + 1))
+    rows = (pairs.join(known("a"), "a", "left").join(known("b"), "b", "left")
+            .groupBy(unit("a").alias("a"), unit("b").alias("b")).agg(F.sum("n").alias("n")).collect())
+    table = np.zeros((size + 2, size + 2))
+    for a, b, n in rows:
+        table[a, b] = n
+    of = [*cluster(table, size, classes).tolist(), classes] if size else [classes]
+    first = F.broadcast(spark.createDataFrame([(h, int(c)) for (h, _), c in zip(ids, of)], "h long, cls int"))
+    return materialize(counts.select("h").join(first, "h", "left").select(
+        "h", F.coalesce("cls", F.lit(classes + 1)).alias("cls")), "classes")
+
+
+def brown_classes(counts: DataFrame, pairs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(h, cls) of every word, and the counts of class transitions; the last class is the end of a text."""
+    spark, vocabulary = counts.sparkSession, counts.count()
+    classes = max(CLASSES, round(vocabulary ** (1 / 3)))
+    total = classes + 2  # the end, and words not yet in a class
+    of = _seeded(counts, pairs, classes)
+    near = _neighbours(pairs, of)
+    g = _transition_counts(near, total)
+    parts, turn, tokens = 2, 0, g.sum()
+    while tokens:
+        new = _moved(near, g, classes, parts, turn)
+        new_near = _neighbours(pairs, new)
+        new_g = _transition_counts(new_near, total)
+        waiting = g[:, classes + 1].any()
+        gain = (likelihood(new_g) - likelihood(g)) / tokens
+        if not waiting and gain < 0:  # words that moved together did harm: fewer at a time
+            drop_tables(spark, new, new_near)
+            parts *= 2
+            if parts > vocabulary:
+                break
+            continue
+        drop_tables(spark, of, near)
+        of, near, g, turn = new, new_near, new_g, turn + 1
+        if not waiting and gain < TOLERANCE:
+            break
+    return of, g[:classes + 1, :classes + 1]
+
+
 class Tables:
-    """What a scoring task needs; its size follows the parameters, not the corpus."""
+    """What a scoring task needs; its size follows the parameters and the number of classes."""
 
-    def __init__(self, n, v, shared, shared_n, clustered, of, transitions, class_n, class_v):
-        self.n, self.v, self.of = n, v, of
-        self.shared, self.shared_n = Lookup(shared), shared_n
-        self.clustered, self.transitions = Lookup(clustered), transitions
+    def __init__(self, n, v, shared, shared_n, of, endings, transitions, class_n, class_v):
+        self.n, self.v, self.of, self.endings = n, v, of, endings
+        self.shared, self.shared_n, self.transitions = Lookup(shared), shared_n, transitions
         self.class_n, self.class_v = class_n, class_v
 
 
@@ -180,33 +340,30 @@ def transitions(g: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame) -> tuple[DataFrame, Tables]:
     """Counts (h, cls, n) of all training words, and the tables."""
-    spark = docs.sparkSession
     texts = docs.filter(~held_out()).select("text")
     counts = materialize(texts.mapInArrow(_count, "h long, ending int, n long").groupBy("h").agg(
         F.max("ending").alias("ending"), F.sum("n").alias("n")), "words")
+    pairs = materialize(texts.mapInArrow(_bigrams, "a long, b long, n long").groupBy("a", "b").agg(
+        F.sum("n").alias("n")), "bigrams")
+    release(docs.sparkSession)
+    of, g = brown_classes(counts, pairs)
+    drop_tables(docs.sparkSession, pairs)
+    counts = materialize(counts.join(of, "h"), "classed")
+    total = len(g)
+    class_n, class_v = np.zeros(total), np.zeros(total)
+    types, once = np.zeros((ENDINGS + 1, total)), np.zeros((ENDINGS + 1, total))
+    for r in counts.groupBy("ending", "cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
+                                                 F.count_if(F.col("n") == 1).alias("once")).collect():
+        class_n[r["cls"]] += r["n"]
+        class_v[r["cls"]] += r["v"]
+        types[r["ending"], r["cls"]], once[r["ending"], r["cls"]] = r["v"], r["once"]
+    # Words seen once stand for unseen ones; where an ending has none, all its words, then all words.
+    guess = np.where(once.any(1)[:, None], once, np.where(types.any(1)[:, None], types, types.sum(0)))
+    endings = np.append(guess[:ENDINGS, :total - 1].argmax(1), total - 1)
     top = counts.orderBy(F.desc("n"), "h").limit(SHARED).toArrow()
-    h = top.column("h").to_numpy().view(np.uint64)
-    ending, n = top.column("ending").to_numpy(), top.column("n").to_numpy()
-    words = ending != END_CLASS
-    clustered = h[words][:CLUSTERED]
-    size = len(clustered)
-    lookup, units = Lookup(clustered), size + ENDINGS + 1
-    pairs = (texts.mapInArrow(lambda bs: _bigrams(bs, lookup, size), "code long, n long")
-             .groupBy("code").agg(F.sum("n").alias("n")).toArrow())
-    table = np.zeros(units * units)
-    table[pairs.column("code").to_numpy()] = pairs.column("n").to_numpy()
-    table = table.reshape(units, units)
-    of = cluster(table, size) if size else np.empty(0, np.int64)
-    hot = np.zeros((units, ALL))
-    hot[np.arange(units), np.concatenate([of, CLASSES + np.arange(ENDINGS + 1)])] = 1
-    g = hot.T @ table @ hot
-    moved = spark.createDataFrame([(int(a), int(c)) for a, c in zip(clustered.view(np.int64), of)], "h long, own int")
-    counts = counts.join(F.broadcast(moved), "h", "left").select(
-        "h", F.coalesce("own", "ending").alias("cls"), "n")
-    class_n, class_v = np.zeros(ALL), np.zeros(ALL)
-    for r in counts.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
-        class_n[r["cls"]], class_v[r["cls"]] = r["n"], r["v"]
-    return counts, Tables(int(class_n.sum()), int(class_v.sum()), h, n, clustered, of, transitions(g), class_n, class_v)
+    column = lambda c: top.column(c).to_numpy()
+    return counts, Tables(int(class_n.sum()), int(class_v.sum()), column("h").view(np.uint64), column("n"),
+                          column("cls"), endings, transitions(g), class_n, class_v)
 
 
 def _base(t: Tables, c):
@@ -217,45 +374,68 @@ def _emission(t: Tables, c, cls):
     return np.log10((c + DELTA) / (t.class_n[cls] + DELTA * (t.class_v[cls] + 1)))
 
 
-_PARTS = "held_out boolean, rid long, n_tokens long, n_known long, base double, score double, rare array<long>, cls array<int>, tf array<int>"
+# rare: tokens that are not shared, with the classes next to them (-1: not shared either).
+_RARE = ("h long", "ending int", "at int", "before int", "after int")
+_PARTS = ("held_out boolean, rid long, n_tokens long, n_known long, base double, score double, "
+          f"rare array<struct<{','.join(x.replace(' ', ':') for x in _RARE)}>>")
 
 
 def _score(shared, batches):
     from pyspark import TaskContext
     t, rid = shared.value, TaskContext.get().partitionId() << 40
+    end = len(t.transitions) - 1
     for b in batches:
         for lo, hi, buf, offs in W.slices(b.column("text")):
             tokens, kind, row, at = _tokens(buf, offs)
             rows = hi - lo
-            word = t.clustered.find(tokens)
-            cls = np.where(word >= 0, t.of[word], kind) if len(t.of) else kind
-            before = np.empty(len(cls), np.int64)
-            before[1:] = cls[:-1]
-            before[0] = END_CLASS
-            step = t.transitions[before, cls]
             place = t.shared.find(tokens)
             known = place >= 0
+            is_end = kind == ENDINGS
+            cls = np.full(len(tokens), -1, np.int64)
+            if known.any():
+                cls[known] = t.of[place[known]]
+            cls[is_end] = end
+            before = np.concatenate([[end], cls[:-1]])
             c = t.shared_n[place[known]] if known.any() else np.empty(0)
-            base, score = np.zeros(len(tokens)), step.copy()
+            base, score = np.zeros(len(tokens)), np.zeros(len(tokens))
+            both = (before >= 0) & (cls >= 0)
+            score[both] = t.transitions[before[both], cls[both]]
             base[known] = _base(t, c)
             score[known] += _emission(t, c, cls[known])
-            # Other words: distinct (row, hash) with how often they stand there.
-            r, h, k = row[~known], tokens[~known], cls[~known]
-            order = np.lexsort((h, r))
-            r, h, k = r[order], h[order], k[order]
-            new = np.ones(len(h), np.bool_)
-            new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-            first = np.flatnonzero(new)
-            tf = np.diff(np.append(first, len(h))).astype(np.int32)
-            lists = np.searchsorted(r[first], np.arange(rows + 1)).astype(np.int32)
+            no_end = is_end & ~known  # no training text: the end is a word never seen
+            base[no_end], score[no_end] = _base(t, 0), score[no_end] + _emission(t, 0, end)
+            rare = np.flatnonzero(~known & ~is_end)
+            lists = np.searchsorted(row[rare], np.arange(rows + 1)).astype(np.int32)
+            columns = [tokens[rare].view(np.int64), *(x.astype(np.int32) for x in (
+                kind[rare], rare, before[rare], cls[rare + 1]))]
+            items = pa.StructArray.from_arrays([pa.array(x) for x in columns], [x.split()[0] for x in _RARE])
             cols = [b.column("doc_id").slice(lo, rows), b.column("held_out").slice(lo, rows),
                     pa.array(rid + np.arange(rows)), pa.array(np.bincount(row, minlength=rows)),
                     pa.array(np.bincount(row[known], minlength=rows)),
                     pa.array(np.bincount(row, base, rows)), pa.array(np.bincount(row, score, rows)),
-                    *(pa.ListArray.from_arrays(pa.array(lists), pa.array(x)) for x in
-                      (h[first].view(np.int64), k[first].astype(np.int32), tf))]
+                    pa.ListArray.from_arrays(pa.array(lists), items)]
             rid += rows
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", *(x.split()[0] for x in _PARTS.split(", "))])
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "rid", "n_tokens", "n_known", "base", "score", "rare"])
+
+
+def _rare_scores(shared, batches):
+    """Known tokens, base and class scores of each row's tokens that are not shared."""
+    t = shared.value
+    for b in batches:
+        x, rows = b.column("x"), b.num_rows
+        offs = x.offsets.to_numpy()
+        at, before, after, cls, n, ending = (f.to_numpy(zero_copy_only=False) for f in x.values.flatten())
+        span = slice(offs[0], offs[-1])
+        row = np.repeat(np.arange(rows), np.diff(offs))
+        order = np.lexsort((at[span], row))
+        at, before, after, cls, n, ending = (v[span][order] for v in (at, before, after, cls, n, ending))
+        cls = np.where(cls < 0, t.endings[ending], cls)
+        before = np.where(before < 0, np.concatenate([[0], cls[:-1]]), before)
+        base, score = _base(t, n), _emission(t, n, cls) + t.transitions[before, cls]
+        score += np.where(after >= 0, t.transitions[cls, after], 0)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("rid"), pa.array(np.bincount(row[n > 0], minlength=rows)), pa.array(np.bincount(row, base, rows)),
+             pa.array(np.bincount(row, score, rows))], ["rid", "known2", "base2", "score2"])
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -265,16 +445,13 @@ def score(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(t)
     parts = materialize(docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
         lambda bs: _score(shared, bs), f"doc_id {kind}, {_PARTS}"), "scores")
-    rare = (parts.select("rid", F.explode(F.arrays_zip("rare", "cls", "tf")).alias("x"))
-            .select("rid", F.col("x.rare").alias("h"), F.col("x.cls").alias("cls"), F.col("x.tf").alias("tf")))
-    rare = rare.join(counts.select("h", "n"), "h", "left")
-    c = F.coalesce("n", F.lit(0))
-    sizes = F.array(*[F.lit(float(t.class_n[i] + DELTA * (t.class_v[i] + 1))) for i in range(ALL)])
-    extra = rare.groupBy("rid").agg(
-        F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("known2"),
-        F.sum(F.col("tf") * F.log10((c + 0.5) / (t.n + 0.5 * (t.v + 1)))).alias("base2"),
-        F.sum(F.col("tf") * F.log10((c + DELTA) / F.get(sizes, F.col("cls")))).alias("score2"))
-    out = parts.drop("rare", "cls", "tf").join(extra, "rid", "left")
+    rare = parts.select("rid", F.explode("rare").alias("x")).select("rid", "x.*")
+    rare = rare.join(counts.select("h", "n", "cls"), "h", "left")
+    found = F.struct("at", "before", "after", F.coalesce("cls", F.lit(-1)).alias("cls"),
+                     F.coalesce("n", F.lit(0)).alias("n"), "ending")
+    extra = rare.groupBy("rid").agg(F.collect_list(found).alias("x")).mapInArrow(
+        lambda bs: _rare_scores(shared, bs), "rid long, known2 long, base2 double, score2 double")
+    out = parts.drop("rare").join(extra, "rid", "left")
     add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
     return out.select("doc_id", "held_out", "n_tokens", add("n_known", "known2").cast("long").alias("n_known"),
                       F.lit(t.n).cast("long").alias("train_tokens"), add("base", "base2").alias("base_score"),

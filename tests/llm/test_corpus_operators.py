@@ -12,6 +12,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -443,6 +444,36 @@ def test_exchange_finds_word_classes():
     assert len(set(of[:6])) == 1 and len(set(of[6:])) == 1 and of[0] != of[6]
 
 
+def test_best_classes_match_the_likelihood():
+    """The class chosen for a word is the one with the highest likelihood of all bigrams."""
+    rng = np.random.default_rng(7)
+    table = rng.poisson(0.6, (30, 30)).astype(float)
+    of = np.append(rng.integers(0, 4, 29), 4)  # the last unit is the end
+    hot = np.eye(5)[of]
+    rest = table - np.diag(np.diag(table))
+    got = class_lm.best_classes(hot.T @ table @ hot, 4, of[:29], np.diag(table)[:29], (rest @ hot)[:29], (rest.T @ hot)[:29])
+    for w in range(29):
+        value = []
+        for c in range(4):
+            h = np.eye(5)[np.where(np.arange(30) == w, c, of)]
+            value.append(class_lm.likelihood(h.T @ table @ h))
+        assert value[got[w]] >= max(value) - 1e-6
+
+
+def test_rare_words_are_clustered_too(spark):
+    """Words far beyond the most frequent ones get the class of the words in whose places they stand."""
+    rng = np.random.default_rng(8)
+    rows = [(None, " ".join(f"{'xy'[k % 2]}{rng.integers(2000)}q" for k in range(200))) for _ in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    counts, t = class_lm.train(d)
+    x = class_lm.W.tokenize(*next(class_lm.W.slices(pa.array([" ".join(f"x{i}q" for i in range(2000))])))[2:], class_lm.W.SPACE)
+    is_x = np.isin(counts.toArrow().column("h").to_numpy(), x.hashes().view(np.int64))
+    cls = counts.toArrow().column("cls").to_numpy()
+    assert len(cls) > 3500 and (cls < len(t.transitions)).all()
+    right = sum(max(Counter(is_x[cls == c].tolist()).values()) for c in set(cls.tolist()))
+    assert right > 0.95 * len(cls)
+
+
 def test_transitions_sum_to_one():
     g = np.random.default_rng(5).integers(0, 9, (7, 7)).astype(float)
     g[3] = 0
