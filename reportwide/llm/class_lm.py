@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from reportwide.llm import words as W
 from reportwide.llm.tables import checked_broadcast, drop_tables, materialize, release
+from reportwide.session import work_path
 
 SEEDS = 512
 CLASSES = 40  # at least
@@ -42,6 +43,7 @@ TOLERANCE = 0.005  # nats
 DELTA = 0.5
 END_HASH = np.uint64(1)
 ENTRIES = 2_000_000
+SLICES = 4
 
 
 def held_out() -> Column:
@@ -209,20 +211,29 @@ _OUT, _IN, _SELF, _OWN = range(4)
 
 
 def _neighbours(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(h, x): of every word its own class and its counts of the classes after and before it."""
-    sides = []
-    for side, word, other in ((_OUT, "a", "b"), (_IN, "b", "a")):
-        near = pairs.filter("a <> b").join(checked_broadcast(classes.select(F.col("h").alias(other), "cls")), other)
-        sides.append(materialize(near.groupBy(F.col(word).alias("h"), F.col("cls").alias("d")).agg(
-            F.sum("n").alias("n")).select("h", F.lit(side).alias("side"), "d", "n"), "side"))
-        release(pairs.sparkSession)
-    rows = (sides[0].union(sides[1])
-            .union(pairs.filter("a = b").select(F.col("a").alias("h"), F.lit(_SELF).alias("side"), F.lit(0).alias("d"), "n"))
-            .union(classes.select("h", F.lit(_OWN).alias("side"), F.col("cls").alias("d"), F.lit(1).cast("long").alias("n"))))
-    out = materialize(rows.groupBy("h").agg(F.collect_list(F.struct("side", "d", "n")).alias("x")), "neighbours")
-    drop_tables(pairs.sparkSession, *sides)
-    release(pairs.sparkSession)
-    return out
+    """(h, x): of every word its own class and its counts of the classes after and before it.
+
+    Words are worked through in ``SLICES`` slices, whose shuffle files go before the next one's come.
+    """
+    spark = pairs.sparkSession
+    path = work_path(spark, "neighbours")
+    for part in range(SLICES):
+        here = lambda word: F.pmod(word, F.lit(SLICES)) == part
+        own = classes.filter(here("h"))
+        rows = (pairs.filter((F.col("a") == F.col("b")) & here("a"))
+                .select(F.col("a").alias("h"), F.lit(_SELF).alias("side"), F.lit(0).alias("d"), "n")
+                .union(own.select("h", F.lit(_OWN).alias("side"), F.col("cls").alias("d"), F.lit(1).cast("long").alias("n"))))
+        for side, word, other in ((_OUT, "a", "b"), (_IN, "b", "a")):
+            near = pairs.filter((F.col("a") != F.col("b")) & here(word)).join(
+                checked_broadcast(classes.select(F.col("h").alias(other), "cls")), other)
+            rows = rows.union(near.groupBy(F.col(word).alias("h"), F.col("cls").alias("d")).agg(F.sum("n").alias("n"))
+                              .select("h", F.lit(side).alias("side"), "d", "n"))
+        out = rows.groupBy("h").agg(F.collect_list(F.struct("side", "d", "n")).alias("x"))
+        out.write.option("compression", "zstd").mode("append").parquet(path)
+        kind = out.schema
+        del own, rows, near, out
+        release(spark)
+    return spark.read.schema(kind).parquet(path)
 
 
 def _blocks(batches, total: int):
@@ -305,18 +316,20 @@ def brown_classes(counts: DataFrame, pairs: DataFrame) -> tuple[DataFrame, np.nd
     parts, turn, tokens = 2, 0, g.sum()
     while tokens:
         new = _moved(near, g, classes, parts, turn)
-        new_near = _neighbours(pairs, new)
-        new_g = _transition_counts(new_near, total)
+        drop_tables(spark, near)
+        near = _neighbours(pairs, new)
+        new_g = _transition_counts(near, total)
         waiting = g[:, classes + 1].any()
         gain = (likelihood(new_g) - likelihood(g)) / tokens
         if not waiting and gain < 0:  # words that moved together did harm: fewer at a time
-            drop_tables(spark, new, new_near)
+            drop_tables(spark, new, near)
             parts *= 2
             if parts > vocabulary:
                 break
+            near = _neighbours(pairs, of)
             continue
-        drop_tables(spark, of, near)
-        of, near, g, turn = new, new_near, new_g, turn + 1
+        drop_tables(spark, of)
+        of, g, turn = new, new_g, turn + 1
         if not waiting and gain < TOLERANCE:
             break
     return of, g[:classes + 1, :classes + 1]
