@@ -33,7 +33,6 @@ SYMBOLS = b"#*$%&|<>"
 
 CORE = 0.75
 SMALL = 60
-STEPS = 12
 # Fixed value: consistency of the scatter of the central 75 % of a 5-variate normal,
 # 0.75 / P(chi2 with 7 df <= 0.75 quantile of chi2 with 5 df).
 CONSISTENCY = 1.41
@@ -194,17 +193,22 @@ def estimate(stats: DataFrame, by: DataFrame) -> DataFrame:
     pairs = [(i, j) for i in range(P) for j in range(i, P)]
     sums = [F.count(F.lit(1)).alias("n"), *[F.sum(f"q{i}").alias(f"s{i}") for i in range(P)],
             *[F.sum(F.col(f"q{i}") * F.col(f"q{j}")).alias(f"s{i}{j}") for i, j in pairs]]
-    for step in range(STEPS):
+    step = 0
+    while True:
         binned = _with_estimate(rows, now).withColumn("bin", F.floor(F.log1p(_distance()) * 32))
         new = materialize(binned.groupBy(*GROUP, "bin").agg(*sums).groupBy(*GROUP)
                           .applyInPandas(_concentrate, ESTIMATE), f"step{step}")
-        old = now.select(*[F.col(g).alias(f"e_{g}") for g in GROUP], F.col("logdet").alias("before"))
-        on = F.col("g_lang").eqNullSafe(F.col("e_g_lang")) & F.col("g_source").eqNullSafe(F.col("e_g_source"))
-        fell = new.join(old, on).agg(F.max(F.col("before") - F.col("logdet"))).first()[0]
-        now = new
-        if step and (fell is None or fell < 1e-3):
-            break
-    return now
+        if step:  # a group keeps its estimate once its determinant no longer falls
+            old = now.select(*[F.col(g).alias(f"e_{g}") for g in GROUP], F.col("logdet").alias("before"),
+                             F.struct("mean", "inverse", "logdet").alias("old"))
+            on = F.col("g_lang").eqNullSafe(F.col("e_g_lang")) & F.col("g_source").eqNullSafe(F.col("e_g_source"))
+            fell = F.col("before") - F.col("logdet") >= 1e-3
+            new = materialize(new.join(old, on).select(*GROUP, fell.alias("fell"), F.when(
+                fell, F.struct("mean", "inverse", "logdet")).otherwise(F.col("old")).alias("e")), f"kept{step}")
+            more, new = not new.filter("fell").isEmpty(), new.select(*GROUP, "e.*")
+            if not more:
+                return new
+        now, step = new, step + 1
 
 
 def verdicts(stats: DataFrame, by: DataFrame, estimates: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

@@ -166,6 +166,22 @@ def test_concentration_matches_a_direct_estimate():
     assert np.allclose(np.linalg.inv(np.reshape(got["inverse"], (quality_rules.P,) * 2)), want)
 
 
+def test_concentration_goes_on_until_no_determinant_falls(spark, monkeypatch):
+    """Sixteen falling determinants, more than a fixed dozen of steps, are all taken."""
+    real, n = quality_rules.materialize, []
+
+    def counted(df, name):
+        if name.startswith("step"):
+            n.append(name)
+            df = df.withColumn("logdet", F.lit(-float(min(len(n), 16))))
+        return real(df, name)
+    monkeypatch.setattr(quality_rules, "materialize", counted)
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(20 + k % 9)), "en", "s") for k in range(80)]
+    stats = quality_rules.statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    got = quality_rules.estimate(stats, quality_rules.groups(stats)).collect()
+    assert len(n) == 17 and got[0]["logdet"] == -16.0
+
+
 # --- 3: license scan
 
 def brute_license(t):
