@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportwide.llm import (chat_trees, class_lm, decontamination, jaccard_join, license_scan, pattern_packing,
-                            quality_classifier, quality_rules, sharding, substring_dedup)
+from reportwide.llm import (anchor_codes, chat_trees, class_lm, decontamination, jaccard_join, license_scan,
+                            pattern_packing, quality_classifier, quality_rules, sharding, spelling_variants,
+                            substring_dedup, toxicity)
 from reportwide.plans.registry import register, table
 
 SQL_OP1 = r"""
@@ -168,3 +169,87 @@ def tokenizer_path() -> str:
 @register("op10_pattern_packing")
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def _sql_op11() -> str:
+    """k-means over the parts by comparing every part with every entry."""
+    assign = """a{r} AS (SELECT p.rn, p.part, arg_min(c.e, 64 * d(p.q, c.q) + c.e) AS e, min(d(p.q, c.q)) AS err
+  FROM p JOIN c{r} c USING (part) GROUP BY p.rn, p.part)"""
+    move = """c{s} AS (
+  SELECT part, c.e, coalesce(m.q, c.q) AS q FROM c{r} c LEFT JOIN (
+    SELECT part, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS q FROM (
+      SELECT part, e, i, sum(p.q[i]) AS s, count(*) AS n
+      FROM a{r} JOIN p USING (rn, part), generate_series(1, 4) g(i) GROUP BY part, e, i) GROUP BY part, e) m USING (part, e))"""
+    rounds = ",\n".join([assign.format(r=0), move.format(r=0, s=1), assign.format(r=1), move.format(r=1, s=2), assign.format(r=2)])
+    rounds = rounds.replace("d(p.q, c.q)", "(" + " + ".join(f"(p.q[{i}] - c.q[{i}]) * (p.q[{i}] - c.q[{i}])" for i in range(1, 5)) + ")")
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rn, * FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+p AS (SELECT rn, part, v[4 * part + 1:4 * part + 4] AS q FROM k, generate_series(0, 15) g(part)),
+c0 AS (SELECT part, rn - 1 AS e, q FROM p WHERE rn <= 64),
+{rounds},
+books AS (SELECT sha256(string_agg(array_to_string(q, ','), ',' ORDER BY part, e)) AS h FROM c2),
+coded AS (SELECT rn, string_agg(printf('%02x', e), '' ORDER BY part) AS code, CAST(sum(err) AS BIGINT) AS error FROM a2 GROUP BY rn)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM k JOIN coded USING (rn), books"""
+
+
+@register("op11_anchor_codes", _sql_op11())
+def op11_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _crc32_table() -> list[int]:
+    out = []
+    for b in range(256):
+        for _ in range(8):
+            b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+        out.append(b)
+    return out
+
+
+# DuckDB has no crc32: it is folded from the bytes of `<doc_id>:<run>`, which are ASCII or U+00C0 to U+00FF.
+SQL_OP12 = f"""
+WITH RECURSIVE t AS (SELECT {_crc32_table()} AS t),
+run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, w, sum(c) AS c FROM (
+    SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, 1 AS c
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents)) GROUP BY ALL),
+crc AS (
+  SELECT w, c, xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || w, ''),
+      lambda ch: CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)] ELSE [195, CAST(unicode(ch) - 64 AS BIGINT)] END))),
+    lambda a, b: xor(t[CAST(xor(a, b) & 255 AS BIGINT) + 1], a >> 8))) AS h
+  FROM run, t),
+word AS MATERIALIZED (
+  SELECT w, CAST(sum(c) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2)
+                ELSE w END AS w, c FROM crc)
+  WHERE length(w) >= 5 GROUP BY w HAVING sum(c) >= 3),
+gap AS (SELECT w, n, i, substr(w, 1, i) AS a, substr(w, i + 2) AS z
+        FROM (SELECT w, n, unnest(generate_series(0, length(w) - 1)) AS i FROM word)),
+near AS MATERIALIZED (
+  SELECT x.w, x.n, y.w AS v, y.n AS m FROM gap x JOIN gap y USING (a, z) WHERE x.w <> y.w
+  UNION SELECT x.w, x.n, y.w, y.n FROM gap x JOIN word y ON y.w = x.a || x.z
+  UNION SELECT y.w, y.n, x.w, x.n FROM gap x JOIN word y ON y.w = x.a || x.z),
+best AS (SELECT w, n, count(*) AS n_near, max(m) AS m, arg_min(v, (-m, v)) AS v FROM near GROUP BY w, n),
+form AS MATERIALIZED (SELECT w, v, m FROM best WHERE m >= 2 * n),
+chain AS (SELECT w, v FROM form UNION SELECT chain.w, form.v FROM chain JOIN form ON form.w = chain.v),
+root AS (SELECT w, v FROM chain WHERE v NOT IN (SELECT w FROM form))
+SELECT word.w AS word, form.v AS form, coalesce(root.v, word.w) AS root, word.n,
+       CAST(coalesce(best.n_near, 0) AS BIGINT) AS n_near, form.m AS form_n
+FROM word LEFT JOIN best ON best.w = word.w LEFT JOIN form ON form.w = word.w LEFT JOIN root ON root.w = word.w"""
+
+
+@register("op12_spelling_variants", SQL_OP12)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+@register("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
