@@ -12,12 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reportwide.operators.census import take_census
 from reportwide.operators.wide import check_case_clash, col
 
 _RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4, T.FloatType: 5,
@@ -136,62 +135,15 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def _file_paths(spark: SparkSession, path: str, glob: str | None) -> list[str]:
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    try:
-        return sorted(reader.parquet(path).inputFiles())
-    except AnalysisException:
-        return []
-
-
-def _merged_schema(spark: SparkSession, root: str, files: Sequence[str]) -> T.StructType | None:
-    """The merged schema of the files, or None when their schemas conflict."""
-    try:
-        return spark.read.option("mergeSchema", "true").option("basePath", root).parquet(*files).schema
-    except (PySparkException, Py4JJavaError) as e:
-        if "CANNOT_MERGE" in str(e):
-            return None
-        raise
-
-
-def _mergeable_runs(spark: SparkSession, root: str,
-                    files: Sequence[str]) -> list[tuple[T.StructType, Sequence[str]]]:
-    """Split the (sorted) file list into runs that merge, halving only where a run conflicts.
-
-    Chunks landed over time change schema in a few places, so this needs a few footer-merging
-    jobs (each run by Spark in parallel) instead of one driver-side footer read per file.
-    """
-    schema = _merged_schema(spark, root, files)
-    if schema is not None:
-        return [(schema, files)]
-    if len(files) == 1:
-        raise ValueError(f"cannot read {files[0]}")
-    mid = len(files) // 2
-    return _mergeable_runs(spark, root, files[:mid]) + _mergeable_runs(spark, root, files[mid:])
-
-
-def _mergeable_groups(spark: SparkSession, root: str, files: Sequence[str]) -> list[DataFrame]:
-    """One scan for each distinct schema, also where chunks of two schemas alternate."""
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for schema, run in _mergeable_runs(spark, root, files):
-        groups.setdefault(schema.json(), (schema, []))[1].extend(run)
-    return [spark.read.schema(schema).option("basePath", root).parquet(*run)
-            for schema, run in groups.values()]
-
-
-def read_chunks(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame | None:
+def read_chunks(spark: SparkSession, path: str, contains: str | None = None) -> DataFrame | None:
     """Read every parquet chunk below ``path`` as one table, tolerating schema drift.
 
-    Chunks whose schemas merge are read with one scan for each distinct schema, and the scans
-    are unioned by name onto the widened target schema (``union_by_name``). ``name=value``
-    folders below ``path`` become columns.
+    A footer census finds the distinct schemas; each is read with one scan, and the scans are unioned
+    by name onto the widened target schema (``union_by_name``). ``name=value`` folders below ``path``
+    become columns.
     """
-    files = _file_paths(spark, path, glob)
-    if not files:
-        return None
-    return union_by_name(_null_typed_as_void(_mergeable_groups(spark, path, files)))
+    census = take_census(spark, path, contains)
+    return None if census is None else union_by_name(_null_typed_as_void(census.scans(spark)))
 
 
 def _null_typed_as_void(frames: list[DataFrame]) -> list[DataFrame]:

@@ -96,20 +96,20 @@ def widen_rows(df: DataFrame, parent: Sequence[str], position: str, fields: Sequ
                max_len: int, sep: str = ".") -> DataFrame:
     """Flat form of N3: child rows (parent, position, fields) -> one row per parent with
     columns <i><sep><field>. A pivot over a fixed position list, planned as a hash aggregate
-    with partial aggregation. A position outside 0 to max_len - 1 is an error: no child is
-    dropped silently."""
-    outside = (col(position) < 0) | (col(position) >= max_len)
+    with partial aggregation. A position that is null or outside 0 to max_len - 1 is an error, and
+    so are two children at one position: no child is dropped and no two are mixed."""
+    pos = col(position)
+    outside = pos.isNull() | (pos < 0) | (pos >= max_len)
     df = df.withColumn(position, F.when(outside, F.raise_error(F.lit(
-        f"widen_rows: {position} outside 0 to {max_len - 1}"))).otherwise(col(position)))
+        f"widen_rows: {position} is null or outside 0 to {max_len - 1}"))).otherwise(pos))
     g = df.groupBy(*[col(p) for p in parent]).pivot(position, list(range(max_len)))
-    res = g.agg(*[F.first(col(f), ignorenulls=True).alias(f) for f in fields])
-    if len(fields) == 1:
-        res = res.select(*[col(p) for p in parent],
-                         *[col(str(i)).alias(f"{i}{sep}{fields[0]}") for i in range(max_len)])
-    else:
-        res = res.select(*[col(p) for p in parent],
-                         *[col(f"{i}_{f}").alias(f"{i}{sep}{f}") for i in range(max_len) for f in fields])
-    return res
+    res = g.agg(F.count(F.lit(1)).alias("__n"), *[F.first(col(f), ignorenulls=True).alias(f) for f in fields])
+    # Counted beside the fields; with one child at each position the fields are of one record.
+    twice = F.greatest(F.lit(0), F.lit(0), *[col(f"{i}___n") for i in range(max_len)]) > 1
+    res = res.filter(F.when(twice, F.raise_error(F.lit(
+        f"widen_rows: two children at one {position}")).cast("boolean")).otherwise(F.lit(True)))
+    return res.select(*[col(p) for p in parent],
+                      *[col(f"{i}_{f}").alias(f"{i}{sep}{f}") for i in range(max_len) for f in fields])
 
 
 def drop_last_element(arr: str | Column) -> Column:

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportwide.operators.profile import missing
 from reportwide.operators.wide import col
 
 
@@ -20,7 +22,7 @@ def column_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for name, df in tables.items():
         fields = list(df.schema.fields)
-        row = df.agg(*[F.count(col(f.name)).alias(f"__c{i}") for i, f in enumerate(fields)])
+        row = df.agg(*[F.count_if(~missing(f)).alias(f"__c{i}") for i, f in enumerate(fields)])
         items = [F.struct(F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
                           F.lit(i).alias("position"), F.lit(f.dataType.simpleString()).alias("dtype"),
                           F.col(f"__c{i}").alias("non_null")) for i, f in enumerate(fields)]
@@ -92,3 +94,49 @@ def candidate_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     if not parts:
         raise ValueError("no table shares columns with an earlier one")
     return reduce(DataFrame.unionByName, parts)
+
+
+# Relative standard error of the sketches that prune the search, and how many of them an estimate
+# must lie below the row count before a set is given up without an exact count.
+SKETCH_ERROR = 0.02
+SIGMAS = 8
+# Column sets in one aggregate.
+SETS_AT_ONCE = 16
+
+
+def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, max_size: int = 3) -> DataFrame:
+    """Minimal unique column sets of the data (U5): (keys, n_columns), names joined by commas.
+
+    A set is unique when no two rows agree on all its columns (nulls agree with nulls); minimal when
+    no proper part of it is. Sets are tried level by level: a set that holds a key is not tried, one
+    whose parts have too few distinct values between them (their estimates multiplied) cannot be
+    unique, and one sketch aggregate over the sets that are left gives up those whose estimate lies
+    ``SIGMAS`` standard errors below the row count. Every set still standing is decided by an exact
+    count, which needs one group with two rows to say no. An empty table has no rows to tell apart:
+    every single column is a key of it.
+    """
+    names = list(columns) if columns is not None else df.columns
+    spark = df.sparkSession
+    n = df.count()
+    # A struct keeps null apart from every value, which a count of values would not.
+    value = lambda s: F.struct(*[col(c) for c in s])
+    low, high = 1 - SIGMAS * SKETCH_ERROR, 1 + SIGMAS * SKETCH_ERROR
+    found: list[tuple[str, ...]] = []
+    most: dict[tuple[str, ...], float] = {}  # upper bound of the distinct values of a set
+    level: list[tuple[str, ...]] = [(c,) for c in names]
+    for size in range(1, max_size + 1):
+        if size > 1:
+            level = [s for s in combinations(names, size)
+                     if not any(set(k) <= set(s) for k in found)
+                     and min(most[s[:i] + s[i + 1:]] * most[(s[i],)] for i in range(size)) >= n]
+        for at in range(0, len(level), SETS_AT_ONCE):
+            part = level[at:at + SETS_AT_ONCE]
+            row = df.agg(*[F.approx_count_distinct(value(s), SKETCH_ERROR).alias(f"d{i}") for i, s in enumerate(part)]).first()
+            for i, s in enumerate(part):
+                most[s] = row[f"d{i}"] * high
+                if row[f"d{i}"] >= n * low and df.groupBy(*[col(c) for c in s]).count().filter("count > 1").isEmpty():
+                    found.append(s)
+        for s in combinations(names, size):
+            most.setdefault(s, float(n) + 1)  # not estimated: it holds a key, or was bounded away
+    rows = [(",".join(s), len(s)) for s in found]
+    return spark.createDataFrame(rows, "keys string, n_columns int")

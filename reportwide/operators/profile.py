@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportwide.operators.wide import col
-from reportwide.session import checkpoint_dir
+from reportwide.session import work_path
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 
 
-def _missing(f: T.StructField):
+def missing(f: T.StructField):
+    """Null, or NaN in a floating-point column."""
     e = col(f.name).isNull()
     if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
         e = e | F.isnan(col(f.name))
@@ -49,7 +50,7 @@ def _fields(df: DataFrame, columns: Sequence[str] | None,
 def null_count(df: DataFrame, column: str) -> DataFrame:
     """Null (or NaN) count of one column (A1)."""
     f = df.schema[column]
-    return df.agg(F.count_if(_missing(f)).alias("null_count")).select(
+    return df.agg(F.count_if(missing(f)).alias("null_count")).select(
         F.lit(column).alias("column_name"), "null_count")
 
 
@@ -71,7 +72,7 @@ def _missing_long(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
     parts = []
     for idx in batches:
         row = df.agg(F.count(F.lit(1)).alias("__rows"),
-                     *[F.count_if(_missing(fields[i])).alias(f"__m{i}") for i in idx])
+                     *[F.count_if(missing(fields[i])).alias(f"__m{i}") for i in idx])
         items = [F.struct(F.lit(i).alias("position"), F.lit(fields[i].name).alias("column_name"),
                           F.lit(fields[i].dataType.simpleString()).alias("dtype"),
                           F.col("__rows").alias("n_rows"), F.col(f"__m{i}").alias("null_count"))
@@ -167,23 +168,21 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
                 F.col(f"__hi{i}").alias("max")))
         out = row.select(F.inline(F.array(*items))).orderBy("position").select(*names)
     elif method == "exact":
-        # The moments and each column's count and range come from one aggregate over the
-        # long table; they start the exact quantile search. A derived input (joins,
-        # aggregates) is unpivoted and written to the checkpoint folder once, so the
-        # quantile rounds re-read that instead of recomputing the plan.
-        long = long_values(df, cols)
         if materialize is None:
             materialize = _is_derived(df)
         if materialize:
-            checkpoint_dir(df.sparkSession)
-            long = long.checkpoint(eager=True)
-        # one small row per column reaches the driver
-        got = {r["column_name"]: r for r in long.groupBy("column_name").agg(
-            F.count(F.lit(1)).alias("n"), F.avg("v").alias("a"), F.stddev_samp("v").alias("s"),
-            F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        stats = [(c, got[c]["n"], got[c]["lo"], got[c]["hi"]) for c in cols if c in got]
-        q = {(x["column_name"], x["p_name"]): x["value"] for x in
-             exact_quantiles(long, probs, stats=stats).collect()}
+            # A derived input (joins, aggregates) is written once, so that the passes read
+            # columns of files instead of computing the plan again.
+            path = work_path(df.sparkSession, "describe")
+            df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).write.parquet(path)
+            plain = df.sparkSession.read.parquet(path)
+        else:
+            plain = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+        got, q = {}, {}
+        for i, (moments, values) in enumerate(column_quantiles(plain, plain.columns, probs)):
+            if moments["n"]:
+                got[cols[i]] = moments
+                q.update({(cols[i], _pct_name(p)): v for p, v in zip(probs, values)})
         data = []
         for c in cols:
             g = got.get(c)
@@ -216,6 +215,129 @@ def _between(a: float, b: float, frac: float) -> float:
     return a + frac * (b - a)
 
 
+# Size parameter of the sketches: a rank is off by more than RANK_ERROR of the rows with a
+# probability well below one in a thousand; a bracket that misses its rank is only moved.
+SKETCH_K = 4096
+RANK_ERROR = 0.0015
+# A bracket with at most this many values inside it is collected and sorted in the aggregate.
+FEW = 16_384
+# Equal steps of the ranks inside a bracket that is sketched again.
+CUTS = 256
+# Columns of one aggregate (a pass reads each column once, in the aggregate that has it).
+COLUMNS_AT_ONCE = 12
+
+
+def _sketch_quantiles(v, ranks: Sequence[float]):
+    """Values near the given ranks (0 to 1), or null without values."""
+    s = F.kll_sketch_agg_double(v, F.lit(SKETCH_K))
+    at = F.array(*[F.lit(float(r)) for r in ranks])
+    return F.when(F.count(v) > 0, F.kll_sketch_get_quantile_double(s, at))
+
+
+class _Bracket:
+    """Two neighbouring ranks of a column, known to lie among the values from lo to hi."""
+
+    def __init__(self, column: str, k: int, k2: int, lo: float, hi: float, inside: int):
+        self.column, self.ranks, self.lo, self.hi, self.inside = column, (k, k2), lo, hi, inside
+        self.value: dict[int, float] = {}
+        if lo == hi:
+            self.value = {k: lo, k2: lo}
+
+    def aggregates(self, i: int) -> list:
+        v = col(self.column)
+        lo, hi = F.lit(self.lo), F.lit(self.hi)
+        within = F.when((v > lo) & (v < hi), v)
+        out = [F.count_if(v < lo), F.count_if(v == lo), F.count(within), F.count_if(v == hi), F.min(within), F.max(within)]
+        if self.inside <= FEW:
+            ordered = F.sort_array(F.collect_list(within))
+            place = [F.lit(k) - F.count_if(v <= lo) for k in self.ranks]
+            out.append(F.array(*[F.get(ordered, F.when(p >= 0, p).otherwise(F.lit(-1)).cast("int")) for p in place]))
+        else:
+            out.append(F.array(*[F.lit(None).cast("double")] * 2))
+            # The ranks' place among the values inside is only known after this pass: cut them evenly.
+            out.append(_sketch_quantiles(within, [j / CUTS for j in range(CUTS + 1)]))
+        return [c.alias(f"b{i}_{j}") for j, c in enumerate(out)]
+
+    def narrow(self, i: int, row) -> None:
+        below, at_lo, mid, at_hi, first, last, picked = (row[f"b{i}_{j}"] for j in range(7))
+        start, end = below + at_lo, below + at_lo + mid
+        for k, v in zip(self.ranks, picked):
+            if below <= k < start:
+                self.value[k] = self.lo
+            elif end <= k < end + at_hi:
+                self.value[k] = self.hi
+            elif start <= k < end and v is not None:
+                self.value[k] = v
+        open_ = [k for k in self.ranks if k not in self.value]
+        if not open_:
+            return
+        if open_[0] < below:  # the sketch was off: look on the side where the rank is
+            self.lo, self.hi, self.inside = -math.inf, self.lo, below
+        elif open_[-1] >= end + at_hi:
+            self.lo, self.hi, self.inside = self.hi, math.inf, sys.maxsize
+        elif self.inside > FEW:
+            cuts = [first, *row[f"b{i}_7"], last]
+            error = max(1, math.ceil(RANK_ERROR * CUTS))
+            a = int((open_[0] - start) / mid * CUTS) + 1 - error
+            b = int((open_[-1] - start) / mid * CUTS) + 2 + error
+            self.lo, self.hi = cuts[max(a, 0)] if a > 0 else first, cuts[min(b, CUTS + 2)] if b < CUTS + 2 else last
+            self.inside = min(mid, round(mid * ((min(b, CUTS + 2) - max(a, 0)) / CUTS + 2 * RANK_ERROR)))
+        else:
+            self.lo, self.hi, self.inside = first, last, mid
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> list[tuple[dict, list]]:
+    """Moments (n, a, s, lo, hi) and exact interpolated quantiles of each double column.
+
+    One aggregate pass gives the moments and a mergeable sketch of every column. The sketch brackets
+    the wanted ranks; the next pass counts what lies below each bracket and sorts the few values
+    inside it, which gives the ranks exactly. A bracket that still holds more than ``FEW`` values is
+    sketched again inside (each pass divides it by some 60), so a table of two million rows takes two
+    passes, one of a trillion six. Values equal to a bracket's ends are counted, not collected, so
+    ties of any size take no room. NaN and null do not count.
+    """
+    out: dict[str, tuple[dict, list]] = {}
+    brackets: list[_Bracket] = []
+    wanted: dict[str, list[tuple[int, int, float]]] = {}
+    # Each wanted rank is sought between the sketch's values a little below and above it.
+    around = [min(1.0, max(0.0, p + e)) for p in probs for e in (-RANK_ERROR, RANK_ERROR)]
+    clean = df.select(*[F.when(~F.isnan(col(c)), col(c)).alias(c) for c in columns])
+    for at in range(0, len(columns), COLUMNS_AT_ONCE):
+        here = columns[at:at + COLUMNS_AT_ONCE]
+        row = clean.agg(*[e.alias(f"{c}_{x}") for c in here for x, e in (
+            ("n", F.count(col(c))), ("a", F.avg(col(c))), ("s", F.stddev_samp(col(c))), ("lo", F.min(col(c))),
+            ("hi", F.max(col(c))), ("q", _sketch_quantiles(col(c), around)))]).first()
+        for c in here:
+            m = {x: row[f"{c}_{x}"] for x in ("n", "a", "s", "lo", "hi")}
+            out[c] = (m, [])
+            wanted[c] = []
+            for j, p in enumerate(probs if m["n"] else ()):
+                at_ = p * (m["n"] - 1)
+                k = int(math.floor(at_))
+                wanted[c].append((k, min(k + 1, m["n"] - 1), at_ - k))
+                lo, hi = row[f"{c}_q"][2 * j:2 * j + 2]
+                lo, hi = m["lo"] if p <= RANK_ERROR else lo, m["hi"] if p >= 1 - RANK_ERROR else hi
+                brackets.append(_Bracket(c, k, wanted[c][-1][1], lo, hi, math.ceil(m["n"] * 4 * RANK_ERROR)))
+                if lo == hi and m["lo"] < m["hi"]:
+                    brackets[-1].value = {}  # heavy ties here: the next pass counts them
+    while True:
+        open_ = [b for b in brackets if len(b.value) < len(set(b.ranks))]
+        if not open_:
+            break
+        names = list(dict.fromkeys(b.column for b in open_))
+        for at in range(0, len(names), COLUMNS_AT_ONCE):
+            here = [b for b in open_ if b.column in set(names[at:at + COLUMNS_AT_ONCE])]
+            row = clean.agg(*[a for i, b in enumerate(here) for a in b.aggregates(i)]).first()
+            for i, b in enumerate(here):
+                b.narrow(i, row)
+    found = iter(brackets)
+    for c in columns:
+        for k, k2, frac in wanted[c]:
+            value = next(found).value
+            out[c][1].append(_between(value[k], value[k2], frac))
+    return [out[c] for c in columns]
+
+
 def exact_quantiles(values: DataFrame, probs: Sequence[float],
                     stats: Sequence[tuple[str, int, float, float]] | None = None,
                     bins: int = 4096, final_rows: int = 200_000, max_rounds: int = 64,

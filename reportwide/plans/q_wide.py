@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from reportwide.operators.paging import head
 from reportwide.operators.wide import wide_join
+from reportwide.plans.incremental import WideTable
 from reportwide.plans.registry import register, table
 from reportwide.plans.reports import (EVENTS_REPORTS, LINEITEM_REPORTS, LINEITEM_REPORTS_21,
                                       build_report, build_wide, wide_sql)
+from reportwide.session import settings, work_path
+from reportwide.sources.sinks import READ_SORTED, write_bucketed
 
 
 def events_wide(spark: SparkSession, sf_dir: str):
@@ -83,3 +86,51 @@ def q_wide_join_merge(spark: SparkSession, sf_dir: str):
     src = table(spark, sf_dir, "lineitem")
     reports = [build_report(src, LINEITEM_REPORTS, r) for r in LINEITEM_REPORTS.reports]
     return wide_join(reports, LINEITEM_REPORTS.key_names, strategy="merge")
+
+
+def save_reports(spark: SparkSession, src, rs, buckets: int, base: str) -> list[str]:
+    """The report tables, saved bucketed by their keys; their names in join order."""
+    tag = base.rstrip("/").rsplit("-", 1)[-1]
+    return [write_bucketed(build_report(src, rs, r), f"{r.name}_{tag}", rs.key_names, buckets, path=f"{base}/{r.name}")
+            for r in rs.reports]
+
+
+def join_saved(spark: SparkSession, names, keys):
+    """Wide join of bucketed tables: no exchange, and under ``READ_SORTED`` no sort and so no
+    sorter in any task: all joins run in one stage, without a checkpoint between."""
+    return wide_join([spark.table(n) for n in names], keys, hot_share=None, joins_per_stage=0)
+
+
+@register("wide_join_bucketed", wide_sql(LINEITEM_REPORTS_21))
+def q_wide_join_bucketed(spark: SparkSession, sf_dir: str):
+    # The 21 report tables of wide_join_21, saved co-partitioned once, then joined without a shuffle.
+    base = work_path(spark, "wide_join_bucketed")
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    names = save_reports(spark, table(spark, sf_dir, "lineitem"), LINEITEM_REPORTS_21, buckets, base)
+    with settings(spark, READ_SORTED):
+        join_saved(spark, names, LINEITEM_REPORTS_21.key_names).write.parquet(f"{base}/wide")
+    for n in names:  # the tables' files are in the work folder; only the names go
+        spark.sql(f"DROP TABLE {n}")
+    return spark.read.parquet(f"{base}/wide")
+
+
+@register("wide_incremental", wide_sql(EVENTS_REPORTS))
+def q_wide_incremental(spark: SparkSession, sf_dir: str):
+    # Reports arrive in change sets: half of the keys first, with a wrong summary, then the rest, then
+    # the corrections. The last change set is sent twice.
+    src = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    base, keys = work_path(spark, "wide_incremental"), EVENTS_REPORTS.key_names
+    reports = {}
+    for r in EVENTS_REPORTS.reports:
+        build_report(src, EVENTS_REPORTS, r).write.parquet(f"{base}/input/{r.name}")
+        reports[r.name] = spark.read.parquet(f"{base}/input/{r.name}")
+    early = F.pmod(F.xxhash64(*keys), F.lit(2)) == 0
+    wide = WideTable(spark, f"{base}/tables", list(reports), keys, buckets=8)
+    right = {name: df.filter(early) for name, df in reports.items()}
+    wrong = {**right, "r_summary": right["r_summary"].withColumn("n_events", F.col("n_events") + 1)}
+    rest = {name: df.filter(~early) for name, df in reports.items()}
+    fix = {"r_summary": right["r_summary"]}
+    for batch, changes in enumerate((wrong, rest, fix)):
+        wide.apply(changes, batch)
+    wide.apply(fix, 2)
+    return wide.read()

@@ -38,4 +38,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> None:
     """Import every module that registers queries."""
     from reportwide.plans import (  # noqa: F401
-        q_flatten, q_io, q_keys, q_paging, q_profile, q_stream, q_urls, q_wide, q_windows)
+        q_flatten, q_io, q_keys, q_paging, q_profile, q_stream, q_tables, q_urls, q_wide, q_windows)

@@ -32,12 +32,12 @@ def wide_from_folder(spark: SparkSession, root: str, keys: Sequence[str],
                      order: Sequence[str] | None = None, anchor: str | None = None,
                      key_as_string: Sequence[str] = (), parity: bool = True,
                      marker: str = ".parquet.gzip", out: str | None = None,
-                     mode: str = "errorifexists") -> DataFrame:
+                     mode: str = "errorifexists", null_safe: bool = False) -> DataFrame:
     """Wide table of all reports below ``root``, joined in ``order`` (the first is the anchor).
 
     Without ``order`` the reports are taken in name order, with ``anchor`` moved to the
     front. With ``out`` the table is written there (Spark's default codec) and the written
-    table is returned."""
+    table is returned. With ``null_safe`` a null key meets null keys, as row labels do."""
     reports = load_reports(spark, root, marker)
     if order is not None:
         names = list(order)
@@ -50,7 +50,7 @@ def wide_from_folder(spark: SparkSession, root: str, keys: Sequence[str],
         raise ValueError(f"reports not found below {root}: {missing}")
     cleaned = [clean_report(reports[n], keys, key_as_string=key_as_string, parity=parity)
                for n in names]
-    wide = wide_join(cleaned, keys)
+    wide = wide_join(cleaned, keys, null_safe=null_safe)
     if out is None:
         return wide
     write_parquet(wide, out, compression=None, mode=mode)

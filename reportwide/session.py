@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -88,3 +89,16 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder for scratch tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/reportwide-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings of the session that hold while a job is planned and run, and are put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,8 +1,8 @@
 """Scans: parquet tables, format by path, recursive discovery, landed JSON pages.
 
 File listing uses Spark's own file index (the ``binaryFile`` source with only its path
-column), so the same code lists a local folder, HDFS or an object store; only file names
-travel to the driver, never rows or file contents.
+column), so the same code lists a local folder, HDFS or an object store, and the files are
+rows of a DataFrame.
 """
 
 from __future__ import annotations
@@ -48,18 +48,24 @@ def read_by_suffix(spark: SparkSession, path: str, schema: T.StructType | str |
     return reader.parquet(path)
 
 
-def list_files(spark: SparkSession, root: str, contains: str | None = None) -> list[str]:
-    """All file paths below root (recursive, hidden and marker files skipped) whose text
-    contains ``contains``. Spark's own file index lists the tree (in parallel for large
-    trees); only the path column is read, never file contents."""
+def find_files(spark: SparkSession, root: str, contains: str | None = None,
+               columns: tuple[str, ...] = ("path", "length")) -> DataFrame:
+    """Files below root (recursive, hidden and marker files skipped) whose path contains
+    ``contains``, one row each. Spark's own file index lists the tree (in parallel for large
+    trees); file contents are read only where ``columns`` names ``content``."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
     try:
-        paths = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(root).select("path"))
-        if contains is not None:
-            paths = paths.filter(F.col("path").contains(contains))
-        return sorted(r["path"] for r in paths.collect())
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     except AnalysisException:  # root does not exist
-        return []
+        files = spark.createDataFrame([], schema)
+    if contains is not None:
+        files = files.filter(F.col("path").contains(contains))
+    return files.select(*columns)
+
+
+def list_files(spark: SparkSession, root: str, contains: str | None = None) -> list[str]:
+    """The paths of ``find_files`` as a sorted list, for callers that want the names themselves."""
+    return sorted(r["path"] for r in find_files(spark, root, contains, ("path",)).collect())
 
 
 def discover(spark: SparkSession, root: str, marker: str = ".parquet.gzip",
@@ -69,19 +75,17 @@ def discover(spark: SparkSession, root: str, marker: str = ".parquet.gzip",
     Spark writes a table as a folder of part files, so a marker in a folder name selects the
     whole folder. With ``make_df`` each table (folder or single file) is read on its own and a
     dict {table path: DataFrame} is returned; otherwise the list of paths. ``name=value``
-    folders between ``root`` and a file become columns.
+    folders between ``root`` and a file become columns. For tables only the table paths reach
+    the driver, not the paths of their files.
     """
-    files = list_files(spark, root, marker)
     if not make_df:
-        return files
-    tables: dict[str, list[str]] = {}
-    for f in files:
-        i = f.find(marker)
-        # the table is the path up to the end of the first component holding the marker
-        end = f.find("/", i)
-        tables.setdefault(f if end < 0 else f[:end], []).append(f)
-    return {t: spark.read.option("basePath", root).parquet(*[p for p in fs if not p.rsplit("/", 1)[-1].startswith(("_", "."))])
-            for t, fs in tables.items()}
+        return list_files(spark, root, marker)
+    # The table is the path up to the end of the first component that holds the marker.
+    at = F.instr("path", marker)
+    rest = F.expr("substring(path, at)")
+    table = F.concat(F.expr("substring(path, 1, at - 1)"), F.substring_index(rest, "/", 1))
+    tables = find_files(spark, root, marker, ("path",)).withColumn("at", at).select(table.alias("t")).distinct()
+    return {r["t"]: spark.read.option("basePath", root).parquet(r["t"]) for r in tables.orderBy("t").collect()}
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType | str,

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from reportwide.functions.dates import month_windows_until
 from reportwide.operators import flatten
-from reportwide.operators.combine import _file_paths, _mergeable_groups, compact, union_by_name, widen
+from reportwide.operators.census import take_census
+from reportwide.operators.combine import compact, union_by_name, widen
 from reportwide.operators.keys import column_overlap, schema_catalog
 from reportwide.operators.profile import exact_quantiles
 from reportwide.sources.readers import discover
@@ -90,7 +91,7 @@ def test_alternating_schemas_take_one_scan_each(spark, tmp_dir):
     for i in range(8):
         spark.range(i, i + 1).selectExpr(f"cast(id as {('bigint', 'double')[i % 2]}) v").coalesce(1) \
             .write.parquet(f"{tmp_dir}/c/{i}")
-    assert len(_mergeable_groups(spark, f"{tmp_dir}/c", _file_paths(spark, f"{tmp_dir}/c", None))) == 2
+    assert len(take_census(spark, f"{tmp_dir}/c").kinds) == 2
     assert compact(spark, f"{tmp_dir}/c", f"{tmp_dir}/out")
     assert sorted(r["v"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == list(map(float, range(8)))
 
