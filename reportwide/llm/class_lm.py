@@ -1,20 +1,16 @@
 """LM scoring with Brown classes: P(word | word before) = P(class | class before) P(word | class).
 
-Every training word is put into a class by exchange clustering: each moves to the class that
-raises the likelihood of the training bigrams most. The number of classes grows with the cube
-root of the vocabulary. The ``SEEDS`` most frequent words are exchanged first, on their own; then
-all words in rounds: a round is two joins of the bigram table with the classes and an aggregate to
-each word's counts of neighbouring classes, from which all words of the round find their best
-class at once. A round that lowers the likelihood is taken back, and then half as many words move
-together; the rounds end when one gains less than ``TOLERANCE`` a token. Words never seen in
-training have the class most frequent among training words of their last two bytes (hashed to
-``ENDINGS`` groups), and the end of a text is a class of its own. Class transitions are
-interpolated with class frequencies (Witten-Bell), emissions have 0.5 added for every word of a
-class and one unknown word.
-
-Counts cover all training texts. The driver gets the table of class transitions. Counts and
-classes of the ``SHARED`` most frequent words are broadcast, a bounded table; every other word
-meets them in a shuffled join, so no word that is frequent enough to skew the join is in it.
+Every training word is put into a class by exchange clustering (``brown_clusters``), each to the class
+that raises the likelihood of the training bigrams most; the number of classes grows with the cube root
+of the vocabulary. Words never seen in training have the class most frequent among training words of
+their last two bytes (hashed to ``ENDINGS`` groups), and the end of a text is a class of its own. Class
+transitions are interpolated with class frequencies (Witten-Bell), emissions have 0.5 added for every
+word of a class and one unknown word, and each token's probability is the mean of that of the classes
+and that of its frequency alone.
+
+Counts cover all training texts. Counts and classes of the ``CORE`` most frequent words are broadcast,
+a bounded table; every other word meets them in a shuffled join, so no word that is frequent enough to
+skew the join is in it.
 
 Words are told apart by 64-bit hashes.
 
@@ -31,19 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportwide.llm import words as W
-from reportwide.llm.tables import checked_broadcast, drop_tables, materialize, release
-from reportwide.session import work_path
+from reportwide.llm.brown_clusters import (CORE, END_HASH, Lookup, best_classes, brown_classes,  # noqa: F401
+                                           cluster, likelihood)
+from reportwide.llm.tables import materialize, release
 
-SEEDS = 512
-CLASSES = 40  # at least
 ENDINGS = 64
-SHARED = 1 << 18
-SWEEPS = 10  # over the seeds
-TOLERANCE = 0.005  # nats
 DELTA = 0.5
-END_HASH = np.uint64(1)
-ENTRIES = 2_000_000
-SLICES = 4
+SHARE = 0.5  # of the classes' probability in a token's
 
 
 def held_out() -> Column:
@@ -85,256 +75,6 @@ def _count(batches):
                 [pa.array(h.view(np.int64)), pa.array(kind), pa.array(n)], ["h", "ending", "n"])
 
 
-class Lookup:
-    """Position of hashes in a sorted table, or -1."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.order = np.argsort(hashes)
-        self.sorted = hashes[self.order]
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.sorted):
-            return np.full(len(h), -1)
-        i = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-        return np.where(self.sorted[i] == h, self.order[i], -1)
-
-
-def _bigrams(batches):
-    """Counts of neighbouring words, summed within a batch; a text starts after an end."""
-    for b in batches:
-        a, z = [], []
-        for _lo, _hi, buf, offs in W.slices(b.column("text")):
-            tokens = _tokens(buf, offs)[0]
-            a.append(np.concatenate([[END_HASH], tokens[:-1]]))
-            z.append(tokens)
-        if a:
-            a, z = np.concatenate(a), np.concatenate(z)
-            order = np.lexsort((z, a))
-            a, z = a[order], z[order]
-            new = np.ones(len(a), np.bool_)
-            new[1:] = (a[1:] != a[:-1]) | (z[1:] != z[:-1])
-            first = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a[first].view(np.int64)), pa.array(z[first].view(np.int64)),
-                 pa.array(np.diff(np.append(first, len(a))).astype(np.int64))], ["a", "b", "n"])
-
-
-def _f(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1))
-
-
-def cluster(table: np.ndarray, size: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
-    """Class of each of the first ``size`` units; the other units keep a class each."""
-    units = len(table)
-    fixed = units - size
-    of = np.concatenate([np.arange(size) % classes, classes + np.arange(fixed)])
-    total = classes + fixed
-    hot = np.zeros((units, total))
-    hot[np.arange(units), of] = 1
-    g = hot.T @ table @ hot
-    out, into = table @ hot, table.T @ hot  # units x classes
-    for _ in range(sweeps):
-        moved = False
-        for w in range(size):
-            a, self_ = of[w], table[w, w]
-            o, i = out[w].copy(), into[w].copy()
-            o[a] -= self_
-            i[a] -= self_
-            g[a, :] -= o
-            g[:, a] -= i
-            g[a, a] -= self_
-            # Likelihood gained by adding the word to each class c.
-            rows, cols = g[:classes], g[:, :classes]
-            gain = (_f(rows + o) - _f(rows)).sum(1) + (_f(cols + i[:, None]) - _f(cols)).sum(0)
-            c = np.arange(classes)
-            d = g[c, c]
-            gain += _f(d + o[c] + i[c] + self_) - _f(d) - (_f(d + o[c]) - _f(d)) - (_f(d + i[c]) - _f(d))
-            left, right = (g.sum(1) + i)[:classes], (g.sum(0) + o)[:classes]
-            n_out, n_in = o.sum() + self_, i.sum() + self_
-            gain -= _f(left + n_out) - _f(left) + _f(right + n_in) - _f(right)
-            best = int(np.argmax(gain))
-            if gain[best] <= gain[a] + 1e-9:
-                best = a
-            g[best, :] += o
-            g[:, best] += i
-            g[best, best] += self_
-            if best != a:
-                moved = True
-                of[w] = best
-                out[:, a] -= table[:, w]
-                out[:, best] += table[:, w]
-                into[:, a] -= table[w, :]
-                into[:, best] += table[w, :]
-        if not moved:
-            break
-    return of[:size]
-
-
-def best_classes(g: np.ndarray, classes: int, of: np.ndarray, self_: np.ndarray, o: np.ndarray, i: np.ndarray) -> np.ndarray:
-    """Best class of each word, all else left as it is: the gains of ``cluster``, by non-zero counts.
-
-    ``o`` and ``i`` are each word's counts of the classes after and before it, without itself.
-    """
-    m, total = o.shape
-    w = np.arange(m)
-    gain = np.zeros((m, total))
-    for table, counts, other in ((g.T, o, i), (g, i, o)):
-        row, d = np.nonzero(counts)
-        n = counts[row, d]
-        x = table[d].astype(np.float64)  # entries x classes, without the word
-        own = np.flatnonzero(d == of[row])
-        x[own] -= other[row[own]]
-        x[np.arange(len(d)), of[row]] -= n
-        x[own, of[row[own]]] -= self_[row[own]]
-        if len(d):
-            x = _f(x + n[:, None]) - _f(x)
-            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            gain[row[first]] += np.add.reduceat(x, first, axis=0)
-    n_out, n_in = o.sum(1) + self_, i.sum(1) + self_
-    d = np.tile(np.diag(g), (m, 1)).astype(np.float64)
-    d[w, of] -= o[w, of] + i[w, of] + self_
-    gain += _f(d + o + i + self_[:, None]) + _f(d) - _f(d + o) - _f(d + i)
-    for sums, n in ((g.sum(1), n_out), (g.sum(0), n_in)):
-        left = np.tile(sums, (m, 1)).astype(np.float64)
-        left[w, of] -= n
-        gain -= _f(left + n[:, None]) - _f(left)
-    best = np.argmax(gain[:, :classes], axis=1)
-    return np.where((of < classes) & (gain[w, best] <= gain[w, of] + 1e-9), of, best)
-
-
-def likelihood(g: np.ndarray) -> float:
-    """Log likelihood of the bigrams but for the words' own counts, which no exchange changes."""
-    return float(_f(g).sum() - _f(g.sum(1)).sum() - _f(g.sum(0)).sum())
-
-
-_OUT, _IN, _SELF, _OWN = range(4)
-
-
-def _neighbours(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(h, x): of every word its own class and its counts of the classes after and before it.
-
-    Words are worked through in ``SLICES`` slices, whose shuffle files go before the next one's come.
-    """
-    spark = pairs.sparkSession
-    path = work_path(spark, "neighbours")
-    for part in range(SLICES):
-        here = lambda word: F.pmod(word, F.lit(SLICES)) == part
-        own = classes.filter(here("h"))
-        rows = (pairs.filter((F.col("a") == F.col("b")) & here("a"))
-                .select(F.col("a").alias("h"), F.lit(_SELF).alias("side"), F.lit(0).alias("d"), "n")
-                .union(own.select("h", F.lit(_OWN).alias("side"), F.col("cls").alias("d"), F.lit(1).cast("long").alias("n"))))
-        for side, word, other in ((_OUT, "a", "b"), (_IN, "b", "a")):
-            near = pairs.filter((F.col("a") != F.col("b")) & here(word)).join(
-                checked_broadcast(classes.select(F.col("h").alias(other), "cls")), other)
-            rows = rows.union(near.groupBy(F.col(word).alias("h"), F.col("cls").alias("d")).agg(F.sum("n").alias("n"))
-                              .select("h", F.lit(side).alias("side"), "d", "n"))
-        out = rows.groupBy("h").agg(F.collect_list(F.struct("side", "d", "n")).alias("x"))
-        out.write.option("compression", "zstd").mode("append").parquet(path)
-        kind = out.schema
-        del own, rows, near, out
-        release(spark)
-    return spark.read.schema(kind).parquet(path)
-
-
-def _blocks(batches, total: int):
-    """(hashes, classes, self counts, counts after, counts before) of a bounded number of words."""
-    for b in batches:
-        x, h = b.column("x"), b.column("h").to_numpy()
-        offs = x.offsets.to_numpy()
-        side, d, n = (f.to_numpy() for f in x.values.flatten())
-        step = max(1, ENTRIES // total // total)
-        for lo in range(0, len(h), step):
-            hi = min(lo + step, len(h))
-            own = slice(offs[lo], offs[hi])
-            row = np.repeat(np.arange(hi - lo), np.diff(offs[lo:hi + 1]))
-            s, e, c = side[own], d[own], n[own]
-            o, i = np.zeros((hi - lo, total)), np.zeros((hi - lo, total))
-            of, self_ = np.zeros(hi - lo, np.int64), np.zeros(hi - lo)
-            for t, k in ((o, _OUT), (i, _IN)):
-                t[row[s == k], e[s == k]] = c[s == k]
-            self_[row[s == _SELF]] = c[s == _SELF]
-            of[row[s == _OWN]] = e[s == _OWN]
-            yield h[lo:hi], of, self_, o, i
-
-
-def _transition_counts(near: DataFrame, total: int) -> np.ndarray:
-    def run(batches):
-        g = np.zeros((total, total))
-        for _h, of, self_, o, _i in _blocks(batches, total):
-            np.add.at(g, of, o)
-            np.add.at(g, (of, of), self_)
-        code = np.flatnonzero(g)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(g.ravel()[code].astype(np.int64))], ["code", "n"])
-    rows = near.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    g = np.zeros(total * total)
-    g[rows.column("code").to_numpy()] = rows.column("n").to_numpy()
-    return g.reshape(total, total)
-
-
-def _moved(near: DataFrame, g: np.ndarray, classes: int, parts: int, turn: int) -> DataFrame:
-    """(h, cls) after every word of one of ``parts`` parts, and every word without a class, has moved."""
-    shared = near.sparkSession.sparkContext.broadcast(g)
-
-    def run(batches):
-        g = shared.value
-        for h, of, self_, o, i in _blocks(batches, len(g)):
-            go = (of != classes) & ((W.mix(h.view(np.uint64)) % np.uint64(parts) == turn % parts) | (of > classes))
-            if go.any():
-                of[go] = best_classes(g, classes, of[go], self_[go], o[go], i[go])
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(of.astype(np.int32))], ["h", "cls"])
-    return materialize(near.mapInArrow(run, "h long, cls int"), "classes")
-
-
-def _seeded(counts: DataFrame, pairs: DataFrame, classes: int) -> DataFrame:
-    """(h, cls) of all words: the most frequent ones clustered on their own, the end, others without a class."""
-    spark = counts.sparkSession
-    end = int(END_HASH)
-    top = [r["h"] for r in counts.filter(F.col("h") != end).orderBy(F.desc("n"), "h").limit(SEEDS).collect()]
-    size = len(top)
-    ids = [(h, k) for k, h in enumerate(top)] + [(end, size)]
-    known = lambda x: F.broadcast(spark.createDataFrame(ids, f"{x} long, i{x} int"))
-    unit = lambda x: F.coalesce(f"i{x}", F.lit(size + 1))
-    rows = (pairs.join(known("a"), "a", "left").join(known("b"), "b", "left")
-            .groupBy(unit("a").alias("a"), unit("b").alias("b")).agg(F.sum("n").alias("n")).collect())
-    table = np.zeros((size + 2, size + 2))
-    for a, b, n in rows:
-        table[a, b] = n
-    of = [*cluster(table, size, classes).tolist(), classes] if size else [classes]
-    first = F.broadcast(spark.createDataFrame([(h, int(c)) for (h, _), c in zip(ids, of)], "h long, cls int"))
-    return materialize(counts.select("h").join(first, "h", "left").select(
-        "h", F.coalesce("cls", F.lit(classes + 1)).alias("cls")), "classes")
-
-
-def brown_classes(counts: DataFrame, pairs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(h, cls) of every word, and the counts of class transitions; the last class is the end of a text."""
-    spark, vocabulary = counts.sparkSession, counts.count()
-    classes = max(CLASSES, round(vocabulary ** (1 / 3)))
-    total = classes + 2  # the end, and words not yet in a class
-    of = _seeded(counts, pairs, classes)
-    near = _neighbours(pairs, of)
-    g = _transition_counts(near, total)
-    parts, turn, tokens = 2, 0, g.sum()
-    while tokens:
-        new = _moved(near, g, classes, parts, turn)
-        drop_tables(spark, near)
-        near = _neighbours(pairs, new)
-        new_g = _transition_counts(near, total)
-        waiting = g[:, classes + 1].any()
-        gain = (likelihood(new_g) - likelihood(g)) / tokens
-        if not waiting and gain < 0:  # words that moved together did harm: fewer at a time
-            drop_tables(spark, new, near)
-            parts *= 2
-            if parts > vocabulary:
-                break
-            near = _neighbours(pairs, of)
-            continue
-        drop_tables(spark, of)
-        of, g, turn = new, new_g, turn + 1
-        if not waiting and gain < TOLERANCE:
-            break
-    return of, g[:classes + 1, :classes + 1]
-
-
 class Tables:
     """What a scoring task needs; its size follows the parameters and the number of classes."""
 
@@ -353,15 +93,25 @@ def transitions(g: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame) -> tuple[DataFrame, Tables]:
     """Counts (h, cls, n) of all training words, and the tables."""
+    spark, end_hash = docs.sparkSession, int(END_HASH)
     texts = docs.filter(~held_out()).select("text")
     counts = materialize(texts.mapInArrow(_count, "h long, ending int, n long").groupBy("h").agg(
         F.max("ending").alias("ending"), F.sum("n").alias("n")), "words")
-    pairs = materialize(texts.mapInArrow(_bigrams, "a long, b long, n long").groupBy("a", "b").agg(
-        F.sum("n").alias("n")), "bigrams")
-    release(docs.sparkSession)
-    of, g = brown_classes(counts, pairs)
-    drop_tables(docs.sparkSession, pairs)
-    counts = materialize(counts.join(of, "h"), "classed")
+    release(spark)
+    top = counts.filter(F.col("h") != end_hash).orderBy(F.desc("n"), "h").limit(CORE).toArrow()
+    core, core_n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    core_cls, others, g = brown_classes(texts, core, counts.count(), lambda buf, offs: _tokens(buf, offs)[0])
+    shared = spark.sparkContext.broadcast((Lookup(core), core_cls))
+
+    def attach(batches):
+        look, cls = shared.value
+        for b in batches:
+            h = b.column("h").to_numpy().view(np.uint64)
+            at = np.where(h == END_HASH, len(cls) - 1, look.find(h))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cls[at].astype(np.int32), mask=at < 0)], [*b.schema.names, "core"])
+    counts = counts.mapInArrow(attach, "h long, ending int, n long, core int").join(others, "h", "left").select(
+        "h", "ending", "n", F.coalesce("core", "cls").alias("cls"))
+    counts = materialize(counts, "classed")
     total = len(g)
     class_n, class_v = np.zeros(total), np.zeros(total)
     types, once = np.zeros((ENDINGS + 1, total)), np.zeros((ENDINGS + 1, total))
@@ -373,10 +123,12 @@ def train(docs: DataFrame) -> tuple[DataFrame, Tables]:
     # Words seen once stand for unseen ones; where an ending has none, all its words, then all words.
     guess = np.where(once.any(1)[:, None], once, np.where(types.any(1)[:, None], types, types.sum(0)))
     endings = np.append(guess[:ENDINGS, :total - 1].argmax(1), total - 1)
-    top = counts.orderBy(F.desc("n"), "h").limit(SHARED).toArrow()
-    column = lambda c: top.column(c).to_numpy()
-    return counts, Tables(int(class_n.sum()), int(class_v.sum()), column("h").view(np.uint64), column("n"),
-                          column("cls"), endings, transitions(g), class_n, class_v)
+    n_end = class_n[total - 1]  # the end of a text is alone in its class
+    ends = np.array([END_HASH] if n_end else [], np.uint64)
+    return counts, Tables(int(class_n.sum()), int(class_v.sum()), np.append(core, ends),
+                          np.append(core_n, [n_end] * len(ends)).astype(np.int64),
+                          np.append(core_cls[:-1], [total - 1] * len(ends)).astype(np.int64), endings, transitions(g),
+                          class_n, class_v)
 
 
 def _base(t: Tables, c):
@@ -387,8 +139,16 @@ def _emission(t: Tables, c, cls):
     return np.log10((c + DELTA) / (t.class_n[cls] + DELTA * (t.class_v[cls] + 1)))
 
 
-# rare: tokens that are not shared, with the classes next to them (-1: not shared either).
-_RARE = ("h long", "ending int", "at int", "before int", "after int")
+def _mixed(classes, base):
+    """log10 of the mean of two probabilities given by their log10."""
+    return np.logaddexp(classes * _LN10 + np.log(SHARE), base * _LN10 + np.log(1 - SHARE)) / _LN10
+
+
+_LN10 = np.log(10)
+
+# rare: tokens that are not shared, with the classes next to them (-1: not shared either), and the
+# emission and base probability of a shared token after them.
+_RARE = ("h long", "ending int", "at int", "before int", "after int", "emission double", "frequency double")
 _PARTS = ("held_out boolean, rid long, n_tokens long, n_known long, base double, score double, "
           f"rare array<struct<{','.join(x.replace(' ', ':') for x in _RARE)}>>")
 
@@ -410,17 +170,16 @@ def _score(shared, batches):
             cls[is_end] = end
             before = np.concatenate([[end], cls[:-1]])
             c = t.shared_n[place[known]] if known.any() else np.empty(0)
-            base, score = np.zeros(len(tokens)), np.zeros(len(tokens))
-            both = (before >= 0) & (cls >= 0)
-            score[both] = t.transitions[before[both], cls[both]]
-            base[known] = _base(t, c)
-            score[known] += _emission(t, c, cls[known])
+            base, emission, score = np.zeros(len(tokens)), np.zeros(len(tokens)), np.zeros(len(tokens))
+            base[known], emission[known] = _base(t, c), _emission(t, c, cls[known])
             no_end = is_end & ~known  # no training text: the end is a word never seen
-            base[no_end], score[no_end] = _base(t, 0), score[no_end] + _emission(t, 0, end)
+            base[no_end], emission[no_end] = _base(t, 0), _emission(t, 0, end)
+            both = (before >= 0) & (cls >= 0)
+            score[both] = _mixed(t.transitions[before[both], cls[both]] + emission[both], base[both])
             rare = np.flatnonzero(~known & ~is_end)
             lists = np.searchsorted(row[rare], np.arange(rows + 1)).astype(np.int32)
             columns = [tokens[rare].view(np.int64), *(x.astype(np.int32) for x in (
-                kind[rare], rare, before[rare], cls[rare + 1]))]
+                kind[rare], rare, before[rare], cls[rare + 1])), emission[rare + 1], base[rare + 1]]
             items = pa.StructArray.from_arrays([pa.array(x) for x in columns], [x.split()[0] for x in _RARE])
             cols = [b.column("doc_id").slice(lo, rows), b.column("held_out").slice(lo, rows),
                     pa.array(rid + np.arange(rows)), pa.array(np.bincount(row, minlength=rows)),
@@ -437,15 +196,16 @@ def _rare_scores(shared, batches):
     for b in batches:
         x, rows = b.column("x"), b.num_rows
         offs = x.offsets.to_numpy()
-        at, before, after, cls, n, ending = (f.to_numpy(zero_copy_only=False) for f in x.values.flatten())
+        fields = [f.to_numpy(zero_copy_only=False) for f in x.values.flatten()]
         span = slice(offs[0], offs[-1])
         row = np.repeat(np.arange(rows), np.diff(offs))
-        order = np.lexsort((at[span], row))
-        at, before, after, cls, n, ending = (v[span][order] for v in (at, before, after, cls, n, ending))
+        order = np.lexsort((fields[0][span], row))
+        _at, before, after, emission, frequency, cls, n, ending = (v[span][order] for v in fields)
         cls = np.where(cls < 0, t.endings[ending], cls)
         before = np.where(before < 0, np.concatenate([[0], cls[:-1]]), before)
-        base, score = _base(t, n), _emission(t, n, cls) + t.transitions[before, cls]
-        score += np.where(after >= 0, t.transitions[cls, after], 0)
+        base = _base(t, n)
+        score = _mixed(_emission(t, n, cls) + t.transitions[before, cls], base)
+        score += np.where(after >= 0, _mixed(t.transitions[cls, after] + emission, frequency), 0)
         yield pa.RecordBatch.from_arrays(
             [b.column("rid"), pa.array(np.bincount(row[n > 0], minlength=rows)), pa.array(np.bincount(row, base, rows)),
              pa.array(np.bincount(row, score, rows))], ["rid", "known2", "base2", "score2"])
@@ -460,7 +220,7 @@ def score(docs: DataFrame) -> DataFrame:
         lambda bs: _score(shared, bs), f"doc_id {kind}, {_PARTS}"), "scores")
     rare = parts.select("rid", F.explode("rare").alias("x")).select("rid", "x.*")
     rare = rare.join(counts.select("h", "n", "cls"), "h", "left")
-    found = F.struct("at", "before", "after", F.coalesce("cls", F.lit(-1)).alias("cls"),
+    found = F.struct("at", "before", "after", "emission", "frequency", F.coalesce("cls", F.lit(-1)).alias("cls"),
                      F.coalesce("n", F.lit(0)).alias("n"), "ending")
     extra = rare.groupBy("rid").agg(F.collect_list(found).alias("x")).mapInArrow(
         lambda bs: _rare_scores(shared, bs), "rid long, known2 long, base2 double, score2 double")
