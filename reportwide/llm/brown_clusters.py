@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from reportwide.llm import words as W
 from reportwide.llm.tables import drop_tables, materialize, release
+from reportwide.session import work_path
 
 SEEDS = 512
 CORE = 1 << 18
@@ -289,11 +290,14 @@ def adjacency(texts: DataFrame, core: np.ndarray, tokens_of) -> tuple[DataFrame,
     shared = spark.sparkContext.broadcast((Lookup(core), len(core)))
     rows = texts.mapInArrow(lambda bs: _adjacency(bs, shared, tokens_of), _ADJACENCY)
     merged = rows.repartition("h", "piece").sortWithinPartitions("h", "piece").mapInArrow(_merged, _ADJACENCY)
-    both = materialize(merged, "adjacency")
+    path = work_path(spark, "adjacency")
+    merged.withColumn("kind", F.when(F.col("id") >= 0, "core").otherwise("other")).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    schema = merged.schema
+    del rows, merged
     release(spark)
-    out = materialize(both.filter("id >= 0"), "core"), materialize(both.filter("id < 0"), "others")
-    drop_tables(spark, both)
-    return out
+    # Reading both kinds from the root keeps a kind without rows readable.
+    both = spark.read.schema(schema.add("kind", "string")).parquet(path)
+    return tuple(both.filter(F.col("kind") == k).drop("kind") for k in ("core", "other"))
 
 
 # --- passes over the rows
@@ -396,7 +400,7 @@ def _moves(batches, shared, classes: int, parts: int, turn: int, end: int):
 
 
 def exchange(rows: DataFrame, g: np.ndarray, cls: np.ndarray, classes: int, parts: int, turn: int) -> tuple[np.ndarray, DataFrame]:
-    """(classes of core words, moves of other words) after the words of this turn have moved."""
+    """(classes of core words, moves) after the words of this turn have moved; other words' moves have a negative id."""
     spark, end, total = rows.sparkSession, len(cls) - 1, len(g)
     shared = spark.sparkContext.broadcast((g, cls))
     moves = materialize(rows.mapInArrow(lambda bs: _moves(bs, shared, classes, parts, turn, end), _MOVES), "moves")
@@ -409,7 +413,7 @@ def exchange(rows: DataFrame, g: np.ndarray, cls: np.ndarray, classes: int, part
     if len(ids):
         o, i, self_ = _dense(row, code // total % 3, code % total, n, len(ids), total)
         new[ids] = best_classes(g, classes, cls[ids].astype(np.int64), self_, o, i)
-    return new, moves.filter("id < 0").select("h", "cls")
+    return new, moves
 
 
 def _seed(rows: DataFrame, size: int, end: int, classes: int, total: int) -> np.ndarray:
@@ -491,21 +495,34 @@ def brown_classes(texts: DataFrame, core: np.ndarray, vocabulary: int, tokens_of
             waiting = g[:, total - 1].any() or g[total - 1].any()
             gain = (likelihood(g_new) - likelihood(g)) / tokens
             if gain < 0 and not (waiting and turn == 0):  # words that moved together did harm: fewer at a time
+                forget(near_new, near, of_new, of)
                 parts *= 2
                 if parts > vocabulary:
                     break
                 continue
+            forget(near, near_new, of, of_new)
             cls, of, near, g, turn = new, of_new, near_new, g_new, turn + 1
             if gain < TOLERANCE and turn > 1:
                 break
-        return (cls, of), g
+        return (cls, of), near, g
 
-    (cls, of), g = rounds(
-        (cls, none), lambda c, _of: (core_rows, transition_counts(core_rows, c, total)),
-        lambda rows, g, c, of, parts, turn: (exchange(rows, g, c, classes, parts, turn)[0], of))
+    def forget(*pairs):
+        """Delete written tables (first, third) that are not the tables kept in their place."""
+        for old, kept in (pairs[:2], pairs[2:]):
+            if old is not kept:
+                drop_tables(spark, old)
+
+    def move_core(rows, g, c, of, parts, turn):
+        new, moves = exchange(rows, g, c, classes, parts, turn)
+        drop_tables(spark, moves)
+        return new, of
+
+    (cls, of), _, g = rounds((cls, none), lambda c, _of: (core_rows, transition_counts(core_rows, c, total)), move_core)
     if not other_rows.isEmpty():
         # Words outside the core take the best class by their core neighbours, all at once.
-        of = materialize(exchange(other_rows, g, cls, classes, 1, 0)[1], "classes")
+        _, moves = exchange(other_rows, g, cls, classes, 1, 0)
+        of = materialize(moves.filter("id < 0").select("h", "cls"), "classes")
+        drop_tables(spark, moves)
         rows = core_rows.union(other_rows)
         pairs = materialize(rows.mapInArrow(_tail_pairs, "h long, piece int, other long, side int, n long"), "pairs")
 
@@ -516,9 +533,12 @@ def brown_classes(texts: DataFrame, core: np.ndarray, vocabulary: int, tokens_of
 
         def move(near, g, c, of, parts, turn):
             new, moves = exchange(near, g, c, classes, parts, turn)
-            moved = of.join(moves.withColumnRenamed("cls", "new"), "h", "left")
-            return new, materialize(moved.select("h", F.coalesce("new", "cls").alias("cls")), "classes")
-        (cls, of), g = rounds((cls, of), measure, move)
-        drop_tables(spark, pairs)
-    drop_tables(spark, core_rows, other_rows)
+            moved = of.join(moves.filter("id < 0").select("h", F.col("cls").alias("new")), "h", "left")
+            after = materialize(moved.select("h", F.coalesce("new", "cls").alias("cls")), "classes")
+            del moved
+            drop_tables(spark, moves)
+            return new, after
+        (cls, of), near, g = rounds((cls, of), measure, move)
+        drop_tables(spark, near, pairs)
+    drop_tables(spark, core_rows)
     return cls, of, g[:classes + 1, :classes + 1]

@@ -25,8 +25,8 @@ def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables of ``materialize`` that no later plan reads."""
     jvm = spark._jvm
     for t in tables:
-        for file in t.inputFiles()[:1]:
-            p = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            p = jvm.org.apache.hadoop.fs.Path(folder)
             if "/reportwide-work/" in p.toString():
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
