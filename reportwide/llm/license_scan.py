@@ -1,9 +1,10 @@
 """License scans by ordered signature rules.
 
 A text is reduced to its lower-case words, one space between. Base phrases are looked up first.
-Then the rules: for each license family the names it goes by, its SPDX identifiers and its
-versions, combined with ways of stating a license, a regular expression each. A rule only runs
-if one of its family's keywords is in the text (one Aho-Corasick pass finds them all). Detections
+Then the rules, a regular expression each: for every license family the names it goes by, its SPDX
+identifiers and its versions, in each of the ways of stating a license; and hand-written signatures
+of license bodies, notices, addresses and joined spellings ("gplv3"). A rule only runs
+if one of its keywords is in the text (one Aho-Corasick pass finds them all). Detections
 are taken in the order of priority, then length, then position; one whose interval lies inside
 an accepted detection is suppressed, so "gnu lesser general public license version 2 1" is lgpl
 and not gpl as well. Labels are those of accepted detections and of the base phrases.
@@ -19,6 +20,7 @@ from __future__ import annotations
 import re
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -88,6 +90,119 @@ STATEMENTS = (
 _SPELLED = re.compile(r"licen|commons|^cc |creative")
 
 
+# Hand-written signatures of license bodies, notices, addresses and joined spellings:
+# (label, keyword that every match holds (several: any of them), score, pattern).
+SIGNATURES = (
+    ("mit", "obtaining", 0.95, r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "portions", 0.85, r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "consortium", 0.85, r"except as contained in this notice the name of the x consortium shall not be used"),
+    ("json", "evil", 0.9, r"the software shall be used for good not evil"),
+    ("isc", "fee", 0.95, r"permission to use copy modify (and or|and|or) distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("0bsd", "fee", 0.9, r"permission to use copy modify (and or|and|or) distribute this software for any purpose with or without fee is hereby granted the software is provided"),
+    ("ntp", "fee", 0.9, r"permission to use copy modify and distribute this software and its documentation for any purpose with or without fee is hereby granted"),
+    ("postgresql", "fee", 0.9, r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("bsd", "redistribution", 0.95, r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions", 0.9, r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions", 0.9, r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "endorse", 0.9, r"neither the name of (\w+ ){1,12}nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd", "acknowledgement", 0.85, r"all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("bsd", ("regents", "contributors"), 0.85, r"this software is provided by the (regents|copyright holders) and contributors as is and any express or implied warranties"),
+    ("gpl", "gnu", 0.95, r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "gnu", 0.9, r"you should have received a copy of the gnu general public license along with"),
+    ("gpl", "gnu", 0.9, r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl", "gnu", 0.9, r"by contrast the gnu general public license is intended to guarantee your freedom to share and change"),
+    ("lgpl", "gnu", 0.95, r"this (library|program) is free software you can redistribute it and or modify it under the terms of the gnu (lesser|library) general public license"),
+    ("lgpl", "gnu", 0.9, r"you should have received a copy of the gnu (lesser|library) general public license along with"),
+    ("lgpl", "gnu", 0.9, r"this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("agpl", "affero", 0.95, r"this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("agpl", "affero", 0.9, r"you should have received a copy of the gnu affero general public license along with"),
+    ("agpl", "affero", 0.9, r"the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("gfdl", "gnu", 0.95, r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("apache", "apache", 0.95, r"you may not use this file except in compliance with the license you may obtain a copy of the license at https? www apache org licenses license 2 0"),
+    ("apache", "apache", 0.85, r"www apache org licenses"),
+    ("mpl", "mozilla", 0.95, r"this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl", "mpl", 0.9, r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl", "mozilla", 0.9, r"the contents of this file are subject to the mozilla public license version 1 [01]"),
+    ("epl", "eclipse", 0.95, r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", "eclipse", 0.9, r"the accompanying program is provided under the terms of this eclipse public license"),
+    ("edl", "eclipse", 0.9, r"made available under the terms of the eclipse distribution license"),
+    ("cddl", "development", 0.95, r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpl", "agreement", 0.9, r"the accompanying program is provided under the terms of this common public license agreement"),
+    ("zlib", "damages", 0.95, r"in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "misrepresented", 0.9, r"the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "misrepresented", 0.9, r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("boost", "organization", 0.95, r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("unlicense", "unencumbered", 0.95, r"this is free and unencumbered software released into the public domain"),
+    ("unlicense", "binary", 0.9, r"anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary"),
+    ("wtfpl", "do", 0.9, r"you just do what the f\w+ you want to"),
+    ("cc0", "deed", 0.9, r"the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc0", "publicdomain", 0.9, r"creativecommons org publicdomain zero"),
+    ("cc0", "jurisdictions", 0.9, r"the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights"),
+    ("cc-by", "creativecommons", 0.9, r"creativecommons org licenses by [1234] [05]"),
+    ("cc-by-sa", "creativecommons", 0.9, r"creativecommons org licenses by sa( [1234] [05])?"),
+    ("cc-by-nc", "creativecommons", 0.9, r"creativecommons org licenses by nc [1234] [05]"),
+    ("cc-by-nd", "creativecommons", 0.9, r"creativecommons org licenses by nd( [1234] [05])?"),
+    ("cc-by-nc-sa", "creativecommons", 0.9, r"creativecommons org licenses by nc sa( [1234] [05])?"),
+    ("cc-by-nc-nd", "creativecommons", 0.9, r"creativecommons org licenses by nc nd( [1234] [05])?"),
+    ("cc-by", "commons", 0.85, r"exercising the licensed rights you accept and agree to be bound by the terms and conditions of this creative commons attribution (\d 0 )?international public license"),
+    ("ofl", "font", 0.95, r"this font software is licensed under the sil open font license"),
+    ("ofl", "font", 0.9, r"permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+    ("artistic", "package", 0.9, r"the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic", "artistic", 0.9, r"you can redistribute it and or modify it under the terms of the artistic license"),
+    ("perl", "perl", 0.9, r"you can redistribute it and or modify it under the same terms as perl itself"),
+    ("psf", "python", 0.95, r"this license agreement is between the python software foundation"),
+    ("openssl", "openssl", 0.9, r"this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("openssl", "cryptographic", 0.9, r"this product includes cryptographic software written by eric young"),
+    ("php", "php", 0.9, r"this product includes php software freely available from"),
+    ("odbl", "odbl", 0.9, r"the open database license odbl is a license agreement intended to allow users to freely share modify and use this database"),
+    ("eupl", "eupl", 0.9, r"this european union public licence the eupl applies to the work"),
+    ("ms-pl", "governs", 0.85, r"this license governs use of the accompanying software if you use the software you accept this license"),
+    ("bsl-business", "licensor", 0.95, r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("sspl", "service", 0.9, r"available to third parties as a service you must make the service source code available"),
+    ("upl", "larger", 0.9, r"any piece of software and or hardware listed in the larger works"),
+    ("ncsa", "ncsa", 0.9, r"university of illinois ncsa open source license"),
+    ("ncsa", "ncsa", 0.85, r"ncsa licen[cs]e"),
+    ("beerware", "beer", 0.9, r"the beer ware license"),
+    ("beerware", "beerware", 0.85, r"beerware"),
+    ("cecill", ("cecill", "cecillb", "cecillc"), 0.85, r"cecill[bc]?( [bc])?"),
+    ("vim", "vim", 0.85, r"vim licen[cs]e"),
+    ("curl", "curl", 0.85, r"curl licen[cs]e"),
+    ("libtiff", "libtiff", 0.85, r"libtiff licen[cs]e"),
+    ("x11", "x11", 0.85, r"x11 licen[cs]e"),
+    ("python", "python", 0.8, r"same (license|terms) as python"),
+    ("public-domain", "domain", 0.8, r"(released|placed|dedicated) (in|into|to) the public domain"),
+    ("public-domain", "domain", 0.8, r"this (file|code|work|software) is in the public domain"),
+    ("proprietary", "unauthorized", 0.9, r"unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "confidential", 0.85, r"proprietary and confidential"),
+    ("gpl", ("gplv1", "gplv2", "gplv3", "gpl1", "gpl2", "gpl3"), 0.85, r"gplv?[123]( [01])?"),
+    ("lgpl", ("lgplv2", "lgplv3", "lgpl2", "lgpl3"), 0.85, r"lgplv?[23]( [01])?"),
+    ("agpl", ("agplv1", "agplv3", "agpl1", "agpl3"), 0.85, r"agplv?[13]( 0)?"),
+    ("gfdl", ("gfdlv1", "gfdl1"), 0.85, r"gfdlv?1( [123])?"),
+    ("apache", ("apachev2", "apache2"), 0.85, r"apachev?2( 0)?"),
+    ("asl", ("asl2", "aslv2"), 0.8, r"aslv?2( 0)?"),
+    ("mpl", ("mplv1", "mplv2", "mpl1", "mpl2"), 0.85, r"mplv?[12]( [01])?"),
+    ("epl", ("eplv1", "eplv2", "epl1", "epl2"), 0.85, r"eplv?[12]( 0)?"),
+    ("bsd", ("bsd2", "bsd3", "bsd4"), 0.85, r"bsd[234]( clause)?"),
+    ("cddl", ("cddlv1", "cddl1"), 0.85, r"cddlv?1( [01])?"),
+    ("osl", ("oslv3", "osl3"), 0.85, r"oslv?3( 0)?"),
+    ("eupl", ("euplv1", "eupl1"), 0.85, r"euplv?1( [012])?"),
+    ("wtfpl", ("wtfplv2", "wtfpl2"), 0.85, r"wtfplv?2"),
+    ("cc0", ("cc01", "cc0v1"), 0.8, r"cc0v?1( 0)?"),
+    ("gpl", "gpl", 0.8, r"gpl licen[cs]e"),
+    ("lgpl", "lgpl", 0.8, r"lgpl licen[cs]e"),
+    ("agpl", "agpl", 0.8, r"agpl licen[cs]e"),
+    ("apache", "apache", 0.8, r"apache 2( 0)? licen[cs]e"),
+    ("mpl", "mpl", 0.8, r"mpl licen[cs]e"),
+    ("epl", "epl", 0.8, r"epl licen[cs]e"),
+)
+# Signatures stand between identifiers and other statements.
+SIGNATURE = 95
+
+
+def _whole_words(pattern: str) -> re.Pattern:
+    return re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])".encode())
+
+
 @cache
 def rules() -> tuple:
     """(priority, score, label, keywords, regex) of every rule, the most specific first."""
@@ -98,12 +213,15 @@ def rules() -> tuple:
             if not spelled and "{name}" in pattern:
                 continue
             text = pattern.format(name=f"(?:{'|'.join(spelled)})", spdx=spdx, version=version)
-            out.append((priority, score, label, frozenset(keywords), re.compile(rf"(?<![^ ]){text}(?![^ ])".encode())))
+            out.append((priority, score, label, frozenset(keywords), _whole_words(text)))
+    for label, keywords, score, pattern in SIGNATURES:
+        keywords = (keywords,) if isinstance(keywords, str) else keywords
+        out.append((SIGNATURE, score, label, frozenset(keywords), _whole_words(pattern)))
     return tuple(sorted(out, key=lambda r: (-r[0], r[2])))
 
 
 # The keywords of all families, which the keyword pass looks for; nothing else gates a rule.
-GATE = tuple(sorted({f" {k} ".encode() for f in FAMILIES for k in f[1]}))
+GATE = tuple(sorted({f" {k} ".encode() for r in rules() for k in r[3]}))
 
 
 @cache
@@ -126,11 +244,27 @@ def detections(joined: bytes) -> list[tuple[int, int, str, float]]:
     for priority, score, label, keywords, regex in rules():
         if keywords & found:
             raw += [(-priority, m.start() - m.end(), m.start(), m.end(), label, score) for m in regex.finditer(joined)]
-    kept: list[tuple[int, int, str, float]] = []
-    for _p, _n, a, z, label, score in sorted(raw):
-        if not any(x <= a and z <= y for x, y, *_ in kept):
-            kept.append((a, z, label, score))
-    return sorted(kept)
+    return _not_inside(sorted(raw))
+
+
+def _not_inside(raw: list[tuple]) -> list[tuple[int, int, str, float]]:
+    """Detections that lie inside no earlier one, by one sweep for each priority.
+
+    What lies inside a suppressed detection lies inside the one that suppressed it, so a detection is
+    compared with all of the same or a higher priority: by start, longer ones first, those before it
+    begin no later, and one of them holds it if the furthest of their ends is not before its own.
+    """
+    if not raw:
+        return []
+    rank = np.arange(len(raw))
+    tier, start, end = (np.array([r[k] for r in raw]) for k in (0, 2, 3))
+    order = np.lexsort((rank, -end, start))
+    kept = np.zeros(len(raw), np.bool_)
+    for t in np.unique(tier):
+        at = order[tier[order] <= t]
+        reach = np.concatenate([[-1], np.maximum.accumulate(end[at])[:-1]])
+        kept[at] |= (tier[at] == t) & (reach < end[at])
+    return sorted(r[2:] for r, k in zip(raw, kept.tolist()) if k)
 
 
 def scan_text(text: bytes):
@@ -141,9 +275,11 @@ def scan_text(text: bytes):
     places, base = [], set()
     for phrase, label in BASE:
         p = f" {phrase} ".encode()
-        at = padded.find(p)
+        at, counted, word = padded.find(p), 0, 0
         while at >= 0:
-            places.append(padded.count(b" ", 0, at))
+            word += padded.count(b" ", counted, at)
+            counted = at
+            places.append(word)
             base.add(label)
             at = padded.find(p, at + 1)
     hits = detections(joined)
