@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportwide.llm import words as W
-from reportwide.llm.tables import checked_broadcast, components, materialize, release
+from reportwide.llm.tables import checked_broadcast, components, keep_rest, materialize, release
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -314,9 +314,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = materialize(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.th").alias("__key"),
                                    F.col("k.n").alias("__n")), "kept")
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    found = (docs.filter(has_words).withColumn("__th", F.xxhash64("text"))
+    # Other columns travel packed, so that no name of theirs meets a name used here.
+    packed = keep_rest(docs, ["doc_id", "text"])
+    found = (packed.filter(has_words).withColumn("__th", F.xxhash64("text"))
              .join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("__key"))))
     # Rows of one doc_id and text are copies: one of them stays.
     one = found.filter("__n = 1").union(found.filter("__n > 1").dropDuplicates(["doc_id", "__th"]))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return one.select(*columns).union(docs.filter(~has_words).select(*columns))
+    every = one.select(*packed.columns).union(packed.filter(~has_words))
+    return every.select(*[F.col(c) if c in ("doc_id", "text") else F.col("__rest").getField(c).alias(c) for c in docs.columns])
