@@ -12,6 +12,7 @@ from reportwide.operators import paging as PG
 from reportwide.operators.clean import dedup_ignoring_keys, dedup_strict, replace_with_null
 from reportwide.operators.wide import drop_columns
 from reportwide.plans.registry import register, table
+from reportwide.session import work_path
 
 DOC_COLS = "doc_id, text, lang, source, n_chars"
 
@@ -112,3 +113,27 @@ def q_page_deep(spark: SparkSession, sf_dir: str):
           "GROUP BY page")
 def q_page_sizes(spark: SparkSession, sf_dir: str):
     return PG.page_sizes(_orders_paged(spark, sf_dir), PAGE_SIZE, "o_orderkey")
+
+
+SEEK_PAGES, SEEK_ROWS = 5, 400
+
+
+@register("page_seek",
+          "SELECT o_orderdate, o_orderkey, o_totalprice, CAST((rn - 1) // " f"{SEEK_ROWS} AS INTEGER) AS page FROM (SELECT "
+          "*, row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey) AS rn FROM orders) "
+          f"WHERE rn <= {SEEK_PAGES * SEEK_ROWS}")
+def q_page_seek(spark: SparkSession, sf_dir: str):
+    # Page after page of a sorted table, each found from the last key of the one before (the page
+    # length and the number of pages asked for are the feature).
+    keys = ["o_orderdate", "o_orderkey"]
+    path = PG.write_sorted(table(spark, sf_dir, "orders").select(*keys, "o_totalprice"), keys, work_path(spark, "page_seek"))
+    orders, after, out = spark.read.parquet(path), None, None
+    for n in range(SEEK_PAGES):
+        found = PG.page_after(orders, keys, after, SEEK_ROWS)
+        mine = found.withColumn("page", F.lit(n))
+        out = mine if out is None else out.unionByName(mine)
+        last = found.orderBy(*[F.col(k).desc_nulls_last() for k in keys]).first()  # one key
+        if last is None:
+            break
+        after = [last[k] for k in keys]
+    return out

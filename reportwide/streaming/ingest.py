@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reportwide.operators.paging import paginate
+from reportwide.session import settings
 
 ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
                     "RocksDBStateStoreProvider")
@@ -89,13 +90,13 @@ def ingest_pages(spark: SparkSession, src: str, record: T.StructType, sink: str,
     (back-fills of any age) state keeps every key seen and no row is lost. Pages that do not
     parse in full are appended to ``quarantine`` (``sink`` with ``_quarantine`` added if not given), by a
     second query with a checkpoint of its own.
-    Returns the number of micro-batches run.
+    Returns the number of the last micro-batch of this run, -1 if there was none.
     """
-    if dedup_keys and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
-        # De-duplication state lives off the JVM heap in RocksDB, so millions of keys inside
-        # the watermark do not pressure executor memory. (A checkpoint keeps the provider it
-        # was started with.)
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    # De-duplication state lives off the JVM heap in RocksDB, so millions of keys inside the watermark
+    # do not pressure executor memory, unless the session names another provider. A query keeps the
+    # settings it was started with, a checkpoint the provider.
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    state = {provider: ROCKSDB_PROVIDER} if dedup_keys and not spark.conf.get(provider, None) else {}
     stream = page_stream(spark, src, record)
     if dedup_keys:
         if event_time and delay:
@@ -106,14 +107,15 @@ def ingest_pages(spark: SparkSession, src: str, record: T.StructType, sink: str,
         else:
             stream = stream.dropDuplicates(list(dedup_keys))
     sink, checkpoint = sink.rstrip("/"), checkpoint.rstrip("/")
-    q = _append(stream, sink, checkpoint)
+    with settings(spark, state):
+        q = _append(stream, sink, checkpoint)
     bad = _append(bad_page_stream(spark, src, record), quarantine or f"{sink}_quarantine",
                   f"{checkpoint}_quarantine")
     for running in (q, bad):
         running.awaitTermination()
         if running.exception() is not None:
             raise running.exception()
-    return len(q.recentProgress)
+    return q.lastProgress["batchId"] if q.lastProgress else -1
 
 
 def _append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

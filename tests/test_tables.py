@@ -351,3 +351,37 @@ def test_widen_rows_drops_and_mixes_nothing(spark, bad):
         (None, "n", None, None, None), (1, "a", None, "b", "z"), (2, None, "w", None, None)]
     with pytest.raises(Exception, match="widen_rows"):
         widen_rows(spark.createDataFrame([*good, bad], kind), ["p"], "i", ["f", "g"], 2).select("p").collect()
+
+
+# --- seek paging, replay
+
+def test_pages_by_seek_cover_the_table_in_order(spark, tmp_dir):
+    from reportwide.operators.paging import page_after, write_sorted
+    data = [(None, 2), (None, 1), ("b", None), ("a", 3), ("b", 1), ("a", None), ("c", 0)]
+    df = spark.createDataFrame(data, "k string, n int")
+    t = spark.read.parquet(write_sorted(df, ["k", "n"], f"{tmp_dir}/s", 3))
+    got, after = [], None
+    while page := [tuple(r) for r in page_after(t, ["k", "n"], after, 2).collect()]:
+        got += page
+        after = page[-1]
+    assert got == [(None, 1), (None, 2), ("a", None), ("a", 3), ("b", None), ("b", 1), ("c", 0)]
+    plan = page_after(t, ["k", "n"], ("b", 1), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,b)" in plan and "TakeOrderedAndProject" in plan
+    with pytest.raises(ValueError):
+        page_after(t, ["k", "n"], ("b",), 2)
+
+
+def test_mended_pages_enter_once(spark, tmp_dir):
+    from reportwide.streaming.quarantine import page_key, replay, replayed_records
+    record = T.StructType.fromDDL("id long")
+    bad = spark.createDataFrame([("f", "{cut"), ("f", "{cut"), ("g", "{other"), ("h", "{empty")], "file string, value string")
+    key = lambda v: spark.range(1).select(page_key(F.lit(v))).first()[0]
+    mended = [(key("{cut"), '{"data": [{"id": 1}, {"id": 2}]}'), (key("{other"), "{still bad"), (key("{empty"), '{"data": []}')]
+    t = VersionedTable(spark, f"{tmp_dir}/r")
+    for _ in range(2):
+        open_ = replay(bad, spark.createDataFrame(mended, "_page string, text string"), record, t)
+        assert [r["value"] for r in open_.collect()] == ["{other"]
+        assert rows(replayed_records(t)) == [(1,), (2,)]
+    later = spark.createDataFrame([(key("{other"), '{"data": [{"id": 3}]}')], "_page string, text string")
+    assert replay(bad, later, record, t).isEmpty()
+    assert rows(replayed_records(t)) == [(1,), (2,), (3,)]
