@@ -462,9 +462,9 @@ def _tail_pairs(batches):
 
 def _with_others(rows: DataFrame, pairs: DataFrame, of: DataFrame) -> DataFrame:
     """Adjacency rows with their own class and the class counts of their neighbours outside the core."""
+    # One list for each row; a class that comes twice in it is summed where the list is read.
     met = (pairs.join(of.select(F.col("h").alias("other"), F.col("cls").alias("d")), "other")
-           .groupBy("h", "piece", "side", "d").agg(F.sum("n").alias("n")))
-    met = met.groupBy("h", "piece").agg(F.collect_list(F.struct("side", "d", "n")).alias("x"))
+           .groupBy("h", "piece").agg(F.collect_list(F.struct("side", "d", "n")).alias("x")))
     # Rows of frequent words are spread by piece; others have one row.
     return rows.join(met, ["h", "piece"], "left").join(
         of.withColumnRenamed("cls", "own").withColumn("piece", F.lit(0)), ["h", "piece"], "left").select(
