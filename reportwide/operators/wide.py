@@ -113,16 +113,18 @@ SALT_BUCKETS = 32
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = HOT_SHARE,
-             rows: int = HOT_ROWS) -> DataFrame:
+             rows: int = HOT_ROWS, least: int = SALT_BUCKETS) -> DataFrame:
     """Key tuples holding at least ``rows`` rows or ``share`` of them (null keys included): a
-    partial aggregate per key, then a filter."""
+    partial aggregate per key, then a filter. A share counts from ``least`` rows on: in a small table
+    every key holds a large share, and rows that do not fill the salts are not worth copying the
+    matching rows of a right table to each."""
     counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__c"))
     hot = F.col("__c") >= F.lit(rows)
     if share is not None:
         # The total comes from the same per-key counts, so Spark computes the shuffle once and
         # reuses it for the scalar subquery.
         total = counts.agg(F.sum("__c")).scalar()
-        hot = hot | (F.col("__c") >= F.lit(share) * total)
+        hot = hot | ((F.col("__c") >= F.lit(least)) & (F.col("__c") >= F.lit(share) * total))
     return counts.filter(hot).select(*[col(k) for k in keys])
 
 
@@ -201,7 +203,7 @@ def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Seque
         check_keys(acc, keys)
         # A job over the keys finds the hot ones. Salting costs a shuffle on (keys, salt) per
         # table, so it is planned only when a hot key exists.
-        found = hot_keys(acc, keys, hot_share, hot_rows).checkpoint()
+        found = hot_keys(acc, keys, hot_share, hot_rows, salt_buckets).checkpoint()
         if not found.isEmpty():
             hot = found
             acc = salt_rows(acc, keys, hot, salt_buckets)

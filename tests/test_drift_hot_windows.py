@@ -70,3 +70,13 @@ def test_few_windows_leave_the_rows_unshuffled(spark):
     assert "hashpartitioning" in large._jdf.queryExecution().executedPlan().toString()
     got, want = ({(r["id"], r["w"]) for r in x.collect()} for x in (small, large))
     assert got == want == {(i, w) for w in range(15) for i in range(w * 20, min(w * 20 + 25, 400))}
+
+
+def test_small_anchor_copies_no_right_rows(spark):
+    # Seven keys hold a seventh of the anchor each, one row: the hot right rows are spread, not copied.
+    anchor = spark.range(7).selectExpr("id AS k", "id AS a")
+    right = spark.range(700).selectExpr("id % 7 AS k", "id AS v")
+    out = wide_join([anchor, right], ["k"], hot_rows=50)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__rsalt" in plan and "__salt" not in plan
+    assert sorted(map(tuple, out.collect())) == sorted((i % 7, i % 7, i) for i in range(700))
