@@ -102,6 +102,13 @@ SKETCH_ERROR = 0.02
 SIGMAS = 8
 # Column sets in one aggregate.
 SETS_AT_ONCE = 16
+# A set is looked for repeats in one of so many parts of its values before all of them are grouped.
+SLICES = 64
+
+
+def _repeats(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether two rows agree on all the columns; nulls agree with nulls."""
+    return not df.groupBy(*[col(c) for c in columns]).count().filter("count > 1").isEmpty()
 
 
 def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, max_size: int = 3) -> DataFrame:
@@ -112,14 +119,16 @@ def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, max_size:
     whose parts have too few distinct values between them (their estimates multiplied) cannot be
     unique, and one sketch aggregate over the sets that are left gives up those whose estimate lies
     ``SIGMAS`` standard errors below the row count. Every set still standing is decided by an exact
-    count, which needs one group with two rows to say no. An empty table has no rows to tell apart:
+    count, which needs one group with two rows to say no: first among the values of one hash slice, all
+    rows of which are there, so that a repeat found is one; without any there, among all values. An empty table has no rows to tell apart:
     every single column is a key of it.
     """
     names = list(columns) if columns is not None else df.columns
     spark = df.sparkSession
     n = df.count()
-    # A struct keeps null apart from every value, which a count of values would not.
-    value = lambda s: F.struct(*[col(c) for c in s])
+    # The hash of a row's values is never null. It is computed in generated code below the aggregate, which
+    # would evaluate a struct of the values for each row and set without it.
+    value = lambda s: F.xxhash64(*[col(c) for c in s])
     low, high = 1 - SIGMAS * SKETCH_ERROR, 1 + SIGMAS * SKETCH_ERROR
     found: list[tuple[str, ...]] = []
     most: dict[tuple[str, ...], float] = {}  # upper bound of the distinct values of a set
@@ -131,10 +140,13 @@ def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, max_size:
                      and min(most[s[:i] + s[i + 1:]] * most[(s[i],)] for i in range(size)) >= n]
         for at in range(0, len(level), SETS_AT_ONCE):
             part = level[at:at + SETS_AT_ONCE]
-            row = df.agg(*[F.approx_count_distinct(value(s), SKETCH_ERROR).alias(f"d{i}") for i, s in enumerate(part)]).first()
+            hashed = df.select(*[value(s).alias(f"h{i}") for i, s in enumerate(part)])
+            row = hashed.agg(*[F.approx_count_distinct(f"h{i}", SKETCH_ERROR).alias(f"d{i}") for i in range(len(part))]).first()
             for i, s in enumerate(part):
                 most[s] = row[f"d{i}"] * high
-                if row[f"d{i}"] >= n * low and df.groupBy(*[col(c) for c in s]).count().filter("count > 1").isEmpty():
+                if row[f"d{i}"] < n * low or _repeats(df.filter(F.pmod(value(s), F.lit(SLICES)) == 0), s):
+                    continue
+                if not _repeats(df, s):
                     found.append(s)
         for s in combinations(names, size):
             most.setdefault(s, float(n) + 1)  # not estimated: it holds a key, or was bounded away

@@ -385,3 +385,16 @@ def test_mended_pages_enter_once(spark, tmp_dir):
     later = spark.createDataFrame([(key("{other"), '{"data": [{"id": 3}]}')], "_page string, text string")
     assert replay(bad, later, record, t).isEmpty()
     assert rows(replayed_records(t)) == [(1,), (2,), (3,)]
+
+
+def test_minimal_keys_group_all_values_of_keys_only(spark, monkeypatch):
+    # Both pairs come near the row count; the repeats of (a, b) are found in one slice of its values.
+    from reportwide.operators import keys as K
+    df = spark.range(20_000).selectExpr("id", "id % 19000 AS a", "id % 1000 AS b", "CAST(id % 2000 AS DOUBLE) AS c")
+    grouped = []
+    real = K._repeats
+    monkeypatch.setattr(K, "_repeats", lambda d, s: grouped.append((tuple(s), "pmod" in d._jdf.queryExecution().toString())) or real(d, s))
+    assert rows(K.minimal_keys(df, max_size=2)) == [("a,c", 2), ("id", 1)]
+    full = {s for s, sliced in grouped if not sliced}
+    assert full == {("id",), ("a", "c")}
+    assert {("a",), ("a", "b")} <= {s for s, sliced in grouped if sliced}
