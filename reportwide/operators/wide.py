@@ -169,6 +169,22 @@ def join_right_hot(left: DataFrame, right: DataFrame, on: Sequence[str], keys: S
     return j.filter(F.col("__hot").isNull() | F.col("__met")).drop("__hot", "__met", "__rsalt")
 
 
+def pack_columns(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """The columns as one struct in place of ``name``, which tells whether the row has them. Every join
+    of a long chain writes the running row anew: structs are copied whole, plain columns one by one,
+    absent ones included."""
+    packed = F.when(F.col(name), F.struct(*[col(c) for c in columns])).alias(name)
+    return df.select(*[col(c) for c in df.columns if c != name and c not in columns], packed)
+
+
+def unpack_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The fields of the named structs as columns, in place; those of a missing struct are null."""
+    out = []
+    for f in df.schema.fields:
+        out += ([col(f.name).getField(x).alias(x) for x in f.dataType.names] if f.name in names else [col(f.name)])
+    return df.select(*out)
+
+
 def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Sequence[str],
               null_safe: bool = False, unique_right: bool = False, strategy: str = "chain",
               joins_per_stage: int = JOINS_PER_STAGE, hot_share: float | None = HOT_SHARE,
@@ -208,25 +224,34 @@ def wide_join(tables: Sequence[DataFrame] | Mapping[str, DataFrame], keys: Seque
             hot = found
             acc = salt_rows(acc, keys, hot, salt_buckets)
             join_keys = list(keys) + ["__salt"]
+    names = list(acc.columns)
+    pack = len(frames) - 1 > JOINS_PER_STAGE and not unique_right
     for i, t in enumerate(frames[1:]):
+        check_keys(t, keys)
+        add = new_columns(t.columns, names, keys)
+        check_case_clash(names + add)
+        names += add
+        if pack:
+            t = t.select(*[col(c) for c in [*keys, *add]], F.lit(True).alias(f"__r{i}"))
         if i and joins_per_stage and i % joins_per_stage == 0:
             acc = acc.checkpoint(eager=True)
         right_hot = None
         if hot_share is not None and not unique_right:
-            check_keys(t, keys)
             found = hot_keys(t, keys, None, hot_rows)
             if not null_safe:  # a null key meets no row
                 found = found.dropna()
             found = found.checkpoint()
             right_hot = None if found.isEmpty() else found
         if hot is not None:
-            check_keys(t, keys)
             t = replicate_hot(t, keys, hot, salt_buckets)
         if right_hot is not None:
             acc = join_right_hot(acc, t, join_keys, keys, right_hot, salt_buckets, null_safe)
         else:
             acc = join_left(acc, t, join_keys, null_safe, unique_right)
-    return acc.drop("__salt") if hot is not None else acc
+        if pack:
+            acc = pack_columns(acc, add, f"__r{i}") if add else acc.drop(f"__r{i}")
+    acc = acc.drop("__salt") if hot is not None else acc
+    return unpack_columns(acc, [f"__r{i}" for i in range(len(frames) - 1)]) if pack else acc
 
 
 def wide_merge(frames: Sequence[DataFrame], keys: Sequence[str], null_safe: bool = False) -> DataFrame:

@@ -10,8 +10,9 @@ from reportwide.operators.paging import head
 from reportwide.operators.wide import wide_join
 from reportwide.plans.incremental import WideTable
 from reportwide.plans.registry import register, table
-from reportwide.plans.reports import (EVENTS_REPORTS, LINEITEM_REPORTS, LINEITEM_REPORTS_21,
-                                      build_report, build_wide, wide_sql)
+from reportwide.plans.reports import (EVENTS_REPORTS, LINE_COLUMNS, LINEITEM_REPORTS, LINEITEM_REPORTS_21,
+                                      SOURCE_BLOCK, build_report, build_wide, buckets_of, keeps_source_order,
+                                      sorted_source, wide_sql)
 from reportwide.session import settings, work_path
 from reportwide.sources.sinks import READ_SORTED, write_bucketed
 
@@ -28,7 +29,7 @@ def q_wide_join(spark: SparkSession, sf_dir: str):
 
 @register("wide_join_hidim", wide_sql(LINEITEM_REPORTS))
 def q_wide_join_hidim(spark: SparkSession, sf_dir: str):
-    src = table(spark, sf_dir, "lineitem")
+    src = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
     return build_wide(src, LINEITEM_REPORTS)
 
 
@@ -41,7 +42,7 @@ def q_wide_head(spark: SparkSession, sf_dir: str):
 @register("wide_join_21", wide_sql(LINEITEM_REPORTS_21))
 def q_wide_join_21(spark: SparkSession, sf_dir: str):
     # 21 report tables joined wide, as in the reference's main notebook.
-    return build_wide(table(spark, sf_dir, "lineitem"), LINEITEM_REPORTS_21)
+    return build_wide(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), LINEITEM_REPORTS_21)
 
 
 @register("wide_join_hot",
@@ -89,10 +90,18 @@ def q_wide_join_merge(spark: SparkSession, sf_dir: str):
 
 
 def save_reports(spark: SparkSession, src, rs, buckets: int, base: str) -> list[str]:
-    """The report tables, saved bucketed by their keys; their names in join order."""
+    """The report tables, saved bucketed by their keys; their names in join order. The source is shuffled
+    once, not every report, if the reports keep its order."""
     tag = base.rstrip("/").rsplit("-", 1)[-1]
-    return [write_bucketed(build_report(src, rs, r), f"{r.name}_{tag}", rs.key_names, buckets, path=f"{base}/{r.name}")
-            for r in rs.reports]
+
+    def save(s, placed: bool) -> list[str]:
+        return [write_bucketed(build_report(s, rs, r), f"{r.name}_{tag}", rs.key_names, buckets,
+                               path=f"{base}/{r.name}", placed=placed, block_bytes=SOURCE_BLOCK) for r in rs.reports]
+
+    if not keeps_source_order(rs):
+        return save(src, False)
+    with sorted_source(src, rs, base, buckets) as s:
+        return save(s, True)
 
 
 def join_saved(spark: SparkSession, names, keys):
@@ -105,8 +114,8 @@ def join_saved(spark: SparkSession, names, keys):
 def q_wide_join_bucketed(spark: SparkSession, sf_dir: str):
     # The 21 report tables of wide_join_21, saved co-partitioned once, then joined without a shuffle.
     base = work_path(spark, "wide_join_bucketed")
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    names = save_reports(spark, table(spark, sf_dir, "lineitem"), LINEITEM_REPORTS_21, buckets, base)
+    src = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    names = save_reports(spark, src, LINEITEM_REPORTS_21, buckets_of(spark), base)
     with settings(spark, READ_SORTED):
         join_saved(spark, names, LINEITEM_REPORTS_21.key_names).write.parquet(f"{base}/wide")
     for n in names:  # the tables' files are in the work folder; only the names go

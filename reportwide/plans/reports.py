@@ -7,14 +7,17 @@ keys. Aggregates are SQL expression text, so the same definition drives the Spar
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportwide.operators.clean import clean_report
-from reportwide.operators.wide import wide_join
+from reportwide.operators.wide import JOINS_PER_STAGE, wide_join
+from reportwide.session import settings, work_path
+from reportwide.sources.sinks import GROUP_SORTED, write_bucketed
 
 
 @dataclass(frozen=True)
@@ -47,11 +50,49 @@ def build_report(src: DataFrame, rs: ReportSet, rep: Report) -> DataFrame:
     return clean_report(df, rs.key_names, key_as_string=rs.key_as_string, parity=rs.parity_dedup)
 
 
+# Row groups of a saved source: one task of the wide join holds one of every report at a time.
+SOURCE_BLOCK = 16 << 20
+
+
+def buckets_of(spark: SparkSession) -> int:
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@contextmanager
+def sorted_source(src: DataFrame, rs: ReportSet, base: str, buckets: int) -> Iterator[DataFrame]:
+    """The source saved once, bucketed and sorted by the report keys. While the context holds, reports
+    built on it are grouped where their rows lie, in key order: without an exchange, hash table or sort."""
+    spark = src.sparkSession
+    name = write_bucketed(src, f"source_{base.rstrip('/').rsplit('-', 1)[-1]}", rs.key_names, buckets,
+                          path=f"{base}/source", block_bytes=SOURCE_BLOCK)
+    try:
+        with settings(spark, GROUP_SORTED):
+            yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the files are in the work folder; only the name goes
+
+
+def keeps_source_order(rs: ReportSet) -> bool:
+    """Whether the set's reports come out in the key order of their source: its keys are columns taken as
+    they are, and the de-duplication groups by the keys too."""
+    return not rs.parity_dedup and not rs.key_as_string and all(k == e for k, e in rs.keys)
+
+
 def build_wide(src: DataFrame, rs: ReportSet, reports: Sequence[Report] | None = None) -> DataFrame:
+    """The wide table of a source's reports. Chains longer than ``JOINS_PER_STAGE`` run on a sorted
+    source, if the reports keep its order: every join finds both sides in place and in order, so that
+    none holds a sorter and all run in one stage, without a checkpoint of the running table between."""
     reps = list(reports or rs.reports)
     # Every report is an aggregate grouped by the join keys, so the anchor holds one row per
     # key and no key can be hot: the hot-key check is skipped.
-    return wide_join([build_report(src, rs, r) for r in reps], rs.key_names, hot_share=None)
+    if len(reps) - 1 <= JOINS_PER_STAGE or not keeps_source_order(rs):
+        return wide_join([build_report(src, rs, r) for r in reps], rs.key_names, hot_share=None)
+    spark = src.sparkSession
+    base = work_path(spark, "wide_sorted")
+    with sorted_source(src, rs, base, buckets_of(spark)) as s:
+        wide = wide_join([build_report(s, rs, r) for r in reps], rs.key_names, hot_share=None, joins_per_stage=0)
+        wide.write.parquet(f"{base}/wide")
+    return spark.read.parquet(f"{base}/wide")
 
 
 # ---- DuckDB oracle text for the same definitions -------------------------------------------
@@ -113,6 +154,9 @@ EVENTS_REPORTS = ReportSet(
     + tuple(_event_report(t) for t in EVENT_TYPES),
 )
 
+# The columns of lineitem that its reports read.
+LINE_COLUMNS = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                "l_returnflag", "l_linestatus", "l_shipdate")
 # Return flag / line status pairs and ship years of the lineitem table.
 LINE_FLAGS = (("A", "F"), ("A", "O"), ("N", "F"), ("N", "O"), ("R", "F"), ("R", "O"))
 SHIP_YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)

@@ -48,12 +48,19 @@ def append_table(df: DataFrame, path: str | None = None, compression: str | None
 
 
 def write_bucketed(df: DataFrame, table_name: str, keys: Sequence[str], buckets: int,
-                   path: str | None = None, mode: str = "overwrite") -> str:
+                   path: str | None = None, mode: str = "overwrite", placed: bool = False,
+                   block_bytes: int | None = None) -> str:
     """Save a report table bucketed and sorted by its keys, one file for each bucket. Joining tables
     bucketed the same way on the keys needs no exchange: the wide join reads them already
-    co-partitioned (under the settings ``READ_SORTED`` also without a sort)."""
-    w = (df.repartition(buckets, *[F.col(f"`{k}`") for k in keys]).write.mode(mode).format("parquet")
-         .bucketBy(buckets, *keys).sortBy(*keys))
+    co-partitioned (under the settings ``READ_SORTED`` also without a sort).
+
+    ``placed`` states that the rows already lie hash-partitioned on the keys in ``buckets`` parts, as
+    an aggregate over a table bucketed that way leaves them: they are written without an exchange.
+    ``block_bytes`` is the size of a row group, for tables that one task opens many times at once."""
+    d = df if placed else df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    w = d.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if block_bytes:
+        w = w.option("parquet.block.size", str(block_bytes))
     if path:
         w = w.option("path", path)
     w.saveAsTable(table_name)
@@ -63,6 +70,8 @@ def write_bucketed(df: DataFrame, table_name: str, keys: Sequence[str], buckets:
 # With one file for each bucket, as ``write_bucketed`` leaves them, a bucket's rows come in key order.
 # Spark trusts that order only when told to.
 READ_SORTED = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
+# Aggregates over rows in key order run group after group, without a hash table, and leave them in that order.
+GROUP_SORTED = {**READ_SORTED, "spark.sql.execution.replaceHashWithSortAgg": "true", "spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def write_landing(df: DataFrame, root: str, partition_by: Sequence[str] = ("rtype", "report",

@@ -3,6 +3,7 @@ import re
 import pytest
 
 from reportwide.operators.wide import join_left, new_columns, wide_join
+from reportwide.session import settings
 
 
 def test_new_columns_sorted_capitals_first():
@@ -127,3 +128,41 @@ def test_long_chain_is_cut_into_stages(spark):
     assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") <= 8
     assert wide.count() == 300
     assert wide.filter("c17 = k * 17").count() == 300
+
+
+def test_long_chain_packs_columns_and_gives_the_plain_rows(spark):
+    anchor = spark.createDataFrame([(1, 5), (2, None), (None, 7), (1, 6)], "k int, a int")
+    reps = [spark.createDataFrame([(i % 3, i, None), (None, i, "n"), (1, 9, "x")], f"k int, c{i} int, `d.{i}` string")
+            for i in range(9)] + [spark.createDataFrame([(1, 3)], "k int, a int")]
+    for null_safe in (False, True):
+        wide = wide_join([anchor, *reps], ["k"], null_safe=null_safe, hot_share=None)
+        plain = anchor
+        for r in reps:
+            plain = join_left(plain, r, ["k"], null_safe)
+        assert wide.columns == plain.columns and wide.schema.simpleString() == plain.schema.simpleString()
+        assert wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty()
+    assert "struct(c0" in wide_join([anchor, *reps], ["k"], hot_share=None, joins_per_stage=0)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_long_report_sets_join_on_a_sorted_source_without_checkpoint(spark, monkeypatch):
+    from reportwide.plans import reports as R
+    from reportwide.plans.reports import LINEITEM_REPORTS_21 as RS
+    src = spark.range(300).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL ELSE id % 40 END AS l_partkey", "id % 7 AS l_suppkey",
+        "CAST(id % 7 + 1 AS INT) AS l_linenumber", "CAST(id AS DOUBLE) AS l_quantity", "CAST(id AS DOUBLE) AS l_extendedprice",
+        "0.5D AS l_discount", "array('A', 'N', 'R')[id % 3] AS l_returnflag", "array('F', 'O')[id % 2] AS l_linestatus",
+        "timestamp_ntz'1995-01-01' + make_interval(0, 0, 0, CAST(id * 8 AS INT)) AS l_shipdate")
+    plain = wide_join([R.build_report(src, RS, r) for r in RS.reports], RS.key_names, hot_share=None)
+    want = plain.collect()
+    monkeypatch.setattr(type(src), "checkpoint", lambda *a, **k: pytest.fail("the running table was checkpointed"))
+    plans = []
+    real = R.wide_join
+    monkeypatch.setattr(R, "wide_join", lambda *a, **k: (lambda d: plans.append(
+        d._jdf.queryExecution().executedPlan().toString()) or d)(real(*a, **k)))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        got = R.build_wide(src, RS)
+    assert got.columns == plain.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want))
+    assert plans[0].count("SortMergeJoin") == 20
+    assert not any(x in plans[0] for x in ("Exchange", "Sort [", "HashAggregate"))
+    assert spark.conf.get("spark.sql.legacy.bucketedTableScan.outputOrdering") == "false"
