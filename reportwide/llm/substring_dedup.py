@@ -10,7 +10,8 @@ Documents with equal texts are folded before the first level: a copy repeats eve
 the copy with the smallest doc_id.
 
 Groups are reduced with min and max (partial aggregates), and the marks are joined back by
-hash with unique right sides, which the adaptive skew join can split; no group is gathered.
+hash with unique right sides, which the adaptive skew join can split; no group is gathered. Both
+happen in one hash slice after another, so only a slice's shuffles are on disk at a time.
 
 Defined cases: a null text has no words and stays null; rows with a null doc_id are neither
 sources nor cut; rows that share a doc_id are no earlier than each other; texts of fewer words
@@ -19,6 +20,8 @@ than a window stay. A text of which nothing is removed is returned as it was.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +31,7 @@ from reportwide.llm import words as W
 from reportwide.llm.tables import drop_tables, keep_rest, materialize, release
 
 WINDOW = 13
+SLICES = 4  # of the hashes whose repeats are looked for at a time
 
 
 def _low(g: np.ndarray, span: int, n: int) -> np.ndarray:
@@ -139,6 +143,16 @@ def _repeated(rows: DataFrame, keys: list[str], of: str) -> DataFrame:
             .filter("lo < hi").drop("hi"))
 
 
+def _by_slice(rows: DataFrame, name: str, find) -> DataFrame:
+    """``find`` of every hash slice of a written table, written one after another; ``rows`` are deleted."""
+    spark, parts = rows.sparkSession, []
+    for k in range(SLICES):
+        parts.append(materialize(find(rows.filter(F.pmod("h", F.lit(SLICES)) == k)), name))
+        release(spark)
+    drop_tables(spark, rows)
+    return reduce(DataFrame.union, parts)
+
+
 def _marked_texts(docs: DataFrame, window: int) -> DataFrame:
     """``docs`` (doc_id, text, __rest) with the repeated half windows of each text, written once.
 
@@ -152,9 +166,9 @@ def _marked_texts(docs: DataFrame, window: int) -> DataFrame:
         "__md5", F.unhex(F.md5(F.col("text").cast("binary"))))
     live = docs.filter("doc_id is not null and text is not null")
     seeds = materialize(live.select("__key", "text").mapInArrow(_emit_seeds(window), "h long, key long"), "seeds")
-    again = seeds.join(_repeated(seeds, ["h"], "key").select("h"), "h", "left_semi")
+    again = _by_slice(seeds, "again", lambda x: x.join(_repeated(x, ["h"], "key").select("h"), "h", "left_semi"))
     marks = materialize(again.groupBy(F.col("key").alias("__key")).agg(F.collect_set("h").alias("marks")), "marks")
-    drop_tables(spark, seeds)
+    drop_tables(spark, again)
     del again, seeds
     release(spark)
     info = live.groupBy("__md5", "__key").agg(F.min("doc_id").alias("__lo")).join(marks, "__key", "left").drop("__key")
@@ -180,11 +194,11 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spark, docs = docs.sparkSession, docs.drop("n_words", "n_removed")
     texts = _marked_texts(keep_rest(docs, ["doc_id", "text"]), window)
     found = _windows(texts.filter("doc_id is not null and not copy and marks is not null"), window, 0)
-    earlier = _repeated(found, ["h", "t"], "doc_id")
-    bad = materialize(found.join(earlier, ["h", "t"]).filter("lo < doc_id")
-                      .groupBy("doc_id").agg(F.collect_set("h").alias("bad")), "bad")
-    drop_tables(spark, found)
-    del earlier, found
+    later = _by_slice(found, "later", lambda x: x.join(_repeated(x, ["h", "t"], "doc_id"), ["h", "t"])
+                      .filter("lo < doc_id").select("doc_id", "h"))
+    bad = materialize(later.groupBy("doc_id").agg(F.collect_set("h").alias("bad")), "bad")
+    drop_tables(spark, later)
+    del later, found
     release(spark)
     cut = texts.drop("marks").join(bad, "doc_id", "left")
     rest = cut.schema["__rest"].dataType.simpleString()

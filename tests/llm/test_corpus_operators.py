@@ -95,6 +95,23 @@ def test_dedup_leaves_untouched_texts_as_they_were(docs):
     assert kept[3] is None and kept[5] == " \t\n" and kept[9].startswith("éé x")
 
 
+def test_repeats_are_looked_for_in_one_hash_slice_at_a_time(docs, monkeypatch):
+    """No join of window hashes sees more than a slice of them, and all slices together see each row once."""
+    seen, real = [], substring_dedup._repeated
+
+    def counted(rows, keys, of):
+        seen.append((of, rows.count(), rows.agg(F.collect_set("h")).first()[0]))
+        return real(rows, keys, of)
+    monkeypatch.setattr(substring_dedup, "_repeated", counted)
+    got = substring_dedup.dedup_substrings(docs.select("doc_id", "text"))
+    rows = [(r["doc_id"], r["n_words"], r["n_removed"], SPACE.findall(r["text"] or "")) for r in got.collect()]
+    assert sorted(rows, key=lambda r: key(r[:3])) == sorted(brute_dedup(TEXTS), key=lambda r: key(r[:3]))
+    for of in ("key", "doc_id"):
+        n, h = [x[1] for x in seen if x[0] == of], [x[2] for x in seen if x[0] == of]
+        assert len(n) == 4 and max(n) < sum(n)
+        assert sum(map(len, h)) == len(set().union(*h)) > 0
+
+
 def test_levels_double_until_none_survive(spark):
     a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(20))
     rows = [(1, f"x {a} y {b}"), (2, f"{a} z"), (3, f"q {b} r")]
