@@ -11,7 +11,9 @@ words have their classes in a table that is joined.
    that lowers the likelihood is taken back, and then half as many move. The rounds end when one gains
    less than ``TOLERANCE`` a token.
 3. Other words take the best class by their core neighbours; then rounds go on over all words and all
-   neighbours, with the same rule to end.
+   neighbours, with the same rule to end. Transitions that touch a word outside the core are counted
+   from the pairs of such words alone. Rows are joined with the classes of neighbours outside the core
+   only where a word that moves in the round has such neighbours, and nothing joined is written.
 
 The ``HEAVY`` most frequent words and the end of a text are dealt over ``PIECES`` rows by neighbour;
 tasks send the class counts of these pieces, and the driver finds their best classes. What else reaches
@@ -116,6 +118,16 @@ class Gains:
         self.g, self.sums = g, (g.sum(1), g.sum(0))
         self.before, self.after = np.ascontiguousarray(g.T), g  # rows: the neighbour's class
         self.known: dict[tuple[int, int], np.ndarray] = {}
+        self.sizes = [_f(x + np.arange(SMALL + 1.0)[:, None]) - _f(x) for x in self.sums]
+
+    def size(self, which: int, n: np.ndarray) -> np.ndarray:
+        """What words of n tokens add to the sum of each class, before (0) or after (1)."""
+        small = (n <= SMALL) & (n == np.floor(n))
+        out = self.sizes[which][np.where(small, n, 0).astype(np.int64)]
+        if not small.all():
+            big = np.flatnonzero(~small)
+            out[big] = _f(self.sums[which] + n[big, None]) - _f(self.sums[which])
+        return out
 
     def rows(self, side: int, d: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Gain of adding n transitions with class d on that side, for every class of the word."""
@@ -163,13 +175,16 @@ def best_classes(g: np.ndarray | Gains, classes: int, of: np.ndarray, self_: np.
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         gain[row[first]] += np.add.reduceat(x, first, axis=0)
     n_out, n_in = o.sum(1) + self_, i.sum(1) + self_
-    d = np.tile(np.diag(g), (m, 1)).astype(np.float64)
-    d[w, of] -= o[w, of] + i[w, of] + self_
-    gain += _f(d + o + i + self_[:, None]) + _f(d) - _f(d + o) - _f(d + i)
-    for sums, n in ((gains.sums[0], n_out), (gains.sums[1], n_in)):
-        left = np.tile(sums, (m, 1)).astype(np.float64)
-        left[w, of] -= n
-        gain -= _f(left + n[:, None]) - _f(left)
+    # Within a class: nothing to correct where the word does not stand on both sides of the class.
+    r, c = np.nonzero(((o > 0) & (i > 0)) | (self_ > 0)[:, None])
+    o_, i_, s_ = o[r, c], i[r, c], self_[r]
+    d = np.diag(g)[c] - np.where(of[r] == c, o_ + i_ + s_, 0)
+    gain[r, c] += _f(d + o_ + i_ + s_) + _f(d) - _f(d + o_) - _f(d + i_)
+    for which, n in enumerate((n_out, n_in)):
+        x = gains.size(which, n)
+        left = gains.sums[which][of] - n
+        x[w, of] = _f(left + n) - _f(left)
+        gain -= x
     best = np.argmax(gain[:, :classes], axis=1)
     return np.where((of < classes) & (gain[w, best] <= gain[w, of] + 1e-9), of, best)
 
@@ -336,18 +351,40 @@ def transition_counts(rows: DataFrame, cls: np.ndarray, total: int) -> np.ndarra
             row, side, d, n = _class_counts(b, shared.value)
             out = side != _IN
             g += np.bincount(own[row[out]] * total + d[out], n[out], total * total).astype(np.int64)
-            if "x" not in b.schema.names:  # neighbours without a class, told by the tail alone
+            if "tail" in b.schema.names:  # neighbours without a class, told by the tail alone
                 pairs, at = _unblob(b.column("tail"), np.int64)
                 s, c = pairs[:, 1] % 4, pairs[:, 1] // 4
                 g += np.bincount(np.where(s == _IN, unknown * total + own[at], own[at] * total + unknown), c, total * total).astype(np.int64)
         code = np.flatnonzero(g)
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(g[code])], ["code", "n"])
-    got = rows.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    return _square(rows.mapInArrow(run, "code long, n long"), total)
+
+
+def _square(counts: DataFrame, total: int) -> np.ndarray:
+    """Sums of (code, n) as a matrix."""
+    got = counts.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     g = np.zeros(total * total)
     g[got.column("code").to_numpy()] = got.column("n").to_numpy()
     return g.reshape(total, total)
 
 
+def other_counts(pairs: DataFrame, of: DataFrame, cls: np.ndarray, total: int) -> np.ndarray:
+    """Counts of class transitions out of or into the words outside the core (``of``), from ``_tail_pairs``."""
+    shared = pairs.sparkSession.sparkContext.broadcast(cls)
+    met = F.col("d").cast("long")
+
+    def run(batches):
+        for b in batches:
+            ids, side, d, n = (b.column(c).to_numpy() for c in ("id", "side", "d", "n"))
+            own = shared.value[ids].astype(np.int64)
+            code, at = np.unique(np.where(side == _IN, d * total + own, own * total + d), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(np.bincount(at, n, len(code)).astype(np.int64))], ["code", "n"])
+    core = _classed(pairs.filter("id >= 0"), of).select("id", "side", met.alias("d"), "n").mapInArrow(run, "code long, n long")
+    rest = _classed(pairs.filter((F.col("id") < 0) & (F.col("side") != _IN)), of).join(
+        of.withColumnRenamed("cls", "own"), "h").select((F.col("own") * F.lit(total).cast("long") + met).alias("code"), "n")
+    return _square(core.union(rest), total)
+
+
 def _dense(row, side, d, n, m: int, total: int):
     """(counts after, counts before, self) of m words."""
     o, i = (np.bincount(row[side == s] * total + d[side == s], n[side == s], m * total).reshape(m, total) for s in (_OUT, _IN))
@@ -399,15 +436,21 @@ def _moves(batches, shared, classes: int, parts: int, turn: int, end: int):
             lo = hi
 
 
-def exchange(rows: DataFrame, g: np.ndarray, cls: np.ndarray, classes: int, parts: int, turn: int) -> tuple[np.ndarray, DataFrame]:
-    """(classes of core words, moves) after the words of this turn have moved; other words' moves have a negative id."""
+def exchange(rows: DataFrame, g: np.ndarray, cls: np.ndarray, classes: int, parts: int, turn: int,
+             dealt: DataFrame | None = None) -> tuple[np.ndarray, DataFrame]:
+    """(classes of core words, moves) after the words of this turn have moved; other words' moves have a negative id.
+
+    ``dealt``: further counts (id, side, d, n) of words of this turn that are dealt over pieces."""
     spark, end, total = rows.sparkSession, len(cls) - 1, len(g)
     shared = spark.sparkContext.broadcast((g, cls))
     moves = materialize(rows.mapInArrow(lambda bs: _moves(bs, shared, classes, parts, turn, end), _MOVES), "moves")
     new = cls.copy()
     core = moves.filter("id >= 0").select("id", "cls").toArrow()  # at most ``CORE`` rows
     new[core.column("id").to_numpy()] = core.column("cls").to_numpy()
-    sums = moves.filter("code is not null").groupBy("code").agg(F.sum("n").alias("n")).toArrow()  # words dealt over pieces
+    sums = moves.filter("code is not null").select("code", "n")  # words dealt over pieces
+    if dealt is not None:
+        sums = sums.union(dealt.select(((F.col("id").cast("long") * 3 + F.col("side")) * total + F.col("d")).alias("code"), "n"))
+    sums = sums.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     code, n = sums.column("code").to_numpy(), sums.column("n").to_numpy()
     ids, row = np.unique(code // total // 3, return_inverse=True)
     if len(ids):
@@ -456,15 +499,53 @@ def _tail_pairs(batches):
     for b in batches:
         pairs, row = _unblob(b.column("tail"), np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(b.column("h").to_numpy()[row]), pa.array(b.column("piece").to_numpy()[row]), pa.array(pairs[:, 0]),
-             pa.array((pairs[:, 1] % 4).astype(np.int32)), pa.array(pairs[:, 1] // 4)], ["h", "piece", "other", "side", "n"])
+            [pa.array(b.column(c).to_numpy()[row]) for c in ("h", "piece")]
+            + [pa.array(pairs[:, 0]), pa.array((pairs[:, 1] % 4).astype(np.int32)), pa.array(pairs[:, 1] // 4)],
+            ["h", "piece", "other", "side", "n"])
+
+
+def _numbered_pairs(batches):
+    """``_tail_pairs`` with the number of their word, in ``id``."""
+    for b in batches:
+        ids = b.column("id").to_numpy()
+        for t in _tail_pairs([b]):
+            _pairs, row = _unblob(b.column("tail"), np.int64)
+            yield t.append_column("id", pa.array(ids[row]))
+
+
+def _classed(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """Pairs with the class ``d`` of their neighbour."""
+    return pairs.join(of.select(F.col("h").alias("other"), F.col("cls").alias("d")), "other")
+
+
+def _turn(parts: int, turn: int):
+    """The rows of words that move in a turn."""
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(_moving(b.column("h").to_numpy(), parts, turn)))
+    return run
+
+
+def _near(rows: DataFrame, pairs: DataFrame, of: DataFrame, end: int, parts: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, dealt) for ``exchange`` over all words and all neighbours, not written.
+
+    Only words that move are joined with the classes of their neighbours, and of the core only those that
+    have neighbours outside it; what such neighbours add to dealt words is summed apart."""
+    move = lambda x: x.mapInArrow(_turn(parts, turn), x.schema)
+    dealt = F.col("id").between(0, HEAVY - 1) | (F.col("id") == end)
+    alone = dealt | ((F.col("id") >= 0) & (F.length("tail") == 0))
+    pairs = move(pairs)
+    joined = _with_others(move(rows.filter(~alone).select("h", "id", "piece", "core")),
+                          pairs.filter(~dealt).drop("id"), of)
+    own = rows.filter(alone).select("h", "id", "piece", F.lit(None).cast("int").alias("own"), "core",
+                                    F.array().cast("array<struct<side:int,d:int,n:bigint>>").alias("x"))
+    return own.union(joined), _classed(pairs.filter(dealt & (F.col("id") != end)), of).select("id", "side", "d", "n")
 
 
 def _with_others(rows: DataFrame, pairs: DataFrame, of: DataFrame) -> DataFrame:
     """Adjacency rows with their own class and the class counts of their neighbours outside the core."""
     # One list for each row; a class that comes twice in it is summed where the list is read.
-    met = (pairs.join(of.select(F.col("h").alias("other"), F.col("cls").alias("d")), "other")
-           .groupBy("h", "piece").agg(F.collect_list(F.struct("side", "d", "n")).alias("x")))
+    met = _classed(pairs, of).groupBy("h", "piece").agg(F.collect_list(F.struct("side", "d", "n")).alias("x"))
     # Rows of frequent words are spread by piece; others have one row.
     return rows.join(met, ["h", "piece"], "left").join(
         of.withColumnRenamed("cls", "own").withColumn("piece", F.lit(0)), ["h", "piece"], "left").select(
@@ -485,60 +566,62 @@ def brown_classes(texts: DataFrame, core: np.ndarray, vocabulary: int, tokens_of
     none = spark.createDataFrame([], "h long, cls int")
 
     def rounds(state, measure, move):
-        """Exchange until a round gains too little; ``measure`` gives rows to count and their transitions."""
+        """Exchange until a round gains too little; ``measure`` counts the transitions."""
         cls, of = state
-        near, g = measure(cls, of)
+        g = measure(cls, of)
         parts, turn, tokens = 2, 0, g.sum()
         while tokens:
-            new, of_new = move(near, g, cls, of, parts, turn)
-            near_new, g_new = measure(new, of_new)
+            new, of_new = move(g, cls, of, parts, turn)
+            g_new = measure(new, of_new)
             waiting = g[:, total - 1].any() or g[total - 1].any()
             gain = (likelihood(g_new) - likelihood(g)) / tokens
             if gain < 0 and not (waiting and turn == 0):  # words that moved together did harm: fewer at a time
-                forget(near_new, near, of_new, of)
+                forget(of_new, of)
                 parts *= 2
                 if parts > vocabulary:
                     break
                 continue
-            forget(near, near_new, of, of_new)
-            cls, of, near, g, turn = new, of_new, near_new, g_new, turn + 1
+            forget(of, of_new)
+            cls, of, g, turn = new, of_new, g_new, turn + 1
             if gain < TOLERANCE and turn > 1:
                 break
-        return (cls, of), near, g
+        return (cls, of), g
 
-    def forget(*pairs):
-        """Delete written tables (first, third) that are not the tables kept in their place."""
-        for old, kept in (pairs[:2], pairs[2:]):
-            if old is not kept:
-                drop_tables(spark, old)
+    def forget(old, kept):
+        """Delete a written table that is not the one kept in its place."""
+        if old is not kept:
+            drop_tables(spark, old)
 
-    def move_core(rows, g, c, of, parts, turn):
-        new, moves = exchange(rows, g, c, classes, parts, turn)
+    def move_core(g, c, of, parts, turn):
+        new, moves = exchange(core_rows, g, c, classes, parts, turn)
         drop_tables(spark, moves)
         return new, of
 
-    (cls, of), _, g = rounds((cls, none), lambda c, _of: (core_rows, transition_counts(core_rows, c, total)), move_core)
+    (cls, of), g = rounds((cls, none), lambda c, _of: transition_counts(core_rows, c, total), move_core)
     if not other_rows.isEmpty():
         # Words outside the core take the best class by their core neighbours, all at once.
         _, moves = exchange(other_rows, g, cls, classes, 1, 0)
         of = materialize(moves.filter("id < 0").select("h", "cls"), "classes")
         drop_tables(spark, moves)
         rows = core_rows.union(other_rows)
-        pairs = materialize(rows.mapInArrow(_tail_pairs, "h long, piece int, other long, side int, n long"), "pairs")
+        pairs = materialize(rows.mapInArrow(_numbered_pairs, "h long, piece int, other long, side int, n long, id int"), "pairs")
 
         def measure(c, of):
-            near = materialize(_with_others(rows, pairs, of), "near")
+            counts = transition_counts(core_rows.drop("tail"), c, total) + other_counts(pairs, of, c, total)
             release(spark)
-            return near, transition_counts(near, c, total)
+            return counts
 
-        def move(near, g, c, of, parts, turn):
-            new, moves = exchange(near, g, c, classes, parts, turn)
+        def move(g, c, of, parts, turn):
+            near, dealt = _near(rows, pairs, of, end, parts, turn)
+            new, moves = exchange(near, g, c, classes, parts, turn, dealt)
+            del near, dealt
             moved = of.join(moves.filter("id < 0").select("h", F.col("cls").alias("new")), "h", "left")
             after = materialize(moved.select("h", F.coalesce("new", "cls").alias("cls")), "classes")
             del moved
             drop_tables(spark, moves)
+            release(spark)
             return new, after
-        (cls, of), near, g = rounds((cls, of), measure, move)
-        drop_tables(spark, near, pairs)
+        (cls, of), g = rounds((cls, of), measure, move)
+        drop_tables(spark, pairs)
     drop_tables(spark, core_rows)
     return cls, of, g[:classes + 1, :classes + 1]

@@ -101,6 +101,46 @@ def test_moves_match_the_best_class_of_each_word(spark, monkeypatch, heavy):
         assert got[w] == cls[w] or value[got[w]] > value[cls[w]]
 
 
+@pytest.mark.parametrize("heavy,turn", [(0, 0), (4, 1)])
+def test_a_round_over_all_words_joins_few_rows(spark, monkeypatch, heavy, turn):
+    """Transitions come from pairs alone; rows that do not move, and dealt ones, are not joined, and yet every
+    word that moves gets the best class of all."""
+    monkeypatch.setattr(B, "HEAVY", heavy)
+    rows, size, classes = corpus(11), 25, 4
+    count = Counter(w for _, t in rows for w in (t or "").split())
+    words = sorted(count, key=lambda w: (-count[w], w))
+    h = hashes(words)
+    core_rows, others = rows_of(spark, rows, np.array([h[w] for w in words[:size]], np.uint64))
+    rng, total = np.random.default_rng(2), classes + 2
+    of = dict(zip(words, rng.integers(0, classes, len(words)).tolist())) | {END: classes}
+    cls = np.array([of[w] for w in [*words[:size], END]])
+    table = spark.createDataFrame([(int(np.int64(h[w])), of[w]) for w in words[size:]], "h long, cls int")
+    unit = {w: i for i, w in enumerate([*words, END])}
+    big = np.zeros((len(unit), len(unit)))
+    for (a, z), n in pairs(rows).items():
+        big[unit[a], unit[z]] += n
+    hot = np.eye(total)[list(of.values())]
+    both = core_rows.union(others)
+    tail = both.mapInArrow(B._numbered_pairs, "h long, piece int, other long, side int, n long, id int")
+    g = B.transition_counts(core_rows.drop("tail"), cls, total) + B.other_counts(tail, table, cls, total)
+    assert (g == hot.T @ big @ hot).all()
+    near, dealt = B._near(both, tail, table, size, 2, turn)
+    moving = {w: bool(B._moving(np.array([h[w]], np.uint64).view(np.int64), 2, turn)[0]) for w in words}
+    joined = near.filter("own is not null or size(x) > 0").select("h").toArrow().column("h").to_numpy()
+    assert {np.uint64(x) for x in joined.view(np.uint64)} <= {h[w] for w in words[heavy:] if moving[w]}
+    got, moves = B.exchange(near, g, cls, classes, 2, turn, dealt)
+    new = {r["h"]: r["cls"] for r in moves.filter("id < 0").collect()}
+    for k, w in enumerate(words):
+        mine = int(got[k]) if k < size else new.get(int(np.int64(h[w])), of[w])
+        value = []
+        for c in range(classes):
+            to = hot.copy()
+            to[unit[w]] = np.eye(total)[c]
+            value.append(B.likelihood(to.T @ big @ to))
+        assert value[mine] >= max(value) - 1e-6 if moving[w] else mine == of[w]
+    assert any(moving[w] for w in words[:4]) and any(moving[w] for w in words[size:])
+
+
 def test_scores_match_the_tables(spark, monkeypatch):
     """Every score is the sum over tokens of the mean of class and frequency probability."""
     for m in (B, class_lm):
