@@ -86,7 +86,8 @@ def search(index: DataFrame, wanted: DataFrame, rarest: int = RAREST,
     hits = (index.join(lists, "term")
             .select("key", "phrase_id", (F.col("pos") - F.col("offset")).alias("start"),
                     F.expr("shiftleft(1, slot)").alias("bit"), "k"))
-    hits = materialize(hits, "hits")
+    if slop is not None:  # read twice; exact matches alone are counted as the hits come
+        hits = materialize(hits, "hits")
     exact = (hits.filter("start >= 0").groupBy("key", "phrase_id", "start")
              .agg(F.bit_or("bit").alias("bits"), F.first("k").alias("k"))
              .filter(F.col("bits") == full).select("key", "phrase_id", "start"))

@@ -114,7 +114,7 @@ def _cut(window: int):
         return b" ".join([p for p, g in zip(parts, gone.tolist()) if not g]), len(parts), int(gone.sum())
 
     def run(batches):
-        for b in batches:
+        for b in W.pieces(batches):
             text, copy = b.column("text"), b.column("copy").to_pylist()
             bad, out, n_words, n_gone = b.column("bad"), [], [], []
             for i, value in enumerate(text):

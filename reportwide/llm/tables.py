@@ -8,14 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportwide.session import checkpoint_dir, work_path
+from reportwide.session import bound_batches, checkpoint_dir, work_path
 
 # Most rows of a table that is broadcast after its rows were counted.
 BROADCAST_ROWS = 200_000
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a table once to the shared work folder and read it back: the lineage ends there."""
+    """Write a table once to the shared work folder and read it back: the lineage ends there.
+
+    Arrow batches are bounded by bytes from here on."""
+    bound_batches(df.sparkSession)
     path = work_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,7 @@
 """Words, 64-bit word hashes and word n-grams of Arrow text columns, vectorised with numpy.
 
 Texts are worked through in slices of about a megabyte, so a task's memory does not follow
-the size of its Arrow batches. A null text counts as empty.
+the size of its Arrow batches (``pieces`` does the same for whole batches). A null text counts as empty.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+PIECE_BYTES = 4 << 20
 
 # Separator bytes of the two kinds of words the operators use.
 # SPACE: words [^\x20\x09-\x0D]+; ALNUM: words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing A-Z.
@@ -93,6 +94,19 @@ def slices(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         lo = hi
 
 
+def pieces(batches) -> Iterator[pa.RecordBatch]:
+    """Record batches cut into slices of at most ``PIECE_BYTES``, or of one row."""
+    for b in batches:
+        left = [b]
+        while left:
+            b = left.pop()
+            if b.num_rows > 1 and b.nbytes > PIECE_BYTES:
+                half = b.num_rows // 2
+                left += [b.slice(half), b.slice(0, half)]
+            else:
+                yield b
+
+
 @dataclass
 class Words:
     """Words of a slice: byte spans, document of each word, first word of each document."""

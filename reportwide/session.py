@@ -26,6 +26,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole texts go to Python workers in batches of so many bytes, not of 10,000 rows: the
+    # buffers on both sides do not follow the length of the texts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.ui.enabled": "false",
     # Remove checkpoint files of lineage cuts once nothing references them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -55,6 +58,7 @@ def get_spark(master: str | None = None, app: str = "reportwide",
 
 # Settings that can change on a running session (the rest need a new SparkContext).
 RUNTIME_CONF = ("spark.sql.session.timeZone", "spark.sql.autoBroadcastJoinThreshold",
+                "spark.sql.execution.arrow.maxBytesPerBatch",
                 "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
                 "spark.sql.adaptive.coalescePartitions.enabled",
                 "spark.sql.adaptive.skewJoin.enabled",
@@ -91,6 +95,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/reportwide-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches, for operators called on a session made elsewhere. It stays
+    set, as their results are read lazily."""
+    k = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(k, DEFAULT_CONF[k])
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Settings of the session that hold while a job is planned and run, and are put back afterwards."""
