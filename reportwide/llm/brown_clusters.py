@@ -40,7 +40,7 @@ CLASSES = 40  # at least
 SWEEPS = 10  # over the seeds
 TOLERANCE = 0.005  # nats
 END_HASH = np.uint64(1)
-CELLS = 4_000_000  # of the largest array of a block
+CELLS = 1_000_000  # of the largest array of a block
 SMALL = 32  # counts whose gains are looked up
 
 _OUT, _IN, _SELF = range(3)
@@ -231,7 +231,7 @@ def _adjacency(batches, shared, tokens_of):
     """Neighbours of the words of a batch of texts. A pair in ``core`` is (number * 4 + side, count), in
     ``tail`` (hash, count * 4 + side); a word beside itself counts once, as side SELF."""
     look, end = shared.value
-    for b in batches:
+    for b in W.pieces(batches):
         before, after = [], []
         for _lo, _hi, buf, offs in W.slices(b.column("text")):
             t = tokens_of(buf, offs)
@@ -284,7 +284,7 @@ def _merged(batches):
             parts += [np.column_stack([key, n if name == "core" else n * 4 + side]), r]
         return _rows_of(h[first], ids[first], piece[first], *parts)
     held: pa.Table | None = None
-    for b in batches:
+    for b in W.pieces(batches):
         if not b.num_rows:
             continue
         t = pa.Table.from_batches([b])
@@ -346,7 +346,7 @@ def transition_counts(rows: DataFrame, cls: np.ndarray, total: int) -> np.ndarra
 
     def run(batches):
         g = np.zeros(total * total, np.int64)
-        for b in batches:
+        for b in W.pieces(batches):
             own = _own(b, shared.value, unknown)
             row, side, d, n = _class_counts(b, shared.value)
             out = side != _IN
@@ -402,7 +402,7 @@ def _moves(batches, shared, classes: int, parts: int, turn: int, end: int):
     """New classes of the words that move (``cls``), and class counts of words dealt over pieces (``code``)."""
     g, cls = shared.value
     gains, total = Gains(g), len(g)
-    for b in batches:
+    for b in W.pieces(batches):
         h, ids = b.column("h").to_numpy(), b.column("id").to_numpy()
         own = _own(b, cls, total - 1)
         row, side, d, n = _class_counts(b, cls)
@@ -479,7 +479,7 @@ def _into_units(rows: DataFrame, unit: np.ndarray, seeds: int) -> np.ndarray:
 
     def run(batches):
         n = np.zeros(seeds + 1, np.int64)
-        for b in batches:
+        for b in W.pieces(batches):
             own = shared.value[b.column("id").to_numpy()]
             row, side, d, c = _class_counts(b, shared.value)
             ok = (side == _IN) & (d == seeds + 1)
@@ -496,7 +496,7 @@ def _into_units(rows: DataFrame, unit: np.ndarray, seeds: int) -> np.ndarray:
 
 
 def _tail_pairs(batches):
-    for b in batches:
+    for b in W.pieces(batches):
         pairs, row = _unblob(b.column("tail"), np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(b.column(c).to_numpy()[row]) for c in ("h", "piece")]
@@ -506,7 +506,7 @@ def _tail_pairs(batches):
 
 def _numbered_pairs(batches):
     """``_tail_pairs`` with the number of their word, in ``id``."""
-    for b in batches:
+    for b in W.pieces(batches):
         ids = b.column("id").to_numpy()
         for t in _tail_pairs([b]):
             _pairs, row = _unblob(b.column("tail"), np.int64)
