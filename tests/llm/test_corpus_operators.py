@@ -677,7 +677,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_has_a_query():
     ops = {int(m[1]) for k in E.queries() if (m := re.match(r"op(\d+)_", k))}
-    assert ops == set(range(1, 11)) and "pipeline" in E.queries()
+    assert ops == set(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_pipeline_matches_brute_force(spark):
