@@ -41,6 +41,8 @@ SWEEPS = 10  # over the seeds
 TOLERANCE = 0.005  # nats
 END_HASH = np.uint64(1)
 CELLS = 1_000_000  # of the largest array of a block
+TOKENS = 1 << 22  # of a block of texts whose adjacency rows are made together
+PAIRS = 1 << 18  # of a batch of adjacency rows
 SMALL = 32  # counts whose gains are looked up
 
 _OUT, _IN, _SELF = range(3)
@@ -231,33 +233,60 @@ def _adjacency(batches, shared, tokens_of):
     """Neighbours of the words of a batch of texts. A pair in ``core`` is (number * 4 + side, count), in
     ``tail`` (hash, count * 4 + side); a word beside itself counts once, as side SELF."""
     look, end = shared.value
-    for b in W.pieces(batches):
-        before, after = [], []
-        for _lo, _hi, buf, offs in W.slices(b.column("text")):
-            t = tokens_of(buf, offs)
-            before.append(np.concatenate([[END_HASH], t[:-1]]))
-            after.append(t)
-        if not before:
-            continue
-        u, at = np.unique(np.concatenate([*before, *after]), return_inverse=True)
-        a, z = at[:len(at) // 2], at[len(at) // 2:]
-        code, n = np.unique(a * np.int64(len(u)) + z, return_counts=True)
-        a, z = code // len(u), code % len(u)
+    for t in _token_blocks(batches, tokens_of):
+        u, z = np.unique(t, return_inverse=True)  # every row ends with an end, so all words before are here, too
         ids = look.find(u)
         ids[u == END_HASH] = end
-        same = a == z
-        word = np.concatenate([a, z[~same]])
-        other = np.concatenate([z, a[~same]])
-        side = np.concatenate([np.where(same, _SELF, _OUT), np.full((~same).sum(), _IN)])
-        n = np.concatenate([n, n[~same]])
+        a = np.concatenate([[np.searchsorted(u, END_HASH)], z[:-1]])
+        a *= len(u)
+        a += z
+        del t, z
+        code, n = np.unique(a, return_counts=True)
+        del a
+        a, z = code // len(u), code % len(u)
+        n, differ = n.astype(np.int32), a != z
+        del code
+        word, other = np.concatenate([a, z[differ]]), np.concatenate([z, a[differ]])
+        side = np.concatenate([np.where(differ, np.int8(_OUT), np.int8(_SELF)), np.full(differ.sum(), _IN, np.int8)])
+        n = np.concatenate([n, n[differ]])
+        del a, z, differ
         piece = np.where(_is_dealt(ids[word], end), (u[other] % np.uint64(PIECES)).astype(np.int64), 0)
-        key, row = np.unique(word * np.int64(PIECES) + piece, return_inverse=True)
-        order = np.argsort(row, kind="stable")
-        row, other, side, n = row[order], other[order], side[order], n[order]
-        core = ids[other] >= 0
-        yield _rows_of(u[key // PIECES], ids[key // PIECES], key % PIECES,
-                       np.column_stack([ids[other[core]] * 4 + side[core], n[core]]), row[core],
-                       np.column_stack([u[other[~core]].view(np.int64), n[~core] * 4 + side[~core]]), row[~core])
+        word *= PIECES
+        word += piece
+        del piece
+        order = np.argsort(word, kind="stable")
+        word, other, side, n = word[order], other[order], side[order], n[order]
+        del order
+        new = np.concatenate([[True], word[1:] != word[:-1]])
+        key, row = word[new], np.cumsum(new) - 1
+        del word, new
+        # Rows leave in runs of few pairs: their columns are small.
+        edges = np.searchsorted(row, np.arange(len(key) + 1))
+        lo = 0
+        while lo < len(key):
+            hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + PAIRS, "right")) - 1)
+            here = slice(edges[lo], edges[hi])
+            o, s, c, r, k = other[here], side[here].astype(np.int64), n[here].astype(np.int64), row[here] - lo, key[lo:hi]
+            core = ids[o] >= 0
+            yield _rows_of(u[k // PIECES], ids[k // PIECES], k % PIECES,
+                           np.column_stack([ids[o[core]] * 4 + s[core], c[core]]), r[core],
+                           np.column_stack([u[o[~core]].view(np.int64), c[~core] * 4 + s[~core]]), r[~core])
+            lo = hi
+
+
+def _token_blocks(batches, tokens_of):
+    """Tokens of whole texts, some ``TOKENS`` at a time: the more, the fewer rows are shuffled."""
+    held, size = [], 0
+    for b in batches:
+        for _lo, _hi, buf, offs in W.slices(b.column("text")):
+            t = tokens_of(buf, offs)
+            if held and size + len(t) > TOKENS:
+                yield np.concatenate(held)
+                held, size = [], 0
+            held.append(t)
+            size += len(t)
+    if held:
+        yield np.concatenate(held)
 
 
 def _merged(batches):

@@ -49,7 +49,8 @@ def pairs_of(batches):
     return out
 
 
-def test_adjacency_memory_does_not_follow_the_batch():
+def test_adjacency_memory_does_not_follow_the_batch(monkeypatch):
+    monkeypatch.setattr(B, "TOKENS", 1 << 20, raising=False)
     t = pa.RecordBatch.from_arrays([pa.array(texts(8000, 500))], ["text"])
     assert t.nbytes > 3 * W.PIECE_BYTES
 
@@ -69,6 +70,10 @@ def test_pieces_give_the_same_neighbours(monkeypatch):
     t = pa.RecordBatch.from_arrays([pa.array([*texts(60, 40), "", None], pa.string())], ["text"])
     want = pairs_of(B._adjacency([t], Shared, tokens_of))
     monkeypatch.setattr(W, "PIECE_BYTES", 400)
+    monkeypatch.setattr(B, "TOKENS", 300)
+    monkeypatch.setattr(B, "PAIRS", 50)
+    slices = W.slices
+    monkeypatch.setattr(W, "slices", lambda x: slices(x, 400))
     cut = list(B._adjacency([t], Shared, tokens_of))
     assert len(cut) > 5 and pairs_of(cut) == want
     order = np.lexsort((np.concatenate([b.column("piece").to_numpy() for b in cut]),
