@@ -152,14 +152,29 @@ def best_classes(g: np.ndarray | Gains, classes: int, of: np.ndarray, self_: np.
 
     ``o`` and ``i`` are each word's counts of the classes after and before it, without itself.
     """
-    gains = g if isinstance(g, Gains) else Gains(g)
-    g = gains.g
-    m, total = o.shape
+    def listed(counts):
+        code = np.flatnonzero(counts)
+        return code, counts.ravel()[code]
+    return _best(g if isinstance(g, Gains) else Gains(g), classes, of, self_, listed(o), listed(i))
+
+
+def _at(codes: np.ndarray, n: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """Counts of the wanted codes, 0 where there is none."""
+    if not len(codes):
+        return np.zeros(len(want))
+    k = np.minimum(np.searchsorted(codes, want), len(codes) - 1)
+    return np.where(codes[k] == want, n[k], 0)
+
+
+def _best(gains: Gains, classes: int, of: np.ndarray, self_: np.ndarray, out: tuple, into: tuple) -> np.ndarray:
+    """``best_classes`` of counts given as (word * total + class, count), in order of the first."""
+    g, m, total = gains.g, len(of), len(gains.g)
     w = np.arange(m)
     gain = np.zeros((m, total))
-    for side, table, counts, other in ((_OUT, gains.before, o, i), (_IN, gains.after, i, o)):
-        row, d = np.nonzero(counts)
-        n = counts[row, d]
+    size = []
+    for side, table, (code, n), other in ((_OUT, gains.before, out, into), (_IN, gains.after, into, out)):
+        row, d = code // total, code % total
+        size.append(np.bincount(row, n, m) + self_)
         if not len(d):
             continue
         x = gains.rows(side, d, n)
@@ -169,20 +184,24 @@ def best_classes(g: np.ndarray | Gains, classes: int, of: np.ndarray, self_: np.
         own = np.flatnonzero(d == at)
         if len(own):
             r = row[own]
-            t = table[d[own]] - other[r]
+            t = table[d[own]]
+            t -= _dense_rows(*other, r, total)
             t[np.arange(len(own)), at[own]] -= n[own] + self_[r]
             x[own] = _f(t + n[own, None]) - _f(t)
             here[own] = t[np.arange(len(own)), at[own]]
         x[np.arange(len(d)), at] = _f(here + n) - _f(here)
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         gain[row[first]] += np.add.reduceat(x, first, axis=0)
-    n_out, n_in = o.sum(1) + self_, i.sum(1) + self_
     # Within a class: nothing to correct where the word does not stand on both sides of the class.
-    r, c = np.nonzero(((o > 0) & (i > 0)) | (self_ > 0)[:, None])
-    o_, i_, s_ = o[r, c], i[r, c], self_[r]
+    both = np.intersect1d(out[0], into[0], assume_unique=True)
+    beside = np.flatnonzero(self_ > 0)
+    if len(beside):
+        both = np.union1d(both, (beside[:, None] * total + np.arange(total)).ravel())
+    r, c = both // total, both % total
+    o_, i_, s_ = _at(*out, both), _at(*into, both), self_[r]
     d = np.diag(g)[c] - np.where(of[r] == c, o_ + i_ + s_, 0)
     gain[r, c] += _f(d + o_ + i_ + s_) + _f(d) - _f(d + o_) - _f(d + i_)
-    for which, n in enumerate((n_out, n_in)):
+    for which, n in enumerate(size):
         x = gains.size(which, n)
         left = gains.sums[which][of] - n
         x[w, of] = _f(left + n) - _f(left)
@@ -191,6 +210,16 @@ def best_classes(g: np.ndarray | Gains, classes: int, of: np.ndarray, self_: np.
     return np.where((of < classes) & (gain[w, best] <= gain[w, of] + 1e-9), of, best)
 
 
+def _dense_rows(code: np.ndarray, n: np.ndarray, rows: np.ndarray, total: int) -> np.ndarray:
+    """Counts of all classes of some words (in order, each at most once)."""
+    out = np.zeros((len(rows), total))
+    lo, hi = np.searchsorted(code, rows * total), np.searchsorted(code, (rows + 1) * total)
+    size = hi - lo
+    at = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    out[np.repeat(np.arange(len(rows)), size), code[at] % total] = n[at]
+    return out
+
+
 def likelihood(g: np.ndarray) -> float:
     """Log likelihood of the bigrams but for the words' own counts, which no exchange changes."""
     return float(_f(g).sum() - _f(g.sum(1)).sum() - _f(g.sum(0)).sum())
@@ -434,35 +463,54 @@ def _moves(batches, shared, classes: int, parts: int, turn: int, end: int):
     for b in W.pieces(batches):
         h, ids = b.column("h").to_numpy(), b.column("id").to_numpy()
         own = _own(b, cls, total - 1)
-        row, side, d, n = _class_counts(b, cls)
         go = (_moving(h, parts, turn) | (own > classes)) & (ids != end)
+        b, h, ids, own = b.filter(pa.array(go)), h[go], ids[go], own[go]
+        row, side, d, n = _class_counts(b, cls)
         dealt = _is_dealt(ids, end)
-        keep = (go & dealt)[row]
+        keep = dealt[row]
         if keep.any():
             code, at = np.unique((ids[row[keep]].astype(np.int64) * 3 + side[keep]) * total + d[keep], return_inverse=True)
             none = pa.nulls(len(code), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(code), np.int64)), none, none, pa.array(code),
                                               pa.array(np.bincount(at, n[keep]).astype(np.int64))], ["h", "id", "cls", "code", "n"])
-        order = np.argsort(row, kind="stable")
-        row, side, d, n = row[order], side[order], d[order], n[order]
-        at = np.searchsorted(row, np.arange(b.num_rows + 1))
-        lo = 0
-        while lo < b.num_rows:
-            # A block: few enough counts and words for the arrays of gains.
-            hi = int(np.searchsorted(at, at[lo] + CELLS // total, "right")) - 1
-            hi = max(lo + 1, min(hi, lo + CELLS // total, b.num_rows))
-            here = slice(at[lo], at[hi])
-            o, i, self_ = _dense(row[here] - lo, side[here], d[here], n[here], hi - lo, total)
-            w = np.flatnonzero(go[lo:hi] & ~dealt[lo:hi])
-            if len(w):
-                old = own[lo:hi][w]
-                new = best_classes(gains, classes, old, self_[w], o[w], i[w])
-                moved = w[new != old] + lo
-                none = pa.nulls(len(moved), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[moved]), pa.array(ids[moved]), pa.array(new[new != old].astype(np.int32)), none, none],
-                    ["h", "id", "cls", "code", "n"])
-            lo = hi
+        keep = ~dealt[row]
+        new = _new_classes(gains, classes, own, row[keep], side[keep], d[keep], n[keep], ~dealt)
+        moved = np.flatnonzero(new != own)
+        none = pa.nulls(len(moved), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h[moved]), pa.array(ids[moved]), pa.array(new[moved].astype(np.int32)), none, none],
+            ["h", "id", "cls", "code", "n"])
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by code, in order."""
+    order = np.argsort(code)
+    code = code[order]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])[:len(code)])
+    return code[first], np.add.reduceat(n[order], first).astype(np.float64) if len(code) else np.zeros(0)
+
+
+def _new_classes(gains: Gains, classes: int, own: np.ndarray, row, side, d, n, go: np.ndarray) -> np.ndarray:
+    """Classes after the words marked in ``go`` have moved; counts (row, side, d, n) in any order."""
+    total, new = len(gains.g), own.copy()
+    keep = go[row]
+    place = np.cumsum(go) - 1
+    row, side, d, n = place[row[keep]], side[keep], d[keep], n[keep]
+    w = np.flatnonzero(go)
+    code, count = _summed((row * 3 + side) * total + d, n)
+    at = np.searchsorted(code, np.arange(len(w) + 1) * 3 * total)
+    lo = 0
+    while lo < len(w):
+        # A block: few enough counts and words for the arrays of gains.
+        hi = int(np.searchsorted(at, at[lo] + CELLS // total, "right")) - 1
+        hi = max(lo + 1, min(hi, lo + CELLS // total, len(w)))
+        c, k = code[at[lo]:at[hi]] - lo * 3 * total, count[at[lo]:at[hi]]
+        r, s, e = c // (3 * total), c // total % 3, c % total
+        out, into, self_ = (np.flatnonzero(s == x) for x in (_OUT, _IN, _SELF))
+        new[w[lo:hi]] = _best(gains, classes, own[w[lo:hi]], np.bincount(r[self_], k[self_], hi - lo),
+                              *((r[x] * total + e[x], k[x]) for x in (out, into)))
+        lo = hi
+    return new
 
 
 def exchange(rows: DataFrame, g: np.ndarray, cls: np.ndarray, classes: int, parts: int, turn: int,
@@ -581,6 +629,292 @@ def _with_others(rows: DataFrame, pairs: DataFrame, of: DataFrame) -> DataFrame:
         "h", "id", "piece", "own", "core", F.coalesce("x", F.array().cast("array<struct<side:int,d:int,n:bigint>>")).alias("x"))
 
 
+# --- rounds over all words
+
+# Rows of a bucket of words, packed into arrays: no value is a Spark row of its own. STATE: classes, in order of the
+# hashes. TO_WORD, TO_CORE: what words outside the core send to a neighbour: its hash or number, and
+# (count, side, class). WORDS: hashes or numbers, then sizes and pairs of both lists of neighbours.
+# DEALT, COUNTED: sums by code, for words dealt over pieces and for class transitions.
+STATE, TO_WORD, TO_CORE, DEALT, COUNTED, WORDS = range(6)
+BUCKET = 1 << 14  # words
+HELD = 1 << 20  # messages of a task until they leave
+_PACK = "bucket int, kind int, a binary, b binary"
+_PACKED = _PACK + ", c binary, d binary, e binary"
+
+
+def _pack(rows: list[tuple], width: int = 2) -> pa.RecordBatch:
+    """A batch of (bucket, kind, array, ...) rows."""
+    names = ["bucket", "kind", *"abcde"[:width]]
+    columns = [pa.array([r[k] for r in rows], pa.int32()) for k in (0, 1)]
+    for k in range(2, 2 + width):
+        columns.append(pa.array([memoryview(np.ascontiguousarray(r[k]).view(np.uint8).ravel()) if len(r) > k else None for r in rows], pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _unpacked(b: pa.RecordBatch, name: str, k: int, dtype) -> np.ndarray:
+    return np.frombuffer(b.column(name)[k].as_buffer(), dtype)
+
+
+def _buckets(batches):
+    """(bucket, {kind: [(batch, row)]}) of rows that come bucket by bucket."""
+    now, held = None, {}
+    for b in batches:
+        for k, (bucket, kind) in enumerate(zip(b.column("bucket").to_pylist(), b.column("kind").to_pylist())):
+            if bucket != now:
+                if held:
+                    yield now, held
+                now, held = bucket, {}
+            held.setdefault(kind, []).append((b, k))
+    if held:
+        yield now, held
+
+
+def _together(*tables: DataFrame) -> DataFrame:
+    """Packed rows of several tables, bucket by bucket."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out.repartition("bucket").sortWithinPartitions("bucket", "kind")
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (key.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+
+
+def _split(bucket: np.ndarray):
+    """(order, [(bucket, from, to)]) that puts rows of a bucket side by side."""
+    order = np.argsort(bucket.astype(np.uint16) if not len(bucket) or bucket.max() < 1 << 16 else bucket, kind="stable")
+    sorted_ = bucket[order]
+    edge = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])[:len(bucket)])
+    return order, list(zip(sorted_[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(bucket)]))
+
+
+def _some(rows, width: int = 2, limit: int = 2 << 20):
+    """Packed batches of few megabytes."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += sum(x.nbytes for x in r[2:])
+        if size > limit:
+            yield _pack(held, width)
+            held, size = [], 0
+    if held:
+        yield _pack(held, width)
+
+
+def _words_of(batches, buckets: int, by: str):
+    """Adjacency rows packed by bucket of their hash (``h``) or number (``id``)."""
+    def rows():
+        for b in batches:
+            key = b.column(by).cast(pa.int64()).to_numpy()
+            lists = [_unblob(b.column(c), t) for c, t in (("core", np.int32), ("tail", np.int64))]
+            order, runs = _split(_bucket(key, buckets))
+            sizes = [np.bincount(row, minlength=len(key)).astype(np.int32) for _, row in lists]
+            place = np.empty(len(key), np.int64)
+            place[order] = np.arange(len(key))
+            pairs = [x[np.argsort(place[row], kind="stable")] for x, row in lists]
+            ends = [np.concatenate([[0], np.cumsum(n[order], dtype=np.int64)]) for n in sizes]
+            for bucket, lo, hi in runs:
+                yield (bucket, WORDS, key[order[lo:hi]], *(x for n, p, e in zip(sizes, pairs, ends)
+                                                          for x in (n[order[lo:hi]], p[e[lo]:e[hi]])))
+    return _some(rows(), 5)
+
+
+def _one_row(batches):
+    """One row of a bucket's words, in order of their hashes or numbers."""
+    def rows():
+        for bucket, held in _buckets(batches):
+            key, n_core, core, n_tail, tail = (np.concatenate([_unpacked(b, c, k, t) for b, k in held[WORDS]]) for c, t in zip(
+                "abcde", (np.int64, np.int32, np.int32, np.int32, np.int64)))
+            order = np.argsort(key)
+            place = np.empty(len(key), np.int64)
+            place[order] = np.arange(len(key))
+            core, tail = (x.reshape(-1, 2)[np.argsort(np.repeat(place, n), kind="stable")] for x, n in ((core, n_core), (tail, n_tail)))
+            yield bucket, WORDS, key[order], n_core[order], core, n_tail[order], tail
+    return _some(rows(), 5)
+
+
+def _words(held, name: str = "a"):
+    """(keys, core pairs and their rows, tail pairs and their rows) of a bucket, with no row: empty."""
+    if WORDS not in held:
+        return None
+    b, k = held[WORDS][0]
+    key = _unpacked(b, "a", k, np.int64)
+    out = [key]
+    for size, pairs, t in (("b", "c", np.int32), ("d", "e", np.int64)):
+        out += [_unpacked(b, pairs, k, t).reshape(-1, 2), np.repeat(np.arange(len(key)), _unpacked(b, size, k, np.int32))]
+    return out
+
+
+def _messages(held, kind: int, key: np.ndarray):
+    """(row, side, class, count) of the messages to the words of a bucket."""
+    got = held.get(kind, ())
+    to, code = (np.concatenate([np.empty(0, np.int64), *(_unpacked(b, c, k, np.int64) for b, k in got)]) for c in "ab")
+    return np.searchsorted(key, to), code >> 16 & 3, code & 0xFFFF, code >> 18
+
+
+def _core_moves(batches, shared, classes: int, parts: int, turn: int):
+    """New classes of core words that are not dealt, from their core neighbours and the messages of others."""
+    g, cls, core = shared.value
+    gains = Gains(g)
+    for _bucket_, held in _buckets(batches):
+        words = _words(held)
+        if words is None:
+            continue
+        ids, pairs, at = words[:3]
+        own = cls[ids].astype(np.int64)
+        go = _moving(core[ids], parts, turn) | (own > classes)
+        near = ((at, pairs[:, 0] % 4, cls[pairs[:, 0] // 4], pairs[:, 1]), _messages(held, TO_CORE, ids))
+        new = _new_classes(gains, classes, own, *(np.concatenate(x).astype(np.int64) for x in zip(*near)), go)
+        moved = np.flatnonzero(new != own)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[moved].astype(np.int32)), pa.array(new[moved].astype(np.int32))], ["id", "cls"])
+
+
+_BACK = np.array([_IN, _OUT, _SELF])  # a neighbour's side, seen from the neighbour
+
+
+def _other_moves(batches, shared, classes: int, parts: int, turn: int, buckets: int):
+    """New classes of words outside the core, and what they send: messages to neighbours that are not dealt, sums for
+    those that are, and counts of class transitions between them and the core, whose new classes are known."""
+    g, cls, cls_new = shared.value
+    gains, total, end = Gains(g), len(g), len(cls) - 1
+    counted = np.zeros(total * total)
+    sums = (np.empty(0, np.int64), np.empty(0))
+    out: dict[int, list] = {TO_WORD: [], TO_CORE: []}
+
+    def sent():
+        for kind, held in out.items():
+            if held:
+                to, code = (np.concatenate(x) for x in zip(*held))
+                order, runs = _split(_bucket(to, buckets))
+                to, code = to[order], code[order]
+                for bucket, lo, hi in runs:
+                    yield bucket, kind, to[lo:hi], code[lo:hi]
+                held.clear()
+
+    def rows():
+        nonlocal counted, sums
+        size = 0
+        for bucket, held in _buckets(batches):
+            words = _words(held)
+            if words is None:
+                continue
+            h, core, at, tail, tail_at = words
+            b, k = held[STATE][0] if STATE in held else (None, 0)
+            own = np.full(len(h), total - 1) if b is None else _unpacked(b, "a", k, np.int32).astype(np.int64)
+            near = ((at, core[:, 0] % 4, cls[core[:, 0] // 4], core[:, 1]), _messages(held, TO_WORD, h))
+            go = _moving(h, parts, turn) | (own > classes)
+            new = _new_classes(gains, classes, own, *(np.concatenate(x).astype(np.int64) for x in zip(*near)), go)
+            yield bucket, STATE, new.astype(np.int32), np.empty(0, np.int32)
+            ids, side, n, mine = core[:, 0] // 4, core[:, 0] % 4, core[:, 1].astype(np.int64), new[at]
+            theirs = cls_new[ids].astype(np.int64)
+            counted += np.bincount(np.where(side == _IN, theirs * total + mine, mine * total + theirs), n, total * total)
+            back = _BACK[side]
+            dealt = _is_dealt(ids, end)
+            some = dealt & (ids != end)
+            sums = _summed(np.concatenate([sums[0], (ids[some].astype(np.int64) * 3 + back[some]) * total + mine[some]]),
+                           np.concatenate([sums[1], n[some]]))
+            out[TO_CORE].append((ids[~dealt].astype(np.int64), (n << 18 | back << 16 | mine)[~dealt]))
+            out[TO_WORD].append((tail[:, 0], tail[:, 1] // 4 << 18 | _BACK[tail[:, 1] % 4] << 16 | new[tail_at]))
+            size += len(core) + len(tail)
+            if size > HELD:
+                yield from sent()
+                size = 0
+        yield from sent()
+        code = np.flatnonzero(counted)
+        yield 0, COUNTED, code, counted[code].astype(np.int64)
+        yield 0, DEALT, sums[0], sums[1].astype(np.int64)
+    return _some(rows())
+
+
+def _codes(batches):
+    for b in batches:
+        for k in range(b.num_rows):
+            yield pa.RecordBatch.from_arrays([pa.array(_unpacked(b, c, k, np.int64)) for c in "ab"], ["code", "n"])
+
+
+class Others:
+    """Words outside the core in packed rows, and the core words beside them: what a round over all words reads.
+
+    ``start`` gives the first state, ``move`` the next one; a state is a written table of packed rows.
+    """
+
+    def __init__(self, core_rows: DataFrame, other_rows: DataFrame, core: np.ndarray, classes: int, vocabulary: int):
+        spark = core_rows.sparkSession
+        self.core_rows, self.core, self.classes, self.total, self.end = core_rows, core, classes, classes + 2, len(core)
+        self.buckets = buckets = max(32, vocabulary // BUCKET)
+        if self.total >= 1 << 16:
+            raise OverflowError("more classes than a message holds")
+        single = core_rows.filter((F.col("id") >= HEAVY) & (F.col("id") != self.end))
+        made = []
+        for rows, by in ((other_rows, "h"), (single.withColumn("tail", F.lit(b"")), "id")):
+            packed = rows.select(by, "core", "tail").mapInArrow(lambda bs, by=by: _words_of(bs, buckets, by), _PACKED)
+            made.append(materialize(_together(packed).mapInArrow(_one_row, _PACKED), "packed"))
+        self.others, self.singles = made
+        release(spark)
+
+    def _pass(self, tables, g, cls, cls_new, parts: int, turn: int) -> DataFrame:
+        spark, classes, buckets = self.others.sparkSession, self.classes, self.buckets
+        shared = spark.sparkContext.broadcast((g, cls, cls_new))
+        out = _together(*tables).mapInArrow(lambda bs: _other_moves(bs, shared, classes, parts, turn, buckets), _PACK)
+        path = work_path(spark, "state")
+        out.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+        del out
+        release(spark)
+        return spark.read.schema(_PACK).parquet(path)
+
+    def start(self, g: np.ndarray, cls: np.ndarray) -> DataFrame:
+        """All words outside the core take the best class by their core neighbours."""
+        return self._pass((self.others,), g, cls, cls, 1, 0)
+
+    def move(self, g: np.ndarray, cls: np.ndarray, state: DataFrame, parts: int, turn: int) -> tuple[np.ndarray, DataFrame]:
+        spark, classes, core = self.others.sparkSession, self.classes, self.core
+        heavy = core[:HEAVY]
+        ids = np.flatnonzero(_moving(heavy, parts, turn) | (cls[:len(heavy)] > classes)).tolist()
+        rows = self.core_rows.filter(F.col("id").isin(ids) if ids else F.lit(False)).drop("tail")
+        parted = ("cast(code div {0} as int) id", "cast(code div {1} % 3 as int) side", "cast(code % {1} as int) d", "n")
+        dealt = self.codes(state, DEALT).selectExpr(*(x.format(3 * self.total, self.total) for x in parted))
+        dealt = dealt.filter(F.col("id").isin(ids) if ids else F.lit(False))
+        new, moves = exchange(rows, g, cls, classes, parts, turn, dealt)
+        drop_tables(spark, moves)
+        shared = spark.sparkContext.broadcast((g, cls, core))
+        got = _together(self.singles, state.filter(F.col("kind") == TO_CORE)).mapInArrow(
+            lambda bs: _core_moves(bs, shared, classes, parts, turn), "id int, cls int").toArrow()  # at most ``CORE`` rows
+        new[got.column("id").to_numpy()] = got.column("cls").to_numpy()
+        return new, self._pass((self.others, state.filter(F.col("kind").isin(STATE, TO_WORD))), g, cls, new, parts, turn)
+
+    @staticmethod
+    def codes(state: DataFrame, kind: int) -> DataFrame:
+        return state.filter(F.col("kind") == kind).mapInArrow(_codes, "code long, n long")
+
+    def counts(self, state: DataFrame) -> np.ndarray:
+        """Counts of class transitions that touch a word outside the core."""
+        total = self.total
+
+        def run(batches):
+            g = np.zeros(total * total)
+            for _b, held in _buckets(batches):
+                if STATE in held and TO_WORD in held:
+                    (b, k), (words, at) = held[STATE][0], held[WORDS][0]
+                    row, side, d, n = _messages(held, TO_WORD, _unpacked(words, "a", at, np.int64))
+                    out = side != _IN
+                    own = _unpacked(b, "a", k, np.int32).astype(np.int64)
+                    g += np.bincount(own[row[out]] * total + d[out], n[out], total * total)
+            code = np.flatnonzero(g)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(g[code].astype(np.int64))], ["code", "n"])
+        among = _together(self.others.select("bucket", "kind", "a"), state.filter(F.col("kind").isin(STATE, TO_WORD)))
+        return _square(among.mapInArrow(run, "code long, n long").union(self.codes(state, COUNTED)), total)
+
+    def table(self, state: DataFrame) -> DataFrame:
+        """(h, cls) of the words outside the core."""
+        def run(batches):
+            for _b, held in _buckets(batches):
+                (words, at), (b, k) = held[WORDS][0], held[STATE][0]
+                yield pa.RecordBatch.from_arrays([pa.array(_unpacked(words, "a", at, np.int64)), pa.array(_unpacked(b, "a", k, np.int32))], ["h", "cls"])
+        return materialize(_together(self.others.select("bucket", "kind", "a"), state.filter(F.col("kind") == STATE)).mapInArrow(
+            run, "h long, cls int"), "classes")
+
+
 def brown_classes(texts: DataFrame, core: np.ndarray, vocabulary: int, tokens_of) -> tuple[np.ndarray, DataFrame, np.ndarray]:
     """(classes of core words, (h, cls) of the other words, counts of class transitions).
 
@@ -622,35 +956,18 @@ def brown_classes(texts: DataFrame, core: np.ndarray, vocabulary: int, tokens_of
             drop_tables(spark, old)
 
     def move_core(g, c, of, parts, turn):
-        new, moves = exchange(core_rows, g, c, classes, parts, turn)
+        new, moves = exchange(core_rows.drop("tail"), g, c, classes, parts, turn)
         drop_tables(spark, moves)
         return new, of
 
     (cls, of), g = rounds((cls, none), lambda c, _of: transition_counts(core_rows, c, total), move_core)
     if not other_rows.isEmpty():
         # Words outside the core take the best class by their core neighbours, all at once.
-        _, moves = exchange(other_rows, g, cls, classes, 1, 0)
-        of = materialize(moves.filter("id < 0").select("h", "cls"), "classes")
-        drop_tables(spark, moves)
-        rows = core_rows.union(other_rows)
-        pairs = materialize(rows.mapInArrow(_numbered_pairs, "h long, piece int, other long, side int, n long, id int"), "pairs")
-
-        def measure(c, of):
-            counts = transition_counts(core_rows.drop("tail"), c, total) + other_counts(pairs, of, c, total)
-            release(spark)
-            return counts
-
-        def move(g, c, of, parts, turn):
-            near, dealt = _near(rows, pairs, of, end, parts, turn)
-            new, moves = exchange(near, g, c, classes, parts, turn, dealt)
-            del near, dealt
-            moved = of.join(moves.filter("id < 0").select("h", F.col("cls").alias("new")), "h", "left")
-            after = materialize(moved.select("h", F.coalesce("new", "cls").alias("cls")), "classes")
-            del moved
-            drop_tables(spark, moves)
-            release(spark)
-            return new, after
-        (cls, of), g = rounds((cls, of), measure, move)
-        drop_tables(spark, pairs)
+        others = Others(core_rows, other_rows, core, classes, vocabulary)
+        plain = core_rows.drop("tail")
+        state = others.start(g, cls)
+        (cls, state), g = rounds((cls, state), lambda c, of: transition_counts(plain, c, total) + others.counts(of), others.move)
+        of = others.table(state)
+        drop_tables(spark, state, others.others, others.singles)
     drop_tables(spark, core_rows)
     return cls, of, g[:classes + 1, :classes + 1]

@@ -180,3 +180,49 @@ def test_a_text_of_a_megabyte(spark):
     frame = spark.createDataFrame([(2, text), (3, "w1 w2")], "doc_id long, text string")
     r = {x["doc_id"]: x for x in class_lm.score(frame).collect()}
     assert len(text) > 1 << 20 and r[2]["n_tokens"] == r[2]["n_known"] == 190_001 and r[2]["score"] > r[2]["base_score"]
+
+
+@pytest.mark.parametrize("turn,size", [(0, 1200), (1, 1030)])
+def test_a_round_over_packed_rows_matches_brute_force(spark, monkeypatch, turn, size):
+    """A round over all words handles no row for each pair or word, and gives the counts and classes of brute force."""
+    monkeypatch.setattr(B, "BUCKET", 7)
+    rng, classes = np.random.default_rng(13), 4
+    rows = [(2 * k, " ".join(f"w{int(x * x * 1500)}" for x in rng.random(rng.integers(0, 60)))) for k in range(250)] + corpus(13)
+    count = Counter(w for _, t in rows for w in (t or "").split())
+    words = sorted(count, key=lambda w: (-count[w], w))
+    h = hashes(words)
+    core = np.array([h[w] for w in words[:size]], np.uint64)
+    core_rows, other_rows = rows_of(spark, rows, core)
+    total, unit = classes + 2, {w: i for i, w in enumerate([*words, END])}
+    big = np.zeros((len(unit), len(unit)))
+    for (a, z), n in pairs(rows).items():
+        big[unit[a], unit[z]] += n
+    cls = np.append(np.random.default_rng(4).integers(0, classes, size), classes)
+    others = B.Others(core_rows, other_rows, core, classes, len(words))
+    assert others.others.count() <= others.buckets == max(32, len(words) // 7)
+    state = others.start(B.transition_counts(core_rows, cls, total), cls)
+
+    def numbered(c, state):
+        new = {r["h"]: r["cls"] for r in others.table(state).collect()}
+        assert len(new) == len(words) - size
+        return np.array([*c[:size], *(new[int(np.int64(h[w]))] for w in words[size:]), classes])
+    before = numbered(cls, state)
+
+    def measured(c, state):
+        return B.transition_counts(core_rows.drop("tail"), c, total) + others.counts(state)
+    hot = np.eye(total)[before]
+    g = measured(cls, state)
+    assert (g == hot.T @ big @ hot).all()
+    new, after = others.move(g, cls, state, 2, turn)
+    got = numbered(new, after)
+    for k, w in [*enumerate(words)][::5]:
+        value = []
+        for c in range(classes):
+            to = hot.copy()
+            to[k] = np.eye(total)[c]
+            value.append(B.likelihood(to.T @ big @ to))
+        moving = bool(B._moving(np.array([h[w]], np.uint64).view(np.int64), 2, turn)[0])
+        assert value[got[k]] >= max(value) - 1e-6 if moving else got[k] == before[k]
+    assert (got != before).any()
+    hot = np.eye(total)[got]
+    assert (measured(new, after) == hot.T @ big @ hot).all()
