@@ -49,17 +49,36 @@ _OUT, _IN, _SELF = range(3)
 
 
 class Lookup:
-    """Position of hashes in a sorted table, or -1."""
+    """Position of hashes in a sorted table, or -1.
+
+    ``start`` leads from the upper bits of a hash to the first of the table with such bits."""
 
     def __init__(self, hashes: np.ndarray):
         self.order = np.argsort(hashes)
         self.sorted = hashes[self.order]
+        bits = max(1, len(hashes).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        self.start = np.searchsorted(self.sorted >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), -1)
         if not len(self.sorted):
-            return np.full(len(h), -1)
+            return out
+        upper = (h >> self.shift).astype(np.int64)
+        at, end = self.start[upper], self.start[upper + 1]
+        left = np.flatnonzero(at < end)
+        at, end, h = at[left], end[left], h[left]
+        for _ in range(8):  # hashes are even: hardly any has so many beside it
+            hit = self.sorted[at] == h
+            out[left[hit]] = self.order[at[hit]]
+            at = at + 1
+            go = np.flatnonzero(~hit & (at < end))
+            if not len(go):
+                return out
+            left, at, end, h = left[go], at[go], end[go], h[go]
         i = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-        return np.where(self.sorted[i] == h, self.order[i], -1)
+        out[left] = np.where(self.sorted[i] == h, self.order[i], -1)
+        return out
 
 
 def _f(x: np.ndarray) -> np.ndarray:
@@ -225,6 +244,81 @@ def likelihood(g: np.ndarray) -> float:
     return float(_f(g).sum() - _f(g.sum(1)).sum() - _f(g.sum(0)).sum())
 
 
+# --- packed rows
+
+# Rows of a bucket of words, packed into arrays: no value is a Spark row of its own. STATE: classes, in order of the
+# hashes. TO_WORD, TO_CORE: what words outside the core send to a neighbour: its hash or number, and
+# (count, side, class). WORDS: hashes or numbers, then sizes and pairs of both lists of neighbours.
+# DEALT, COUNTED: sums by code, for words dealt over pieces and for class transitions. ROWS: adjacency rows of a block
+# of texts: hashes, (number, piece), sizes of both lists, and their pairs. COUNTS: hashes, counts and endings.
+STATE, TO_WORD, TO_CORE, DEALT, COUNTED, WORDS, ROWS, COUNTS = range(8)
+BUCKET = 1 << 14  # words
+PACKED_BYTES = 16 << 20  # of adjacency rows that are packed together
+HELD = 1 << 20  # messages of a task until they leave
+_PACK = "bucket int, kind int, a binary, b binary"
+_PACKED = _PACK + ", c binary, d binary, e binary"
+
+
+def _pack(rows: list[tuple], width: int = 2) -> pa.RecordBatch:
+    """A batch of (bucket, kind, array, ...) rows."""
+    names = ["bucket", "kind", *"abcde"[:width]]
+    columns = [pa.array([r[k] for r in rows], pa.int32()) for k in (0, 1)]
+    for k in range(2, 2 + width):
+        columns.append(pa.array([memoryview(np.ascontiguousarray(r[k]).view(np.uint8).ravel()) if len(r) > k else None for r in rows], pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _unpacked(b: pa.RecordBatch, name: str, k: int, dtype) -> np.ndarray:
+    return np.frombuffer(b.column(name)[k].as_buffer(), dtype)
+
+
+def _buckets(batches):
+    """(bucket, {kind: [(batch, row)]}) of rows that come bucket by bucket."""
+    now, held = None, {}
+    for b in batches:
+        for k, (bucket, kind) in enumerate(zip(b.column("bucket").to_pylist(), b.column("kind").to_pylist())):
+            if bucket != now:
+                if held:
+                    yield now, held
+                now, held = bucket, {}
+            held.setdefault(kind, []).append((b, k))
+    if held:
+        yield now, held
+
+
+def _together(*tables: DataFrame) -> DataFrame:
+    """Packed rows of several tables, bucket by bucket."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out.repartition("bucket").sortWithinPartitions("bucket", "kind")
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (key.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+
+
+def _split(bucket: np.ndarray):
+    """(order, [(bucket, from, to)]) that puts rows of a bucket side by side."""
+    order = np.argsort(bucket.astype(np.uint16) if not len(bucket) or bucket.max() < 1 << 16 else bucket, kind="stable")
+    sorted_ = bucket[order]
+    edge = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])[:len(bucket)])
+    return order, list(zip(sorted_[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(bucket)]))
+
+
+def _some(rows, width: int = 2, limit: int = 2 << 20):
+    """Packed batches of few megabytes."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += sum(x.nbytes for x in r[2:])
+        if size > limit:
+            yield _pack(held, width)
+            held, size = [], 0
+    if held:
+        yield _pack(held, width)
+
+
 # --- adjacency rows
 
 _ADJACENCY = "h long, id int, piece int, core binary, tail binary"
@@ -318,6 +412,12 @@ def _token_blocks(batches, tokens_of):
         yield np.concatenate(held)
 
 
+def _order(row: np.ndarray, key: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Order by row, key, side."""
+    known, place = np.unique(key, return_inverse=True)
+    return np.argsort((row * max(1, len(known)) + place) * 4 + side)
+
+
 def _merged(batches):
     """Rows of one (word, piece), which come one after another, made one."""
     def merge(t: pa.Table) -> pa.RecordBatch:
@@ -331,7 +431,7 @@ def _merged(batches):
             key, side, n = pairs[:, 0], pairs[:, 1] % 4, pairs[:, 1] // 4
             if name == "core":
                 side, n = np.zeros_like(key), pairs[:, 1].astype(np.int64)
-            order = np.lexsort((side, key, row[at]))
+            order = _order(row[at], key, side)
             r, key, side, n = row[at][order], key[order], side[order], n[order]
             if len(r):
                 edge = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (key[1:] != key[:-1]) | (side[1:] != side[:-1])]))
@@ -357,12 +457,64 @@ def _merged(batches):
         yield merge(held)
 
 
-def adjacency(texts: DataFrame, core: np.ndarray, tokens_of) -> tuple[DataFrame, DataFrame]:
-    """Adjacency rows of core words and of other words, written; ``core`` are the hashes of numbers 0, 1, ..."""
+def _adjacency_of(batches, buckets: int):
+    """Adjacency rows packed by bucket of word and piece, some megabytes of them at a time."""
+    def packed(held: list[pa.RecordBatch]):
+        t = pa.Table.from_batches(held).combine_chunks()
+        h, ids, piece = (t.column(c).to_numpy() for c in ("h", "id", "piece"))
+        order, runs = _split(_bucket(W.mix(h.view(np.uint64) + piece.astype(np.uint64)), buckets))
+        t = t.take(pa.array(order))
+        h, ids, piece = h[order], ids[order], piece[order]
+        lists = []
+        for name, dtype in (("core", np.int32), ("tail", np.int64)):
+            pairs, at = _unblob(t.column(name).combine_chunks(), dtype)
+            n = np.bincount(at, minlength=len(h)).astype(np.int32)
+            lists.append((n, pairs, np.concatenate([[0], np.cumsum(n, dtype=np.int64)])))
+        (n_core, core, c), (n_tail, tail, e) = lists
+        for bucket, lo, hi in runs:
+            here = slice(lo, hi)
+            yield (bucket, ROWS, h[here], np.column_stack([ids[here], piece[here]]), np.column_stack([n_core[here], n_tail[here]]),
+                   core[c[lo]:c[hi]], tail[e[lo]:e[hi]])
+
+    def rows():
+        held, size = [], 0
+        for b in batches:
+            held.append(b)
+            size += b.nbytes
+            if size > PACKED_BYTES:
+                yield from packed(held)
+                held, size = [], 0
+        if held:
+            yield from packed(held)
+    return _some(rows(), 5)
+
+
+def _merged_buckets(batches):
+    """``_merged`` rows of packed ones, bucket by bucket."""
+    for _bucket_, held in _buckets(batches):
+        h, ids, sizes, core, tail = (np.concatenate([_unpacked(b, c, k, t) for b, k in held[ROWS]]) for c, t in zip(
+            "abcde", (np.int64, np.int32, np.int32, np.int32, np.int64)))
+        ids, sizes, core, tail = (x.reshape(-1, 2) for x in (ids, sizes, core, tail))
+        order = np.lexsort((ids[:, 1], h))
+        place = np.empty(len(h), np.int64)
+        place[order] = np.arange(len(h))
+        lists = []
+        for n, pairs in zip(sizes.T, (core, tail)):
+            to = np.repeat(place, n)
+            lists += [pairs[np.argsort(to, kind="stable")], np.sort(to)]
+        # Cut between words into batches of few megabytes.
+        yield from _merged([_rows_of(h[order].view(np.uint64), ids[order, 0], ids[order, 1], *lists)])
+
+
+def adjacency(texts: DataFrame, core: np.ndarray, tokens_of, vocabulary: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Adjacency rows of core words and of other words, written; ``core`` are the hashes of numbers 0, 1, ...
+
+    Rows travel packed by bucket: no word of a block of texts is a Spark row of its own before it is merged."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((Lookup(core), len(core)))
-    rows = texts.mapInArrow(lambda bs: _adjacency(bs, shared, tokens_of), _ADJACENCY)
-    merged = rows.repartition("h", "piece").sortWithinPartitions("h", "piece").mapInArrow(_merged, _ADJACENCY)
+    buckets = max(256, vocabulary // BUCKET)
+    rows = texts.mapInArrow(lambda bs: _adjacency_of(_adjacency(bs, shared, tokens_of), buckets), _PACKED)
+    merged = _together(rows).mapInArrow(_merged_buckets, _ADJACENCY)
     path = work_path(spark, "adjacency")
     merged.withColumn("kind", F.when(F.col("id") >= 0, "core").otherwise("other")).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     schema = merged.schema
@@ -459,7 +611,14 @@ _MOVES = "h long, id int, cls int, code long, n long"
 def _moves(batches, shared, classes: int, parts: int, turn: int, end: int):
     """New classes of the words that move (``cls``), and class counts of words dealt over pieces (``code``)."""
     g, cls = shared.value
-    gains, total = Gains(g), len(g)
+    gains, total, sums = Gains(g), len(g), []
+
+    def summed():
+        code, n = _summed(*(np.concatenate(x) for x in zip(*sums)))
+        sums.clear()
+        none = pa.nulls(len(code), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(code), np.int64)), none, none, pa.array(code),
+                                           pa.array(n.astype(np.int64))], ["h", "id", "cls", "code", "n"])
     for b in W.pieces(batches):
         h, ids = b.column("h").to_numpy(), b.column("id").to_numpy()
         own = _own(b, cls, total - 1)
@@ -469,10 +628,9 @@ def _moves(batches, shared, classes: int, parts: int, turn: int, end: int):
         dealt = _is_dealt(ids, end)
         keep = dealt[row]
         if keep.any():
-            code, at = np.unique((ids[row[keep]].astype(np.int64) * 3 + side[keep]) * total + d[keep], return_inverse=True)
-            none = pa.nulls(len(code), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(code), np.int64)), none, none, pa.array(code),
-                                              pa.array(np.bincount(at, n[keep]).astype(np.int64))], ["h", "id", "cls", "code", "n"])
+            sums.append(_summed((ids[row[keep]].astype(np.int64) * 3 + side[keep]) * total + d[keep], n[keep]))
+            if sum(len(x) for x, _ in sums) > HELD:
+                yield summed()
         keep = ~dealt[row]
         new = _new_classes(gains, classes, own, row[keep], side[keep], d[keep], n[keep], ~dealt)
         moved = np.flatnonzero(new != own)
@@ -480,6 +638,8 @@ def _moves(batches, shared, classes: int, parts: int, turn: int, end: int):
         yield pa.RecordBatch.from_arrays(
             [pa.array(h[moved]), pa.array(ids[moved]), pa.array(new[moved].astype(np.int32)), none, none],
             ["h", "id", "cls", "code", "n"])
+    if sums:
+        yield summed()
 
 
 def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -631,77 +791,6 @@ def _with_others(rows: DataFrame, pairs: DataFrame, of: DataFrame) -> DataFrame:
 
 # --- rounds over all words
 
-# Rows of a bucket of words, packed into arrays: no value is a Spark row of its own. STATE: classes, in order of the
-# hashes. TO_WORD, TO_CORE: what words outside the core send to a neighbour: its hash or number, and
-# (count, side, class). WORDS: hashes or numbers, then sizes and pairs of both lists of neighbours.
-# DEALT, COUNTED: sums by code, for words dealt over pieces and for class transitions.
-STATE, TO_WORD, TO_CORE, DEALT, COUNTED, WORDS = range(6)
-BUCKET = 1 << 14  # words
-HELD = 1 << 20  # messages of a task until they leave
-_PACK = "bucket int, kind int, a binary, b binary"
-_PACKED = _PACK + ", c binary, d binary, e binary"
-
-
-def _pack(rows: list[tuple], width: int = 2) -> pa.RecordBatch:
-    """A batch of (bucket, kind, array, ...) rows."""
-    names = ["bucket", "kind", *"abcde"[:width]]
-    columns = [pa.array([r[k] for r in rows], pa.int32()) for k in (0, 1)]
-    for k in range(2, 2 + width):
-        columns.append(pa.array([memoryview(np.ascontiguousarray(r[k]).view(np.uint8).ravel()) if len(r) > k else None for r in rows], pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, names)
-
-
-def _unpacked(b: pa.RecordBatch, name: str, k: int, dtype) -> np.ndarray:
-    return np.frombuffer(b.column(name)[k].as_buffer(), dtype)
-
-
-def _buckets(batches):
-    """(bucket, {kind: [(batch, row)]}) of rows that come bucket by bucket."""
-    now, held = None, {}
-    for b in batches:
-        for k, (bucket, kind) in enumerate(zip(b.column("bucket").to_pylist(), b.column("kind").to_pylist())):
-            if bucket != now:
-                if held:
-                    yield now, held
-                now, held = bucket, {}
-            held.setdefault(kind, []).append((b, k))
-    if held:
-        yield now, held
-
-
-def _together(*tables: DataFrame) -> DataFrame:
-    """Packed rows of several tables, bucket by bucket."""
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t, allowMissingColumns=True)
-    return out.repartition("bucket").sortWithinPartitions("bucket", "kind")
-
-
-def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
-    return (key.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
-
-
-def _split(bucket: np.ndarray):
-    """(order, [(bucket, from, to)]) that puts rows of a bucket side by side."""
-    order = np.argsort(bucket.astype(np.uint16) if not len(bucket) or bucket.max() < 1 << 16 else bucket, kind="stable")
-    sorted_ = bucket[order]
-    edge = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])[:len(bucket)])
-    return order, list(zip(sorted_[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(bucket)]))
-
-
-def _some(rows, width: int = 2, limit: int = 2 << 20):
-    """Packed batches of few megabytes."""
-    held, size = [], 0
-    for r in rows:
-        held.append(r)
-        size += sum(x.nbytes for x in r[2:])
-        if size > limit:
-            yield _pack(held, width)
-            held, size = [], 0
-    if held:
-        yield _pack(held, width)
-
-
 def _words_of(batches, buckets: int, by: str):
     """Adjacency rows packed by bucket of their hash (``h``) or number (``id``)."""
     def rows():
@@ -924,7 +1013,7 @@ def brown_classes(texts: DataFrame, core: np.ndarray, vocabulary: int, tokens_of
     spark = texts.sparkSession
     classes = max(CLASSES, round(vocabulary ** (1 / 3)))
     total, end = classes + 2, len(core)
-    core_rows, other_rows = adjacency(texts, core, tokens_of)
+    core_rows, other_rows = adjacency(texts, core, tokens_of, vocabulary)
     cls = _seed(core_rows, len(core), end, classes, total) if len(core) else np.array([classes])
     none = spark.createDataFrame([], "h long, cls int")
 

@@ -27,11 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportwide.llm import words as W
-from reportwide.llm.brown_clusters import (CORE, END_HASH, Lookup, best_classes, brown_classes,  # noqa: F401
+from reportwide.llm.brown_clusters import (CORE, COUNTS, END_HASH, HELD, PAIRS, Lookup, _bucket, _buckets,  # noqa: F401
+                                           _some, _split, _together, _unpacked, best_classes, brown_classes,
                                            cluster, likelihood)
 from reportwide.llm.tables import materialize, release
 
 ENDINGS = 64
+COUNT_BUCKETS = 1024
 DELTA = 0.5
 SHARE = 0.5  # of the classes' probability in a token's
 
@@ -59,20 +61,46 @@ def _tokens(buf, offs):
 
 
 def _summed(keys: np.ndarray, n: np.ndarray, *more: np.ndarray):
-    u, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    return (u, np.bincount(inverse, n).astype(np.int64), *(m[first] for m in more))
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    n = np.add.reduceat(n[order], first) if len(keys) else n
+    return (keys[first], n, *(m[order[first]] for m in more))
 
 
 def _count(batches):
-    for b in batches:
-        held: list = []
-        for _lo, _hi, buf, offs in W.slices(b.column("text")):
-            tokens, kind, _row, _at = _tokens(buf, offs)
-            held.append(_summed(tokens, np.ones(len(tokens)), kind))
+    """Counts of words, packed by bucket of their hash; a word has the same ending wherever it stands."""
+    held: list = []
+
+    def packed():
+        h, n, kind = _summed(*(np.concatenate(x) for x in zip(*held)))
+        held.clear()
+        order, runs = _split(_bucket(h, COUNT_BUCKETS))
+        h, n, kind = h[order], n[order], kind[order]
+        for bucket, lo, hi in runs:
+            yield bucket, COUNTS, h[lo:hi], n[lo:hi], kind[lo:hi]
+
+    def rows():
+        for b in batches:
+            for _lo, _hi, buf, offs in W.slices(b.column("text")):
+                tokens, kind, _row, _at = _tokens(buf, offs)
+                held.append(_summed(tokens, np.ones(len(tokens), np.int64), kind))
+                if sum(len(x[0]) for x in held) > HELD:
+                    yield from packed()
         if held:
-            h, n, kind = _summed(*(np.concatenate(x) for x in zip(*held)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.view(np.int64)), pa.array(kind), pa.array(n)], ["h", "ending", "n"])
+            yield from packed()
+    return _some(rows(), 3)
+
+
+def _counted(batches):
+    """The words of each bucket with their counts."""
+    for _bucket_, held in _buckets(batches):
+        h, n, kind = (np.concatenate([_unpacked(b, c, k, t) for b, k in held[COUNTS]]) for c, t in zip(
+            "abc", (np.uint64, np.int64, np.int32)))
+        h, n, kind = _summed(h, n, kind)
+        for lo in range(0, len(h), PAIRS):
+            here = slice(lo, lo + PAIRS)
+            yield pa.RecordBatch.from_arrays([pa.array(h[here].view(np.int64)), pa.array(kind[here]), pa.array(n[here])], ["h", "ending", "n"])
 
 
 class Tables:
@@ -95,8 +123,8 @@ def train(docs: DataFrame) -> tuple[DataFrame, Tables]:
     """Counts (h, cls, n) of all training words, and the tables."""
     spark, end_hash = docs.sparkSession, int(END_HASH)
     texts = docs.filter(~held_out()).select("text")
-    counts = materialize(texts.mapInArrow(_count, "h long, ending int, n long").groupBy("h").agg(
-        F.max("ending").alias("ending"), F.sum("n").alias("n")), "words")
+    packed = texts.mapInArrow(_count, "bucket int, kind int, a binary, b binary, c binary")
+    counts = materialize(_together(packed).mapInArrow(_counted, "h long, ending int, n long"), "words")
     release(spark)
     top = counts.filter(F.col("h") != end_hash).orderBy(F.desc("n"), "h").limit(CORE).toArrow()
     core, core_n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
