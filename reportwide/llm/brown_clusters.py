@@ -253,7 +253,7 @@ def likelihood(g: np.ndarray) -> float:
 # of texts: hashes, (number, piece), sizes of both lists, and their pairs. COUNTS: hashes, counts and endings.
 STATE, TO_WORD, TO_CORE, DEALT, COUNTED, WORDS, ROWS, COUNTS = range(8)
 BUCKET = 1 << 14  # words
-PACKED_BYTES = 16 << 20  # of adjacency rows that are packed together
+PACKED_BYTES = 8 << 20  # of adjacency rows that are packed together
 HELD = 1 << 20  # messages of a task until they leave
 _PACK = "bucket int, kind int, a binary, b binary"
 _PACKED = _PACK + ", c binary, d binary, e binary"
@@ -261,11 +261,12 @@ _PACKED = _PACK + ", c binary, d binary, e binary"
 
 def _pack(rows: list[tuple], width: int = 2) -> pa.RecordBatch:
     """A batch of (bucket, kind, array, ...) rows."""
-    names = ["bucket", "kind", *"abcde"[:width]]
     columns = [pa.array([r[k] for r in rows], pa.int32()) for k in (0, 1)]
     for k in range(2, 2 + width):
-        columns.append(pa.array([memoryview(np.ascontiguousarray(r[k]).view(np.uint8).ravel()) if len(r) > k else None for r in rows], pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, names)
+        values = [np.ascontiguousarray(r[k]).view(np.uint8).ravel() if len(r) > k else np.empty(0, np.uint8) for r in rows]
+        offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+        columns.append(pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate(values))]))
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", *"abcde"[:width]])
 
 
 def _unpacked(b: pa.RecordBatch, name: str, k: int, dtype) -> np.ndarray:
@@ -286,12 +287,13 @@ def _buckets(batches):
         yield now, held
 
 
-def _together(*tables: DataFrame) -> DataFrame:
-    """Packed rows of several tables, bucket by bucket."""
+def _together(*tables: DataFrame, parts: int | None = None) -> DataFrame:
+    """Packed rows of several tables, bucket by bucket; ``parts`` keeps few buckets in a task."""
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t, allowMissingColumns=True)
-    return out.repartition("bucket").sortWithinPartitions("bucket", "kind")
+    out = out.repartition("bucket") if parts is None else out.repartition(parts, "bucket")
+    return out.sortWithinPartitions("bucket", "kind")
 
 
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -512,9 +514,9 @@ def adjacency(texts: DataFrame, core: np.ndarray, tokens_of, vocabulary: int = 0
     Rows travel packed by bucket: no word of a block of texts is a Spark row of its own before it is merged."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast((Lookup(core), len(core)))
-    buckets = max(256, vocabulary // BUCKET)
+    buckets = max(32, 2 * vocabulary // BUCKET)
     rows = texts.mapInArrow(lambda bs: _adjacency_of(_adjacency(bs, shared, tokens_of), buckets), _PACKED)
-    merged = _together(rows).mapInArrow(_merged_buckets, _ADJACENCY)
+    merged = _together(rows, parts=max(16, buckets // 4)).mapInArrow(_merged_buckets, _ADJACENCY)
     path = work_path(spark, "adjacency")
     merged.withColumn("kind", F.when(F.col("id") >= 0, "core").otherwise("other")).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     schema = merged.schema
@@ -932,20 +934,21 @@ class Others:
         spark = core_rows.sparkSession
         self.core_rows, self.core, self.classes, self.total, self.end = core_rows, core, classes, classes + 2, len(core)
         self.buckets = buckets = max(32, vocabulary // BUCKET)
+        self.parts = max(16, buckets // 4)
         if self.total >= 1 << 16:
             raise OverflowError("more classes than a message holds")
         single = core_rows.filter((F.col("id") >= HEAVY) & (F.col("id") != self.end))
         made = []
         for rows, by in ((other_rows, "h"), (single.withColumn("tail", F.lit(b"")), "id")):
             packed = rows.select(by, "core", "tail").mapInArrow(lambda bs, by=by: _words_of(bs, buckets, by), _PACKED)
-            made.append(materialize(_together(packed).mapInArrow(_one_row, _PACKED), "packed"))
+            made.append(materialize(_together(packed, parts=self.parts).mapInArrow(_one_row, _PACKED), "packed"))
         self.others, self.singles = made
         release(spark)
 
     def _pass(self, tables, g, cls, cls_new, parts: int, turn: int) -> DataFrame:
         spark, classes, buckets = self.others.sparkSession, self.classes, self.buckets
         shared = spark.sparkContext.broadcast((g, cls, cls_new))
-        out = _together(*tables).mapInArrow(lambda bs: _other_moves(bs, shared, classes, parts, turn, buckets), _PACK)
+        out = _together(*tables, parts=self.parts).mapInArrow(lambda bs: _other_moves(bs, shared, classes, parts, turn, buckets), _PACK)
         path = work_path(spark, "state")
         out.write.option("compression", "zstd").partitionBy("kind").parquet(path)
         del out
@@ -967,7 +970,7 @@ class Others:
         new, moves = exchange(rows, g, cls, classes, parts, turn, dealt)
         drop_tables(spark, moves)
         shared = spark.sparkContext.broadcast((g, cls, core))
-        got = _together(self.singles, state.filter(F.col("kind") == TO_CORE)).mapInArrow(
+        got = _together(self.singles, state.filter(F.col("kind") == TO_CORE), parts=self.parts).mapInArrow(
             lambda bs: _core_moves(bs, shared, classes, parts, turn), "id int, cls int").toArrow()  # at most ``CORE`` rows
         new[got.column("id").to_numpy()] = got.column("cls").to_numpy()
         return new, self._pass((self.others, state.filter(F.col("kind").isin(STATE, TO_WORD))), g, cls, new, parts, turn)
