@@ -11,9 +11,10 @@ words have their classes in a table that is joined.
    that lowers the likelihood is taken back, and then half as many move. The rounds end when one gains
    less than ``TOLERANCE`` a token.
 3. Other words take the best class by their core neighbours; then rounds go on over all words and all
-   neighbours, with the same rule to end. Transitions that touch a word outside the core are counted
-   from the pairs of such words alone. Rows are joined with the classes of neighbours outside the core
-   only where a word that moves in the round has such neighbours, and nothing joined is written.
+   neighbours, with the same rule to end (``Others``). Words outside the core are packed into buckets, a row
+   each, beside their classes. In a round they send their class to their neighbours; messages travel packed by
+   the neighbour's bucket, and one pass over the buckets moves the words and sends the next messages.
+   ``_near`` and ``other_counts`` are the same round written with joins; tests hold them against brute force.
 
 The ``HEAVY`` most frequent words and the end of a text are dealt over ``PIECES`` rows by neighbour;
 tasks send the class counts of these pieces, and the driver finds their best classes. What else reaches
@@ -934,7 +935,7 @@ class Others:
         spark = core_rows.sparkSession
         self.core_rows, self.core, self.classes, self.total, self.end = core_rows, core, classes, classes + 2, len(core)
         self.buckets = buckets = max(32, vocabulary // BUCKET)
-        self.parts = max(16, buckets // 4)
+        self.parts = max(16, buckets // 8)
         if self.total >= 1 << 16:
             raise OverflowError("more classes than a message holds")
         single = core_rows.filter((F.col("id") >= HEAVY) & (F.col("id") != self.end))
@@ -942,8 +943,8 @@ class Others:
         for rows, by in ((other_rows, "h"), (single.withColumn("tail", F.lit(b"")), "id")):
             packed = rows.select(by, "core", "tail").mapInArrow(lambda bs, by=by: _words_of(bs, buckets, by), _PACKED)
             made.append(materialize(_together(packed, parts=self.parts).mapInArrow(_one_row, _PACKED), "packed"))
+            release(spark)
         self.others, self.singles = made
-        release(spark)
 
     def _pass(self, tables, g, cls, cls_new, parts: int, turn: int) -> DataFrame:
         spark, classes, buckets = self.others.sparkSession, self.classes, self.buckets
@@ -973,6 +974,7 @@ class Others:
         got = _together(self.singles, state.filter(F.col("kind") == TO_CORE), parts=self.parts).mapInArrow(
             lambda bs: _core_moves(bs, shared, classes, parts, turn), "id int, cls int").toArrow()  # at most ``CORE`` rows
         new[got.column("id").to_numpy()] = got.column("cls").to_numpy()
+        release(spark)
         return new, self._pass((self.others, state.filter(F.col("kind").isin(STATE, TO_WORD))), g, cls, new, parts, turn)
 
     @staticmethod
@@ -1056,6 +1058,7 @@ def brown_classes(texts: DataFrame, core: np.ndarray, vocabulary: int, tokens_of
     if not other_rows.isEmpty():
         # Words outside the core take the best class by their core neighbours, all at once.
         others = Others(core_rows, other_rows, core, classes, vocabulary)
+        drop_tables(spark, other_rows, part="/kind=other")  # they are packed now
         plain = core_rows.drop("tail")
         state = others.start(g, cls)
         (cls, state), g = rounds((cls, state), lambda c, of: transition_counts(plain, c, total) + others.counts(of), others.move)

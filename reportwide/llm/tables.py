@@ -24,13 +24,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete tables of ``materialize`` that no later plan reads."""
+def drop_tables(spark: SparkSession, *tables: DataFrame, part: str = "") -> None:
+    """Delete tables of ``materialize`` that no later plan reads, or one ``part`` folder of them."""
     jvm = spark._jvm
     for t in tables:
         for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
             p = jvm.org.apache.hadoop.fs.Path(folder)
-            if "/reportwide-work/" in p.toString():
+            if "/reportwide-work/" in p.toString() and p.toString().endswith(part):
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
